@@ -37,12 +37,12 @@ def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 3.0, floor: float
         lo = q1 - k * iqr
         if floor is not None:
             lo = F.when(lo < floor, F.lit(float(floor))).otherwise(lo)
-        parts.append(row.select(F.lit(c).alias("column"), q1.alias("q1"), q3.alias("q3"), iqr.alias("iqr"), lo.alias("lo"), (q3 + k * iqr).alias("hi")))
+        parts.append(row.select(F.lit(c).alias("col_name"), q1.alias("q1"), q3.alias("q3"), iqr.alias("iqr"), lo.alias("lo"), (q3 + k * iqr).alias("hi")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     if digits is not None:
-        out = out.select("column", *[F.round(x, digits).alias(x) for x in ("q1", "q3", "iqr", "lo", "hi")])
+        out = out.select("col_name", *[F.round(x, digits).alias(x) for x in ("q1", "q3", "iqr", "lo", "hi")])
     return out
 
 
@@ -52,7 +52,7 @@ def outside(c: Column, lo: Column, hi: Column) -> Column:
 
 
 def _with_fences(df: DataFrame, fences: DataFrame, cols: Sequence[str]) -> DataFrame:
-    wide = fences.agg(*[F.max(F.when(F.col("column") == c, F.struct("lo", "hi"))).alias(f"{c}__f") for c in cols])
+    wide = fences.agg(*[F.max(F.when(F.col("col_name") == c, F.struct("lo", "hi"))).alias(f"{c}__f") for c in cols])
     return df.crossJoin(F.broadcast(wide))  # one row, fixed width
 
 
@@ -81,15 +81,15 @@ def outlier_report(df: DataFrame, cols: Sequence[str], order: str, fences: DataF
     flagged = apply_fences(df.select(order, *cols), fences, cols)
     long = flagged.select(
         order,
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _q(c).cast("double").alias("value"), F.col(f"{c}_outside").alias("o")) for c in cols])).alias("kv"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("col_name"), _q(c).cast("double").alias("value"), F.col(f"{c}_outside").alias("o")) for c in cols])).alias("kv"),
     ).select(order, "kv.*").where("o")
-    counts = long.groupBy("column").agg(F.count(F.lit(1)).alias("n_outliers"))
-    w = Window.partitionBy("column").orderBy(order)
+    counts = long.groupBy("col_name").agg(F.count(F.lit(1)).alias("n_outliers"))
+    w = Window.partitionBy("col_name").orderBy(order)
     ex = long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= examples)
-    allc = fences.select("column").join(counts, "column", "left").fillna(0, ["n_outliers"])
+    allc = fences.select("col_name").join(counts, "col_name", "left").fillna(0, ["n_outliers"])
     allc = allc.withColumn("total_outliers", F.sum("n_outliers").over(Window.partitionBy()))  # one row per column
-    return allc.join(ex.select("column", "rank", order, "value"), "column", "left").select(
-        "column", F.col("n_outliers").cast("bigint").alias("n_outliers"), F.col("total_outliers").cast("bigint").alias("total_outliers"),
+    return allc.join(ex.select("col_name", "rank", order, "value"), "col_name", "left").select(
+        "col_name", F.col("n_outliers").cast("bigint").alias("n_outliers"), F.col("total_outliers").cast("bigint").alias("total_outliers"),
         F.col("rank").cast("bigint").alias("rank"), order, "value",
     )
 
@@ -113,7 +113,7 @@ def replace_upper_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.0) -
         outs[c] = F.when(m, med).otherwise(_q(c).cast("double"))
     flagged = j.withColumns({f"{c}__m": masks[c] for c in cols})
     counts_wide = flagged.agg(*[F.count_if(F.col(f"{c}__m")).alias(c) for c in cols])
-    counts = counts_wide.unpivot([], list(cols), "column", "n_replaced")
+    counts = counts_wide.unpivot([], list(cols), "col_name", "n_replaced")
     out = j.withColumns(outs).drop(*[f"{c}__q" for c in cols])
     return out, counts
 
@@ -177,7 +177,7 @@ def handle_outliers(df: DataFrame, cols: Sequence[str], method: str = "IQR", act
         freq = value_frequencies(df.select(*[_q(c).cast("double").alias(c) for c in cols]), cols)
         freq = freq.withColumn("value", F.col("value").cast("double"))
         modes = mode_table(freq)
-        mrow = modes.agg(*[F.max(F.when(F.col("column") == c, F.col("top"))).alias(f"{c}__r") for c in cols])
+        mrow = modes.agg(*[F.max(F.when(F.col("col_name") == c, F.col("top"))).alias(f"{c}__r") for c in cols])
         st = st.crossJoin(mrow)
     j = df.crossJoin(F.broadcast(st))  # one statistics row
     helper = [x for x in st.columns]

@@ -29,7 +29,7 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """``(column, null_count)``, largest first."""
     cols = list(cols or df.columns)
     out = fused_long(df, cols, {"null_count": lambda c: F.count_if(c.isNull())})
-    return out.orderBy(F.desc("null_count"), "column")
+    return out.orderBy(F.desc("null_count"), "col_name")
 
 
 def missing_table(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
@@ -43,11 +43,11 @@ def missing_table(df: DataFrame, cols: Sequence[str] | None = None, digits: int
     return (
         out.where(F.col("missing_count") > 0)
         .select(
-            "column",
+            "col_name",
             "missing_count",
             F.round(F.col("missing_count") / F.col("_rows") * 100, digits).alias("missing_percent"),
         )
-        .orderBy(F.desc("missing_count"), "column")
+        .orderBy(F.desc("missing_count"), "col_name")
     )
 
 
@@ -62,7 +62,7 @@ def duplicate_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     parts = []
     for c in cols:
         g = df.groupBy(F.col(qident(c))).agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(g.agg(F.lit(c).alias("column"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("n_duplicates")))
+        parts.append(g.agg(F.lit(c).alias("col_name"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("n_duplicates")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -117,7 +117,7 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     long = fused_long(df, cols, stats)
     r = lambda c: F.round(c, digits)
     return long.select(
-        "column",
+        "col_name",
         F.col("count").cast("bigint").alias("count"),
         r(F.col("mean")).alias("mean"),
         r(F.col("std")).alias("std"),
@@ -133,8 +133,8 @@ def describe_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, unique, top (smallest of the most frequent), freq."""
     base = fused_long(df, cols, {"count": lambda c: F.count(c), "unique": lambda c: F.count_distinct(c)})
     modes = mode_table(value_frequencies(df, cols))
-    return base.join(modes, "column", "left").select(
-        "column", F.col("count").cast("bigint").alias("count"), F.col("unique").cast("bigint").alias("unique"), "top", "freq"
+    return base.join(modes, "col_name", "left").select(
+        "col_name", F.col("count").cast("bigint").alias("count"), F.col("unique").cast("bigint").alias("unique"), "top", "freq"
     )
 
 
@@ -148,24 +148,24 @@ def info(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     meta = spark.createDataFrame(
         [(i, f.name, _type_family(f.dataType.simpleString())) for i, f in enumerate(df.schema.fields)],
-        "position long, column string, dtype string",
+        "position long, col_name string, dtype string",
     )
-    return meta.join(F.broadcast(counts), "column").select("position", "column", "non_null", "dtype")
+    return meta.join(F.broadcast(counts), "col_name").select("position", "col_name", "non_null", "dtype")
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], digits: int = 6) -> DataFrame:
     """Exact interpolated quantiles, ``(column, p, q)``."""
     long = fused_long(df, cols, {"q": lambda c: percentiles(c.cast("double"), probs)})
     pr = F.array(*[F.lit(float(p)) for p in probs])
-    return long.select("column", F.arrays_zip(pr.alias("p"), F.col("q").alias("q")).alias("z")).select(
-        "column", F.explode("z").alias("z")
-    ).select("column", F.col("z.p").alias("p"), F.round(F.col("z.q"), digits).alias("q"))
+    return long.select("col_name", F.arrays_zip(pr.alias("p"), F.col("q").alias("q")).alias("z")).select(
+        "col_name", F.explode("z").alias("z")
+    ).select("col_name", F.col("z.p").alias("p"), F.round(F.col("z.q"), digits).alias("q"))
 
 
 def moments(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """D17 + D18: sample skewness and excess kurtosis."""
     long = fused_long(df, cols, {"skewness": sample_skewness, "kurtosis": sample_kurtosis})
-    return long.select("column", F.round("skewness", digits).alias("skewness"), F.round("kurtosis", digits).alias("kurtosis"))
+    return long.select("col_name", F.round("skewness", digits).alias("skewness"), F.round("kurtosis", digits).alias("kurtosis"))
 
 
 def central_stats(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
@@ -173,9 +173,9 @@ def central_stats(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFr
     long = fused_long(df, cols, {"mean": lambda c: F.avg(c), "median": lambda c: F.median(c.cast("double"))})
     freq = value_frequencies(df.select(*[F.col(qident(c)).cast("double").alias(c) for c in cols]), cols)
     freq = freq.withColumn("value", F.col("value").cast("double"))
-    modes = mode_table(freq).select("column", F.col("top").alias("mode"))
-    return long.join(modes, "column", "left").select(
-        "column", F.round("mean", digits).alias("mean"), F.round("median", digits).alias("median"), "mode"
+    modes = mode_table(freq).select("col_name", F.col("top").alias("mode"))
+    return long.join(modes, "col_name", "left").select(
+        "col_name", F.round("mean", digits).alias("mean"), F.round("median", digits).alias("median"), "mode"
     )
 
 
@@ -196,24 +196,24 @@ def box_stats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int
     """Quartiles, mean, whisker ends (extreme points inside 1.5 IQR), flier count."""
     q = fused_long(df, cols, {"q": lambda c: percentiles(c.cast("double"), (0.25, 0.5, 0.75)), "mean": lambda c: F.avg(c)})
     q = q.select(
-        "column", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "mean"
+        "col_name", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "mean"
     ).withColumn("lo", F.col("q1") - whis * (F.col("q3") - F.col("q1"))).withColumn(
         "hi", F.col("q3") + whis * (F.col("q3") - F.col("q1"))
     )
     long = df.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(qident(c)).cast("double").alias("x")) for c in cols])).alias("kv")
-    ).select("kv.column", "kv.x").where(F.col("x").isNotNull())
+        F.explode(F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(qident(c)).cast("double").alias("x")) for c in cols])).alias("kv")
+    ).select("kv.col_name", "kv.x").where(F.col("x").isNotNull())
     # per-column fences are a table with one row per column: bounded by len(cols)
-    j = long.join(F.broadcast(q.select("column", "lo", "hi")), "column")
+    j = long.join(F.broadcast(q.select("col_name", "lo", "hi")), "col_name")
     inside = (F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))
-    w = j.groupBy("column").agg(
+    w = j.groupBy("col_name").agg(
         F.min(F.when(inside, F.col("x"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
         F.count_if(~inside).alias("n_fliers"),
     )
     r = lambda c: F.round(F.col(c), digits)
-    return q.join(w, "column").select(
-        "column", r("q1").alias("q1"), r("median").alias("median"), r("q3").alias("q3"), r("mean").alias("mean"),
+    return q.join(w, "col_name").select(
+        "col_name", r("q1").alias("q1"), r("median").alias("median"), r("q3").alias("q3"), r("mean").alias("mean"),
         r("whisker_lo").alias("whisker_lo"), r("whisker_hi").alias("whisker_hi"), "n_fliers",
     )
 
@@ -233,10 +233,10 @@ def remaining_nulls(df: DataFrame, cols: Sequence[str], digits: int = 6) -> Data
     cols = list(cols)
     long = fused_long(df, cols, {"n_null": lambda c: F.count_if(c.isNull()), "_rows": lambda c: F.count(F.lit(1))})
     per = long.where(F.col("n_null") > 0).select(
-        "column", "n_null", F.round(F.col("n_null") / F.col("_rows") * 100, digits).alias("pct")
+        "col_name", "n_null", F.round(F.col("n_null") / F.col("_rows") * 100, digits).alias("pct")
     )
     total = long.agg(
-        F.lit("__total__").alias("column"),
+        F.lit("__total__").alias("col_name"),
         F.sum("n_null").cast("bigint").alias("n_null"),
         F.round(F.sum("n_null") / (F.max("_rows") * len(cols)) * 100, digits).alias("pct"),
     )
@@ -269,12 +269,12 @@ def mean_drift(reference: DataFrame, current: DataFrame, cols: Sequence[str], wa
     verdict (similar < 5, moderate < 10, else different)."""
     a = fused_long(reference, cols, {"ref_mean": lambda c: F.avg(c)})
     b = fused_long(current, cols, {"cur_mean": lambda c: F.avg(c)})
-    j = a.join(b, "column")
+    j = a.join(b, "col_name")
     diff = F.abs(F.try_divide(F.col("cur_mean") - F.col("ref_mean"), F.col("ref_mean")) * 100)
     j = j.withColumn("diff_pct", diff)
     avg_diff = F.avg("diff_pct").over(Window.partitionBy())  # one row per column
     return j.select(
-        "column",
+        "col_name",
         F.round("ref_mean", digits).alias("ref_mean"),
         F.round("cur_mean", digits).alias("cur_mean"),
         F.round("diff_pct", digits).alias("diff_pct"),
@@ -345,3 +345,37 @@ def histogram(df: DataFrame, col: str, bins: int | str = "fd", trim: tuple[float
         F.round(F.when(F.col("bin") == F.col("nb") - 1, F.col("mx")).otherwise((F.col("bin") + 1) * step + F.col("mn")), digits).alias("hi"),
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
     )
+
+
+def non_numeric(df: DataFrame, cols: Sequence[str], order: str, k: int = 15) -> DataFrame:
+    """Cells that are non-null but fail H1, per column: the total and
+    the first ``k`` distinct values by first appearance.
+
+    ``(col_name, value, n, first_seen, total_bad, rank)``.  The per-value
+    group-by combines map-side; the ``rank <= k`` filter is planned with a
+    partial per-task group limit, so no column's values meet in one task.
+    """
+    from ..functions.numbers import to_number
+
+    long = df.select(
+        order,
+        F.explode(F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(qident(c)).cast("string").alias("value")) for c in cols])).alias("kv"),
+    ).select(order, "kv.*")
+    bad = long.where(F.col("value").isNotNull() & to_number(F.col("value")).isNull())
+    per_value = bad.groupBy("col_name", "value").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_seen"))
+    totals = per_value.groupBy("col_name").agg(F.sum("n").cast("bigint").alias("total_bad"))
+    w = Window.partitionBy("col_name").orderBy("first_seen", "value")
+    first = per_value.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
+    return first.join(totals, "col_name")
+
+
+def ts_quality(df: DataFrame, raw: str, parsed: str) -> DataFrame:
+    """Rows with missing time text, with unparseable text, and rows in a
+    duplicate group of the raw text (the NULL group included); one row."""
+    a = df.agg(
+        F.count_if(F.col(qident(raw)).isNull()).alias("n_missing"),
+        F.count_if(F.col(qident(raw)).isNotNull() & F.col(qident(parsed)).isNull()).alias("n_unparseable"),
+    )
+    g = df.groupBy(F.col(qident(raw))).agg(F.count(F.lit(1)).alias("_n"))
+    d = g.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint").alias("n_dup_rows"))
+    return a.crossJoin(d)  # two one-row aggregates

@@ -20,7 +20,7 @@ def fused_long(
     df: DataFrame,
     cols: Sequence[str],
     stats: dict[str, Callable[[Column], Column]],
-    name_col: str = "column",
+    name_col: str = "col_name",
 ) -> DataFrame:
     """One aggregate computing ``stats`` for every column, returned long.
 
@@ -42,7 +42,7 @@ def fused_long(
     return wide.selectExpr(f"stack({len(cols)}, {', '.join(parts)}) AS ({out_names})")
 
 
-def unpivot(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str = "column", value: str = "value") -> DataFrame:
+def unpivot(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str = "col_name", value: str = "value") -> DataFrame:
     """Wide -> long, values cast to a common type by Spark's rules."""
     return df.unpivot(list(ids), list(cols), name, value)
 
@@ -85,10 +85,10 @@ def value_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     long = df.select(
         F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(qident(c)).cast("string").alias("value")) for c in cols])
+            F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(qident(c)).cast("string").alias("value")) for c in cols])
         ).alias("_kv")
-    ).select("_kv.column", "_kv.value")
-    return long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    ).select("_kv.col_name", "_kv.value")
+    return long.where(F.col("value").isNotNull()).groupBy("col_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def mode_table(freq: DataFrame) -> DataFrame:
@@ -97,10 +97,10 @@ def mode_table(freq: DataFrame) -> DataFrame:
     Two aggregates over the (already reduced) frequency table; no group is
     collected into one task.
     """
-    top = freq.groupBy("column").agg(F.max("n").alias("_top"))
+    top = freq.groupBy("col_name").agg(F.max("n").alias("_top"))
     return (
-        freq.join(top, "column")
+        freq.join(top, "col_name")
         .where(F.col("n") == F.col("_top"))
-        .groupBy("column")
+        .groupBy("col_name")
         .agg(F.min("value").alias("top"), F.first("n").alias("freq"))
     )

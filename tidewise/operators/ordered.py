@@ -29,7 +29,7 @@ from .._col import qident
 from ..session import cut_lineage
 
 ORD = "_ord"
-DEFAULT_BLOCK_ROWS = 1 << 18
+DEFAULT_BLOCK_ROWS = 8192  # halo of 168 rows costs ~2 % extra rows
 
 
 def _keys(by: Sequence[str], order: Sequence[str]) -> list[Column]:

@@ -135,9 +135,10 @@ class ExactMinMaxScaler(Estimator, HasInputCols, DefaultParamsReadable, DefaultP
 
 
 def hf_features(df: DataFrame, target: str, ts: str, order: Sequence[str], steps_per_hour: int = 6,
-                by: Sequence[str] = (), block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                by: Sequence[str] = (), block_rows: int = DEFAULT_BLOCK_ROWS, drop_nulls: bool = True) -> DataFrame:
     """Fine calendar parts (H7), 1 h / 24 h lags (E2) and trailing means
-    (E3) of ``target``, then rows with any NULL dropped (B11)."""
+    (E3) of ``target``, then rows with any NULL dropped (B11) unless
+    ``drop_nulls`` is False (used when scoring a row whose target is unknown)."""
     day = 24 * steps_per_hour
     t = target
     exprs = {}
@@ -146,4 +147,4 @@ def hf_features(df: DataFrame, target: str, ts: str, order: Sequence[str], steps
     exprs[f"rolling_mean_{t}_24_horas"] = trailing_mean_expr(t, day)
     out = df.withColumns(calendar_fine(F.col(qident(ts))))
     out = windowed(out, exprs, order, by, before=day, block_rows=block_rows)
-    return drop_any_null(out)
+    return drop_any_null(out) if drop_nulls else out

@@ -1,3 +1,256 @@
-"""Queries."""
+"""Model, evaluation, forecasting and VAR queries."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import models as M
+from ..operators import var as V
+from ..operators.clean import drop_any_null
+from ..operators.features import hf_features
+from ..operators.ordered import with_ordinal
+from ..session import cut_lineage
+from .common import events, original_events
+from .q_clean import clean_flow_df
+from .registry import query
+
+ORDER = ["ts", "event_id"]
+_W = "OVER (ORDER BY ts, event_id)"
+
+
+# ---------------------------------------------------------------- metrics on baselines
+
+@query("regression_metrics",
+       "SELECT round(avg(abs(value - p)), 6) AS mae, round(avg((value - p) * (value - p)), 6) AS mse, "
+       "round(sqrt(avg((value - p) * (value - p))), 6) AS rmse, "
+       "round(1 - sum((value - p) * (value - p)) / nullif(var_pop(value) * count(*), 0), 6) AS r2, count(*) AS n_test "
+       f"FROM (SELECT value, lag(value) {_W} AS p FROM events) WHERE p IS NOT NULL AND value IS NOT NULL")
+def q_regression_metrics(spark, sf):
+    """J10 on a one-step persistence forecast of ``events.value``."""
+    pr = M.naive_predictions(events(spark, sf).select("event_id", "ts", "value"), "value", ORDER)
+    return M.regression_metrics(pr, "value", "pred_lag1", digits=6)
+
+
+_TEST_CTE = (
+    f"s AS (SELECT event_id, ts, value, lag(value) {_W} AS pred, row_number() {_W} - 1 AS o, count(*) OVER () AS n FROM events), "
+    "t AS (SELECT *, o - (n - CAST(ceil(n * 0.3) AS BIGINT)) AS step FROM s WHERE o >= n - ceil(n * 0.3))"
+)
+
+
+@query("pred_vs_actual", f"WITH {_TEST_CTE} SELECT step, event_id, value AS y_true, pred AS y_pred FROM t")
+def q_pred_vs_actual(spark, sf):
+    """(step, y_true, y_pred) over the chronological test part."""
+    from ..operators.ordered import time_split
+    e = events(spark, sf).select("event_id", "ts", "value")
+    pr = M.naive_predictions(e, "value", ORDER)
+    sp = time_split(pr, 0.3, ORDER).where(F.col("split") == "test")
+    first = sp.agg(F.min("ordinal").alias("_o0"))
+    return sp.crossJoin(F.broadcast(first)).select(
+        (F.col("ordinal") - F.col("_o0")).alias("step"), "event_id", F.col("value").alias("y_true"), F.col("pred_lag1").alias("y_pred"))
+
+
+@query("forecast_alignment",
+       f"WITH {_TEST_CTE}, f AS (SELECT avg(value) AS yhat FROM (SELECT value FROM s WHERE o < n - ceil(n * 0.3) ORDER BY o DESC LIMIT 6)), "
+       "h AS (SELECT unnest(range(0, 10)) AS step) "
+       "SELECT h.step, t.ts, t.value AS y_true, round(f.yhat, 6) AS y_pred FROM h, f JOIN t ON t.step = h.step")
+def q_forecast_alignment(spark, sf):
+    """A 10-step forecast (mean of the last 6 training values) joined to
+    the first 10 test rows by step."""
+    from ..operators.ordered import last_n, time_split
+    e = events(spark, sf).select("event_id", "ts", "value")
+    sp = time_split(e, 0.3, ORDER)
+    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    level = last_n(train, 6, ORDER).agg(F.avg("value").alias("yhat"))
+    fc = level.select(F.explode(F.sequence(F.lit(0), F.lit(9))).alias("step"), F.round("yhat", 6).alias("y_pred"))
+    first = test.agg(F.min("ordinal").alias("_o0"))
+    act = test.crossJoin(F.broadcast(first)).select((F.col("ordinal") - F.col("_o0")).alias("step"), "ts", F.col("value").alias("y_true"))
+    return fc.join(act, "step").select("step", "ts", "y_true", "y_pred")
+
+
+_CMP_SQL = (
+    "WITH s AS (SELECT event_type, value, row_number() OVER w - 1 AS o, count(*) OVER (PARTITION BY event_type) AS n, "
+    "lag(value) OVER w AS pred_lag1, CASE WHEN count(value) OVER w6 = 6 THEN avg(value) OVER w6 END AS pred_mean6 FROM events "
+    "WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id), "
+    "w6 AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)), "
+    "t AS (SELECT * FROM s WHERE o >= n - ceil(n * 0.3) AND o < n - ceil(n * 0.3) + 10), "
+    "l AS (SELECT 'naive_lag1' AS model, event_type AS target, value AS y, pred_lag1 AS yhat FROM t "
+    "UNION ALL SELECT 'trailing_mean6', event_type, value, pred_mean6 FROM t) "
+    "SELECT model, target, round(sqrt(avg((y - yhat) * (y - yhat))), 6) AS rmse, count(*) AS n_test FROM l "
+    "WHERE yhat IS NOT NULL GROUP BY 1, 2"
+)
+
+
+@query("model_comparison", _CMP_SQL)
+def q_model_comparison(spark, sf):
+    """RMSE of two forecasters over the first 10 test rows of every
+    series (one series per event type)."""
+    e = events(spark, sf).select("event_id", "event_type", "ts", "value")
+    od = with_ordinal(e, ORDER, by=["event_type"], name="o")
+    n = od.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    pr = M.naive_predictions(od, "value", ORDER, by=["event_type"], mean_n=6).join(n, "event_type")
+    start = F.col("n") - F.ceil(F.col("n") * 0.3)
+    t = pr.where((F.col("o") >= start) & (F.col("o") < start + 10))
+    long = t.select(F.lit("naive_lag1").alias("model"), F.col("event_type").alias("target"), F.col("value").alias("y"),
+                    F.col("pred_lag1").alias("yhat")).unionByName(
+        t.select(F.lit("trailing_mean6").alias("model"), F.col("event_type").alias("target"), F.col("value").alias("y"),
+                 F.col("pred_mean6").alias("yhat")))
+    m = M.regression_metrics(long, "y", "yhat", by=["model", "target"])
+    return m.select("model", "target", F.round("rmse", 6).alias("rmse"), "n_test")
+
+
+@query("hash_split",
+       "SELECT event_id, CASE WHEN CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20 "
+       "THEN 'test' ELSE 'train' END AS split FROM events")
+def q_hash_split(spark, sf):
+    """Reproducible 80/20 shuffled split by key hash."""
+    return M.hash_split(events(spark, sf).select("event_id"), "event_id", 20)
+
+
+@query("linear_fit",
+       "WITH o AS (SELECT value, CAST(regexp_extract(props, '\"k\": ([0-9]+)', 1) AS DOUBLE) AS k FROM events) "
+       "SELECT round(regr_slope(value, k), 6) AS slope, round(regr_intercept(value, k), 6) AS intercept, "
+       "round(regr_r2(value, k), 6) AS r2, regr_count(value, k) AS n FROM o")
+def q_linear_fit(spark, sf):
+    """J8 with one feature: OLS slope / intercept / R2 as aggregates."""
+    o = original_events(spark, sf)
+    return o.agg(
+        F.round(F.regr_slope("value", "k"), 6).alias("slope"), F.round(F.regr_intercept("value", "k"), 6).alias("intercept"),
+        F.round(F.regr_r2("value", "k"), 6).alias("r2"), F.regr_count("value", "k").alias("n"))
+
+
+# ---------------------------------------------------------------- MLlib models (rows-only checks)
+
+FEATS = ["k", "hour", "dayofweek", "month", "value_lag1", "value_lag24", "value_lag168"]
+
+
+def _prep(spark, sf):
+    from ..operators.clean import preprocess
+    from .q_clean import polluted_named
+    return preprocess(polluted_named(spark, sf))
+
+
+def _fit_eval(spark, sf, model, params, impute=(), scale=()):
+    d = cut_lineage(_prep(spark, sf))
+    tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
+    pm = M.regression_pipeline(FEATS, "value", model, impute=impute, scale=scale, params=params).fit(tr)
+    return pm, pm.transform(te)
+
+
+@query("pipeline_predict")
+def q_pipeline_predict(spark, sf):
+    """J5 + J9: imputer + scaler + linear model fitted on the train part of
+    the preprocessed table, scored on the test part."""
+    _, pred = _fit_eval(spark, sf, "linear", {}, impute=FEATS, scale=FEATS)
+    return pred.select("event_id", "ordinal", F.col("value").alias("y_true"), F.col("prediction").alias("y_pred"))
+
+
+@query("linear_metrics")
+def q_linear_metrics(spark, sf):
+    """J8 + J10: OLS on seven features, test metrics."""
+    _, pred = _fit_eval(spark, sf, "linear", {})
+    return M.regression_metrics(pred, "value", "prediction")
+
+
+@query("gbt_metrics")
+def q_gbt_metrics(spark, sf):
+    """J6 + J10: boosted trees (20 trees, production learning rate, depth,
+    child size, sampling) test metrics."""
+    params = dict(M.GBT_PRODUCTION, maxIter=20)
+    _, pred = _fit_eval(spark, sf, "gbt", params)
+    return M.regression_metrics(pred, "value", "prediction")
+
+
+@query("rf_metrics")
+def q_rf_metrics(spark, sf):
+    """J7 + J10: random forest, 100 trees, seed 42 (depth 12)."""
+    _, pred = _fit_eval(spark, sf, "rf", dict(numTrees=100, seed=42, maxDepth=12))
+    return M.regression_metrics(pred, "value", "prediction")
+
+
+@query("random_search")
+def q_random_search(spark, sf):
+    """Seeded draws of the notebook's space scored by 3 expanding folds.
+    The check runs 4 candidates with tree counts divided by 20 (a reduced
+    model budget, all rows kept)."""
+    d = cut_lineage(_prep(spark, sf).where(F.col("split") == "train"))
+    cands = [dict(c, maxIter=max(5, c["maxIter"] // 20), seed=42) for c in M.draw_params(4, seed=1234)]
+    scores, _ = M.random_search(d, FEATS, "value", ["ordinal"], cands, k=3, model="gbt", parallelism=4)
+    return scores
+
+
+_HF = ["k", "hora", "minuto", "dia_de_semana", "dia_del_ano", "lag_value_1_hora", "lag_value_24_horas",
+       "rolling_mean_value_1_hora", "rolling_mean_value_24_horas"]
+
+
+@query("recursive_forecast")
+def q_recursive_forecast(spark, sf):
+    """10-step recursive forecast of the cleaned series with a boosted
+    tree model on the high-frequency features (context 200 rows)."""
+    cl = drop_any_null(clean_flow_df(spark, sf).select("event_id", "ts", "value", "k"))
+    feats = cut_lineage(hf_features(cl, "value", "ts", ORDER))
+    model = M.regression_pipeline(_HF, "value", "gbt", params=dict(maxIter=20, maxDepth=5, seed=42)).fit(feats)
+    fn = lambda d: hf_features(d, "value", "ts", ["ts"], drop_nulls=False)
+    return M.recursive_forecast(model, cl.drop("event_id"), 10, "value", "ts", fn)
+
+
+# ---------------------------------------------------------------- VAR
+
+def _var_input(spark, sf):
+    wide, keys = V.bucket_means(events(spark, sf), "ts", "event_type", "value", "6 hours")
+    return wide, keys
+
+
+def _lagged_sql(p):
+    ls = ", ".join(str(i) for i in range(1, p + 1))
+    return (
+        "g AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS bucket, event_type AS s, avg(value) AS v FROM events GROUP BY 1, 2), "
+        "gt AS (SELECT date_diff('hour', (SELECT min(bucket) FROM g), bucket) // 6 AS t, s, v FROM g), "
+        "nn AS (SELECT max(t) + 1 AS n FROM gt), "
+        f"lg AS (SELECT t + l AS tt, 'L' || l || '.' || s AS name, v FROM gt, (SELECT unnest([{ls}]) AS l) "
+        "UNION ALL SELECT t, 'const', 1.0 FROM (SELECT DISTINCT t FROM gt)), "
+        f"lx AS (SELECT lg.* FROM lg, nn WHERE tt >= {p} AND tt < n)"
+    )
+
+
+_VAR_P = 2
+
+
+@query("var_gram",
+       f"WITH {_lagged_sql(_VAR_P)} "
+       "SELECT 'XtX' AS mat, a.name AS row, b.name AS col, round(sum(a.v * b.v), 6) AS value FROM lx a JOIN lx b ON a.tt = b.tt GROUP BY 1, 2, 3 "
+       "UNION ALL SELECT 'XtY', a.name, y.s, round(sum(a.v * y.v), 6) FROM lx a JOIN gt y ON a.tt = y.t GROUP BY 1, 2, 3")
+def q_var_gram(spark, sf):
+    """X'X and X'Y of a VAR(2) on 6-hour means of ``value`` per event
+    type (5 series), one aggregate of products."""
+    wide, keys = _var_input(spark, sf)
+    g = V.gram(V.lagged_design(wide, keys, _VAR_P, ["bucket"]), keys, _VAR_P)
+    return g.where(F.col("fold") == -1).select("mat", "row", "col", F.round("value", 6).alias("value"))
+
+
+@query("var_coefficients")
+def q_var_coefficients(spark, sf):
+    """VAR(2) coefficients (regressor x equation) from the Gram solve."""
+    wide, keys = _var_input(spark, sf)
+    B = V.fit(wide, keys, _VAR_P, ["bucket"])
+    return V.coefficients_frame(spark, B, keys, _VAR_P)
+
+
+@query("var_select")
+def q_var_select(spark, sf):
+    """VAR order search 1..9 over 5 expanding folds (whole test folds
+    forecast recursively), mean fold MSE and its square root."""
+    wide, keys = _var_input(spark, sf)
+    return V.select_order(wide, keys, ["bucket"], max_lag=10, k=5)
+
+
+@query("var_forecast")
+def q_var_forecast(spark, sf):
+    """10-step VAR(2) forecast after the last bucket, on a time spine."""
+    wide, keys = _var_input(spark, sf)
+    B = V.fit(wide, keys, _VAR_P, ["bucket"])
+    fc = V.forecast(wide, B, keys, ["bucket"], 10)
+    last = wide.agg(F.max("bucket").alias("_b"))
+    rows = [(i, *map(float, fc[i])) for i in range(fc.shape[0])]
+    f = spark.createDataFrame(rows, "step int, " + ", ".join(f"`{k}` double" for k in keys))
+    return f.crossJoin(last).select(
+        "step", (F.col("_b") + F.make_dt_interval(F.lit(0), (F.col("step") + 1) * 6)).alias("bucket"), *[F.col(f"`{k}`") for k in keys])

@@ -38,44 +38,68 @@ def regressor_names(cols: Sequence[str], p: int) -> list[str]:
 
 
 def lagged_design(df: DataFrame, cols: Sequence[str], p: int, order: Sequence[str],
-                  block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Rows ``t >= p`` with ``L{l}.{c}`` columns (E1 for every column) and
-    the ordinal ``t``."""
+                  block_rows: int = DEFAULT_BLOCK_ROWS, min_t: int | None = None) -> DataFrame:
+    """Rows ``t >= min_t`` (default ``p``) with ``L{l}.{c}`` columns (E1 for
+    every column) and the ordinal ``t``."""
     exprs = {}
     for c in cols:
         exprs.update(lag_exprs(c, list(range(1, p + 1)), [f"L{lag}.{c}" for lag in range(1, p + 1)]))
     out = windowed(df, exprs, order, before=p, block_rows=block_rows, keep_ordinal="t")
-    return out.where(F.col("t") >= p)
+    return out.where(F.col("t") >= (p if min_t is None else min_t))
+
+
+def _block_of(t, bounds: Sequence[int]):
+    """Index of the fold block a row falls in: rows before ``bounds[0]`` are
+    block 0, rows in ``[bounds[i-1], bounds[i])`` block ``i``."""
+    b = F.lit(0)
+    for e in bounds:
+        b = b + (t >= e).cast("int")
+    return b
 
 
 def gram(design: DataFrame, cols: Sequence[str], p: int, fold_ends: Sequence[int] | None = None) -> DataFrame:
     """``X'X`` and ``X'Y`` as a long table ``(fold, mat, row, col, value)``.
 
-    With ``fold_ends`` every product is summed once per training prefix
-    ``t < end`` in the same aggregate (fold -1 = all rows).
+    Each task multiplies its own rows with NumPy (``mapInPandas``) and emits
+    one partial matrix per fold block; Spark sums the partials element-wise
+    (group-by on the cell index).  With ``fold_ends`` the training prefix
+    ``t < end`` of every fold is the sum of the blocks before it (fold -1 =
+    all rows).  Only complete rows enter the design.
     """
     xs = regressor_names(cols, p)
-    xcol = {n: (F.lit(1.0) if n == "const" else F.col(qident(n))) for n in xs}
-    ends = [None] + list(fold_ends or [])
-    aggs, meta = [], []
-    for fi, end in enumerate(ends):
-        mask = F.lit(True) if end is None else (F.col("t") < end)
-        for i, a in enumerate(xs):
-            for b in xs[i:]:
-                aggs.append(F.sum(F.when(mask, xcol[a] * xcol[b])).alias(f"g{len(meta)}"))
-                meta.append((fi - 1, "XtX", a, b))
-            for y in cols:
-                aggs.append(F.sum(F.when(mask, xcol[a] * F.col(qident(y)))).alias(f"g{len(meta)}"))
-                meta.append((fi - 1, "XtY", a, y))
-    wide = design.agg(*aggs)
-    parts = []
-    for j, (f, m, r, c) in enumerate(meta):
-        parts += [str(f), f"'{m}'", f"'{r}'", f"'{c}'", f"g{j}"]
-    long = wide.selectExpr(f"stack({len(meta)}, {', '.join(parts)}) AS (fold, mat, row, col, value)")
-    # mirror the upper triangle of X'X
-    low = long.where((F.col("mat") == "XtX") & (F.col("row") != F.col("col"))).select(
-        "fold", "mat", F.col("col").alias("row"), F.col("row").alias("col"), "value")
-    return long.unionByName(low)
+    ys = list(cols)
+    ends = sorted(fold_ends or [])
+    m, k = len(xs), len(ys)
+    xcols = xs[1:]
+    d = design.select(_block_of(F.col("t"), ends).alias("_b"), *[F.col(qident(c)).cast("double").alias(f"x{i}") for i, c in enumerate(xcols)],
+                      *[F.col(qident(c)).cast("double").alias(f"y{i}") for i, c in enumerate(ys)])
+    xn = [f"x{i}" for i in range(len(xcols))]
+    yn = [f"y{i}" for i in range(k)]
+
+    def partial(it):
+        acc: dict[int, np.ndarray] = {}
+        for pdf in it:
+            # complete rows only; filtered here, not as a wide Filter node
+            # (a NOT NULL test on every lag column inflates plan constraints)
+            for b, g in pdf.dropna().groupby("_b"):
+                X = np.column_stack([np.ones(len(g)), g[xn].to_numpy(dtype=float)])
+                Y = g[yn].to_numpy(dtype=float)
+                cell = np.concatenate([(X.T @ X).ravel(), (X.T @ Y).ravel()])
+                acc[int(b)] = acc.get(int(b), 0) + cell
+        if acc:
+            yield pd.DataFrame({"_b": list(acc), "v": [a.tolist() for a in acc.values()]})
+
+    parts = d.mapInPandas(partial, "_b int, v array<double>")
+    cells = parts.select("_b", F.posexplode("v").alias("i", "v")).groupBy("_b", "i").agg(F.sum("v").alias("v"))
+    nb = len(ends) + 1
+    # (blocks x cells) numbers: prefix sums per fold on top of the block sums
+    folds = [(-1, list(range(nb)))] + [(fi, list(range(fi + 1))) for fi in range(len(ends))]
+    spark = design.sparkSession
+    fmap = spark.createDataFrame([(f, b) for f, bl in folds for b in bl], "fold int, _b int")
+    summed = cells.join(F.broadcast(fmap), "_b").groupBy("fold", "i").agg(F.sum("v").alias("value"))
+    names = [("XtX", xs[a], xs[b]) for a in range(m) for b in range(m)] + [("XtY", xs[a], ys[b]) for a in range(m) for b in range(k)]
+    lab = spark.createDataFrame([(i, *n) for i, n in enumerate(names)], "i int, mat string, row string, col string")
+    return summed.join(F.broadcast(lab), "i").select("fold", "mat", "row", "col", "value")
 
 
 def solve(gram_rows, cols: Sequence[str], p: int, fold: int = -1) -> np.ndarray:
@@ -148,8 +172,11 @@ def select_order(df: DataFrame, cols: Sequence[str], order: Sequence[str], max_l
     t = n // (k + 1)
     bounds = [(i, n - (k - i) * t, n - (k - i - 1) * t) for i in range(k)]
     specs = []
+    top = max_lag - 1
+    full = cut_lineage(lagged_design(base.drop("_t"), cols, top, order, block_rows, min_t=1))
     for p in range(1, max_lag):
-        design = lagged_design(base.drop("_t"), cols, p, order, block_rows)
+        keep = ["t", *cols, *[f"L{lag}.{c}" for lag in range(1, p + 1) for c in cols]]
+        design = full.where(F.col("t") >= p).select(*[F.col(qident(c)) for c in keep])
         g = gram(design, cols, p, [s for _, s, _ in bounds]).collect()
         for fi, (i, s, e) in enumerate(bounds):
             if s <= p + len(cols) * p:
@@ -162,7 +189,7 @@ def select_order(df: DataFrame, cols: Sequence[str], order: Sequence[str], max_l
     ctx_df = ctx.select("p", "fold", "_t", *[F.col(qident(c)).cast("double").alias(f"y{j}") for j, c in enumerate(cols)])
     K = len(cols)
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         spec = pdf[pdf["kind"] == "spec"].iloc[0]
         B = np.asarray(spec["coef"], dtype=float).reshape(int(spec["nrow"]), K)
         hist = pdf[pdf["kind"] == "ctx"].sort_values("_t")[[f"y{j}" for j in range(K)]].to_numpy()

@@ -77,3 +77,18 @@ def test_empty_and_all_null_column(spark):
     assert r["count"] == 0 and r["mean"] is None
     mt = P.missing_table(df).collect()
     assert mt[0]["missing_percent"] == 100.0
+
+
+@pytest.mark.parametrize("accuracy", [10000, 50])
+def test_two_pass_quantiles_equal_exact(spark, accuracy):
+    from tidewise.operators.quantiles import quantiles as qq
+    rng = np.random.default_rng(11)
+    a = rng.normal(0, 1, 4000)
+    b = np.where(rng.random(4000) < 0.4, 3.0, rng.integers(0, 50, 4000).astype(float))  # a hot value
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
+    probs = (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)
+    ex = {(r["col_name"], r["p"]): r["q"] for r in qq(df, ["a", "b"], probs, "exact", digits=None).collect()}
+    tp = {(r["col_name"], r["p"]): r["q"] for r in qq(df, ["a", "b"], probs, "two_pass", accuracy=accuracy, digits=None).collect()}
+    assert ex.keys() == tp.keys()
+    for k in ex:
+        assert tp[k] == pytest.approx(ex[k], abs=1e-12), k

@@ -261,3 +261,23 @@ def q_non_numeric(spark, sf):
 def q_ts_quality(spark, sf):
     """Missing / unparseable / duplicated time keys."""
     return P.ts_quality(coerced(spark, sf), "raw_ts", "ts")
+
+
+_QSQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS col_name, CAST({p} AS DOUBLE) AS p, round(quantile_cont({c}, {p}), 6) AS q FROM lineitem"
+    for c in LINEITEM_NUM for p in QPROBS)
+
+
+@query("quantiles_two_pass", _QSQL)
+def q_quantiles_two_pass(spark, sf):
+    """D12, scalable exact mode: sketch brackets + distributed sort of the
+    bracket rows only."""
+    from ..operators.quantiles import quantiles as qq
+    return qq(table(spark, sf, "lineitem"), LINEITEM_NUM, QPROBS, method="two_pass")
+
+
+@query("quantiles_approx")
+def q_quantiles_approx(spark, sf):
+    """D12, approximate mode (``percentile_approx``: observed values)."""
+    from ..operators.quantiles import quantiles as qq
+    return qq(table(spark, sf, "lineitem"), LINEITEM_NUM, QPROBS, method="approx")

@@ -54,14 +54,13 @@ def with_ordinal(
         "_loc", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
     )
     tagged = cut_lineage(tagged)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: bounded by the partition count, safe to broadcast
-    offs = counts.select(
-        "_pid",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_off"),
-    )
+    # one number per partition (metadata): collected once, offsets broadcast
+    counts = sorted((r[0], r[1]) for r in tagged.groupBy("_pid").agg(F.count(F.lit(1))).collect())
+    offs_rows, run = [], 0
+    for pid, n in counts:
+        offs_rows.append((pid, run))
+        run += n
+    offs = df.sparkSession.createDataFrame(offs_rows or [(0, 0)], "_pid int, _off long")
     out = tagged.join(F.broadcast(offs), "_pid").withColumn(name, F.col("_off") + F.col("_loc")).drop(
         "_pid", "_loc", "_off"
     )
@@ -74,20 +73,25 @@ def with_ordinal(
 
 
 def halo_blocks(df: DataFrame, ord_col: str, before: int, after: int = 0, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Adds ``_blk`` and ``_core``; neighbour rows are duplicated as halo."""
+    """Adds ``_blk`` and ``_core``; neighbour rows are duplicated as halo.
+
+    One pass: every row yields itself and, when it lies within ``before``
+    rows of its block's end (or ``after`` rows of its start), a halo copy
+    for the next (previous) block.
+    """
     block = max(int(block_rows), int(before), int(after), 1)
     o = F.col(qident(ord_col))
     blk = F.floor(o / block).cast("bigint")
     pos = o - blk * block
-    parts = [df.withColumn("_blk", blk).withColumn("_core", F.lit(True))]
+    tags = [F.struct(blk.alias("b"), F.lit(True).alias("c"))]
     if before > 0:
-        parts.append(df.where(pos >= block - before).withColumn("_blk", blk + 1).withColumn("_core", F.lit(False)))
+        tags.append(F.when(pos >= block - before, F.struct((blk + 1).alias("b"), F.lit(False).alias("c"))))
     if after > 0:
-        parts.append(df.where(pos < after).withColumn("_blk", blk - 1).withColumn("_core", F.lit(False)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        tags.append(F.when(pos < after, F.struct((blk - 1).alias("b"), F.lit(False).alias("c"))))
+    if len(tags) == 1:
+        return df.withColumn("_blk", blk).withColumn("_core", F.lit(True))
+    ex = df.withColumn("_tag", F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())))
+    return ex.withColumn("_blk", F.col("_tag.b")).withColumn("_core", F.col("_tag.c")).drop("_tag")
 
 
 def windowed(

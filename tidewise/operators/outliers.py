@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .._col import qident
 from ..session import cut_lineage
-from .stats import mode_table, percentiles, value_frequencies
+from .stats import fused_long, mode_table, percentiles, value_frequencies
 
 
 def _q(c: str) -> Column:
@@ -28,19 +28,16 @@ def quartile_row(df: DataFrame, cols: Sequence[str], with_median: bool = False)
 
 
 def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 3.0, floor: float | None = 0.0, digits: int | None = None) -> DataFrame:
-    """``(column, q1, q3, iqr, lo, hi)``; ``lo`` floored at ``floor``."""
-    row = quartile_row(df, cols)
-    parts = []
-    for c in cols:
-        q1, q3 = F.col(f"{c}__q")[0], F.col(f"{c}__q")[1]
-        iqr = q3 - q1
-        lo = q1 - k * iqr
-        if floor is not None:
-            lo = F.when(lo < floor, F.lit(float(floor))).otherwise(lo)
-        parts.append(row.select(F.lit(c).alias("col_name"), q1.alias("q1"), q3.alias("q3"), iqr.alias("iqr"), lo.alias("lo"), (q3 + k * iqr).alias("hi")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    """``(col_name, q1, q3, iqr, lo, hi)``; ``lo`` floored at ``floor``.
+
+    One aggregate for all columns, turned long with ``stack``."""
+    long = fused_long(df, cols, {"q": lambda c: percentiles(c.cast("double"), (0.25, 0.75))})
+    q1, q3 = F.col("q")[0], F.col("q")[1]
+    iqr = q3 - q1
+    lo = q1 - k * iqr
+    if floor is not None:
+        lo = F.when(lo < floor, F.lit(float(floor))).otherwise(lo)
+    out = long.select("col_name", q1.alias("q1"), q3.alias("q3"), iqr.alias("iqr"), lo.alias("lo"), (q3 + k * iqr).alias("hi"))
     if digits is not None:
         out = out.select("col_name", *[F.round(x, digits).alias(x) for x in ("q1", "q3", "iqr", "lo", "hi")])
     return out

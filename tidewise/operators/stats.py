@@ -99,7 +99,8 @@ def mode_table(freq: DataFrame) -> DataFrame:
     """
     top = freq.groupBy("col_name").agg(F.max("n").alias("_top"))
     return (
-        freq.join(top, "col_name")
+        # one row per column: broadcast, so no column's values meet in one task
+        freq.join(F.broadcast(top), "col_name")
         .where(F.col("n") == F.col("_top"))
         .groupBy("col_name")
         .agg(F.min("value").alias("top"), F.first("n").alias("freq"))

@@ -99,6 +99,7 @@ class CleanSpec:
     fence_k: float = 3.0
     fence_floor: float | None = 0.0
     max_nulls: int = 2  # keep rows with fewer NULLs than this among value_cols
+    quantile_method: str = "exact"  # "two_pass" for columns with very many distinct values
 
 
 def clean(df: DataFrame, reference: DataFrame | None, spec: CleanSpec = CleanSpec()) -> DataFrame:
@@ -113,7 +114,8 @@ def clean(df: DataFrame, reference: DataFrame | None, spec: CleanSpec = CleanSpe
     out = out.where(_c(spec.raw_ts).isNotNull())
     out = out.withColumn(spec.ts, to_ts(_c(spec.raw_ts), spec.ts_format)).where(_c(spec.ts).isNotNull())
     out = dedupe_first(out, [spec.ts], [spec.tiebreak])
-    fences = iqr_fences(reference if reference is not None else out, vals, k=spec.fence_k, floor=spec.fence_floor)
+    fences = iqr_fences(reference if reference is not None else out, vals, k=spec.fence_k, floor=spec.fence_floor,
+                        quantile_method=spec.quantile_method)
     out = apply_fences(out, fences, vals, action="null")
     return drop_rows_min_nulls(out, vals, spec.max_nulls)
 
@@ -135,6 +137,7 @@ class PreprocessSpec:
     sparse_pct: float = 5.0
     outlier_k: float = 2.0
     block_rows: int = DEFAULT_BLOCK_ROWS
+    quantile_method: str = "exact"  # "two_pass" for columns with very many distinct values
     extra_drop: Sequence[str] = field(default_factory=lambda: ["raw_ts"])
 
 
@@ -154,7 +157,7 @@ def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFr
     out = require(out, [t])
     out = drop_sparse_nulls(out, spec.sparse_pct)
     num_cols = [c for c in [t, *spec.features] if c in coerce_cols]
-    out, _ = replace_upper_outliers(out, num_cols, spec.outlier_k)
+    out, _ = replace_upper_outliers(out, num_cols, spec.outlier_k, spec.quantile_method)
     out = out.withColumns(calendar_parts(_c(spec.ts)))
     out = add_lags(out, t, list(spec.lags), [spec.ts, spec.tiebreak], block_rows=spec.block_rows)
     out = drop_any_null(out)

@@ -21,17 +21,34 @@ def _q(c: str) -> Column:
     return F.col(qident(c))
 
 
-def quartile_row(df: DataFrame, cols: Sequence[str], with_median: bool = False) -> DataFrame:
-    """One row: ``{c}__q`` = [q1, q3] (and median) per column, exact."""
+def quartile_row(df: DataFrame, cols: Sequence[str], with_median: bool = False, quantile_method: str = "exact") -> DataFrame:
+    """One row: ``{c}__q`` = [q1, q3] (and median) per column, exact.
+
+    ``quantile_method="two_pass"`` gives the same numbers without merging a
+    per-distinct-value map in one task (see ``operators/quantiles.py``)."""
     probs = (0.25, 0.75, 0.5) if with_median else (0.25, 0.75)
-    return df.agg(*[percentiles(_q(c).cast("double"), probs).alias(f"{c}__q") for c in cols])
+    if quantile_method == "exact":
+        return df.agg(*[percentiles(_q(c).cast("double"), probs).alias(f"{c}__q") for c in cols])
+    from .quantiles import quantiles as _quantiles
+
+    long = _quantiles(df, cols, probs, method=quantile_method, digits=None)
+    return long.agg(*[
+        F.array(*[F.max(F.when((F.col("col_name") == c) & (F.col("p") == float(p)), F.col("q"))) for p in probs]).alias(f"{c}__q")
+        for c in cols
+    ])
 
 
-def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 3.0, floor: float | None = 0.0, digits: int | None = None) -> DataFrame:
+def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 3.0, floor: float | None = 0.0, digits: int | None = None,
+               quantile_method: str = "exact") -> DataFrame:
     """``(col_name, q1, q3, iqr, lo, hi)``; ``lo`` floored at ``floor``.
 
     One aggregate for all columns, turned long with ``stack``."""
-    long = fused_long(df, cols, {"q": lambda c: percentiles(c.cast("double"), (0.25, 0.75))})
+    if quantile_method == "exact":
+        long = fused_long(df, cols, {"q": lambda c: percentiles(c.cast("double"), (0.25, 0.75))})
+    else:
+        row = quartile_row(df, cols, quantile_method=quantile_method)
+        parts = ", ".join(f"'{c}', `{c}__q`" for c in cols)
+        long = row.selectExpr(f"stack({len(cols)}, {parts}) AS (col_name, q)")
     q1, q3 = F.col("q")[0], F.col("q")[1]
     iqr = q3 - q1
     lo = q1 - k * iqr
@@ -91,14 +108,15 @@ def outlier_report(df: DataFrame, cols: Sequence[str], order: str, fences: DataF
     )
 
 
-def replace_upper_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.0) -> tuple[DataFrame, DataFrame]:
+def replace_upper_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.0,
+                           quantile_method: str = "exact") -> tuple[DataFrame, DataFrame]:
     """I1 (+ D29): per column, values above ``q3 + k*iqr`` -> the column's
     median; an all-NULL column or IQR of 0/NULL is left alone.
 
     Returns the frame and ``(column, n_replaced)``; both come from the same
     statistics row (broadcast) and the counts from one aggregate.
     """
-    stats = quartile_row(df, cols, with_median=True)
+    stats = quartile_row(df, cols, with_median=True, quantile_method=quantile_method)
     j = df.crossJoin(F.broadcast(stats))
     masks, outs = {}, {}
     for c in cols:
@@ -123,21 +141,30 @@ def zscore(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     ).drop("_m", "_s")
 
 
-def _mask_stats(df: DataFrame, cols: Sequence[str], method: str, metric: str | None) -> DataFrame:
+def _mask_stats(df: DataFrame, cols: Sequence[str], method: str, metric: str | None,
+                quantile_method: str = "exact") -> DataFrame:
     aggs = []
+    two_pass = quantile_method != "exact"
     for c in cols:
         x = _q(c).cast("double")
         if method == "IQR":
-            aggs.append(percentiles(x, (0.25, 0.75)).alias(f"{c}__q"))
+            if not two_pass:
+                aggs.append(percentiles(x, (0.25, 0.75)).alias(f"{c}__q"))
         elif method == "zscore":
             aggs += [F.avg(x).alias(f"{c}__m"), F.stddev_pop(x).alias(f"{c}__s")]
         else:
             raise ValueError(f"unknown method {method!r}")
         if metric == "mean":
             aggs.append(F.avg(x).alias(f"{c}__r"))
-        elif metric == "median":
+        elif metric == "median" and not two_pass:
             aggs.append(F.median(x).alias(f"{c}__r"))
-    return df.agg(*aggs)
+    row = df.agg(*aggs) if aggs else None
+    if two_pass and (method == "IQR" or metric == "median"):
+        qr = quartile_row(df, cols, with_median=(metric == "median"), quantile_method=quantile_method)
+        if metric == "median":
+            qr = qr.select(*[F.col(f"{c}__q") for c in cols], *[F.col(f"{c}__q")[2].alias(f"{c}__r") for c in cols])
+        row = qr if row is None else row.crossJoin(qr)
+    return row
 
 
 def _mask(c: str, method: str, iqr_k: float = 1.5, z: float = 3.0) -> Column:
@@ -151,7 +178,7 @@ def _mask(c: str, method: str, iqr_k: float = 1.5, z: float = 3.0) -> Column:
 
 
 def handle_outliers(df: DataFrame, cols: Sequence[str], method: str = "IQR", action: str = "drop",
-                    metric: str | None = None, sequential: bool = False) -> DataFrame:
+                    metric: str | None = None, sequential: bool = False, quantile_method: str = "exact") -> DataFrame:
     """I4: IQR (1.5) or |z| > 3 outliers, dropped or replaced by the
     column's mean / median / mode (taken before replacement).
 
@@ -165,11 +192,11 @@ def handle_outliers(df: DataFrame, cols: Sequence[str], method: str = "IQR", act
     if sequential:
         cur = df
         for i, c in enumerate(cols):
-            cur = handle_outliers(cur, [c], method, action, metric, sequential=False)
+            cur = handle_outliers(cur, [c], method, action, metric, sequential=False, quantile_method=quantile_method)
             if i < len(cols) - 1:
                 cur = cut_lineage(cur)
         return cur
-    st = _mask_stats(df, cols, method, metric if action == "replace" else None)
+    st = _mask_stats(df, cols, method, metric if action == "replace" else None, quantile_method)
     if action == "replace" and metric == "mode":
         freq = value_frequencies(df.select(*[_q(c).cast("double").alias(c) for c in cols]), cols)
         freq = freq.withColumn("value", F.col("value").cast("double"))

@@ -180,15 +180,23 @@ def central_stats(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFr
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """Pearson for every ordered pair in one aggregate, ``(col_a, col_b, corr)``."""
+    """Pearson for every ordered pair, ``(col_a, col_b, corr)``.
+
+    One aggregate over the upper triangle (pair-complete rows per pair); the
+    lower triangle mirrors it and the diagonal is 1 (NULL for a constant or
+    empty column)."""
     cols = list(cols)
-    pairs = [(a, b) for a in cols for b in cols]
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     aggs = [safe_corr(F.col(qident(a)), F.col(qident(b))).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)]
+    aggs += [F.stddev_pop(F.col(qident(c))).alias(f"_s{i}") for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
     parts = []
     for i, (a, b) in enumerate(pairs):
-        parts += [f"'{a}'", f"'{b}'", f"_c{i}"]
-    long = wide.selectExpr(f"stack({len(pairs)}, {', '.join(parts)}) AS (col_a, col_b, corr)")
+        parts += [f"'{a}'", f"'{b}'", f"_c{i}", f"'{b}'", f"'{a}'", f"_c{i}"]
+    for i, c in enumerate(cols):
+        parts += [f"'{c}'", f"'{c}'", f"CASE WHEN _s{i} > 0 THEN 1.0D END"]
+    n = 2 * len(pairs) + len(cols)
+    long = wide.selectExpr(f"stack({n}, {', '.join(parts)}) AS (col_a, col_b, corr)")
     return long.select("col_a", "col_b", F.round("corr", digits).alias("corr"))
 
 

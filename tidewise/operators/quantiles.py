@@ -105,10 +105,17 @@ def _two_pass(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accura
         if a is not None:
             inside = inside | ((F.col("key") == k) & (F.col("x") >= a) & (F.col("x") <= b))
     brk = tagged.where(inside)
-    ranked = with_ordinal(brk, ["x"], by=["key"], name="r")
-    sel = spark.createDataFrame(
-        [(k, s[0], s[1], s[4] - cnt[f"lt{k}"], s[5] - cnt[f"lt{k}"], s[6]) for k, s in enumerate(spec) if s[2] is not None],
-        "key int, col_name string, p double, r_lo long, r_hi long, frac double")
+    # one global sort of all brackets by (key, x); a key's rows start after the
+    # bracket sizes of the keys before it (known from pass 1b)
+    ranked = with_ordinal(brk, ["x"], by=["key"], name="r", per_series=False)
+    rows, start = [], 0
+    for k, s in enumerate(spec):
+        if s[2] is None:
+            continue
+        below = cnt[f"lt{k}"]
+        rows.append((k, s[0], s[1], start + s[4] - below, start + s[5] - below, s[6]))
+        start += cnt[f"in{k}"]
+    sel = spark.createDataFrame(rows, "key int, col_name string, p double, r_lo long, r_hi long, frac double")
     j = ranked.join(F.broadcast(sel), "key").where((F.col("r") == F.col("r_lo")) | (F.col("r") == F.col("r_hi")))
     v = j.groupBy("key", "col_name", "p", "frac").agg(
         F.max(F.when(F.col("r") == F.col("r_lo"), F.col("x"))).alias("v_lo"),

@@ -101,3 +101,28 @@ def test_two_pass_quantile_method_matches_exact(spark):
     ca = CL.clean(polluted_named(spark, SF001), original_events(spark, SF001))
     cb = CL.clean(polluted_named(spark, SF001), original_events(spark, SF001), spec)
     assert sorted(ca.collect()) == sorted(cb.collect())
+
+
+def test_clean_flow_idempotent(spark):
+    from tests.conftest import SF001
+    from tidewise.plans.common import original_events
+    from tidewise.plans.q_clean import polluted_named
+    ref = original_events(spark, SF001)
+    once = CL.clean(polluted_named(spark, SF001), ref)
+    twice = CL.clean(once, ref)
+    cols = ["event_id", "ts", "value", "k"]
+    assert sorted(once.select(cols).collect()) == sorted(twice.select(cols).collect())
+
+
+def test_preprocess_dedupe_option(spark):
+    from tests.conftest import SF001
+    from tidewise.plans.q_clean import polluted_named
+    raw = polluted_named(spark, SF001)
+    a = CL.preprocess(raw)
+    b = CL.preprocess(raw, CL.PreprocessSpec(dedupe=True))
+    assert b.count() <= a.count()
+    # train + test = all rows, and the split is chronological
+    for d in (a, b):
+        n = d.count()
+        n_test = d.where("split = 'test'").count()
+        assert n_test == int(np.ceil(n * 0.3))

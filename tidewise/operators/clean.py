@@ -138,6 +138,7 @@ class PreprocessSpec:
     outlier_k: float = 2.0
     block_rows: int = DEFAULT_BLOCK_ROWS
     quantile_method: str = "exact"  # "two_pass" for columns with very many distinct values
+    dedupe: bool = False  # keep the first row per timestamp (the notebooks do; production does not)
     extra_drop: Sequence[str] = field(default_factory=lambda: ["raw_ts"])
 
 
@@ -155,6 +156,8 @@ def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFr
     coerce_cols = [t] if spec.coerce == "target" else [t, *spec.features]
     out = out.withColumns({c: to_number(_c(c)) for c in coerce_cols})
     out = require(out, [t])
+    if spec.dedupe:
+        out = dedupe_first(out.where(_c(spec.ts).isNotNull()), [spec.ts], [spec.tiebreak])
     out = drop_sparse_nulls(out, spec.sparse_pct)
     num_cols = [c for c in [t, *spec.features] if c in coerce_cols]
     out, _ = replace_upper_outliers(out, num_cols, spec.outlier_k, spec.quantile_method)

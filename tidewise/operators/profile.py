@@ -387,3 +387,15 @@ def ts_quality(df: DataFrame, raw: str, parsed: str) -> DataFrame:
     g = df.groupBy(F.col(qident(raw))).agg(F.count(F.lit(1)).alias("_n"))
     d = g.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint").alias("n_dup_rows"))
     return a.crossJoin(d)  # two one-row aggregates
+
+
+def histogram_pair(a: DataFrame, b: DataFrame, col: str, bins: int = 50, labels: tuple[str, str] = ("original", "cleaned"),
+                   digits: int = 6) -> DataFrame:
+    """D22 ``pair=True``: the same column of two tables, each binned over its
+    own range, with each table's mean: ``(source, bin, lo, hi, n, mean)``."""
+    parts = []
+    for lab, d in zip(labels, (a, b)):
+        h = histogram(d, col, bins, None, digits)
+        m = d.agg(F.round(F.avg(F.col(qident(col))), digits).alias("mean"))
+        parts.append(h.crossJoin(m).select(F.lit(lab).alias("source"), "bin", "lo", "hi", "n", "mean"))
+    return parts[0].unionByName(parts[1])

@@ -163,7 +163,7 @@ def q_corr_matrix(spark, sf):
     return P.corr_matrix(table(spark, sf, "lineitem"), LINEITEM_NUM)
 
 
-def _hist_sql(src: str, x: str, bins, trim) -> str:
+def _hist_sql(src: str, x: str, bins, trim, prefix: str = "", body_only: bool = False) -> str:
     """Oracle for D21/D22: NumPy's uniform binning with edge corrections."""
     if trim:
         data = (f"d AS (SELECT {x} AS x FROM {src}, (SELECT quantile_cont({x}, {trim[0]}) AS t0, quantile_cont({x}, {trim[1]}) AS t1 FROM {src}) "
@@ -186,7 +186,8 @@ def _hist_sql(src: str, x: str, bins, trim) -> str:
            "b1 AS (SELECT *, CASE WHEN x < i0 * step + mn THEN i0 - 1 ELSE i0 END AS i1 FROM b0), "
            "b2 AS (SELECT CASE WHEN mx = mn THEN 0 WHEN x >= (i1 + 1) * step + mn AND i1 <> nb - 1 THEN i1 + 1 ELSE i1 END AS bin FROM b1), "
            "cnt AS (SELECT bin, count(*) AS n FROM b2 GROUP BY bin)")
-    return (f"WITH {data}, {st}, {idx} SELECT g.bin, round(g.bin * ((mx - mn) / nb) + mn, 6) AS lo, "
+    head = f"WITH {prefix + ', ' if prefix else ''}{data}, {st}, {idx} "
+    return (f"{head}SELECT g.bin, round(g.bin * ((mx - mn) / nb) + mn, 6) AS lo, "
             "round(CASE WHEN g.bin = nb - 1 THEN mx ELSE (g.bin + 1) * ((mx - mn) / nb) + mn END, 6) AS hi, "
             "CAST(coalesce(cnt.n, 0) AS BIGINT) AS n FROM s, (SELECT unnest(range(0, (SELECT nb FROM s))) AS bin) g "
             "LEFT JOIN cnt ON cnt.bin = g.bin")
@@ -281,3 +282,24 @@ def q_quantiles_approx(spark, sf):
     """D12, approximate mode (``percentile_approx``: observed values)."""
     from ..operators.quantiles import quantiles as qq
     return qq(table(spark, sf, "lineitem"), LINEITEM_NUM, QPROBS, method="approx")
+
+
+def _pair_sql_simple():
+    from .fixtures import DUCK_POLLUTED_CTE
+    from .q_clean import CLEAN_CTES
+    from .sqlparts import COERCED_CTE
+    pre = DUCK_POLLUTED_CTE + ", " + COERCED_CTE + ", " + CLEAN_CTES
+    a = _hist_sql("events", "value", 50, None)
+    b = _hist_sql("cl", "value", 50, None, prefix=pre)
+    mean_b = f"WITH {pre} SELECT round(avg(value), 6) FROM cl"
+    return (f"SELECT 'original' AS source, h.*, (SELECT round(avg(value), 6) FROM events) AS mean FROM ({a}) h UNION ALL "
+            f"SELECT 'cleaned', h.*, ({mean_b}) FROM ({b}) h")
+
+
+@query("histogram_pair", _pair_sql_simple())
+def q_histogram_pair(spark, sf):
+    """D22 paired: 50 bins of ``value`` in the original table and in the
+    cleaned table (I5), each over its own range, with both means."""
+    from .common import original_events
+    from .q_clean import clean_flow_df
+    return P.histogram_pair(original_events(spark, sf), clean_flow_df(spark, sf), "value", 50)

@@ -42,11 +42,14 @@ def with_ordinal(
     by: Sequence[str] = (),
     name: str = "ordinal",
     per_series: bool = True,
+    total: str | None = None,
 ) -> DataFrame:
     """E5: 0-based row position after sorting by ``order`` (NULLs last).
 
     With ``by`` the position restarts for each series when ``per_series``;
     otherwise it is the position in the global ``(by, order)`` sort.
+    ``total`` names an optional column holding the row count (known from
+    the per-partition counts, so it costs no extra job).
     """
     by, order = list(by), list(order)
     srt = df.repartitionByRange(*_keys(by, order)).sortWithinPartitions(*_keys(by, order))
@@ -64,6 +67,8 @@ def with_ordinal(
     out = tagged.join(F.broadcast(offs), "_pid").withColumn(name, F.col("_off") + F.col("_loc")).drop(
         "_pid", "_loc", "_off"
     )
+    if total:
+        out = out.withColumn(total, F.lit(run).cast("bigint"))
     if by and per_series:
         first = out.groupBy(*by).agg(F.min(name).alias("_first"))
         # one row per series; AQE turns this into a broadcast when it is small
@@ -189,12 +194,12 @@ def time_split(df: DataFrame, test_size: float, order: Sequence[str], by: Sequen
                ordinal: str = "ordinal", flag: str = "split") -> DataFrame:
     """Chronological split: the last ``ceil(n*test_size)`` rows are test."""
     by = list(by)
-    od = with_ordinal(df, order, by, name=ordinal)
     if by:
+        od = with_ordinal(df, order, by, name=ordinal)
         n = od.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
         od = od.join(n, by)
     else:
-        od = od.crossJoin(F.broadcast(od.agg(F.count(F.lit(1)).alias("_n"))))
+        od = with_ordinal(df, order, name=ordinal, total="_n")
     n_test = F.ceil(F.col("_n") * F.lit(float(test_size)))
     return od.withColumn(flag, F.when(F.col(ordinal) >= F.col("_n") - n_test, "test").otherwise("train")).drop("_n")
 
@@ -211,12 +216,12 @@ def fold_bounds(n: Column, k: int) -> Column:
 def time_series_folds(df: DataFrame, k: int, order: Sequence[str], ordinal: str = "ordinal") -> DataFrame:
     """Expanding-window folds; each row appears once per fold it is in,
     tagged ``train`` (before the test block) or ``test``."""
-    od = with_ordinal(df, order, name=ordinal)
-    n = od.agg(F.count(F.lit(1)).alias("_n"))
+    od = with_ordinal(df, order, name=ordinal, total="_n")
+    n = od.select("_n").limit(1)
     f = n.select(F.explode(fold_bounds(F.col("_n"), k)).alias("f")).select("f.*")
     j = od.crossJoin(F.broadcast(f))  # k rows
     role = F.when(F.col(ordinal) < F.col("test_start"), "train").when(F.col(ordinal) < F.col("test_end"), "test")
-    return j.withColumn("role", role).where(F.col("role").isNotNull()).drop("test_start", "test_end")
+    return j.withColumn("role", role).where(F.col("role").isNotNull()).drop("test_start", "test_end", "_n")
 
 
 def last_n(df: DataFrame, n: int, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

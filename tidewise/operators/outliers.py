@@ -65,9 +65,15 @@ def outside(c: Column, lo: Column, hi: Column) -> Column:
     return c.isNotNull() & ((c < lo) | (c > hi))
 
 
-def _with_fences(df: DataFrame, fences: DataFrame, cols: Sequence[str]) -> DataFrame:
-    wide = fences.agg(*[F.max(F.when(F.col("col_name") == c, F.struct("lo", "hi"))).alias(f"{c}__f") for c in cols])
-    return df.crossJoin(F.broadcast(wide))  # one row, fixed width
+def _fence_values(fences: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
+    """Fences are one row per column: collected once (metadata) and applied
+    as literals, so later jobs over the result never recompute them."""
+    got = {r["col_name"]: (r["lo"], r["hi"]) for r in fences.select("col_name", "lo", "hi").collect()}
+    return {c: got.get(c, (None, None)) for c in cols}
+
+
+def _lit(v) -> Column:
+    return F.lit(v).cast("double")
 
 
 def apply_fences(df: DataFrame, fences: DataFrame, cols: Sequence[str], action: str = "flag") -> DataFrame:
@@ -75,15 +81,16 @@ def apply_fences(df: DataFrame, fences: DataFrame, cols: Sequence[str], action:
 
     ``flag`` adds ``{c}_outside``; ``null`` sets outside values to NULL.
     """
-    j = _with_fences(df, fences, cols)
+    fv = _fence_values(fences, cols)
     outs = {}
     for c in cols:
-        m = outside(_q(c), F.col(f"{c}__f.lo"), F.col(f"{c}__f.hi"))
+        lo, hi = fv[c]
+        m = F.coalesce(outside(_q(c), _lit(lo), _lit(hi)), F.lit(False))
         if action == "flag":
             outs[f"{c}_outside"] = m
         else:
             outs[c] = F.when(~m, _q(c))
-    return j.withColumns(outs).drop(*[f"{c}__f" for c in cols])
+    return df.withColumns(outs)
 
 
 def outlier_report(df: DataFrame, cols: Sequence[str], order: str, fences: DataFrame | None = None, k: float = 3.0,
@@ -116,29 +123,27 @@ def replace_upper_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.0,
     Returns the frame and ``(column, n_replaced)``; both come from the same
     statistics row (broadcast) and the counts from one aggregate.
     """
-    stats = quartile_row(df, cols, with_median=True, quantile_method=quantile_method)
-    j = df.crossJoin(F.broadcast(stats))
+    row = quartile_row(df, cols, with_median=True, quantile_method=quantile_method).first()  # 3 numbers per column
     masks, outs = {}, {}
     for c in cols:
-        q = F.col(f"{c}__q")
-        q1, q3, med = q[0], q[1], q[2]
-        iqr = q3 - q1
-        m = iqr.isNotNull() & (iqr != 0) & _q(c).isNotNull() & (_q(c).cast("double") > q3 + k * iqr)
+        q1, q3, med = (row[f"{c}__q"] or [None, None, None])[:3]
+        if q1 is None or q3 is None or q3 - q1 == 0:
+            m = F.lit(False)
+        else:
+            m = _q(c).isNotNull() & (_q(c).cast("double") > _lit(q3 + k * (q3 - q1)))
         masks[c] = m
-        outs[c] = F.when(m, med).otherwise(_q(c).cast("double"))
-    flagged = j.withColumns({f"{c}__m": masks[c] for c in cols})
-    counts_wide = flagged.agg(*[F.count_if(F.col(f"{c}__m")).alias(c) for c in cols])
+        outs[c] = F.when(m, _lit(med)).otherwise(_q(c).cast("double"))
+    counts_wide = df.agg(*[F.count_if(masks[c]).alias(c) for c in cols])
     counts = counts_wide.unpivot([], list(cols), "col_name", "n_replaced")
-    out = j.withColumns(outs).drop(*[f"{c}__q" for c in cols])
-    return out, counts
+    return df.withColumns(outs), counts
 
 
 def zscore(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """``(x - mean) / std_pop`` with NULLs ignored; constant -> NULL."""
-    st = df.agg(F.avg(_q(col)).alias("_m"), F.stddev_pop(_q(col)).alias("_s"))
-    return df.crossJoin(F.broadcast(st)).withColumn(
-        name or f"{col}_z", (_q(col) - F.col("_m")) / F.nullif(F.col("_s"), F.lit(0.0))
-    ).drop("_m", "_s")
+    st = df.agg(F.avg(_q(col)).alias("_m"), F.stddev_pop(_q(col)).alias("_s")).first()  # two numbers
+    if st["_m"] is None or not st["_s"]:
+        return df.withColumn(name or f"{col}_z", F.lit(None).cast("double"))
+    return df.withColumn(name or f"{col}_z", (_q(col) - _lit(st["_m"])) / _lit(st["_s"]))
 
 
 def _mask_stats(df: DataFrame, cols: Sequence[str], method: str, metric: str | None,
@@ -167,14 +172,19 @@ def _mask_stats(df: DataFrame, cols: Sequence[str], method: str, metric: str | N
     return row
 
 
-def _mask(c: str, method: str, iqr_k: float = 1.5, z: float = 3.0) -> Column:
+def _mask(c: str, method: str, st: dict, iqr_k: float = 1.5, z: float = 3.0) -> Column:
+    """Outlier test with the statistics as literals (FALSE for NULL)."""
     x = _q(c).cast("double")
     if method == "IQR":
-        q1, q3 = F.col(f"{c}__q")[0], F.col(f"{c}__q")[1]
+        q1, q3 = (st.get(f"{c}__q") or [None, None])[:2]
+        if q1 is None or q3 is None:
+            return F.lit(False)
         iqr = q3 - q1
-        return F.coalesce((x < q1 - iqr_k * iqr) | (x > q3 + iqr_k * iqr), F.lit(False))
-    zz = F.abs((x - F.col(f"{c}__m")) / F.nullif(F.col(f"{c}__s"), F.lit(0.0)))
-    return F.coalesce(zz > z, F.lit(False))
+        return F.coalesce((x < _lit(q1 - iqr_k * iqr)) | (x > _lit(q3 + iqr_k * iqr)), F.lit(False))
+    m, sd = st.get(f"{c}__m"), st.get(f"{c}__s")
+    if m is None or not sd:
+        return F.lit(False)
+    return F.coalesce(F.abs((x - _lit(m)) / _lit(sd)) > z, F.lit(False))
 
 
 def handle_outliers(df: DataFrame, cols: Sequence[str], method: str = "IQR", action: str = "drop",
@@ -202,14 +212,15 @@ def handle_outliers(df: DataFrame, cols: Sequence[str], method: str = "IQR", act
         freq = freq.withColumn("value", F.col("value").cast("double"))
         modes = mode_table(freq)
         mrow = modes.agg(*[F.max(F.when(F.col("col_name") == c, F.col("top"))).alias(f"{c}__r") for c in cols])
-        st = st.crossJoin(mrow)
-    j = df.crossJoin(F.broadcast(st))  # one statistics row
-    helper = [x for x in st.columns]
+        st = st.crossJoin(mrow) if st is not None else mrow
+    # one row of statistics (a few numbers per column), applied as literals
+    row = st.first().asDict() if st is not None else {}
     if action == "drop":
         keep = F.lit(True)
         for c in cols:
-            keep = keep & ~_mask(c, method)
-        return j.where(keep).drop(*helper)
+            keep = keep & ~_mask(c, method, row)
+        return df.where(keep)
     if action == "replace":
-        return j.withColumns({c: F.when(_mask(c, method), F.col(f"{c}__r")).otherwise(_q(c).cast("double")) for c in cols}).drop(*helper)
+        return df.withColumns({c: F.when(_mask(c, method, row), _lit(row.get(f"{c}__r"))).otherwise(_q(c).cast("double"))
+                               for c in cols})
     raise ValueError(f"unknown action {action!r}")

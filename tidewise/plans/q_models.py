@@ -64,7 +64,7 @@ def q_forecast_alignment(spark, sf):
     fc = level.select(F.explode(F.sequence(F.lit(0), F.lit(9))).alias("step"), F.round("yhat", 6).alias("y_pred"))
     first = test.agg(F.min("ordinal").alias("_o0"))
     act = test.crossJoin(F.broadcast(first)).select((F.col("ordinal") - F.col("_o0")).alias("step"), "ts", F.col("value").alias("y_true"))
-    return fc.join(act, "step").select("step", "ts", "y_true", "y_pred")
+    return fc.join(act, "step").select(F.col("step").cast("bigint").alias("step"), "ts", "y_true", "y_pred")
 
 
 _CMP_SQL = (

@@ -85,3 +85,27 @@ def test_resolve_column_and_norm(spark):
 def test_label_text(spark):
     df = spark.createDataFrame([("zone_1_power_consumption",)], "s string")
     assert df.select(label_text("s")).first()[0] == "Zone 1 Power Consumption"
+
+
+def test_to_ts_strip_option(spark):
+    df = spark.createDataFrame([(" 1/1/2017 0:10 ",)], "s string")
+    assert df.select(to_ts("s")).first()[0] is None
+    assert df.select(to_ts("s", strip=True)).first()[0] == dt.datetime(2017, 1, 1, 0, 10)
+
+
+def test_column_selection_helpers(spark):
+    from tidewise.functions.text import date_like_columns, ensure_columns, numeric_columns, text_columns, value_columns
+    df = spark.createDataFrame([(1, 2.0, "a", "x", "m")], "id long, `Zone 1` double, DateTime string, `time_of_day` string, mixed_type_col string")
+    assert numeric_columns(df) == ["id", "Zone 1"]
+    assert text_columns(df) == ["DateTime", "time_of_day", "mixed_type_col"]
+    assert date_like_columns(df) == ["DateTime", "time_of_day"]
+    assert value_columns(df) == ["id", "Zone 1", "time_of_day"]
+    empty = ensure_columns(df.where("false"), ["id", "DateTime"])
+    assert empty.count() == 0 and empty.columns == ["id", "DateTime"]
+
+
+def test_empty_page_keeps_schema(spark):
+    from tidewise.operators.ordered import page
+    df = spark.createDataFrame([(1, 2.0)], "id long, v double")
+    items, total = page(df, ["id"], page_no=5, size=10)
+    assert items.count() == 0 and items.columns == ["id", "v"] and total.first()[0] == 1

@@ -92,3 +92,13 @@ def test_two_pass_quantiles_equal_exact(spark, accuracy):
     assert ex.keys() == tp.keys()
     for k in ex:
         assert tp[k] == pytest.approx(ex[k], abs=1e-12), k
+
+
+def test_nan_is_missing_in_statistics(spark):
+    from tidewise.operators import outliers as O
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    d = P.describe(df, ["x"]).first()
+    assert (d["count"], d["mean"], d["max"], d["p50"]) == (3, 2.0, 3.0, 2.0)
+    f = O.iqr_fences(df, ["x"], k=1.5).first()
+    assert (f["q1"], f["q3"]) == (1.5, 2.5)
+    assert P.corr_matrix(df.withColumn("y", F.col("x") * 2), ["x", "y"]).where("col_a = 'x' AND col_b = 'y'").first()["corr"] == 1.0

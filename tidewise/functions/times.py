@@ -14,13 +14,14 @@ from .._col import as_col
 RAW_TS_FORMAT = "M/d/yyyy H:m"
 
 
-def to_ts(c, fmt: str = RAW_TS_FORMAT) -> Column:
+def to_ts(c, fmt: str = RAW_TS_FORMAT, strip: bool = False) -> Column:
     """H4: parse text with one pattern to TIMESTAMP_NTZ; invalid -> NULL.
 
     ``try_to_timestamp`` decides validity; the value is produced by
-    ``to_timestamp_ntz`` so no session time zone is involved.
+    ``to_timestamp_ntz`` so no session time zone is involved.  Padded text
+    is rejected unless ``strip`` (H8) trims it first.
     """
-    c = as_col(c)
+    c = F.trim(as_col(c)) if strip else as_col(c)
     ok = F.try_to_timestamp(c, F.lit(fmt)).isNotNull()
     return F.when(ok, F.to_timestamp_ntz(c, F.lit(fmt)))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .._col import qident
 from ..session import cut_lineage
-from .stats import fused_long, mode_table, percentiles, value_frequencies
+from .stats import fused_long, mode_table, nan_safe, percentiles, value_frequencies
 
 
 def _q(c: str) -> Column:
@@ -27,6 +27,7 @@ def quartile_row(df: DataFrame, cols: Sequence[str], with_median: bool = False,
     ``quantile_method="two_pass"`` gives the same numbers without merging a
     per-distinct-value map in one task (see ``operators/quantiles.py``)."""
     probs = (0.25, 0.75, 0.5) if with_median else (0.25, 0.75)
+    df = nan_safe(df, cols)
     if quantile_method == "exact":
         return df.agg(*[percentiles(_q(c).cast("double"), probs).alias(f"{c}__q") for c in cols])
     from .quantiles import quantiles as _quantiles
@@ -82,6 +83,7 @@ def apply_fences(df: DataFrame, fences: DataFrame, cols: Sequence[str], action:
     ``flag`` adds ``{c}_outside``; ``null`` sets outside values to NULL.
     """
     fv = _fence_values(fences, cols)
+    df = nan_safe(df, cols)
     outs = {}
     for c in cols:
         lo, hi = fv[c]
@@ -123,6 +125,7 @@ def replace_upper_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.0,
     Returns the frame and ``(column, n_replaced)``; both come from the same
     statistics row (broadcast) and the counts from one aggregate.
     """
+    df = nan_safe(df, cols)
     row = quartile_row(df, cols, with_median=True, quantile_method=quantile_method).first()  # 3 numbers per column
     masks, outs = {}, {}
     for c in cols:
@@ -140,6 +143,7 @@ def replace_upper_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.0,
 
 def zscore(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """``(x - mean) / std_pop`` with NULLs ignored; constant -> NULL."""
+    df = nan_safe(df, [col])
     st = df.agg(F.avg(_q(col)).alias("_m"), F.stddev_pop(_q(col)).alias("_s")).first()  # two numbers
     if st["_m"] is None or not st["_s"]:
         return df.withColumn(name or f"{col}_z", F.lit(None).cast("double"))
@@ -197,6 +201,7 @@ def handle_outliers(df: DataFrame, cols: Sequence[str], method: str = "IQR", act
     is cut with a reliable checkpoint between the steps.
     """
     cols = list(cols)
+    df = nan_safe(df, cols)
     if action == "replace" and metric not in ("mean", "median", "mode"):
         raise ValueError("replace needs metric mean, median or mode")
     if sequential:

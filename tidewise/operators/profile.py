@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .._col import qident
 from .stats import (
     fused_long,
+    nan_safe,
     mode_table,
     percentiles,
     safe_corr,
@@ -186,6 +187,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFram
     lower triangle mirrors it and the diagonal is 1 (NULL for a constant or
     empty column)."""
     cols = list(cols)
+    df = nan_safe(df, cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     aggs = [safe_corr(F.col(qident(a)), F.col(qident(b))).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)]
     aggs += [F.stddev_pop(F.col(qident(c))).alias(f"_s{i}") for i, c in enumerate(cols)]
@@ -202,6 +204,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFram
 
 def box_stats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int = 6) -> DataFrame:
     """Quartiles, mean, whisker ends (extreme points inside 1.5 IQR), flier count."""
+    df = nan_safe(df, cols)
     q = fused_long(df, cols, {"q": lambda c: percentiles(c.cast("double"), (0.25, 0.5, 0.75)), "mean": lambda c: F.avg(c)})
     q = q.select(
         "col_name", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "mean"
@@ -314,7 +317,7 @@ def histogram(df: DataFrame, col: str, bins: int | str = "fd", trim: tuple[float
     Statistics are one aggregate; binning is a projection and a group-by.
     """
     x = F.col(qident(col)).cast("double")
-    data = df.select(x.alias("x")).where(F.col("x").isNotNull())
+    data = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     if trim is not None:
         lo_p, hi_p = trim
         qs = data.agg(percentiles(F.col("x"), (lo_p, hi_p)).alias("_t"))

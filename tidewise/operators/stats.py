@@ -12,10 +12,27 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from .._col import qident
 
 
+def nan_safe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """NaN -> NULL on the floating columns among ``cols`` (all by default).
+
+    The null model is decided once: pandas skips NaN like a missing value,
+    while Spark's ``avg``/``max``/``percentile`` treat NaN as a value (the
+    largest).  A projection, so it costs nothing extra at run time.
+    """
+    want = set(cols) if cols is not None else None
+    ex = {}
+    for f in df.schema.fields:
+        if (want is None or f.name in want) and isinstance(f.dataType, (DoubleType, FloatType)):
+            c = F.col(qident(f.name))
+            ex[f.name] = F.when(~F.isnan(c), c)
+    return df.withColumns(ex) if ex else df
+
+
 def fused_long(
     df: DataFrame,
     cols: Sequence[str],
@@ -28,6 +45,7 @@ def fused_long(
     stat (in ``stats`` order).
     """
     cols = list(cols)
+    df = nan_safe(df, cols)
     keys = list(stats)
     aggs = []
     for i, c in enumerate(cols):
@@ -83,6 +101,7 @@ def value_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     group-by combines map-side, so a value that fills a third of the table
     costs one row per task before the shuffle.
     """
+    df = nan_safe(df, cols)
     long = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(qident(c)).cast("string").alias("value")) for c in cols])

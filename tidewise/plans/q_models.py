@@ -109,7 +109,7 @@ def q_hash_split(spark, sf):
 @query("linear_fit",
        "WITH o AS (SELECT value, CAST(regexp_extract(props, '\"k\": ([0-9]+)', 1) AS DOUBLE) AS k FROM events) "
        "SELECT round(regr_slope(value, k), 6) AS slope, round(regr_intercept(value, k), 6) AS intercept, "
-       "round(regr_r2(value, k), 6) AS r2, regr_count(value, k) AS n FROM o")
+       "round(regr_r2(value, k), 6) AS r2, CAST(regr_count(value, k) AS BIGINT) AS n FROM o")
 def q_linear_fit(spark, sf):
     """J8 with one feature: OLS slope / intercept / R2 as aggregates."""
     o = original_events(spark, sf)

@@ -303,3 +303,13 @@ def q_histogram_pair(spark, sf):
     from .common import original_events
     from .q_clean import clean_flow_df
     return P.histogram_pair(original_events(spark, sf), clean_flow_df(spark, sf), "value", 50)
+
+
+@query("duplicate_ts_examples", with_polluted(
+    "SELECT event_id, raw_ts, raw_value FROM (SELECT *, count(*) OVER (PARTITION BY raw_ts) AS n FROM p) WHERE n > 1 "
+    "ORDER BY raw_ts NULLS LAST, event_id LIMIT 6"))
+def q_duplicate_ts_examples(spark, sf):
+    """The first six duplicated-time rows by key (report view)."""
+    from ..operators.ordered import head_n
+    p = polluted_events(spark, sf).select("event_id", "raw_ts", "raw_value")
+    return head_n(P.duplicates(p, ["raw_ts"]), 6, ["raw_ts", "event_id"])

@@ -170,3 +170,20 @@ def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFr
     out = drop_nonfinite(out, float_feats)
     out = time_split(out, spec.test_size, [spec.ts, spec.tiebreak])
     return out.drop(spec.ts)
+
+
+def quantile_trim(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99) -> DataFrame:
+    """Keep rows with ``q(lo) <= x <= q(hi)`` (inclusive); the two
+    quantiles are one aggregate, applied as literals."""
+    from .stats import nan_safe, percentiles
+
+    x = _c(col)
+    q = nan_safe(df, [col]).agg(percentiles(x.cast("double"), (lo, hi)).alias("q")).first()["q"]
+    if q is None:
+        return df.where(F.lit(False))
+    return df.where(x.between(F.lit(q[0]), F.lit(q[1])))
+
+
+def threshold_filter(df: DataFrame, col: str, below: float) -> DataFrame:
+    """``x < below`` (pushed down to the scan when ``col`` is stored)."""
+    return df.where(_c(col) < F.lit(below))

@@ -226,3 +226,42 @@ def recursive_forecast(model: PipelineModel, history: DataFrame, steps: int, tar
     for p in preds[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ---------------------------------------------------------------- reports on predictions
+
+def pred_vs_actual(df: DataFrame, y: str, yhat: str, ordinal: str, key: str | None = None) -> DataFrame:
+    """``(step, [key], y_true, y_pred)``; step counts from the first row
+    of ``df`` by ``ordinal`` (one-row minimum, applied as a literal)."""
+    first = df.agg(F.min(_c(ordinal))).first()[0]
+    first = 0 if first is None else first
+    cols = [(_c(ordinal) - F.lit(first)).alias("step")]
+    if key:
+        cols.append(_c(key))
+    return df.select(*cols, _c(y).alias("y_true"), _c(yhat).alias("y_pred"))
+
+
+def align_forecast(actual: DataFrame, forecast: DataFrame, ordinal: str, ts: str, y: str) -> DataFrame:
+    """The first ``h`` actual rows (by ``ordinal``) matched to the
+    forecast's ``step`` 0..h-1: ``(step, ts, y_true, y_pred)``."""
+    h = forecast.agg(F.max("step")).first()[0]
+    first = actual.agg(F.min(_c(ordinal))).first()[0]
+    if h is None or first is None:
+        return forecast.select("step", F.lit(None).alias(ts), F.lit(None).cast("double").alias("y_true"), "y_pred").where("false")
+    act = actual.where(_c(ordinal) <= first + h).select((_c(ordinal) - F.lit(first)).cast("bigint").alias("step"), _c(ts), _c(y).alias("y_true"))
+    return forecast.select(F.col("step").cast("bigint").alias("step"), "y_pred").join(act, "step").select("step", ts, "y_true", "y_pred")
+
+
+def compare_models(long: DataFrame, model: str = "model", target: str = "target", y: str = "y", yhat: str = "yhat",
+                   digits: int | None = 6) -> DataFrame:
+    """RMSE (and n) per (model, target) from long predictions."""
+    m = regression_metrics(long, y, yhat, by=[model, target])
+    r = F.round("rmse", digits) if digits is not None else F.col("rmse")
+    return m.select(model, target, r.alias("rmse"), "n_test")
+
+
+def ols_1d(df: DataFrame, y: str, x: str, digits: int | None = 6) -> DataFrame:
+    """J8 with one feature: slope, intercept, R2 and n as aggregates."""
+    r = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    return df.agg(r(F.regr_slope(_c(y), _c(x))).alias("slope"), r(F.regr_intercept(_c(y), _c(x))).alias("intercept"),
+                  r(F.regr_r2(_c(y), _c(x))).alias("r2"), F.regr_count(_c(y), _c(x)).alias("n"))

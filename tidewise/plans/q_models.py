@@ -44,9 +44,7 @@ def q_pred_vs_actual(spark, sf):
     e = events(spark, sf).select("event_id", "ts", "value")
     pr = M.naive_predictions(e, "value", ORDER)
     sp = time_split(pr, 0.3, ORDER).where(F.col("split") == "test")
-    first = sp.agg(F.min("ordinal").alias("_o0"))
-    return sp.crossJoin(F.broadcast(first)).select(
-        (F.col("ordinal") - F.col("_o0")).alias("step"), "event_id", F.col("value").alias("y_true"), F.col("pred_lag1").alias("y_pred"))
+    return M.pred_vs_actual(sp, "value", "pred_lag1", "ordinal", key="event_id")
 
 
 @query("forecast_alignment",
@@ -62,9 +60,7 @@ def q_forecast_alignment(spark, sf):
     train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
     level = last_n(train, 6, ORDER).agg(F.avg("value").alias("yhat"))
     fc = level.select(F.explode(F.sequence(F.lit(0), F.lit(9))).alias("step"), F.round("yhat", 6).alias("y_pred"))
-    first = test.agg(F.min("ordinal").alias("_o0"))
-    act = test.crossJoin(F.broadcast(first)).select((F.col("ordinal") - F.col("_o0")).alias("step"), "ts", F.col("value").alias("y_true"))
-    return fc.join(act, "step").select(F.col("step").cast("bigint").alias("step"), "ts", "y_true", "y_pred")
+    return M.align_forecast(test, fc, "ordinal", "ts", "value")
 
 
 _CMP_SQL = (
@@ -94,8 +90,7 @@ def q_model_comparison(spark, sf):
                     F.col("pred_lag1").alias("yhat")).unionByName(
         t.select(F.lit("trailing_mean6").alias("model"), F.col("event_type").alias("target"), F.col("value").alias("y"),
                  F.col("pred_mean6").alias("yhat")))
-    m = M.regression_metrics(long, "y", "yhat", by=["model", "target"])
-    return m.select("model", "target", F.round("rmse", 6).alias("rmse"), "n_test")
+    return M.compare_models(long)
 
 
 @query("hash_split",
@@ -112,10 +107,7 @@ def q_hash_split(spark, sf):
        "round(regr_r2(value, k), 6) AS r2, CAST(regr_count(value, k) AS BIGINT) AS n FROM o")
 def q_linear_fit(spark, sf):
     """J8 with one feature: OLS slope / intercept / R2 as aggregates."""
-    o = original_events(spark, sf)
-    return o.agg(
-        F.round(F.regr_slope("value", "k"), 6).alias("slope"), F.round(F.regr_intercept("value", "k"), 6).alias("intercept"),
-        F.round(F.regr_r2("value", "k"), 6).alias("r2"), F.regr_count("value", "k").alias("n"))
+    return M.ols_1d(original_events(spark, sf), "value", "k")
 
 
 # ---------------------------------------------------------------- MLlib models (rows-only checks)

@@ -166,12 +166,12 @@ for _m in ("mean", "median", "mode"):
        "WHERE value >= t0 AND value <= t1")
 def q_quantile_trim(spark, sf):
     """Keep q01 <= x <= q99 (inclusive)."""
-    e = events(spark, sf)
-    t = e.agg(percentiles(F.col("value"), (0.01, 0.99)).alias("t"))
-    return e.crossJoin(F.broadcast(t)).where(F.col("value").between(F.col("t")[0], F.col("t")[1])).select("event_id", "value")
+    from ..operators.clean import quantile_trim
+    return quantile_trim(events(spark, sf).select("event_id", "value"), "value", 0.01, 0.99)
 
 
 @query("threshold_filter", "SELECT event_id, value FROM events WHERE value < 100")
 def q_threshold_filter(spark, sf):
     """Constant threshold (pushed to the scan)."""
-    return events(spark, sf).where(F.col("value") < 100).select("event_id", "value")
+    from ..operators.clean import threshold_filter
+    return threshold_filter(events(spark, sf).select("event_id", "value"), "value", 100)

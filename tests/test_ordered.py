@@ -123,3 +123,17 @@ def test_no_single_partition_window_in_plan(spark, series):
     plan = OD.add_lags(df, "v", [1, 24], ["ts", "id"])._jdf.queryExecution().executedPlan().toString()
     # windows run per block; the only unpartitioned window is over the per-partition count table
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+
+
+def test_hot_series_is_spread_over_partitions(spark):
+    """A series with a third of all rows must not land in one task."""
+    n = 30000
+    rows = [(i, (0 if i % 3 == 0 else 1 + i % 997), i) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, user long, t long").repartition(8)
+    srt = df.repartitionByRange(16, F.col("user").asc(), F.col("t").asc_nulls_last())
+    sizes = [r[1] for r in srt.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < n / 6  # the hot user (n/3 rows) is split across several partitions
+    lagged = OD.add_lags(df, "t", [1, 5], ["t", "id"], by=["user"], block_rows=512)
+    hot = lagged.where("user = 0").orderBy("t").select("t", "t_lag1", "t_lag5").collect()
+    assert hot[0]["t_lag1"] is None and all(r["t_lag1"] == r["t"] - 3 for r in hot[1:])
+    assert all(r["t_lag5"] == r["t"] - 15 for r in hot[5:])

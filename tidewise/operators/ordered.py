@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._col import qident
-from ..session import cut_lineage
+from ..session import cut_lineage, shuffle_partitions_for
 
 ORD = "_ord"
 DEFAULT_BLOCK_ROWS = 8192  # halo of 168 rows costs ~2 % extra rows
@@ -52,7 +52,8 @@ def with_ordinal(
     the per-partition counts, so it costs no extra job).
     """
     by, order = list(by), list(order)
-    srt = df.repartitionByRange(*_keys(by, order)).sortWithinPartitions(*_keys(by, order))
+    # partition count sized from the input estimate, not a fixed setting
+    srt = df.repartitionByRange(shuffle_partitions_for(df), *_keys(by, order)).sortWithinPartitions(*_keys(by, order))
     tagged = srt.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_loc", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
     )
@@ -115,9 +116,12 @@ def windowed(
     window given is ``partitionBy(by..., block).orderBy(ordinal)``.
     """
     by = list(by)
+    nparts = shuffle_partitions_for(df)
     base = with_ordinal(df, order, by, name=ORD, per_series=False)
-    hb = halo_blocks(base, ORD, before, after, block_rows)
-    w = Window.partitionBy(*[F.col(qident(b)) for b in by], F.col("_blk")).orderBy(ORD)
+    keys = [*[F.col(qident(b)) for b in by], F.col("_blk")]
+    # the window's shuffle, sized like the input (the checkpointed ordinal has no estimate)
+    hb = halo_blocks(base, ORD, before, after, block_rows).repartition(nparts, *keys)
+    w = Window.partitionBy(*keys).orderBy(ORD)
     out = hb.withColumns({k: f(w) for k, f in exprs.items()}).where("_core").drop("_blk", "_core")
     if keep_ordinal:
         return out.withColumnRenamed(ORD, keep_ordinal)

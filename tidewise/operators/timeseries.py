@@ -144,9 +144,12 @@ def stl_arrays(y: np.ndarray, period: int, seasonal: int = 7, trend: int | None
 
 
 def stl_decompose(df: DataFrame, ts: str, value: str, by: Sequence[str] = (), period: int = 7, seasonal: int = 13) -> DataFrame:
-    """STL per series, each series (a small resampled table, e.g. daily
-    means) handled by one grouped ``applyInPandas`` task.  Adds
-    ``seasonal, trend, resid``; series shorter than two periods get NULLs."""
+    """STL per series, each series handled by one grouped
+    ``applyInPandas`` task.  Meant for resampled input (D28: one row per
+    series and day), so a group's size is bounded by the calendar span, not
+    by the raw row count; resample first when starting from raw rows.
+    Adds ``seasonal, trend, resid``; series shorter than two periods get
+    NULLs."""
     by = list(by)
     keyed = df if by else df.withColumn("_series", F.lit(0))
     keys = by or ["_series"]

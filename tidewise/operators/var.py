@@ -25,7 +25,8 @@ from .ordered import DEFAULT_BLOCK_ROWS, lag_exprs, windowed, with_ordinal
 
 def bucket_means(df: DataFrame, ts: str, key: str, value: str, every: str) -> tuple[DataFrame, list[str]]:
     """Mean of ``value`` per (time bucket, key), pivoted to one column per
-    key.  The key list is metadata (distinct keys, sorted)."""
+    key.  The key list is metadata (distinct keys, sorted): the K series of
+    one VAR, whose design has 1 + p*K columns, so K is small by nature."""
     keys = sorted(r[0] for r in df.select(key).distinct().collect())
     b = df.groupBy(F.window(F.col(qident(ts)), every).start.alias("bucket"), F.col(qident(key)).alias("_k")).agg(
         F.avg(F.col(qident(value))).alias("_m"))

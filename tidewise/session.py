@@ -59,3 +59,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Eager reliable checkpoint into the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def _bytes(conf_value: str | None, default: int) -> int:
+    if not conf_value:
+        return default
+    v = conf_value.strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    for suf in ("kb", "mb", "gb", "tb", "k", "m", "g", "t", "b"):
+        if v.endswith(suf):
+            num = v[: -len(suf)]
+            return int(float(num) * units.get(suf[0], 1)) if suf != "b" else int(float(num))
+    return int(float(v))
+
+
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def shuffle_partitions_for(df: DataFrame) -> int:
+    """Partition count for a full-data shuffle of ``df``: the session's
+    ``spark.sql.shuffle.partitions`` or, when the optimizer's size estimate
+    is larger, enough partitions of ``advisoryPartitionSizeInBytes`` each
+    (capped).  Unknown estimates fall back to the session setting."""
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None), 64 << 20)
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable
+        return base
+    if est <= 0 or est >= (1 << 62):  # "unknown" (defaultSizeInBytes)
+        return base
+    return int(min(MAX_SHUFFLE_PARTITIONS, max(base, -(-est // max(target, 1)))))

@@ -19,7 +19,6 @@ task.  Both are avoided:
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window

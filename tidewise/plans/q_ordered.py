@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.times import add_minutes, ts_text
+from ..functions.times import ts_text
 from ..operators import ordered as OD
 from .common import coerced, events
 from .registry import query
@@ -93,7 +93,7 @@ def q_dedupe_first(spark, sf):
        "SELECT event_id, ordinal, CASE WHEN ordinal >= n - ceil(n * 0.3) THEN 'test' ELSE 'train' END AS split FROM "
        "(SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS ordinal, count(*) OVER () AS n FROM events)")
 def q_time_split(spark, sf):
-    """Chronological 70/30 split, no shuffle of rows."""
+    """Chronological 70/30 split (time order, not a random shuffle)."""
     e = events(spark, sf).select("event_id", "ts")
     return OD.time_split(e, 0.3, ORDER).select("event_id", "ordinal", "split")
 

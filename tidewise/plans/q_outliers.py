@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import outliers as O
-from ..operators.stats import percentiles
 from .common import coerced, events, original_events, table
 from .registry import query
 from .sqlparts import ORIGINAL_CTE, with_coerced

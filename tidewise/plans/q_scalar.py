@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import numbers as N
 from ..functions import text as T
 from ..functions import times as TM
-from .common import coerced, events, polluted_events
+from .common import events, polluted_events
 from .registry import query
-from .sqlparts import num, tokens_list, ts, with_coerced, with_polluted
+from .sqlparts import num, tokens_list, ts, with_polluted
 
 
 @query("to_number", with_polluted(f"SELECT event_id, raw_value, raw_k, {num('raw_value')} AS value, {num('raw_k')} AS k FROM p"))

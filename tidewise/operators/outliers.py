@@ -109,7 +109,8 @@ def outlier_report(df: DataFrame, cols: Sequence[str], order: str, fences: DataF
     counts = long.groupBy("col_name").agg(F.count(F.lit(1)).alias("n_outliers"))
     w = Window.partitionBy("col_name").orderBy(order)
     ex = long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= examples)
-    allc = fences.select("col_name").join(counts, "col_name", "left").fillna(0, ["n_outliers"])
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "col_name string")  # the column list itself
+    allc = names.join(counts, "col_name", "left").fillna(0, ["n_outliers"])
     allc = allc.withColumn("total_outliers", F.sum("n_outliers").over(Window.partitionBy()))  # one row per column
     return allc.join(ex.select("col_name", "rank", order, "value"), "col_name", "left").select(
         "col_name", F.col("n_outliers").cast("bigint").alias("n_outliers"), F.col("total_outliers").cast("bigint").alias("total_outliers"),

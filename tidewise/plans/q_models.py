@@ -246,3 +246,15 @@ def q_var_forecast(spark, sf):
     f = spark.createDataFrame(rows, "step int, " + ", ".join(f"`{k}` double" for k in keys))
     return f.crossJoin(last).select(
         "step", (F.col("_b") + F.make_dt_interval(F.lit(0), (F.col("step") + 1) * 6)).alias("bucket"), *[F.col(f"`{k}`") for k in keys])
+
+
+@query("regression_metrics_by_type",
+       "SELECT event_type, round(avg(abs(value - p)), 6) AS mae, round(avg((value - p) * (value - p)), 6) AS mse, "
+       "round(sqrt(avg((value - p) * (value - p))), 6) AS rmse, "
+       "round(1 - sum((value - p) * (value - p)) / nullif(var_pop(value) * count(*), 0), 6) AS r2, count(*) AS n_test "
+       "FROM (SELECT event_type, value, lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS p FROM events) "
+       "WHERE p IS NOT NULL AND value IS NOT NULL GROUP BY event_type")
+def q_regression_metrics_by_type(spark, sf):
+    """J10 per series: persistence-forecast metrics of every event type."""
+    pr = M.naive_predictions(events(spark, sf).select("event_id", "event_type", "ts", "value"), "value", ORDER, by=["event_type"])
+    return M.regression_metrics(pr, "value", "pred_lag1", by=["event_type"], digits=6)

@@ -183,3 +183,39 @@ def q_append_rows(spark, sf):
     e = events(spark, sf).select("ts", "value")
     fut = future_spine(e, "ts", 10, 10).select("ts")
     return append_rows(e, fut)
+
+
+def _roll_by_sql(n: int) -> str:
+    w = f"OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+    return f"round(CASE WHEN count(value) {w} = {n} THEN avg(value) {w} END, 6)"
+
+
+@query("rolling_mean_by_user",
+       f"SELECT event_id, user_id, value, {_roll_by_sql(6)} AS rolling_mean_value_1_hora, "
+       f"{_roll_by_sql(144)} AS rolling_mean_value_24_horas FROM events")
+def q_rolling_mean_by_user(spark, sf):
+    """E3 per series (user): trailing 6- and 144-row means excluding the row."""
+    e = events(spark, sf).select("event_id", "user_id", "ts", "value")
+    out = OD.rolling_mean(e, "value", {"rolling_mean_value_1_hora": 6, "rolling_mean_value_24_horas": 144}, ORDER, by=["user_id"])
+    return out.select("event_id", "user_id", "value",
+                      *[F.round(c, 6).alias(c) for c in ("rolling_mean_value_1_hora", "rolling_mean_value_24_horas")])
+
+
+@query("trend_by_type",
+       "SELECT event_id, event_type, round(CASE WHEN count(value) OVER w = 13 THEN avg(value) OVER w END, 6) AS trend FROM events "
+       "WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)")
+def q_trend_by_type(spark, sf):
+    """E4 per series (event type): centred 13-row moving average."""
+    e = events(spark, sf).select("event_id", "event_type", "ts", "value")
+    out = OD.centered_mean(e, "value", 13, ORDER, by=["event_type"])
+    return out.select("event_id", "event_type", F.round("trend", 6).alias("trend"))
+
+
+@query("time_split_by_user",
+       "SELECT event_id, user_id, ordinal, CASE WHEN ordinal >= n - ceil(n * 0.3) THEN 'test' ELSE 'train' END AS split FROM "
+       "(SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS ordinal, "
+       "count(*) OVER (PARTITION BY user_id) AS n FROM events)")
+def q_time_split_by_user(spark, sf):
+    """E7 per series: the last 30 % of every user's rows are test."""
+    e = events(spark, sf).select("event_id", "user_id", "ts")
+    return OD.time_split(e, 0.3, ORDER, by=["user_id"]).select("event_id", "user_id", "ordinal", "split")

@@ -61,3 +61,23 @@ def q_stl(spark, sf):
     e = events(spark, sf)
     daily = e.groupBy("event_type", day_start(F.col("ts")).alias("day")).agg(F.avg("value").alias("value"))
     return stl_decompose(daily, "day", "value", by=["event_type"], period=7, seasonal=13)
+
+
+_DECOMP_BY_SQL = (
+    "WITH t AS (SELECT event_id, event_type, value, row_number() OVER w - 1 AS ordinal, "
+    "CASE WHEN count(value) OVER w13 = 13 THEN avg(value) OVER w13 END AS trend FROM events "
+    "WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id), "
+    "w13 AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)), "
+    "ph AS (SELECT event_type, ordinal % 13 AS phase, avg(value - trend) AS pm FROM t GROUP BY 1, 2), "
+    "se AS (SELECT event_type, phase, pm - avg(pm) OVER (PARTITION BY event_type) AS seasonal FROM ph) "
+    "SELECT t.event_id, t.event_type, t.ordinal, round(trend, 6) AS trend, round(seasonal, 6) AS seasonal, "
+    "round(value - trend - seasonal, 6) AS resid FROM t JOIN se ON se.event_type = t.event_type AND se.phase = t.ordinal % 13"
+)
+
+
+@query("seasonal_decompose_by_type", _DECOMP_BY_SQL)
+def q_seasonal_decompose_by_type(spark, sf):
+    """J18 per series: additive decomposition (period 13) of every event type."""
+    e = events(spark, sf).select("event_id", "event_type", "ts", "value")
+    out = seasonal_decompose(e, "value", 13, ["ts", "event_id"], by=["event_type"])
+    return out.select("event_id", "event_type", "ordinal", *[F.round(c, 6).alias(c) for c in ("trend", "seasonal", "resid")])

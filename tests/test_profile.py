@@ -102,3 +102,11 @@ def test_nan_is_missing_in_statistics(spark):
     f = O.iqr_fences(df, ["x"], k=1.5).first()
     assert (f["q1"], f["q3"]) == (1.5, 2.5)
     assert P.corr_matrix(df.withColumn("y", F.col("x") * 2), ["x", "y"]).where("col_a = 'x' AND col_b = 'y'").first()["corr"] == 1.0
+
+
+def test_describe_two_pass_equals_exact(spark):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(rng.normal(size=800), rng.integers(0, 9, 800))], "a double, b double")
+    a = sorted(tuple(r) for r in P.describe(df, ["a", "b"]).collect())
+    b = sorted(tuple(r) for r in P.describe(df, ["a", "b"], quantile_method="two_pass").collect())
+    assert a == b

@@ -104,17 +104,27 @@ def top_values(df: DataFrame, col: str, k: int = 10) -> DataFrame:
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 
 
-def describe(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """Count, mean, std (n-1), min, 25/50/75 % (interpolated), max."""
+def describe(df: DataFrame, cols: Sequence[str], digits: int = 6, quantile_method: str = "exact") -> DataFrame:
+    """Count, mean, std (n-1), min, 25/50/75 % (interpolated), max.
+
+    ``quantile_method="two_pass"`` takes the quartiles from the scalable
+    exact method instead of ``percentile`` (same numbers)."""
     stats = {
         "count": lambda c: F.count(c),
         "mean": lambda c: F.avg(c),
         "std": lambda c: F.stddev_samp(c),
         "min": lambda c: F.min(c).cast("double"),
-        "q": lambda c: percentiles(c.cast("double"), DESCRIBE_PROBS),
         "max": lambda c: F.max(c).cast("double"),
     }
-    long = fused_long(df, cols, stats)
+    if quantile_method == "exact":
+        stats["q"] = lambda c: percentiles(c.cast("double"), DESCRIBE_PROBS)
+        long = fused_long(df, cols, stats)
+    else:
+        from .quantiles import quantiles as _quantiles
+
+        qs = _quantiles(df, cols, DESCRIBE_PROBS, method=quantile_method, digits=None)
+        qarr = qs.groupBy("col_name").agg(F.array(*[F.max(F.when(F.col("p") == p, F.col("q"))) for p in DESCRIBE_PROBS]).alias("q"))
+        long = fused_long(df, cols, stats).join(F.broadcast(qarr), "col_name")  # one row per column
     r = lambda c: F.round(c, digits)
     return long.select(
         "col_name",

@@ -80,10 +80,10 @@ MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def shuffle_partitions_for(df: DataFrame) -> int:
-    """Partition count for a full-data shuffle of ``df``: the session's
-    ``spark.sql.shuffle.partitions`` or, when the optimizer's size estimate
-    is larger, enough partitions of ``advisoryPartitionSizeInBytes`` each
-    (capped).  Unknown estimates fall back to the session setting."""
+    """Partition count for a full-data shuffle of ``df``: enough partitions
+    of ``advisoryPartitionSizeInBytes`` for the optimizer's size estimate,
+    at least one per core (``defaultParallelism``) and at most 100k.
+    Without an estimate, the session's ``spark.sql.shuffle.partitions``."""
     spark = df.sparkSession
     base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None), 64 << 20)
@@ -93,4 +93,8 @@ def shuffle_partitions_for(df: DataFrame) -> int:
         return base
     if est <= 0 or est >= (1 << 62):  # "unknown" (defaultSizeInBytes)
         return base
-    return int(min(MAX_SHUFFLE_PARTITIONS, max(base, -(-est // max(target, 1)))))
+    try:
+        cores = int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext (Connect)
+        cores = base
+    return int(min(MAX_SHUFFLE_PARTITIONS, max(cores, -(-est // max(target, 1)))))

@@ -111,7 +111,8 @@ def outlier_report(df: DataFrame, cols: Sequence[str], order: str, fences: DataF
     ex = long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= examples)
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "col_name string")  # the column list itself
     allc = names.join(counts, "col_name", "left").fillna(0, ["n_outliers"])
-    allc = allc.withColumn("total_outliers", F.sum("n_outliers").over(Window.partitionBy()))  # one row per column
+    total = counts.agg(F.coalesce(F.sum("n_outliers"), F.lit(0)).alias("total_outliers"))
+    allc = allc.crossJoin(F.broadcast(total))  # one-row total
     return allc.join(ex.select("col_name", "rank", order, "value"), "col_name", "left").select(
         "col_name", F.col("n_outliers").cast("bigint").alias("n_outliers"), F.col("total_outliers").cast("bigint").alias("total_outliers"),
         F.col("rank").cast("bigint").alias("rank"), order, "value",

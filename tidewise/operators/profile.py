@@ -411,3 +411,28 @@ def histogram_pair(a: DataFrame, b: DataFrame, col: str, bins: int = 50, labels:
         m = d.agg(F.round(F.avg(F.col(qident(col))), digits).alias("mean"))
         parts.append(h.crossJoin(m).select(F.lit(lab).alias("source"), "bin", "lo", "hi", "n", "mean"))
     return parts[0].unionByName(parts[1])
+
+
+def describe_all(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+    """D10 ``include="all"``: one table over mixed columns.  Numeric columns
+    get count / mean / std / min / quartiles / max, text columns count /
+    unique / top / freq; inapplicable cells are NULL."""
+    from pyspark.sql.types import NumericType
+
+    cols = list(cols or df.columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    num = [c for c in cols if isinstance(types[c], NumericType)]
+    txt = [c for c in cols if c not in num]
+    parts = []
+    if num:
+        d = describe(df, num, digits)
+        parts.append(d.select("col_name", "count", F.lit(None).cast("bigint").alias("unique"), F.lit(None).cast("string").alias("top"),
+                              F.lit(None).cast("bigint").alias("freq"), "mean", "std", "min", "p25", "p50", "p75", "max"))
+    if txt:
+        t = describe_text(df, txt)
+        nulls = [F.lit(None).cast("double").alias(n) for n in ("mean", "std", "min", "p25", "p50", "p75", "max")]
+        parts.append(t.select("col_name", "count", "unique", "top", F.col("freq").cast("bigint").alias("freq"), *nulls))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -313,3 +313,26 @@ def q_duplicate_ts_examples(spark, sf):
     from ..operators.ordered import head_n
     p = polluted_events(spark, sf).select("event_id", "raw_ts", "raw_value")
     return head_n(P.duplicates(p, ["raw_ts"]), 6, ["raw_ts", "event_id"])
+
+
+_MIX_NUM = ["event_id", "value", "k"]
+_MIX_TXT = ["event_type", "raw_ts", "mixed_type_col"]
+
+
+@query("describe_mixed", with_coerced(
+    per_col(_MIX_NUM,
+            "count({c}) AS count, CAST(NULL AS BIGINT) AS \"unique\", CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, "
+            "round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min, "
+            "round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
+            "round(quantile_cont({c}, 0.75), 6) AS p75, round(max({c}), 6) AS max", "c")
+    + " UNION ALL " +
+    per_col(_MIX_TXT,
+            "count({c}) AS count, count(DISTINCT {c}) AS \"unique\", "
+            "(SELECT {c} FROM c WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS top, "
+            "(SELECT count(*) FROM c WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC LIMIT 1) AS freq, "
+            "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS p25, "
+            "CAST(NULL AS DOUBLE) AS p50, CAST(NULL AS DOUBLE) AS p75, CAST(NULL AS DOUBLE) AS max", "c")))
+def q_describe_mixed(spark, sf):
+    """D10 ``include="all"`` on the coerced view: numeric and text columns
+    in one table."""
+    return P.describe_all(coerced(spark, sf).select(*_MIX_NUM, *_MIX_TXT))

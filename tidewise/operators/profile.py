@@ -140,12 +140,19 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int = 6, quantile_metho
 
 
 def describe_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, unique, top (smallest of the most frequent), freq."""
-    base = fused_long(df, cols, {"count": lambda c: F.count(c), "unique": lambda c: F.count_distinct(c)})
-    modes = mode_table(value_frequencies(df, cols))
-    return base.join(modes, "col_name", "left").select(
-        "col_name", F.col("count").cast("bigint").alias("count"), F.col("unique").cast("bigint").alias("unique"), "top", "freq"
-    )
+    """Count, unique, top (smallest of the most frequent), freq.
+
+    Everything comes from one frequency table (one shuffle of map-side
+    reduced ``(column, value)`` counts): count = sum of counts, unique =
+    number of values."""
+    cols = list(cols)
+    freq = value_frequencies(df, cols)
+    base = freq.groupBy("col_name").agg(F.sum("n").cast("bigint").alias("count"), F.count(F.lit(1)).alias("unique"))
+    modes = mode_table(freq)
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "col_name string")  # all-NULL columns too
+    return names.join(base, "col_name", "left").join(modes, "col_name", "left").select(
+        "col_name", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
+        F.coalesce("unique", F.lit(0)).cast("bigint").alias("unique"), "top", F.col("freq").cast("bigint").alias("freq"))
 
 
 def _type_family(t: str) -> str:

@@ -126,3 +126,21 @@ def test_preprocess_dedupe_option(spark):
         n = d.count()
         n_test = d.where("split = 'test'").count()
         assert n_test == int(np.ceil(n * 0.3))
+
+
+def test_auto_quantile_method_switches_and_stays_exact(spark, monkeypatch):
+    from tests.conftest import SF001
+    from tidewise.operators import quantiles as Q
+    from tidewise.plans.common import coerced
+    c = coerced(spark, SF001).select("event_id", "value", "k")
+    assert Q.resolve_method(c, ["value", "k"], "auto") == "exact"
+    exact = sorted(tuple(r) for r in O.iqr_fences(c, ["value", "k"], quantile_method="exact").collect())
+    monkeypatch.setattr(Q, "AUTO_EXACT_MAX_DISTINCT", 10)
+    assert Q.resolve_method(c, ["value", "k"], "auto") == "two_pass"
+    auto = sorted(tuple(r) for r in O.iqr_fences(c, ["value", "k"]).collect())
+    for ra, rb in zip(exact, auto):
+        assert ra[0] == rb[0] and ra[1:] == pytest.approx(rb[1:], abs=1e-9)
+    ea, _ = O.replace_upper_outliers(c, ["value", "k"])
+    monkeypatch.setattr(Q, "AUTO_EXACT_MAX_DISTINCT", 10 ** 9)
+    eb, _ = O.replace_upper_outliers(c, ["value", "k"])
+    assert sorted(ea.collect()) == sorted(eb.collect())

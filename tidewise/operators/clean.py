@@ -99,7 +99,7 @@ class CleanSpec:
     fence_k: float = 3.0
     fence_floor: float | None = 0.0
     max_nulls: int = 2  # keep rows with fewer NULLs than this among value_cols
-    quantile_method: str = "exact"  # "two_pass" for columns with very many distinct values
+    quantile_method: str = "auto"  # exact percentile below 2M distinct values, two-pass above
 
 
 def clean(df: DataFrame, reference: DataFrame | None, spec: CleanSpec = CleanSpec()) -> DataFrame:
@@ -137,7 +137,7 @@ class PreprocessSpec:
     sparse_pct: float = 5.0
     outlier_k: float = 2.0
     block_rows: int = DEFAULT_BLOCK_ROWS
-    quantile_method: str = "exact"  # "two_pass" for columns with very many distinct values
+    quantile_method: str = "auto"  # exact percentile below 2M distinct values, two-pass above
     dedupe: bool = False  # keep the first row per timestamp (the notebooks do; production does not)
     extra_drop: Sequence[str] = field(default_factory=lambda: ["raw_ts"])
 

@@ -63,9 +63,13 @@ class ExactImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParams
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> ExactImputerModel:
+        from .quantiles import quantiles
+        from .stats import nan_safe
+
         cols = self.getInputCols()
-        row = df.agg(*[F.median(F.col(qident(c)).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-        return ExactImputerModel(inputCols=cols, stats=_flatten(row, [f"m{i}" for i in range(len(cols))]))
+        d = nan_safe(df.select(*[F.col(qident(c)).cast("double").alias(c) for c in cols]))
+        med = {r["col_name"]: r["q"] for r in quantiles(d, cols, (0.5,), method="auto", digits=None).collect()}
+        return ExactImputerModel(inputCols=cols, stats=[float("nan") if med.get(c) is None else float(med[c]) for c in cols])
 
 
 class PopStandardScalerModel(Model, _StatsParams, DefaultParamsReadable, DefaultParamsWritable):

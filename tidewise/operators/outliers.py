@@ -21,13 +21,20 @@ def _q(c: str) -> Column:
     return F.col(qident(c))
 
 
-def quartile_row(df: DataFrame, cols: Sequence[str], with_median: bool = False, quantile_method: str = "exact") -> DataFrame:
+def _resolve(df: DataFrame, cols: Sequence[str], method: str) -> str:
+    from .quantiles import resolve_method
+
+    return resolve_method(df, cols, method)
+
+
+def quartile_row(df: DataFrame, cols: Sequence[str], with_median: bool = False, quantile_method: str = "auto") -> DataFrame:
     """One row: ``{c}__q`` = [q1, q3] (and median) per column, exact.
 
     ``quantile_method="two_pass"`` gives the same numbers without merging a
     per-distinct-value map in one task (see ``operators/quantiles.py``)."""
     probs = (0.25, 0.75, 0.5) if with_median else (0.25, 0.75)
     df = nan_safe(df, cols)
+    quantile_method = _resolve(df, cols, quantile_method)
     if quantile_method == "exact":
         return df.agg(*[percentiles(_q(c).cast("double"), probs).alias(f"{c}__q") for c in cols])
     from .quantiles import quantiles as _quantiles
@@ -40,10 +47,11 @@ def quartile_row(df: DataFrame, cols: Sequence[str], with_median: bool = False,
 
 
 def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 3.0, floor: float | None = 0.0, digits: int | None = None,
-               quantile_method: str = "exact") -> DataFrame:
+               quantile_method: str = "auto") -> DataFrame:
     """``(col_name, q1, q3, iqr, lo, hi)``; ``lo`` floored at ``floor``.
 
     One aggregate for all columns, turned long with ``stack``."""
+    quantile_method = _resolve(nan_safe(df, cols), cols, quantile_method)
     if quantile_method == "exact":
         long = fused_long(df, cols, {"q": lambda c: percentiles(c.cast("double"), (0.25, 0.75))})
     else:
@@ -120,7 +128,7 @@ def outlier_report(df: DataFrame, cols: Sequence[str], order: str, fences: DataF
 
 
 def replace_upper_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.0,
-                           quantile_method: str = "exact") -> tuple[DataFrame, DataFrame]:
+                           quantile_method: str = "auto") -> tuple[DataFrame, DataFrame]:
     """I1 (+ D29): per column, values above ``q3 + k*iqr`` -> the column's
     median; an all-NULL column or IQR of 0/NULL is left alone.
 
@@ -153,7 +161,11 @@ def zscore(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
 
 
 def _mask_stats(df: DataFrame, cols: Sequence[str], method: str, metric: str | None,
-                quantile_method: str = "exact") -> DataFrame:
+                quantile_method: str = "auto") -> DataFrame:
+    if method == "IQR" or metric == "median":
+        quantile_method = _resolve(df, cols, quantile_method)
+    else:
+        quantile_method = "exact"
     aggs = []
     two_pass = quantile_method != "exact"
     for c in cols:
@@ -194,7 +206,7 @@ def _mask(c: str, method: str, st: dict, iqr_k: float = 1.5, z: float = 3.0) ->
 
 
 def handle_outliers(df: DataFrame, cols: Sequence[str], method: str = "IQR", action: str = "drop",
-                    metric: str | None = None, sequential: bool = False, quantile_method: str = "exact") -> DataFrame:
+                    metric: str | None = None, sequential: bool = False, quantile_method: str = "auto") -> DataFrame:
     """I4: IQR (1.5) or |z| > 3 outliers, dropped or replaced by the
     column's mean / median / mode (taken before replacement).
 

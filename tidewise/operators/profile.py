@@ -104,7 +104,7 @@ def top_values(df: DataFrame, col: str, k: int = 10) -> DataFrame:
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 
 
-def describe(df: DataFrame, cols: Sequence[str], digits: int = 6, quantile_method: str = "exact") -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], digits: int = 6, quantile_method: str = "auto") -> DataFrame:
     """Count, mean, std (n-1), min, 25/50/75 % (interpolated), max.
 
     ``quantile_method="two_pass"`` takes the quartiles from the scalable
@@ -116,6 +116,9 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int = 6, quantile_metho
         "min": lambda c: F.min(c).cast("double"),
         "max": lambda c: F.max(c).cast("double"),
     }
+    from .quantiles import resolve_method
+
+    quantile_method = resolve_method(nan_safe(df, cols), cols, quantile_method)
     if quantile_method == "exact":
         stats["q"] = lambda c: percentiles(c.cast("double"), DESCRIBE_PROBS)
         long = fused_long(df, cols, stats)

@@ -26,9 +26,29 @@ from .ordered import with_ordinal
 from .profile import quantiles as exact_quantiles
 
 
+# Above this many distinct values (HyperLogLog estimate) ``auto`` leaves
+# ``percentile`` (whose final task holds one counter per distinct value).
+AUTO_EXACT_MAX_DISTINCT = 2_000_000
+
+
+def resolve_method(df: DataFrame, cols: Sequence[str], method: str) -> str:
+    """``auto`` -> ``exact`` when every column has at most
+    ``AUTO_EXACT_MAX_DISTINCT`` distinct values (one HyperLogLog pass),
+    else ``two_pass``.  Other methods pass through."""
+    if method != "auto":
+        return method
+    cols = list(cols)
+    if not cols:
+        return "exact"
+    row = df.agg(*[F.approx_count_distinct(F.col(qident(c))).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    worst = max((row[f"d{i}"] or 0) for i in range(len(cols)))
+    return "exact" if worst <= AUTO_EXACT_MAX_DISTINCT else "two_pass"
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "exact",
               accuracy: int = 10000, digits: int | None = 6) -> DataFrame:
     """``(col_name, p, q)`` for every column and probability."""
+    method = resolve_method(df, cols, method)
     if method == "exact":
         return exact_quantiles(df, cols, probs, digits=digits if digits is not None else 15)
     if method == "approx":

@@ -188,9 +188,16 @@ def moments(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     return long.select("col_name", F.round("skewness", digits).alias("skewness"), F.round("kurtosis", digits).alias("kurtosis"))
 
 
-def central_stats(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """Mean, median and mode (smallest of the most frequent)."""
-    long = fused_long(df, cols, {"mean": lambda c: F.avg(c), "median": lambda c: F.median(c.cast("double"))})
+def central_stats(df: DataFrame, cols: Sequence[str], digits: int = 6, quantile_method: str = "auto") -> DataFrame:
+    """Mean, median (exact, ``auto`` method) and mode (smallest of the
+    most frequent)."""
+    from .quantiles import quantile_values
+
+    cols = list(cols)
+    med = quantile_values(nan_safe(df, cols), cols, (0.5,), quantile_method)
+    long = fused_long(df, cols, {"mean": lambda c: F.avg(c)})
+    meds = df.sparkSession.createDataFrame([(c, med.get((c, 0.5))) for c in cols], "col_name string, median double")
+    long = long.join(F.broadcast(meds), "col_name")  # one row per column
     freq = value_frequencies(df.select(*[F.col(qident(c)).cast("double").alias(c) for c in cols]), cols)
     freq = freq.withColumn("value", F.col("value").cast("double"))
     modes = mode_table(freq).select("col_name", F.col("top").alias("mode"))
@@ -221,31 +228,37 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFram
     return long.select("col_a", "col_b", F.round("corr", digits).alias("corr"))
 
 
-def box_stats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int = 6) -> DataFrame:
-    """Quartiles, mean, whisker ends (extreme points inside 1.5 IQR), flier count."""
+def box_stats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int = 6, quantile_method: str = "auto") -> DataFrame:
+    """Quartiles, mean, whisker ends (extreme points inside 1.5 IQR), flier count.
+
+    Quartiles are exact (``auto`` method) and enter the second aggregate as
+    literals; whiskers and fliers are one conditional aggregate."""
+    from .quantiles import quantile_values
+
+    cols = list(cols)
     df = nan_safe(df, cols)
-    q = fused_long(df, cols, {"q": lambda c: percentiles(c.cast("double"), (0.25, 0.5, 0.75)), "mean": lambda c: F.avg(c)})
-    q = q.select(
-        "col_name", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "mean"
-    ).withColumn("lo", F.col("q1") - whis * (F.col("q3") - F.col("q1"))).withColumn(
-        "hi", F.col("q3") + whis * (F.col("q3") - F.col("q1"))
-    )
-    long = df.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(qident(c)).cast("double").alias("x")) for c in cols])).alias("kv")
-    ).select("kv.col_name", "kv.x").where(F.col("x").isNotNull())
-    # per-column fences are a table with one row per column: bounded by len(cols)
-    j = long.join(F.broadcast(q.select("col_name", "lo", "hi")), "col_name")
-    inside = (F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))
-    w = j.groupBy("col_name").agg(
-        F.min(F.when(inside, F.col("x"))).alias("whisker_lo"),
-        F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
-        F.count_if(~inside).alias("n_fliers"),
-    )
-    r = lambda c: F.round(F.col(c), digits)
-    return q.join(w, "col_name").select(
-        "col_name", r("q1").alias("q1"), r("median").alias("median"), r("q3").alias("q3"), r("mean").alias("mean"),
-        r("whisker_lo").alias("whisker_lo"), r("whisker_hi").alias("whisker_hi"), "n_fliers",
-    )
+    qv = quantile_values(df, cols, (0.25, 0.5, 0.75), quantile_method)
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(qident(c)).cast("double")
+        q1, q3 = qv.get((c, 0.25)), qv.get((c, 0.75))
+        if q1 is None or q3 is None:
+            inside = F.lit(False)
+        else:
+            inside = (x >= F.lit(q1 - whis * (q3 - q1))) & (x <= F.lit(q3 + whis * (q3 - q1)))
+        aggs += [F.avg(x).alias(f"m{i}"), F.min(F.when(inside, x)).alias(f"lo{i}"), F.max(F.when(inside, x)).alias(f"hi{i}"),
+                 F.count_if(x.isNotNull() & ~inside).alias(f"f{i}")]
+    row = df.agg(*aggs)
+
+    def lit(v):
+        return "CAST(NULL AS DOUBLE)" if v is None else f"CAST({float(v)!r} AS DOUBLE)"
+
+    parts = []
+    for i, c in enumerate(cols):
+        parts += [f"'{c}'", lit(qv.get((c, 0.25))), lit(qv.get((c, 0.5))), lit(qv.get((c, 0.75))), f"m{i}", f"lo{i}", f"hi{i}", f"f{i}"]
+    long = row.selectExpr(f"stack({len(cols)}, {', '.join(parts)}) AS (col_name, q1, median, q3, mean, whisker_lo, whisker_hi, n_fliers)")
+    return long.select("col_name", *[F.round(c, digits).alias(c) for c in ("q1", "median", "q3", "mean", "whisker_lo", "whisker_hi")],
+                       "n_fliers")
 
 
 def row_null_histogram(df: DataFrame, cols: Sequence[str], cap: int = 4, digits: int = 6) -> DataFrame:
@@ -327,52 +340,54 @@ def _bin_index(x, mn, mx, nb):
     return F.when(mx == mn, F.lit(0).cast("bigint")).otherwise(i2)
 
 
-def histogram(df: DataFrame, col: str, bins: int | str = "fd", trim: tuple[float, float] | None = (0.01, 0.99), digits: int = 6) -> DataFrame:
+def histogram(df: DataFrame, col: str, bins: int | str = "fd", trim: tuple[float, float] | None = (0.01, 0.99), digits: int = 6,
+              quantile_method: str = "auto") -> DataFrame:
     """``(bin, lo, hi, n)``.
 
     ``bins="fd"``: optional inclusive quantile trim, Freedman-Diaconis width
     ``2*IQR*n^(-1/3)`` on the trimmed values, and NumPy's ``auto`` rule when
-    that yields a single bin.  An integer gives that many equal bins.
-    Statistics are one aggregate; binning is a projection and a group-by.
+    that yields a single bin.  An integer gives that many equal bins.  The
+    few statistics (trim bounds, min, max, count, quartiles) are collected
+    once; binning is a projection with literals and a group-by; the spine
+    of ``nb`` bins comes from ``range``.
     """
+    import math
+
+    from .quantiles import quantile_values
+
+    spark = df.sparkSession
     x = F.col(qident(col)).cast("double")
     data = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    empty = spark.createDataFrame([], "bin long, lo double, hi double, n long")
     if trim is not None:
-        lo_p, hi_p = trim
-        qs = data.agg(percentiles(F.col("x"), (lo_p, hi_p)).alias("_t"))
-        data = data.crossJoin(F.broadcast(qs)).where(
-            (F.col("x") >= F.col("_t")[0]) & (F.col("x") <= F.col("_t")[1])
-        ).select("x")
-    st = data.agg(
-        F.min("x").alias("mn"), F.max("x").alias("mx"), F.count("x").cast("double").alias("n"),
-        percentiles(F.col("x"), (0.25, 0.75)).alias("_q"),
-    )
-    rng = F.col("mx") - F.col("mn")
+        qv = quantile_values(data, ["x"], trim, quantile_method)
+        lo_t, hi_t = qv.get(("x", float(trim[0]))), qv.get(("x", float(trim[1])))
+        if lo_t is None:
+            return empty
+        data = data.where((F.col("x") >= F.lit(lo_t)) & (F.col("x") <= F.lit(hi_t)))
+    st = data.agg(F.min("x").alias("mn"), F.max("x").alias("mx"), F.count("x").alias("n")).first()
+    if not st["n"]:
+        return empty
+    mn, mx, n = st["mn"], st["mx"], float(st["n"])
+    rng = mx - mn
     if isinstance(bins, int):
-        nb = F.lit(int(bins)).cast("bigint")
+        nb = int(bins)
     else:
-        fd = 2.0 * (F.col("_q")[1] - F.col("_q")[0]) * F.pow(F.col("n"), -1.0 / 3.0)
-        nb_fd = F.when(fd > 0, F.ceil(rng / fd)).otherwise(F.lit(1))
-        sturges = rng / (F.log2(F.col("n")) + 1.0)
-        sqrt_bw = rng / F.sqrt(F.col("n"))
-        auto_bw = F.least(F.greatest(fd, sqrt_bw / 2), sturges)
-        nb_auto = F.when(auto_bw > 0, F.ceil(rng / auto_bw)).otherwise(F.lit(1))
-        nb = F.when(nb_fd < 2, nb_auto).otherwise(nb_fd).cast("bigint")
-    st = st.select("mn", "mx", F.greatest(nb, F.lit(1)).alias("nb"))
-    idx = _bin_index(F.col("x"), F.col("mn"), F.col("mx"), F.col("nb"))
-    counted = (
-        data.crossJoin(F.broadcast(st))  # one-row statistics
-        .select(idx.alias("bin"))
-        .groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    )
-    # every bin, empty ones included: the spine has nb rows (nb is data-derived
-    # but bounded by range/width; it is produced by a range, not collected)
-    spine = st.select("mn", "mx", "nb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1)).alias("bin"))
-    step = (F.col("mx") - F.col("mn")) / F.col("nb")
+        qv = quantile_values(data, ["x"], (0.25, 0.75), quantile_method)
+        fd = 2.0 * (qv[("x", 0.75)] - qv[("x", 0.25)]) * n ** (-1.0 / 3.0)
+        nb = math.ceil(rng / fd) if fd > 0 else 1
+        if nb < 2:  # NumPy's "auto": min(max(fd, sqrt / 2), sturges)
+            auto_bw = min(max(fd, rng / math.sqrt(n) / 2), rng / (math.log2(n) + 1.0))
+            nb = math.ceil(rng / auto_bw) if auto_bw > 0 else 1
+    nb = max(int(nb), 1)
+    idx = _bin_index(F.col("x"), F.lit(mn), F.lit(mx), F.lit(nb).cast("bigint"))
+    counted = data.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    step = (F.lit(mx) - F.lit(mn)) / F.lit(nb)
+    spine = spark.range(nb).withColumnRenamed("id", "bin")  # nb rows, bounded by range / bin width
     return spine.join(counted, "bin", "left").select(
         "bin",
-        F.round(F.col("bin") * step + F.col("mn"), digits).alias("lo"),
-        F.round(F.when(F.col("bin") == F.col("nb") - 1, F.col("mx")).otherwise((F.col("bin") + 1) * step + F.col("mn")), digits).alias("hi"),
+        F.round(F.col("bin") * step + F.lit(mn), digits).alias("lo"),
+        F.round(F.when(F.col("bin") == nb - 1, F.lit(mx)).otherwise((F.col("bin") + 1) * step + F.lit(mn)), digits).alias("hi"),
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
     )
 

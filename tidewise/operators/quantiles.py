@@ -148,3 +148,9 @@ def _two_pass(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accura
     if empty:
         out = out.unionByName(spark.createDataFrame([(c, p, None) for c, p in empty], "col_name string, p double, q double"))
     return out if digits is None else out.withColumn("q", F.round("q", digits))
+
+
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "auto") -> dict:
+    """``{(column, p): q}`` (exact, interpolated), for use as literals."""
+    out = quantiles(df, cols, probs, method=method, digits=None).collect()
+    return {(r["col_name"], float(r["p"])): r["q"] for r in out}

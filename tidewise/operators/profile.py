@@ -58,15 +58,17 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per key column, rows after the first of their value (NULL is a value)."""
-    parts = []
-    for c in cols:
-        g = df.groupBy(F.col(qident(c))).agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(g.agg(F.lit(c).alias("col_name"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("n_duplicates")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Per key column, rows after the first of their value (NULL is a
+    value).  One scan: every row yields ``(column, value)`` pairs, counted
+    by a map-side-combined group-by."""
+    cols = list(cols)
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col_name"), F.col(qident(c)).cast("string").alias("v"), F.col(qident(c)).isNull().alias("isnull"))
+        for c in cols])).alias("kv")).select("kv.*")
+    g = pairs.groupBy("col_name", "v", "isnull").agg(F.count(F.lit(1)).alias("_n"))
+    per = g.groupBy("col_name").agg(F.sum(F.col("_n") - 1).cast("bigint").alias("n_duplicates"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "col_name string")
+    return names.join(per, "col_name", "left").select("col_name", F.coalesce("n_duplicates", F.lit(0)).cast("bigint").alias("n_duplicates"))
 
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -416,14 +418,15 @@ def non_numeric(df: DataFrame, cols: Sequence[str], order: str, k: int = 15) ->
 
 def ts_quality(df: DataFrame, raw: str, parsed: str) -> DataFrame:
     """Rows with missing time text, with unparseable text, and rows in a
-    duplicate group of the raw text (the NULL group included); one row."""
-    a = df.agg(
-        F.count_if(F.col(qident(raw)).isNull()).alias("n_missing"),
-        F.count_if(F.col(qident(raw)).isNotNull() & F.col(qident(parsed)).isNull()).alias("n_unparseable"),
+    duplicate group of the raw text (the NULL group included); one row.
+    One scan: a group-by on the raw text carries the unparseable count."""
+    g = df.groupBy(F.col(qident(raw)).alias("_raw")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col(qident(parsed)).isNull()).alias("_bad"))
+    return g.agg(
+        F.coalesce(F.sum(F.when(F.col("_raw").isNull(), F.col("_n"))), F.lit(0)).cast("bigint").alias("n_missing"),
+        F.coalesce(F.sum(F.when(F.col("_raw").isNotNull(), F.col("_bad"))), F.lit(0)).cast("bigint").alias("n_unparseable"),
+        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint").alias("n_dup_rows"),
     )
-    g = df.groupBy(F.col(qident(raw))).agg(F.count(F.lit(1)).alias("_n"))
-    d = g.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint").alias("n_dup_rows"))
-    return a.crossJoin(d)  # two one-row aggregates
 
 
 def histogram_pair(a: DataFrame, b: DataFrame, col: str, bins: int = 50, labels: tuple[str, str] = ("original", "cleaned"),

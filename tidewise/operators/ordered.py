@@ -48,7 +48,8 @@ def with_ordinal(
     With ``by`` the position restarts for each series when ``per_series``;
     otherwise it is the position in the global ``(by, order)`` sort.
     ``total`` names an optional column holding the row count (known from
-    the per-partition counts, so it costs no extra job).
+    the per-partition counts, so it costs no extra job).  ``order`` should
+    end with a unique tiebreak (an id): tied rows have no defined order.
     """
     by, order = list(by), list(order)
     # partition count sized from the input estimate, not a fixed setting
@@ -118,7 +119,7 @@ def windowed(
     nparts = shuffle_partitions_for(df)
     base = with_ordinal(df, order, by, name=ORD, per_series=False)
     keys = [*[F.col(qident(b)) for b in by], F.col("_blk")]
-    # the window's shuffle, sized like the input (the checkpointed ordinal has no estimate)
+    # the window's shuffle, sized from the input's estimate like the range sort
     hb = halo_blocks(base, ORD, before, after, block_rows).repartition(nparts, *keys)
     w = Window.partitionBy(*keys).orderBy(ORD)
     out = hb.withColumns({k: f(w) for k, f in exprs.items()}).where("_core").drop("_blk", "_core")

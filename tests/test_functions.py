@@ -109,3 +109,16 @@ def test_empty_page_keeps_schema(spark):
     df = spark.createDataFrame([(1, 2.0)], "id long, v double")
     items, total = page(df, ["id"], page_no=5, size=10)
     assert items.count() == 0 and items.columns == ["id", "v"] and total.first()[0] == 1
+
+
+def test_api_surface_imports_and_adapters(spark):
+    from tidewise import api as tw
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, i), float(i)) for i in range(30)], "ts timestamp_ntz, value double")
+    out = tw.add_lags(df, "ts", "value", [1, 2]).orderBy("ts").collect()
+    assert out[2]["value_lag2"] == 0.0 and out[0]["value_lag1"] is None
+    assert tw.add_calendar(df, "ts").columns[-3:] == ["hour", "dayofweek", "month"]
+    assert tw.features(df, "value") == ["ts"]
+    assert tw.time_spine(df, "ts", 3, 10).count() == 3
+    for name in ("describe", "ensure_schema", "value_counts", "compare_means", "decompose", "stl", "var_fit", "var_select",
+                 "random_split", "fit_series", "drop_rows_null_in_sparse_cols", "trim", "run_all", "read_csv", "clean_stream"):
+        assert callable(getattr(tw, name))

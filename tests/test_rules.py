@@ -47,3 +47,16 @@ def test_q6_recursive_forecast_rules(spark):
     # future row's own value and the compatibility rule lags one step behind
     assert a == pytest.approx([float(n), float(n + 1), float(n + 2)], abs=1e-6)
     assert b == pytest.approx([float(n - 1), float(n), float(n + 1)], abs=1e-6)
+
+
+def test_recursive_forecast_per_series(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(g, base + dt.timedelta(minutes=10 * i), float(i + 100 * g)) for g in (0, 1) for i in range(40)]
+    hist = spark.createDataFrame(rows, "g long, ts timestamp_ntz, value double")
+    feats = lambda d: d.withColumn("minute_of_day", (F.hour("ts") * 60 + F.minute("ts")).cast("double")) \
+        .withColumn("gx", F.col("g").cast("double"))
+    model = M.regression_pipeline(["minute_of_day", "gx"], "value", "linear").fit(feats(hist))
+    out = M.recursive_forecast(model, hist, 2, "value", "ts", feats, by=["g"]).orderBy("g", "step").collect()
+    assert [(r["g"], r["step"]) for r in out] == [(0, 1), (0, 2), (1, 1), (1, 2)]
+    # value = i + 100 g with i = minute / 10: the next stamps are i = 40, 41
+    assert [r["prediction"] for r in out] == pytest.approx([40.0, 41.0, 140.0, 141.0], abs=1e-6)

@@ -158,9 +158,22 @@ def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFr
     out = require(out, [t])
     if spec.dedupe:
         out = dedupe_first(out.where(_c(spec.ts).isNotNull()), [spec.ts], [spec.tiebreak])
-    out = drop_sparse_nulls(out, spec.sparse_pct)
     num_cols = [c for c in [t, *spec.features] if c in coerce_cols]
-    out, _ = replace_upper_outliers(out, num_cols, spec.outlier_k, spec.quantile_method)
+    # one metadata pass: B12's NULL rates and, for quantile_method="auto",
+    # the cardinality check (the method never changes the numbers, so the
+    # check may see the rows before the B12 drop)
+    rate_aggs = [(F.avg(_c(c).isNull().cast("double")) * 100).alias(f"r{i}") for i, c in enumerate(out.columns)]
+    hll_aggs = [F.approx_count_distinct(_c(c)).alias(f"d{i}") for i, c in enumerate(num_cols)] if spec.quantile_method == "auto" else []
+    meta = out.agg(*rate_aggs, *hll_aggs).first()
+    subset = [c for i, c in enumerate(out.columns) if (meta[f"r{i}"] or 0.0) < spec.sparse_pct]
+    out = out.dropna(subset=subset) if subset else out
+    method = spec.quantile_method
+    if method == "auto":
+        from .quantiles import AUTO_EXACT_MAX_DISTINCT
+
+        worst = max([meta[f"d{i}"] or 0 for i in range(len(num_cols))] or [0])
+        method = "exact" if worst <= AUTO_EXACT_MAX_DISTINCT else "two_pass"
+    out, _ = replace_upper_outliers(out, num_cols, spec.outlier_k, method)
     out = out.withColumns(calendar_parts(_c(spec.ts)))
     out = add_lags(out, t, list(spec.lags), [spec.ts, spec.tiebreak], block_rows=spec.block_rows)
     out = drop_any_null(out)

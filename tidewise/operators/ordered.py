@@ -87,7 +87,7 @@ def halo_blocks(df: DataFrame, ord_col: str, before: int, after: int = 0, block_
     """
     block = max(int(block_rows), int(before), int(after), 1)
     o = F.col(qident(ord_col))
-    blk = F.floor(o / block).cast("bigint")
+    blk = F.expr(f"{qident(ord_col)} div {block}")  # integral division (ordinals are >= 0)
     pos = o - blk * block
     tags = [F.struct(blk.alias("b"), F.lit(True).alias("c"))]
     if before > 0:

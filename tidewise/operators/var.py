@@ -103,6 +103,56 @@ def gram(design: DataFrame, cols: Sequence[str], p: int, fold_ends: Sequence[int
     return summed.join(F.broadcast(lab), "i").select("fold", "mat", "row", "col", "value")
 
 
+def gram_orders(design: DataFrame, cols: Sequence[str], orders: Sequence[int], fold_ends: Sequence[int]) -> DataFrame:
+    """Gram matrices of several VAR orders from ONE pass over a design that
+    holds the lags of the largest order: order ``p`` uses the columns
+    ``[1, L1..Lp]`` on rows ``t >= p``.  Long result
+    ``(p, fold, mat, row, col, value)``; its size depends on the orders and
+    series count only, never on the data."""
+    orders = sorted(orders)
+    ys = list(cols)
+    k = len(ys)
+    ends = sorted(fold_ends)
+    top = max(orders)
+    lagcols = [f"L{lag}.{c}" for lag in range(1, top + 1) for c in cols]
+    d = design.select(F.col("t").cast("long").alias("t"), _block_of(F.col("t"), ends).alias("_b"),
+                      *[F.col(qident(c)).cast("double").alias(f"x{i}") for i, c in enumerate(lagcols)],
+                      *[F.col(qident(c)).cast("double").alias(f"y{i}") for i, c in enumerate(ys)])
+    xn_all = [f"x{i}" for i in range(len(lagcols))]
+    yn = [f"y{i}" for i in range(k)]
+
+    def partial(it):
+        acc: dict[tuple[int, int], np.ndarray] = {}
+        for pdf in it:
+            for p in orders:
+                xn = xn_all[: p * k]
+                sub = pdf[pdf["t"] >= p][["_b", *xn, *yn]].dropna()
+                for b, g in sub.groupby("_b"):
+                    X = np.column_stack([np.ones(len(g)), g[xn].to_numpy(dtype=float)])
+                    Y = g[yn].to_numpy(dtype=float)
+                    cell = np.concatenate([(X.T @ X).ravel(), (X.T @ Y).ravel()])
+                    key = (p, int(b))
+                    acc[key] = acc.get(key, 0) + cell
+        if acc:
+            yield pd.DataFrame({"p": [kk[0] for kk in acc], "_b": [kk[1] for kk in acc], "v": [a.tolist() for a in acc.values()]})
+
+    parts = d.mapInPandas(partial, "p int, _b int, v array<double>")
+    cells = parts.select("p", "_b", F.posexplode("v").alias("i", "v")).groupBy("p", "_b", "i").agg(F.sum("v").alias("v"))
+    nb = len(ends) + 1
+    spark = design.sparkSession
+    folds = [(-1, list(range(nb)))] + [(fi, list(range(fi + 1))) for fi in range(len(ends))]
+    fmap = spark.createDataFrame([(f, b) for f, bl in folds for b in bl], "fold int, _b int")
+    summed = cells.join(F.broadcast(fmap), "_b").groupBy("p", "fold", "i").agg(F.sum("v").alias("value"))
+    lab_rows = []
+    for p in orders:
+        xs = regressor_names(cols, p)
+        m = len(xs)
+        names = [("XtX", xs[a], xs[b]) for a in range(m) for b in range(m)] + [("XtY", xs[a], ys[b]) for a in range(m) for b in range(k)]
+        lab_rows += [(p, i, *n) for i, n in enumerate(names)]
+    lab = spark.createDataFrame(lab_rows, "p int, i int, mat string, row string, col string")
+    return summed.join(F.broadcast(lab), ["p", "i"]).select("p", "fold", "mat", "row", "col", "value")
+
+
 def solve(gram_rows, cols: Sequence[str], p: int, fold: int = -1) -> np.ndarray:
     """Coefficients ``B`` ((1+pK) x K) from collected Gram rows."""
     xs = regressor_names(cols, p)
@@ -164,8 +214,9 @@ def select_order(df: DataFrame, cols: Sequence[str], order: Sequence[str], max_l
     model forecasts its whole test block from the last p training rows;
     score = mean of fold MSEs (all series); ``rmse`` = sqrt of it.
 
-    Returns ``(p, mean_mse, rmse)``.  One Gram aggregate per order covers
-    all folds; the recursions run as one grouped job over (p, fold).
+    Returns ``(p, mean_mse, rmse)``.  One pass over the lag design gives
+    every order's Gram matrices for all folds; the recursions run as one
+    grouped job over (p, fold).
     """
     spark = df.sparkSession
     base = cut_lineage(with_ordinal(df, order, name="_t"))
@@ -175,14 +226,16 @@ def select_order(df: DataFrame, cols: Sequence[str], order: Sequence[str], max_l
     specs = []
     top = max_lag - 1
     full = cut_lineage(lagged_design(base.drop("_t"), cols, top, order, block_rows, min_t=1))
+    # every order's Gram matrices (all folds) from one pass over the design
+    g_all = gram_orders(full, cols, list(range(1, max_lag)), [s for _, s, _ in bounds]).collect()
+    by_p: dict[int, list] = {}
+    for r in g_all:
+        by_p.setdefault(r["p"], []).append(r)
     for p in range(1, max_lag):
-        keep = ["t", *cols, *[f"L{lag}.{c}" for lag in range(1, p + 1) for c in cols]]
-        design = full.where(F.col("t") >= p).select(*[F.col(qident(c)) for c in keep])
-        g = gram(design, cols, p, [s for _, s, _ in bounds]).collect()
         for fi, (i, s, e) in enumerate(bounds):
             if s <= p + len(cols) * p:
                 continue  # too few training rows for this order
-            B = solve(g, cols, p, fold=fi)
+            B = solve(by_p.get(p, []), cols, p, fold=fi)
             specs.append((p, i, s, e, B.flatten().tolist(), B.shape[0]))
     spec_df = spark.createDataFrame(specs, "p int, fold int, start long, end long, coef array<double>, nrow int")
     # the p rows before every test block: p x K numbers per (p, fold)

@@ -153,7 +153,7 @@ def draw_params(n_iter: int, seed: int = 1234) -> list[dict]:
 
 
 def random_search(df: DataFrame, features: Sequence[str], label: str, order: Sequence[str], candidates: Sequence[dict],
-                  k: int = 5, model: str = "gbt", parallelism: int = 4) -> tuple[DataFrame, PipelineModel]:
+                  k: int = 5, model: str = "gbt", parallelism: int = 8) -> tuple[DataFrame, PipelineModel]:
     """Expanding-window CV (E8) over the candidates; score = mean of
     fold RMSEs (and sqrt of mean MSE); refit the best on all rows.
 
@@ -164,18 +164,21 @@ def random_search(df: DataFrame, features: Sequence[str], label: str, order: Seq
     folds = fold_frames(od, "_o", n, k)
     spark = df.sparkSession
 
-    def score(i_p):
-        i, p = i_p
-        rmses, mses = [], []
-        for tr, te in folds:
-            m = regression_pipeline(features, label, model, params=p).fit(tr)
-            r = regression_metrics(m.transform(te), label, "prediction").first()
-            rmses.append(r["rmse"])
-            mses.append(r["mse"])
-        return (i, str(p), sum(rmses) / len(rmses), (sum(mses) / len(mses)) ** 0.5)
+    def fit_fold(task):
+        i, f = task
+        tr, te = folds[f]
+        m = regression_pipeline(features, label, model, params=candidates[i]).fit(tr)
+        r = regression_metrics(m.transform(te), label, "prediction").first()
+        return i, r["rmse"], r["mse"]
 
+    # every (candidate, fold) fit is an independent Spark job: run them concurrently
+    tasks = [(i, f) for i in range(len(candidates)) for f in range(len(folds))]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(score, enumerate(candidates)))
+        done = list(pool.map(fit_fold, tasks))
+    rows = []
+    for i, p in enumerate(candidates):
+        got = [(rm, ms) for j, rm, ms in done if j == i]
+        rows.append((i, str(p), sum(g[0] for g in got) / len(got), (sum(g[1] for g in got) / len(got)) ** 0.5))
     scores = spark.createDataFrame(rows, "candidate int, params string, mean_rmse double, rmse_of_mean_mse double")
     best = min(rows, key=lambda r: r[2])[0]
     best_model = regression_pipeline(features, label, model, params=candidates[best]).fit(od)

@@ -166,7 +166,7 @@ def q_random_search(spark, sf):
     model budget, all rows kept)."""
     d = cut_lineage(_prep(spark, sf).where(F.col("split") == "train"))
     cands = [dict(c, maxIter=max(5, c["maxIter"] // 20), seed=42) for c in M.draw_params(4, seed=1234)]
-    scores, _ = M.random_search(d, FEATS, "value", ["ordinal"], cands, k=3, model="gbt", parallelism=4)
+    scores, _ = M.random_search(d, FEATS, "value", ["ordinal"], cands, k=3, model="gbt", parallelism=8)
     return scores
 
 

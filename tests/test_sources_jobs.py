@@ -110,3 +110,17 @@ def test_job_chain(spark, tmp_path):
            for l in open(os.path.join(cfg.p("metrics"), f))]
     assert set(rec[0]["metrics"]) == {"mae", "mse", "rmse", "r2", "n_test"}
     assert os.path.isdir(os.path.join(cfg.p("reports"), "describe"))
+
+
+def test_cli_stages(spark, tmp_path):
+    from tests.conftest import SF001
+    from tidewise.__main__ import main
+    from tidewise.plans.q_clean import polluted_named
+    raw = str(tmp_path / "raw.parquet")
+    polluted_named(spark, SF001).write.parquet(raw)
+    root = str(tmp_path / "run")
+    main(["load", "--root", root, "--input", raw, "--model", "linear"], spark=spark)
+    main(["preprocess", "--root", root, "--model", "linear"], spark=spark)
+    main(["train", "--root", root, "--model", "linear"], spark=spark)
+    out = main(["evaluate", "--root", root, "--model", "linear"], spark=spark)
+    assert out["n_test"] > 0

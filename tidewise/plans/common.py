@@ -31,5 +31,3 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def r6(c, digits: int = 6):
-    return F.round(c, digits)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.numbers import to_number
 from ..functions.times import to_ts
@@ -29,5 +28,3 @@ def coerced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
-
-

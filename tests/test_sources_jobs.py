@@ -110,6 +110,8 @@ def test_job_chain(spark, tmp_path):
            for l in open(os.path.join(cfg.p("metrics"), f))]
     assert set(rec[0]["metrics"]) == {"mae", "mse", "rmse", "r2", "n_test"}
     assert os.path.isdir(os.path.join(cfg.p("reports"), "describe"))
+    assert os.path.isdir(os.path.join(cfg.p("reports"), "box_stats"))
+    assert any(n.startswith("histogram_") for n in os.listdir(cfg.p("reports")))
 
 
 def test_cli_stages(spark, tmp_path):

@@ -110,8 +110,9 @@ def write_metrics(metrics_row: DataFrame, path: str) -> None:
 
 def write_profile(df: DataFrame, out_dir: str, value_cols: Sequence[str] | None = None,
                   time_cols: Sequence[str] | None = None) -> list[str]:
-    """The profile reports of 2.D, each written as a Parquet table
-    under ``out_dir``.  Returns the report names."""
+    """The profile reports of 2.D and the data behind the figures
+    (missing values, correlation, box statistics, histograms), each written
+    as a Parquet table under ``out_dir``.  Returns the report names."""
     from ..functions.text import date_like_columns, numeric_columns
     from ..operators import profile as P
     from ..operators.outliers import iqr_fences
@@ -131,6 +132,10 @@ def write_profile(df: DataFrame, out_dir: str, value_cols: Sequence[str] | None
         reports["describe"] = P.describe(df, num)
         reports["correlation"] = P.corr_matrix(df, num)
         reports["outliers"] = iqr_fences(df, num)
+        # figure data: box plot statistics and one trimmed FD histogram per column
+        reports["box_stats"] = P.box_stats(df, num)
+        for c in num:
+            reports[f"histogram_{c}"] = P.histogram(df, c, "fd", (0.01, 0.99))
     text = [c for c in df.columns if c not in num and c not in tcols]
     if text:
         reports["describe_text"] = P.describe_text(df, text)

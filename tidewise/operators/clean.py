@@ -143,9 +143,10 @@ class PreprocessSpec:
 
 
 def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFrame:
-    """Drop mixed -> parse time -> coerce -> require target -> sparse
-    NULL rows -> upper outliers to median -> calendar -> lags -> drop NULL
-    rows -> drop non-finite features -> chronological split flag.
+    """Drop mixed -> parse time -> coerce -> require target ->
+    (optional first row per time stamp) -> sparse NULL rows -> upper
+    outliers to median -> calendar -> lags -> drop NULL rows -> drop
+    non-finite features -> chronological split flag.
 
     Returns every feature, the target, ``ordinal`` and ``split``; the time
     column is dropped as in the reference.

@@ -122,3 +122,9 @@ def test_api_surface_imports_and_adapters(spark):
     for name in ("describe", "ensure_schema", "value_counts", "compare_means", "decompose", "stl", "var_fit", "var_select",
                  "random_split", "fit_series", "drop_rows_null_in_sparse_cols", "trim", "run_all", "read_csv", "clean_stream"):
         assert callable(getattr(tw, name))
+
+
+def test_to_number_overflow_is_not_a_number(spark):
+    df = spark.createDataFrame([("1e400",), ("-2e308",), ("1e-400",), (" -inf ",), ("1e308",)], "s string")
+    got = [r[0] for r in df.select(to_number("s")).collect()]
+    assert got[0] is None and got[1] is None and got[2] == 0.0 and got[3] == -math.inf and got[4] == 1e308

@@ -16,6 +16,7 @@ from .._col import as_col
 
 # Fixed value: grammar of a number that pandas' coercion accepts.
 NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+INF_PATTERN = r"^\s*[+-]?(?i:inf|infinity)\s*$"
 
 # The spellings the cleaning notebook maps to missing before coercion.
 INVALID_TOKENS = [
@@ -37,10 +38,15 @@ def nan_to_null(c) -> Column:
 
 
 def to_number(c) -> Column:
-    """H1: coerce text (or a number) to DOUBLE with pandas' coercion rules."""
+    """H1: coerce text (or a number) to DOUBLE with pandas' coercion rules.
+
+    Like pandas, a finite literal that overflows (``1e400``) is not a
+    number, while the spellings of infinity keep their sign."""
     c = as_col(c)
     txt = c.cast("string")
-    return F.when(txt.rlike(NUMBER_PATTERN), F.trim(txt).try_cast("double"))
+    val = F.trim(txt).try_cast("double")
+    keep = txt.rlike(NUMBER_PATTERN) & (txt.rlike(INF_PATTERN) | (F.abs(val) < F.lit(float("inf"))))
+    return F.when(keep, val)
 
 
 def null_tokens(c, tokens=None) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.numbers import INVALID_TOKENS, NUMBER_PATTERN
+from ..functions.numbers import INF_PATTERN, INVALID_TOKENS, NUMBER_PATTERN
 from .fixtures import DUCK_ORIGINAL_CTE, DUCK_POLLUTED_CTE
 
 _RE2_NUMBER = NUMBER_PATTERN  # same grammar, RE2 accepts the Java form used here
@@ -11,7 +11,9 @@ _TS_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$"
 
 def num(x: str) -> str:
     """H1 in DuckDB."""
-    return f"(CASE WHEN regexp_matches(CAST({x} AS VARCHAR), '{_RE2_NUMBER}') THEN TRY_CAST(trim(CAST({x} AS VARCHAR)) AS DOUBLE) END)"
+    v = f"TRY_CAST(trim(CAST({x} AS VARCHAR)) AS DOUBLE)"
+    return (f"(CASE WHEN regexp_matches(CAST({x} AS VARCHAR), '{_RE2_NUMBER}') AND "
+            f"(regexp_matches(CAST({x} AS VARCHAR), '{INF_PATTERN}') OR isfinite({v})) THEN {v} END)")
 
 
 def ts(x: str) -> str:

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from .._col import as_col
 
-# Fixed value: grammar of a number that pandas' coercion accepts.
-NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
-INF_PATTERN = r"^\s*[+-]?(?i:inf|infinity)\s*$"
+# Fixed value: grammar of a number that pandas' coercion accepts (blanks may
+# pad digits, but not the spellings of infinity).
+NUMBER_PATTERN = r"^(\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*|[+-]?(?i:inf|infinity))$"
+INF_PATTERN = r"^[+-]?(?i:inf|infinity)$"
 
 # The spellings the cleaning notebook maps to missing before coercion.
 INVALID_TOKENS = [

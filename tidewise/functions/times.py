@@ -14,15 +14,43 @@ from .._col import as_col
 RAW_TS_FORMAT = "M/d/yyyy H:m"
 
 
+_FIELD_WIDTH = {"yyyy": r"\d{4}", "MM": r"\d{1,2}", "M": r"\d{1,2}", "dd": r"\d{1,2}", "d": r"\d{1,2}",
+                "HH": r"\d{1,2}", "H": r"\d{1,2}", "mm": r"\d{1,2}", "m": r"\d{1,2}", "ss": r"\d{1,2}", "s": r"\d{1,2}"}
+
+
+def _shape(fmt: str) -> str | None:
+    """Regex of the text a numeric pattern may match, with the field widths
+    of C ``strptime`` (Java's parser takes any number of digits for ``M``,
+    ``d``, ``H``, ``m``, ``s`` and ``yyyy``).  None for other patterns."""
+    out, i = "^", 0
+    while i < len(fmt):
+        for tok in sorted(_FIELD_WIDTH, key=len, reverse=True):
+            if fmt.startswith(tok, i):
+                out += _FIELD_WIDTH[tok]
+                i += len(tok)
+                break
+        else:
+            ch = fmt[i]
+            if ch.isalpha():
+                return None
+            out += "\\" + ch if ch in r".^$*+?()[]{}|\/" else ch
+            i += 1
+    return out + "$"
+
+
 def to_ts(c, fmt: str = RAW_TS_FORMAT, strip: bool = False) -> Column:
     """H4: parse text with one pattern to TIMESTAMP_NTZ; invalid -> NULL.
 
     ``try_to_timestamp`` decides validity; the value is produced by
-    ``to_timestamp_ntz`` so no session time zone is involved.  Padded text
-    is rejected unless ``strip`` (H8) trims it first.
+    ``to_timestamp_ntz`` so no session time zone is involved.  Field widths
+    follow ``strptime`` (a 3-digit minute is invalid).  Padded text is
+    rejected unless ``strip`` (H8) trims it first.
     """
     c = F.trim(as_col(c)) if strip else as_col(c)
     ok = F.try_to_timestamp(c, F.lit(fmt)).isNotNull()
+    shape = _shape(fmt)
+    if shape is not None:
+        ok = ok & c.rlike(shape)
     return F.when(ok, F.to_timestamp_ntz(c, F.lit(fmt)))
 
 

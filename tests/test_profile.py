@@ -110,3 +110,12 @@ def test_describe_two_pass_equals_exact(spark):
     a = sorted(tuple(r) for r in P.describe(df, ["a", "b"]).collect())
     b = sorted(tuple(r) for r in P.describe(df, ["a", "b"], quantile_method="two_pass").collect())
     assert a == b
+
+
+def test_mean_drift_zero_reference_mean(spark):
+    ref = spark.createDataFrame([(-1.0, 10.0), (1.0, 10.0)], "a double, b double")
+    cur = spark.createDataFrame([(2.0, 10.2), (2.0, 10.2)], "a double, b double")
+    got = {r["col_name"]: r for r in P.mean_drift(ref, cur, ["a", "b"]).collect()}
+    assert got["a"]["diff_pct"] is None and got["a"]["status"] == "WARN"
+    assert got["b"]["diff_pct"] == pytest.approx(2.0) and got["b"]["status"] == "OK"
+    assert got["b"]["verdict"] == "similar"  # the average skips the undefined column

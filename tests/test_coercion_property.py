@@ -44,3 +44,15 @@ def test_to_ts_matches_pandas(spark, values):
     for v, g, w in zip(values, got, want):
         w = None if pd.isna(w) else w.to_pydatetime()
         assert g == w, (repr(v), g, w)
+
+
+from tidewise.functions.text import clean_name  # noqa: E402
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=" aZ1_\t", max_size=12))
+def test_clean_name_rule(name):
+    # B1 stated directly: strip, lower, one left-to-right pass turning "  " into " ", then " " into "_"
+    expect = name.strip().lower().replace("  ", " ").replace(" ", "_")
+    assert clean_name(name) == expect
+    assert " " not in clean_name(name)

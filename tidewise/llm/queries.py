@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, minhash, mixing
-from .common import table
+from . import exact, minhash, mixing, packing, tokenstore
+from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +64,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_minhash_neardup")  # no SQL: signatures; tested against all pairs on fixtures
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op1_token_store")  # no SQL: tokenizer and file format; tested against encoding each text
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "tokens")
+    tokenstore.write_store(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenstore.read_documents(spark, folder, docs.select("doc_id"))
+
+
+@query("op10_min_slack_packing")  # no SQL: tokenizer; tested against encoding each text and exhaustive packing
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

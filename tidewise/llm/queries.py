@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, minhash, mixing, packing, tokenstore
+from . import exact, minhash, mixing, packing, sketch, tokenstore
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_min_slack_packing")  # no SQL: tokenizer; tested against encoding each text and exhaustive packing
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op6_scaled_sketch")  # no SQL: Spark's 64-bit hash; tested against a plain version
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(table(spark, sf_dir, "documents"))

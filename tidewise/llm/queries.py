@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact, minhash, mixing, packing, sketch, tokenstore
+from . import exact, minhash, mixing, packing, reshard, sketch, tokenstore
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +82,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_scaled_sketch")  # no SQL: Spark's 64-bit hash; tested against a plain version
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op8_flow_resharding")  # no SQL: a flow decides; tested on its laws and against exhaustive search
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = reshard.read_layout(docs, reshard.reshard(docs, scratch_path(spark, "shards")))
+    text = F.coalesce("text", F.lit(""))
+    return rows.select(
+        "doc_id", (F.octet_length(text) + reshard.EXTRA).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, minhash, mixing, packing, reshard, sketch, tokenstore
+from . import chat, exact, langid, minhash, mixing, packing, reshard, sketch, tokenstore
 from .common import scratch_path, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame([(-1, 0, "user", IMITATION), (-1, 1, "assistant", IMITATION)], rows.schema)
     return chat.digests(stored(chat.format_turns(rows.unionByName(added)), "chats"))
+
+
+@query("op3_language_id")  # no SQL: trained text model; tested on held-out accuracy and a plain fusion
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify_documents(docs, langid.fit_text(docs, "lang"))
+
+
+@query("language_id_pages")  # the same fusion with markup, address suffix and host
+def op3_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.fit_text(table(spark, sf_dir, "documents"), "lang")
+    return langid.identify_pages(table(spark, sf_dir, "pages"), model)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, langid, minhash, mixing, packing, reshard, sketch, tokenstore
+from . import chat, exact, langid, minhash, mixing, packing, reshard, sketch, tokenstore, urls
 from .common import scratch_path, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit_text(table(spark, sf_dir, "documents"), "lang")
     return langid.identify_pages(table(spark, sf_dir, "pages"), model)
+
+
+@query("op4_url_filter")  # no SQL: Viterbi; tested against a plain version
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))

@@ -242,7 +242,7 @@ class TokenStore:
     @staticmethod
     def _order(key):
         """Keys as Spark orders them: null first, strings by their bytes."""
-        return (0, 0) if key is None else (1, key.encode() if isinstance(key, str) else key)
+        return (0, 0) if key is None else (2, key.encode()) if isinstance(key, str) else (1, key)
 
     def shard_of(self, key) -> int:
         """Position in the manifest of the only shard that may hold the key."""

@@ -57,20 +57,6 @@ def test_hash_split_is_stable(spark):
     assert a == b and 120 < a < 280
 
 
-def test_stl_recovers_trend_and_season(spark):
-    from tidewise.operators.timeseries import stl_arrays, stl_decompose
-    t = np.arange(84.0)
-    y = 0.5 * t + 3 * np.sin(2 * np.pi * t / 7)
-    s, tr, r = stl_arrays(y, 7, 13)
-    np.testing.assert_allclose(s + tr + r, y, atol=1e-12)
-    np.testing.assert_allclose(tr[14:-14], 0.5 * t[14:-14], atol=1e-9)
-    import datetime as dt
-    rows = [(g, dt.datetime(2024, 1, 1) + dt.timedelta(days=int(i)), float(v + g)) for g in (1, 2) for i, v in enumerate(y)]
-    df = spark.createDataFrame(rows, "g long, day timestamp_ntz, v double")
-    out = stl_decompose(df, "day", "v", by=["g"], period=7, seasonal=13).toPandas()
-    assert len(out) == 168 and np.allclose(out["seasonal"] + out["trend"] + out["resid"], out["v"])
-
-
 def test_column_diff(spark):
     from tidewise.functions.text import column_diff
     a = spark.createDataFrame([(1, 2)], "x int, y int")

@@ -119,7 +119,7 @@ def test_api_surface_imports_and_adapters(spark):
     assert tw.add_calendar(df, "ts").columns[-3:] == ["hour", "dayofweek", "month"]
     assert tw.features(df, "value") == ["ts"]
     assert tw.time_spine(df, "ts", 3, 10).count() == 3
-    for name in ("describe", "ensure_schema", "value_counts", "compare_means", "decompose", "stl", "var_fit", "var_select",
+    for name in ("describe", "ensure_schema", "value_counts", "compare_means", "decompose", "var_fit", "var_select",
                  "random_split", "fit_series", "drop_rows_null_in_sparse_cols", "trim", "run_all", "read_csv", "clean_stream"):
         assert callable(getattr(tw, name))
 

@@ -80,29 +80,6 @@ def test_clean_is_idempotent_on_its_output(spark):
     assert once.select("ts").distinct().count() == n1
 
 
-def test_two_pass_quantile_method_matches_exact(spark):
-    from tests.conftest import SF001
-    from tidewise.plans.common import coerced, original_events
-    from tidewise.plans.q_clean import polluted_named
-    c = coerced(spark, SF001).select("event_id", "value", "k")
-    a = sorted(tuple(r) for r in O.iqr_fences(c, ["value", "k"]).collect())
-    b = sorted(tuple(r) for r in O.iqr_fences(c, ["value", "k"], quantile_method="two_pass").collect())
-    assert [x[0] for x in a] == [x[0] for x in b]
-    for ra, rb in zip(a, b):
-        assert ra[1:] == pytest.approx(rb[1:], abs=1e-9)
-    ea, _ = O.replace_upper_outliers(c, ["value", "k"])
-    eb, _ = O.replace_upper_outliers(c, ["value", "k"], quantile_method="two_pass")
-    assert sorted(ea.collect()) == sorted(eb.collect())
-    for metric in ("median", "mean"):
-        ha = O.handle_outliers(c, ["value", "k"], "IQR", "replace", metric)
-        hb = O.handle_outliers(c, ["value", "k"], "IQR", "replace", metric, quantile_method="two_pass")
-        assert sorted(ha.collect()) == sorted(hb.collect())
-    spec = CL.CleanSpec(quantile_method="two_pass")
-    ca = CL.clean(polluted_named(spark, SF001), original_events(spark, SF001))
-    cb = CL.clean(polluted_named(spark, SF001), original_events(spark, SF001), spec)
-    assert sorted(ca.collect()) == sorted(cb.collect())
-
-
 def test_clean_flow_idempotent(spark):
     from tests.conftest import SF001
     from tidewise.plans.common import original_events
@@ -126,21 +103,3 @@ def test_preprocess_dedupe_option(spark):
         n = d.count()
         n_test = d.where("split = 'test'").count()
         assert n_test == int(np.ceil(n * 0.3))
-
-
-def test_auto_quantile_method_switches_and_stays_exact(spark, monkeypatch):
-    from tests.conftest import SF001
-    from tidewise.operators import quantiles as Q
-    from tidewise.plans.common import coerced
-    c = coerced(spark, SF001).select("event_id", "value", "k")
-    assert Q.resolve_method(c, ["value", "k"], "auto") == "exact"
-    exact = sorted(tuple(r) for r in O.iqr_fences(c, ["value", "k"], quantile_method="exact").collect())
-    monkeypatch.setattr(Q, "AUTO_EXACT_MAX_DISTINCT", 10)
-    assert Q.resolve_method(c, ["value", "k"], "auto") == "two_pass"
-    auto = sorted(tuple(r) for r in O.iqr_fences(c, ["value", "k"]).collect())
-    for ra, rb in zip(exact, auto):
-        assert ra[0] == rb[0] and ra[1:] == pytest.approx(rb[1:], abs=1e-9)
-    ea, _ = O.replace_upper_outliers(c, ["value", "k"])
-    monkeypatch.setattr(Q, "AUTO_EXACT_MAX_DISTINCT", 10 ** 9)
-    eb, _ = O.replace_upper_outliers(c, ["value", "k"])
-    assert sorted(ea.collect()) == sorted(eb.collect())

@@ -79,21 +79,6 @@ def test_empty_and_all_null_column(spark):
     assert mt[0]["missing_percent"] == 100.0
 
 
-@pytest.mark.parametrize("accuracy", [10000, 50])
-def test_two_pass_quantiles_equal_exact(spark, accuracy):
-    from tidewise.operators.quantiles import quantiles as qq
-    rng = np.random.default_rng(11)
-    a = rng.normal(0, 1, 4000)
-    b = np.where(rng.random(4000) < 0.4, 3.0, rng.integers(0, 50, 4000).astype(float))  # a hot value
-    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
-    probs = (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)
-    ex = {(r["col_name"], r["p"]): r["q"] for r in qq(df, ["a", "b"], probs, "exact", digits=None).collect()}
-    tp = {(r["col_name"], r["p"]): r["q"] for r in qq(df, ["a", "b"], probs, "two_pass", accuracy=accuracy, digits=None).collect()}
-    assert ex.keys() == tp.keys()
-    for k in ex:
-        assert tp[k] == pytest.approx(ex[k], abs=1e-12), k
-
-
 def test_nan_is_missing_in_statistics(spark):
     from tidewise.operators import outliers as O
     df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (3.0,), (None,)], "x double")
@@ -104,14 +89,6 @@ def test_nan_is_missing_in_statistics(spark):
     assert P.corr_matrix(df.withColumn("y", F.col("x") * 2), ["x", "y"]).where("col_a = 'x' AND col_b = 'y'").first()["corr"] == 1.0
 
 
-def test_describe_two_pass_equals_exact(spark):
-    rng = np.random.default_rng(2)
-    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(rng.normal(size=800), rng.integers(0, 9, 800))], "a double, b double")
-    a = sorted(tuple(r) for r in P.describe(df, ["a", "b"]).collect())
-    b = sorted(tuple(r) for r in P.describe(df, ["a", "b"], quantile_method="two_pass").collect())
-    assert a == b
-
-
 def test_mean_drift_zero_reference_mean(spark):
     ref = spark.createDataFrame([(-1.0, 10.0), (1.0, 10.0)], "a double, b double")
     cur = spark.createDataFrame([(2.0, 10.2), (2.0, 10.2)], "a double, b double")

@@ -13,3 +13,8 @@ def as_col(c) -> Column:
 def qident(name: str) -> str:
     """Back-quote a column name for SQL / ``F.expr`` use."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def qtext(value: str) -> str:
+    """A SQL string literal for generated expressions."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -120,17 +120,15 @@ from .operators.profile import (  # noqa: F401  D1-D30
 )
 from .operators.profile import mean_drift as compare_means  # noqa: F401  C4
 from .operators.profile import top_values as value_counts  # noqa: F401  D8
-from .operators.quantiles import quantile_values, quantiles, resolve_method  # noqa: F401  D12
+from .operators.quantiles import quantile_values, quantiles  # noqa: F401  D12
 from .operators.timeseries import (  # noqa: F401  D28, G1, G2, J18, J19
     append_rows,
     day_spine,
     future_spine,
     resample_daily_mean,
     seasonal_decompose,
-    stl_decompose,
 )
 from .operators.timeseries import seasonal_decompose as decompose  # noqa: F401  J18
-from .operators.timeseries import stl_decompose as stl  # noqa: F401  J19
 from .operators.var import fit as var_fit  # noqa: F401  J12
 from .operators.var import forecast as var_forecast  # noqa: F401  J14
 from .operators.var import select_order as var_select  # noqa: F401  J13

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from .._col import as_col
+from .._col import as_col, qident
 
 # Fixed value: the raw table's time pattern (month/day/year hour:minute,
 # one- or two-digit fields accepted).
@@ -54,6 +55,15 @@ def to_ts(c, fmt: str = RAW_TS_FORMAT, strip: bool = False) -> Column:
     return F.when(ok, F.to_timestamp_ntz(c, F.lit(fmt)))
 
 
+def time_column(df: DataFrame, name: str, fmt: str = RAW_TS_FORMAT) -> Column:
+    """H4 by the column's type: time types pass through (as TIMESTAMP_NTZ), text is parsed."""
+    kind = df.schema[name].dataType
+    c = F.col(qident(name))
+    if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
+        return c.cast("timestamp_ntz")
+    return to_ts(c.cast("string"), fmt)
+
+
 def to_ts_multi(c, fmts: Sequence[str]) -> Column:
     """H5: first pattern of a declared list that parses."""
     return F.coalesce(*[to_ts(c, f) for f in fmts])

@@ -13,12 +13,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .._col import qident
 from ..functions.numbers import is_finite, null_tokens, to_number
-from ..functions.times import RAW_TS_FORMAT, calendar_parts, to_ts
+from ..functions.text import under_names
+from ..functions.times import RAW_TS_FORMAT, calendar_parts, time_column
 from .ordered import DEFAULT_BLOCK_ROWS, add_lags, dedupe_first, time_split
 from .outliers import apply_fences, iqr_fences, replace_upper_outliers
+from .quantiles import quantile_values
+from .stats import nan_safe
 
 
 def _c(n: str) -> Column:
@@ -41,22 +45,24 @@ def drop_any_null(df: DataFrame) -> DataFrame:
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:
-    """Drop columns whose non-null count is 0 (one aggregate row)."""
-    counts = df.agg(*[F.count(_c(c)).alias(f"_{i}") for i, c in enumerate(df.columns)]).first()
+    """Drop columns whose non-null count is 0 (one aggregate row; NaN is missing)."""
+    counts = nan_safe(df).agg(*[F.count(_c(c)).alias(f"_{i}") for i, c in enumerate(df.columns)]).first()
     keep = [c for i, c in enumerate(df.columns) if counts[f"_{i}"] > 0]
     return df.select(*[_c(c) for c in keep])
 
 
 def null_rates(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, float]:
-    """Percent NULL per column, from one aggregate row (metadata only)."""
+    """Percent NULL (or NaN) per column, from one aggregate row (metadata only)."""
     cols = list(cols or df.columns)
-    row = df.agg(*[(F.avg(_c(c).isNull().cast("double")) * 100).alias(f"_{i}") for i, c in enumerate(cols)]).first()
+    row = nan_safe(df, cols).agg(*[(F.avg(_c(c).isNull().cast("double")) * 100).alias(f"_{i}") for i, c in enumerate(cols)]).first()
     return {c: (row[f"_{i}"] if row[f"_{i}"] is not None else 0.0) for i, c in enumerate(cols)}
 
 
 def drop_sparse_nulls(df: DataFrame, pct: float = 5.0) -> DataFrame:
     """Columns with NULL rate strictly below ``pct`` % form the subset;
-    rows NULL in any of them are dropped; sparser columns are left alone."""
+    rows NULL in any of them are dropped; sparser columns are left alone.
+    NaN is missing and becomes NULL."""
+    df = nan_safe(df)
     rates = null_rates(df)
     subset = [c for c, r in rates.items() if r < pct]
     return df.dropna(subset=subset) if subset else df
@@ -67,8 +73,8 @@ def null_count(cols: Sequence[str]) -> Column:
 
 
 def drop_rows_min_nulls(df: DataFrame, cols: Sequence[str], k: int = 4) -> DataFrame:
-    """Keep rows with fewer than ``k`` NULLs among ``cols``."""
-    return df.where(null_count(cols) < k)
+    """Keep rows with fewer than ``k`` NULLs (or NaNs) among ``cols``; NaN becomes NULL."""
+    return nan_safe(df, cols).where(null_count(cols) < k)
 
 
 def drop_nonfinite(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -99,7 +105,7 @@ class CleanSpec:
     fence_k: float = 3.0
     fence_floor: float | None = 0.0
     max_nulls: int = 2  # keep rows with fewer NULLs than this among value_cols
-    quantile_method: str = "auto"  # exact percentile below 2M distinct values, two-pass above
+    quantile_method: str = "exact"  # or "approx"
 
 
 def clean(df: DataFrame, reference: DataFrame | None, spec: CleanSpec = CleanSpec()) -> DataFrame:
@@ -109,10 +115,14 @@ def clean(df: DataFrame, reference: DataFrame | None, spec: CleanSpec = CleanSpe
     with too many NULLs.  Fences come from ``reference`` (the original
     table) or, when it is None, from the data itself."""
     vals = list(spec.value_cols)
-    out = drop_columns(df, spec.drop)
+    out = drop_columns(nan_safe(df), spec.drop)
     out = out.withColumns({c: to_number(null_tokens(_c(c).cast("string"))) for c in vals if c in out.columns})
-    out = out.where(_c(spec.raw_ts).isNotNull())
-    out = out.withColumn(spec.ts, to_ts(_c(spec.raw_ts), spec.ts_format)).where(_c(spec.ts).isNotNull())
+    out = out.withColumn(spec.ts, time_column(out, spec.raw_ts, spec.ts_format))
+    if isinstance(df.schema[spec.raw_ts].dataType, StringType):
+        some = out.agg(F.count(_c(spec.raw_ts)), F.count(_c(spec.ts))).first()
+        if some[0] and not some[1]:
+            raise ValueError(f"no value of {spec.raw_ts!r} has the format {spec.ts_format!r}")
+    out = out.where(_c(spec.ts).isNotNull())
     out = dedupe_first(out, [spec.ts], [spec.tiebreak])
     fences = iqr_fences(reference if reference is not None else out, vals, k=spec.fence_k, floor=spec.fence_floor,
                         quantile_method=spec.quantile_method)
@@ -137,7 +147,7 @@ class PreprocessSpec:
     sparse_pct: float = 5.0
     outlier_k: float = 2.0
     block_rows: int = DEFAULT_BLOCK_ROWS
-    quantile_method: str = "auto"  # exact percentile below 2M distinct values, two-pass above
+    quantile_method: str = "exact"  # or "approx"
     dedupe: bool = False  # keep the first row per timestamp (the notebooks do; production does not)
     extra_drop: Sequence[str] = field(default_factory=lambda: ["raw_ts"])
 
@@ -152,29 +162,23 @@ def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFr
     column is dropped as in the reference.
     """
     t = spec.target
-    out = drop_columns(df, spec.drop)
-    out = out.withColumn(spec.ts, to_ts(_c(spec.raw_ts))).transform(lambda d: drop_columns(d, spec.extra_drop))
+    df = under_names(df, [spec.raw_ts, spec.target, *spec.features])
+    out = drop_columns(nan_safe(df), spec.drop)
+    extra = [c for c in spec.extra_drop if c != spec.ts]
+    out = out.withColumn(spec.ts, time_column(out, spec.raw_ts)).transform(lambda d: drop_columns(d, extra))
     coerce_cols = [t] if spec.coerce == "target" else [t, *spec.features]
     out = out.withColumns({c: to_number(_c(c)) for c in coerce_cols})
     out = require(out, [t])
     if spec.dedupe:
         out = dedupe_first(out.where(_c(spec.ts).isNotNull()), [spec.ts], [spec.tiebreak])
     num_cols = [c for c in [t, *spec.features] if c in coerce_cols]
-    # one metadata pass: B12's NULL rates and, for quantile_method="auto",
-    # the cardinality check (the method never changes the numbers, so the
-    # check may see the rows before the B12 drop)
-    rate_aggs = [(F.avg(_c(c).isNull().cast("double")) * 100).alias(f"r{i}") for i, c in enumerate(out.columns)]
-    hll_aggs = [F.approx_count_distinct(_c(c)).alias(f"d{i}") for i, c in enumerate(num_cols)] if spec.quantile_method == "auto" else []
-    meta = out.agg(*rate_aggs, *hll_aggs).first()
-    subset = [c for i, c in enumerate(out.columns) if (meta[f"r{i}"] or 0.0) < spec.sparse_pct]
+    # one metadata pass: B12's NULL rates
+    rates = null_rates(out)
+    if out.columns and rates[spec.ts] == 100.0:
+        raise ValueError(f"no value of {spec.raw_ts!r} is a time")
+    subset = [c for c, r in rates.items() if r < spec.sparse_pct]
     out = out.dropna(subset=subset) if subset else out
-    method = spec.quantile_method
-    if method == "auto":
-        from .quantiles import AUTO_EXACT_MAX_DISTINCT
-
-        worst = max([meta[f"d{i}"] or 0 for i in range(len(num_cols))] or [0])
-        method = "exact" if worst <= AUTO_EXACT_MAX_DISTINCT else "two_pass"
-    out, _ = replace_upper_outliers(out, num_cols, spec.outlier_k, method)
+    out, _ = replace_upper_outliers(out, num_cols, spec.outlier_k, spec.quantile_method)
     out = out.withColumns(calendar_parts(_c(spec.ts)))
     out = add_lags(out, t, list(spec.lags), [spec.ts, spec.tiebreak], block_rows=spec.block_rows)
     out = drop_any_null(out)
@@ -188,14 +192,11 @@ def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFr
 
 def quantile_trim(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99) -> DataFrame:
     """Keep rows with ``q(lo) <= x <= q(hi)`` (inclusive); the two
-    quantiles are one aggregate, applied as literals."""
-    from .stats import nan_safe, percentiles
-
-    x = _c(col)
-    q = nan_safe(df, [col]).agg(percentiles(x.cast("double"), (lo, hi)).alias("q")).first()["q"]
-    if q is None:
+    exact quantiles are applied as literals."""
+    got = quantile_values(df, [col], (lo, hi))
+    if got[col, float(lo)] is None:
         return df.where(F.lit(False))
-    return df.where(x.between(F.lit(q[0]), F.lit(q[1])))
+    return df.where(_c(col).between(F.lit(got[col, float(lo)]), F.lit(got[col, float(hi)])))
 
 
 def threshold_filter(df: DataFrame, col: str, below: float) -> DataFrame:

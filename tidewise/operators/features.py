@@ -63,12 +63,12 @@ class ExactImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParams
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> ExactImputerModel:
-        from .quantiles import quantiles
+        from .quantiles import quantile_values
         from .stats import nan_safe
 
         cols = self.getInputCols()
         d = nan_safe(df.select(*[F.col(qident(c)).cast("double").alias(c) for c in cols]))
-        med = {r["col_name"]: r["q"] for r in quantiles(d, cols, (0.5,), method="auto", digits=None).collect()}
+        med = {c: q for (c, _), q in quantile_values(d, cols, (0.5,)).items()}
         return ExactImputerModel(inputCols=cols, stats=[float("nan") if med.get(c) is None else float(med[c]) for c in cols])
 
 

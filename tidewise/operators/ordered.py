@@ -29,6 +29,7 @@ from ..session import cut_lineage, shuffle_partitions_for
 
 ORD = "_ord"
 DEFAULT_BLOCK_ROWS = 8192  # halo of 168 rows costs ~2 % extra rows
+TOP_ROWS = 100_000  # pages that end by this row are a top-k; later ones go by position (same rows)
 
 
 def _keys(by: Sequence[str], order: Sequence[str]) -> list[Column]:
@@ -47,8 +48,8 @@ def with_ordinal(
 
     With ``by`` the position restarts for each series when ``per_series``;
     otherwise it is the position in the global ``(by, order)`` sort.
-    ``total`` names an optional column holding the row count (known from
-    the per-partition counts, so it costs no extra job).  ``order`` should
+    ``total`` names an optional column holding the row count (of the series,
+    or of the table; known from the per-partition counts).  ``order`` should
     end with a unique tiebreak (an id): tied rows have no defined order.
     """
     by, order = list(by), list(order)
@@ -65,17 +66,25 @@ def with_ordinal(
         offs_rows.append((pid, run))
         run += n
     offs = df.sparkSession.createDataFrame(offs_rows or [(0, 0)], "_pid int, _off long")
-    out = tagged.join(F.broadcast(offs), "_pid").withColumn(name, F.col("_off") + F.col("_loc")).drop(
-        "_pid", "_loc", "_off"
+    out = tagged.join(F.broadcast(offs), "_pid").withColumn(name, F.col("_off") + F.col("_loc")).drop("_loc", "_off")
+    if not (by and per_series):
+        out = out.drop("_pid")
+        return out.withColumn(total, F.lit(run).cast("bigint")) if total else out
+    # one row per series and partition: a series that fills many partitions is
+    # joined in each of them on its own; a NULL series is a series
+    own = out.groupBy("_pid", *[F.col(qident(b)) for b in by]).agg(F.min(name).alias("_m"), F.count(F.lit(1)).alias("_c"))
+    series = Window.partitionBy(*[F.col(qident(b)) for b in by])
+    starts = own.select(
+        F.col("_pid").alias("_spid"), *[F.col(qident(b)).alias(f"_by{k}") for k, b in enumerate(by)],
+        F.min("_m").over(series).alias("_first"), F.sum("_c").over(series).alias("_size"),
     )
+    same = F.col("_pid") == F.col("_spid")
+    for k, b in enumerate(by):
+        same = same & F.col(qident(b)).eqNullSafe(F.col(f"_by{k}"))
+    out = out.join(starts, same).withColumn(name, F.col(name) - F.col("_first"))
     if total:
-        out = out.withColumn(total, F.lit(run).cast("bigint"))
-    if by and per_series:
-        first = out.groupBy(*by).agg(F.min(name).alias("_first"))
-        # one row per series; AQE turns this into a broadcast when it is small
-        # and splits the hot series' partitions otherwise
-        out = out.join(first, by).withColumn(name, F.col(name) - F.col("_first")).drop("_first")
-    return out
+        out = out.withColumn(total, F.col("_size"))
+    return out.drop("_pid", "_spid", "_first", "_size", *[f"_by{k}" for k in range(len(by))])
 
 
 def halo_blocks(df: DataFrame, ord_col: str, before: int, after: int = 0, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
@@ -197,13 +206,7 @@ def dedupe_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Dat
 def time_split(df: DataFrame, test_size: float, order: Sequence[str], by: Sequence[str] = (),
                ordinal: str = "ordinal", flag: str = "split") -> DataFrame:
     """Chronological split: the last ``ceil(n*test_size)`` rows are test."""
-    by = list(by)
-    if by:
-        od = with_ordinal(df, order, by, name=ordinal)
-        n = od.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-        od = od.join(n, by)
-    else:
-        od = with_ordinal(df, order, name=ordinal, total="_n")
+    od = with_ordinal(df, order, list(by), name=ordinal, total="_n")
     n_test = F.ceil(F.col("_n") * F.lit(float(test_size)))
     return od.withColumn(flag, F.when(F.col(ordinal) >= F.col("_n") - n_test, "test").otherwise("train")).drop("_n")
 
@@ -221,11 +224,11 @@ def time_series_folds(df: DataFrame, k: int, order: Sequence[str], ordinal: str
     """Expanding-window folds; each row appears once per fold it is in,
     tagged ``train`` (before the test block) or ``test``."""
     od = with_ordinal(df, order, name=ordinal, total="_n")
-    n = od.select("_n").limit(1)
-    f = n.select(F.explode(fold_bounds(F.col("_n"), k)).alias("f")).select("f.*")
-    j = od.crossJoin(F.broadcast(f))  # k rows
-    role = F.when(F.col(ordinal) < F.col("test_start"), "train").when(F.col(ordinal) < F.col("test_end"), "test")
-    return j.withColumn("role", role).where(F.col("role").isNotNull()).drop("test_start", "test_end", "_n")
+    # only the folds a row is in, in the scan
+    inside = F.filter(fold_bounds(F.col("_n"), k), lambda f: F.col(qident(ordinal)) < f["test_end"])
+    j = od.withColumn("_f", F.explode(inside)).withColumn("fold", F.col("_f.fold"))
+    role = F.when(F.col(qident(ordinal)) < F.col("_f.test_start"), "train").otherwise("test")
+    return j.withColumn("role", role).drop("_f", "_n")
 
 
 def last_n(df: DataFrame, n: int, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -255,6 +258,11 @@ def page(df: DataFrame, order: Sequence[str], page_no: int = 1, size: int = 1000
     """1-based page of ``size`` rows and the total row count."""
     if page_no < 1 or size < 1:
         raise ValueError("page and size must be >= 1")
-    items = df.orderBy(*[F.col(qident(o)).asc_nulls_last() for o in order]).offset((page_no - 1) * size).limit(size)
+    first = (page_no - 1) * size
+    if first + size <= TOP_ROWS:
+        items = df.orderBy(*[F.col(qident(o)).asc_nulls_last() for o in order]).offset(first).limit(size)
+    else:  # a deep page: rows by their position, none but the page's reach one task
+        at = with_ordinal(df, order, name="_at")
+        items = at.where(F.col("_at").between(first, first + size - 1)).orderBy("_at").drop("_at")
     total = df.agg(F.count(F.lit(1)).alias("total"))
     return items, total

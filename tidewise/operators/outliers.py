@@ -1,8 +1,7 @@
 """Outlier statistics and handlers.
 
-Statistics for all columns come from one aggregate (one row); that row is
-broadcast (its size is fixed by the number of columns) and applied as
-column expressions in a single projection.
+Statistics are a few numbers per column; they are applied as literals in a
+single projection.
 """
 
 from __future__ import annotations
@@ -14,56 +13,30 @@ from pyspark.sql import functions as F
 
 from .._col import qident
 from ..session import cut_lineage
-from .stats import fused_long, mode_table, nan_safe, percentiles, value_frequencies
+from .quantiles import quantile_values
+from .stats import mode_table, nan_safe, value_frequencies
 
 
 def _q(c: str) -> Column:
     return F.col(qident(c))
 
 
-def _resolve(df: DataFrame, cols: Sequence[str], method: str) -> str:
-    from .quantiles import resolve_method
-
-    return resolve_method(df, cols, method)
-
-
-def quartile_row(df: DataFrame, cols: Sequence[str], with_median: bool = False, quantile_method: str = "auto") -> DataFrame:
-    """One row: ``{c}__q`` = [q1, q3] (and median) per column, exact.
-
-    ``quantile_method="two_pass"`` gives the same numbers without merging a
-    per-distinct-value map in one task (see ``operators/quantiles.py``)."""
+def quartiles(df: DataFrame, cols: Sequence[str], with_median: bool = False, quantile_method: str = "exact") -> dict[str, list]:
+    """``{column: [q1, q3]}`` (and the median), a few numbers per column; NULLs for a column without values."""
     probs = (0.25, 0.75, 0.5) if with_median else (0.25, 0.75)
-    df = nan_safe(df, cols)
-    quantile_method = _resolve(df, cols, quantile_method)
-    if quantile_method == "exact":
-        return df.agg(*[percentiles(_q(c).cast("double"), probs).alias(f"{c}__q") for c in cols])
-    from .quantiles import quantiles as _quantiles
-
-    long = _quantiles(df, cols, probs, method=quantile_method, digits=None)
-    return long.agg(*[
-        F.array(*[F.max(F.when((F.col("col_name") == c) & (F.col("p") == float(p)), F.col("q"))) for p in probs]).alias(f"{c}__q")
-        for c in cols
-    ])
+    got = quantile_values(df, cols, probs, quantile_method)
+    return {c: [got[c, p] for p in probs] for c in cols}
 
 
 def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 3.0, floor: float | None = 0.0, digits: int | None = None,
-               quantile_method: str = "auto") -> DataFrame:
-    """``(col_name, q1, q3, iqr, lo, hi)``; ``lo`` floored at ``floor``.
-
-    One aggregate for all columns, turned long with ``stack``."""
-    quantile_method = _resolve(nan_safe(df, cols), cols, quantile_method)
-    if quantile_method == "exact":
-        long = fused_long(df, cols, {"q": lambda c: percentiles(c.cast("double"), (0.25, 0.75))})
-    else:
-        row = quartile_row(df, cols, quantile_method=quantile_method)
-        parts = ", ".join(f"'{c}', `{c}__q`" for c in cols)
-        long = row.selectExpr(f"stack({len(cols)}, {parts}) AS (col_name, q)")
-    q1, q3 = F.col("q")[0], F.col("q")[1]
-    iqr = q3 - q1
-    lo = q1 - k * iqr
+               quantile_method: str = "exact") -> DataFrame:
+    """``(col_name, q1, q3, iqr, lo, hi)``; ``lo`` floored at ``floor``."""
+    rows = [(c, *map(lambda v: None if v is None else float(v), q)) for c, q in quartiles(df, cols, quantile_method=quantile_method).items()]
+    long = df.sparkSession.createDataFrame(rows, "col_name string, q1 double, q3 double").withColumn("iqr", F.col("q3") - F.col("q1"))
+    lo = F.col("q1") - k * F.col("iqr")
     if floor is not None:
         lo = F.when(lo < floor, F.lit(float(floor))).otherwise(lo)
-    out = long.select("col_name", q1.alias("q1"), q3.alias("q3"), iqr.alias("iqr"), lo.alias("lo"), (q3 + k * iqr).alias("hi"))
+    out = long.select("col_name", "q1", "q3", "iqr", lo.alias("lo"), (F.col("q3") + k * F.col("iqr")).alias("hi"))
     if digits is not None:
         out = out.select("col_name", *[F.round(x, digits).alias(x) for x in ("q1", "q3", "iqr", "lo", "hi")])
     return out
@@ -128,7 +101,7 @@ def outlier_report(df: DataFrame, cols: Sequence[str], order: str, fences: DataF
 
 
 def replace_upper_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.0,
-                           quantile_method: str = "auto") -> tuple[DataFrame, DataFrame]:
+                           quantile_method: str = "exact") -> tuple[DataFrame, DataFrame]:
     """I1 (+ D29): per column, values above ``q3 + k*iqr`` -> the column's
     median; an all-NULL column or IQR of 0/NULL is left alone.
 
@@ -136,10 +109,10 @@ def replace_upper_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.0,
     statistics row (broadcast) and the counts from one aggregate.
     """
     df = nan_safe(df, cols)
-    row = quartile_row(df, cols, with_median=True, quantile_method=quantile_method).first()  # 3 numbers per column
+    got = quartiles(df, cols, with_median=True, quantile_method=quantile_method)
     masks, outs = {}, {}
     for c in cols:
-        q1, q3, med = (row[f"{c}__q"] or [None, None, None])[:3]
+        q1, q3, med = got[c]
         if q1 is None or q3 is None or q3 - q1 == 0:
             m = F.lit(False)
         else:
@@ -160,34 +133,26 @@ def zscore(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     return df.withColumn(name or f"{col}_z", (_q(col) - _lit(st["_m"])) / _lit(st["_s"]))
 
 
-def _mask_stats(df: DataFrame, cols: Sequence[str], method: str, metric: str | None,
-                quantile_method: str = "auto") -> DataFrame:
+def _mask_stats(df: DataFrame, cols: Sequence[str], method: str, metric: str | None, quantile_method: str = "exact") -> dict:
+    """The few numbers per column that a handler needs: ``{c}__q`` (quartiles) or ``{c}__m``, ``{c}__s``; ``{c}__r`` to replace with."""
+    if method not in ("IQR", "zscore"):
+        raise ValueError(f"unknown method {method!r}")
+    out, aggs = {}, []
     if method == "IQR" or metric == "median":
-        quantile_method = _resolve(df, cols, quantile_method)
-    else:
-        quantile_method = "exact"
-    aggs = []
-    two_pass = quantile_method != "exact"
-    for c in cols:
+        for c, q in quartiles(df, cols, metric == "median", quantile_method).items():
+            out[f"{c}__q"] = q[:2]
+            if metric == "median":
+                out[f"{c}__r"] = q[2]
+    for i, c in enumerate(cols):
         x = _q(c).cast("double")
-        if method == "IQR":
-            if not two_pass:
-                aggs.append(percentiles(x, (0.25, 0.75)).alias(f"{c}__q"))
-        elif method == "zscore":
-            aggs += [F.avg(x).alias(f"{c}__m"), F.stddev_pop(x).alias(f"{c}__s")]
-        else:
-            raise ValueError(f"unknown method {method!r}")
+        if method == "zscore":
+            aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
         if metric == "mean":
-            aggs.append(F.avg(x).alias(f"{c}__r"))
-        elif metric == "median" and not two_pass:
-            aggs.append(F.median(x).alias(f"{c}__r"))
-    row = df.agg(*aggs) if aggs else None
-    if two_pass and (method == "IQR" or metric == "median"):
-        qr = quartile_row(df, cols, with_median=(metric == "median"), quantile_method=quantile_method)
-        if metric == "median":
-            qr = qr.select(*[F.col(f"{c}__q") for c in cols], *[F.col(f"{c}__q")[2].alias(f"{c}__r") for c in cols])
-        row = qr if row is None else row.crossJoin(qr)
-    return row
+            aggs.append(F.avg(x).alias(f"r{i}"))
+    if aggs:
+        row = df.agg(*aggs).first().asDict()
+        out |= {f"{cols[int(name[1:])]}__{name[0]}": v for name, v in row.items()}
+    return out
 
 
 def _mask(c: str, method: str, st: dict, iqr_k: float = 1.5, z: float = 3.0) -> Column:
@@ -206,7 +171,7 @@ def _mask(c: str, method: str, st: dict, iqr_k: float = 1.5, z: float = 3.0) ->
 
 
 def handle_outliers(df: DataFrame, cols: Sequence[str], method: str = "IQR", action: str = "drop",
-                    metric: str | None = None, sequential: bool = False, quantile_method: str = "auto") -> DataFrame:
+                    metric: str | None = None, sequential: bool = False, quantile_method: str = "exact") -> DataFrame:
     """I4: IQR (1.5) or |z| > 3 outliers, dropped or replaced by the
     column's mean / median / mode (taken before replacement).
 
@@ -225,15 +190,11 @@ def handle_outliers(df: DataFrame, cols: Sequence[str], method: str = "IQR", act
             if i < len(cols) - 1:
                 cur = cut_lineage(cur)
         return cur
-    st = _mask_stats(df, cols, method, metric if action == "replace" else None, quantile_method)
+    row = _mask_stats(df, cols, method, metric if action == "replace" else None, quantile_method)
     if action == "replace" and metric == "mode":
         freq = value_frequencies(df.select(*[_q(c).cast("double").alias(c) for c in cols]), cols)
-        freq = freq.withColumn("value", F.col("value").cast("double"))
-        modes = mode_table(freq)
-        mrow = modes.agg(*[F.max(F.when(F.col("col_name") == c, F.col("top"))).alias(f"{c}__r") for c in cols])
-        st = st.crossJoin(mrow) if st is not None else mrow
-    # one row of statistics (a few numbers per column), applied as literals
-    row = st.first().asDict() if st is not None else {}
+        modes = mode_table(freq.withColumn("value", F.col("value").cast("double")))
+        row |= {f"{r['col_name']}__r": r["top"] for r in modes.collect()}  # one row per column
     if action == "drop":
         keep = F.lit(True)
         for c in cols:
@@ -243,3 +204,14 @@ def handle_outliers(df: DataFrame, cols: Sequence[str], method: str = "IQR", act
         return df.withColumns({c: F.when(_mask(c, method, row), _lit(row.get(f"{c}__r"))).otherwise(_q(c).cast("double"))
                                for c in cols})
     raise ValueError(f"unknown action {action!r}")
+
+
+def outlier_counts(df: DataFrame, cols: Sequence[str], method: str = "IQR", quantile_method: str = "exact") -> DataFrame:
+    """I4's report: ``(col_name, total, outliers, percent)``; total counts the non-null values."""
+    cols = list(cols)
+    df = nan_safe(df, cols)
+    row = _mask_stats(df, cols, method, None, quantile_method)
+    counts = df.agg(*[x for i, c in enumerate(cols) for x in (F.count(_q(c)).alias(f"t{i}"), F.count_if(_mask(c, method, row)).alias(f"o{i}"))]).first()
+    rows = [(c, counts[f"t{i}"], counts[f"o{i}"]) for i, c in enumerate(cols)]
+    out = df.sparkSession.createDataFrame(rows, "col_name string, total long, outliers long")
+    return out.withColumn("percent", F.when(F.col("total") > 0, F.round(F.col("outliers") * 100 / F.col("total"), 6)))

@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .._col import qident
+from .._col import qident, qtext
 from .stats import (
     fused_long,
     nan_safe,
     mode_table,
-    percentiles,
     safe_corr,
     sample_kurtosis,
     sample_skewness,
@@ -106,11 +105,10 @@ def top_values(df: DataFrame, col: str, k: int = 10) -> DataFrame:
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 
 
-def describe(df: DataFrame, cols: Sequence[str], digits: int = 6, quantile_method: str = "auto") -> DataFrame:
-    """Count, mean, std (n-1), min, 25/50/75 % (interpolated), max.
+def describe(df: DataFrame, cols: Sequence[str], digits: int = 6, quantile_method: str = "exact") -> DataFrame:
+    """Count, mean, std (n-1), min, 25/50/75 % (interpolated), max."""
+    from .quantiles import quantile_values
 
-    ``quantile_method="two_pass"`` takes the quartiles from the scalable
-    exact method instead of ``percentile`` (same numbers)."""
     stats = {
         "count": lambda c: F.count(c),
         "mean": lambda c: F.avg(c),
@@ -118,18 +116,9 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int = 6, quantile_metho
         "min": lambda c: F.min(c).cast("double"),
         "max": lambda c: F.max(c).cast("double"),
     }
-    from .quantiles import resolve_method
-
-    quantile_method = resolve_method(nan_safe(df, cols), cols, quantile_method)
-    if quantile_method == "exact":
-        stats["q"] = lambda c: percentiles(c.cast("double"), DESCRIBE_PROBS)
-        long = fused_long(df, cols, stats)
-    else:
-        from .quantiles import quantiles as _quantiles
-
-        qs = _quantiles(df, cols, DESCRIBE_PROBS, method=quantile_method, digits=None)
-        qarr = qs.groupBy("col_name").agg(F.array(*[F.max(F.when(F.col("p") == p, F.col("q"))) for p in DESCRIBE_PROBS]).alias("q"))
-        long = fused_long(df, cols, stats).join(F.broadcast(qarr), "col_name")  # one row per column
+    got = quantile_values(df, cols, DESCRIBE_PROBS, quantile_method)
+    quartiles = df.sparkSession.createDataFrame([(c, [got[c, p] for p in DESCRIBE_PROBS]) for c in cols], "col_name string, q array<double>")
+    long = fused_long(df, cols, stats).join(F.broadcast(quartiles), "col_name")  # one row per column
     r = lambda c: F.round(c, digits)
     return long.select(
         "col_name",
@@ -177,11 +166,9 @@ def info(df: DataFrame) -> DataFrame:
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], digits: int = 6) -> DataFrame:
     """Exact interpolated quantiles, ``(column, p, q)``."""
-    long = fused_long(df, cols, {"q": lambda c: percentiles(c.cast("double"), probs)})
-    pr = F.array(*[F.lit(float(p)) for p in probs])
-    return long.select("col_name", F.arrays_zip(pr.alias("p"), F.col("q").alias("q")).alias("z")).select(
-        "col_name", F.explode("z").alias("z")
-    ).select("col_name", F.col("z.p").alias("p"), F.round(F.col("z.q"), digits).alias("q"))
+    from .quantiles import quantiles as any_quantiles
+
+    return any_quantiles(df, cols, probs, digits=digits)
 
 
 def moments(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
@@ -190,8 +177,8 @@ def moments(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     return long.select("col_name", F.round("skewness", digits).alias("skewness"), F.round("kurtosis", digits).alias("kurtosis"))
 
 
-def central_stats(df: DataFrame, cols: Sequence[str], digits: int = 6, quantile_method: str = "auto") -> DataFrame:
-    """Mean, median (exact, ``auto`` method) and mode (smallest of the
+def central_stats(df: DataFrame, cols: Sequence[str], digits: int = 6, quantile_method: str = "exact") -> DataFrame:
+    """Mean, median (exact) and mode (smallest of the
     most frequent)."""
     from .quantiles import quantile_values
 
@@ -222,18 +209,18 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFram
     wide = df.agg(*aggs)
     parts = []
     for i, (a, b) in enumerate(pairs):
-        parts += [f"'{a}'", f"'{b}'", f"_c{i}", f"'{b}'", f"'{a}'", f"_c{i}"]
+        parts += [qtext(a), qtext(b), f"_c{i}", qtext(b), qtext(a), f"_c{i}"]
     for i, c in enumerate(cols):
-        parts += [f"'{c}'", f"'{c}'", f"CASE WHEN _s{i} > 0 THEN 1.0D END"]
+        parts += [qtext(c), qtext(c), f"CASE WHEN _s{i} > 0 THEN 1.0D END"]
     n = 2 * len(pairs) + len(cols)
     long = wide.selectExpr(f"stack({n}, {', '.join(parts)}) AS (col_a, col_b, corr)")
     return long.select("col_a", "col_b", F.round("corr", digits).alias("corr"))
 
 
-def box_stats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int = 6, quantile_method: str = "auto") -> DataFrame:
+def box_stats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int = 6, quantile_method: str = "exact") -> DataFrame:
     """Quartiles, mean, whisker ends (extreme points inside 1.5 IQR), flier count.
 
-    Quartiles are exact (``auto`` method) and enter the second aggregate as
+    Quartiles are exact and enter the second aggregate as
     literals; whiskers and fliers are one conditional aggregate."""
     from .quantiles import quantile_values
 
@@ -257,7 +244,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int
 
     parts = []
     for i, c in enumerate(cols):
-        parts += [f"'{c}'", lit(qv.get((c, 0.25))), lit(qv.get((c, 0.5))), lit(qv.get((c, 0.75))), f"m{i}", f"lo{i}", f"hi{i}", f"f{i}"]
+        parts += [qtext(c), lit(qv.get((c, 0.25))), lit(qv.get((c, 0.5))), lit(qv.get((c, 0.75))), f"m{i}", f"lo{i}", f"hi{i}", f"f{i}"]
     long = row.selectExpr(f"stack({len(cols)}, {', '.join(parts)}) AS (col_name, q1, median, q3, mean, whisker_lo, whisker_hi, n_fliers)")
     return long.select("col_name", *[F.round(c, digits).alias(c) for c in ("q1", "median", "q3", "mean", "whisker_lo", "whisker_hi")],
                        "n_fliers")
@@ -343,7 +330,7 @@ def _bin_index(x, mn, mx, nb):
 
 
 def histogram(df: DataFrame, col: str, bins: int | str = "fd", trim: tuple[float, float] | None = (0.01, 0.99), digits: int = 6,
-              quantile_method: str = "auto") -> DataFrame:
+              quantile_method: str = "exact") -> DataFrame:
     """``(bin, lo, hi, n)``.
 
     ``bins="fd"``: optional inclusive quantile trim, Freedman-Diaconis width
@@ -359,7 +346,8 @@ def histogram(df: DataFrame, col: str, bins: int | str = "fd", trim: tuple[float
 
     spark = df.sparkSession
     x = F.col(qident(col)).cast("double")
-    data = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    # infinite values have no bin: they are left out, as NULL and NaN are
+    data = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") < float("inf")))
     empty = spark.createDataFrame([], "bin long, lo double, hi double, n long")
     if trim is not None:
         qv = quantile_values(data, ["x"], trim, quantile_method)

@@ -1,156 +1,97 @@
-"""Quantile strategies (D12 at scale).
-
-* ``exact``: Spark ``percentile`` (linear interpolation at ``p*(n-1)``).  It
-  keeps one counter per distinct value and merges them in one final task,
-  so it suits columns up to ~10^7 distinct values.
-* ``two_pass``: exact for any size.  Pass 1 brackets every target rank with
-  ``percentile_approx(p +- 2/accuracy)`` and counts the rows below and
-  inside each bracket (one aggregate).  Pass 2 sorts only the bracket rows
-  (a range-partitioned sort, so even a bracket holding a third of the data
-  is spread over tasks) and reads the two ranks around ``p*(n-1)``.  If a
-  bracket misses its ranks (the sketch's guarantee failed) it widens to the
-  whole column, so the answer stays exact.
-* ``approx``: ``percentile_approx`` (an observed value, not interpolated).
+"""Quantiles (D12 and everything built on them).
+
+``exact`` (the only exact path, any size): the rows are reduced to a frequency
+table (column, value, count; combined map-side, so a value that fills the table
+costs one row per task), the distinct values are range-sorted, and the counts
+per range partition (one number per partition and column) tell in which
+partition each wanted rank lies.  Only those partitions take a running sum.
+No task ever holds a column's values or the rows of one value.  The result is
+the linear interpolation at ``p * (n - 1)``, unrounded unless asked.
+
+``approx``: ``percentile_approx`` (an observed value, not interpolated).
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._col import qident
-from .ordered import with_ordinal
-from .profile import quantiles as exact_quantiles
+from ..session import cut_lineage, shuffle_partitions_for
+from .stats import nan_safe
 
 
-# Above this many distinct values (HyperLogLog estimate) ``auto`` leaves
-# ``percentile`` (whose final task holds one counter per distinct value).
-AUTO_EXACT_MAX_DISTINCT = 2_000_000
+def _as_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns by number (``_0``, ``_1``, ...), as doubles, NaN as NULL."""
+    return nan_safe(df.select(*[F.col(qident(c)).cast("double").alias(f"_{i}") for i, c in enumerate(cols)]))
 
 
-def resolve_method(df: DataFrame, cols: Sequence[str], method: str) -> str:
-    """``auto`` -> ``exact`` when every column has at most
-    ``AUTO_EXACT_MAX_DISTINCT`` distinct values (one HyperLogLog pass),
-    else ``two_pass``.  Other methods pass through."""
-    if method != "auto":
-        return method
-    cols = list(cols)
-    if not cols:
-        return "exact"
-    row = df.agg(*[F.approx_count_distinct(F.col(qident(c))).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-    worst = max((row[f"d{i}"] or 0) for i in range(len(cols)))
-    return "exact" if worst <= AUTO_EXACT_MAX_DISTINCT else "two_pass"
+def frequency_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(key, x, n)``: how often each non-null value of column number ``key`` occurs."""
+    cells = F.array(*[F.struct(F.lit(i).alias("key"), F.col(f"_{i}").alias("x")) for i in range(len(cols))])
+    long = _as_double(df, cols).select(F.explode(cells).alias("t")).select("t.*").where("x IS NOT NULL")
+    return long.groupBy("key", "x").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "exact",
-              accuracy: int = 10000, digits: int | None = 6) -> DataFrame:
-    """``(col_name, p, q)`` for every column and probability."""
-    method = resolve_method(df, cols, method)
-    if method == "exact":
-        return exact_quantiles(df, cols, probs, digits=digits if digits is not None else 15)
+def _interpolate(lo: float, hi: float, frac: float) -> float:
+    return lo if lo == hi else (1 - frac) * lo + frac * hi
+
+
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "exact", accuracy: int = 10000) -> dict:
+    """``{(column, p): q}``, NULL for a column without values; for use as literals."""
+    cols, probs = list(cols), [float(p) for p in probs]
+    if not cols:
+        return {}
     if method == "approx":
-        aggs = [F.percentile_approx(F.col(qident(c)).cast("double"), [float(p) for p in probs], accuracy).alias(f"a{i}")
-                for i, c in enumerate(cols)]
-        row = df.agg(*aggs)
-        parts = []
-        for i, c in enumerate(cols):
-            for j, p in enumerate(probs):
-                parts.append(row.select(F.lit(c).alias("col_name"), F.lit(float(p)).alias("p"), F.col(f"a{i}")[j].alias("q")))
-        out = parts[0]
-        for x in parts[1:]:
-            out = out.unionByName(x)
-        return out if digits is None else out.withColumn("q", F.round("q", digits))
-    if method == "two_pass":
-        return _two_pass(df, cols, probs, accuracy, digits)
-    raise ValueError(f"unknown method {method!r}")
-
-
-def _two_pass(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int, digits: int | None) -> DataFrame:
-    spark = df.sparkSession
-    d = 2.0 / accuracy
-    keys = [(c, float(p)) for c in cols for p in probs]
-    # pass 1a: counts and brackets, one aggregate
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(qident(c)).cast("double")
-        lo_hi = []
+        aggs = [F.percentile_approx(f"_{i}", probs, accuracy).alias(f"a{i}") for i in range(len(cols))]
+        row = _as_double(df, cols).agg(*aggs).first()
+        return {(c, p): (row[i][j] if row[i] is not None else None) for i, c in enumerate(cols) for j, p in enumerate(probs)}
+    if method != "exact":
+        raise ValueError(f"unknown quantile method {method!r}")
+    parts = shuffle_partitions_for(df.select(*[F.col(qident(c)) for c in cols]))
+    ranged = frequency_table(df, cols).repartitionByRange(parts, "key", "x").withColumn("pid", F.spark_partition_id())
+    ranged = cut_lineage(ranged)
+    # one number per partition and column: where each partition begins in its column
+    held: dict[int, list] = {}
+    for r in ranged.groupBy("key", "pid").agg(F.sum("n").alias("n")).collect():
+        held.setdefault(r["key"], []).append((r["pid"], r["n"]))
+    wanted, base = [], {}
+    for key, own in held.items():
+        own.sort()
+        ends = list(accumulate(n for _, n in own))
+        base.update({(key, pid): end - n for (pid, n), end in zip(own, ends)})
         for p in probs:
-            lo_hi += [max(0.0, p - d), min(1.0, p + d)]
-        aggs += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, lo_hi, accuracy).alias(f"b{i}"),
-                 F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}")]
-    st = df.agg(*aggs).first()  # metadata: 4 numbers per column and probability
-    spec = []
+            at = p * (ends[-1] - 1)
+            for rank in {math.floor(at), math.ceil(at)}:
+                pid = own[bisect_right(ends, rank)][0]
+                wanted.append((key, pid, rank, rank - base[key, pid]))
+    found = {}
+    if wanted:
+        # at most two ranks per column and probability
+        ranks = df.sparkSession.createDataFrame(wanted, "key int, pid int, rank long, local long")
+        run = Window.partitionBy("key", "pid").orderBy("x")
+        near = ranged.join(F.broadcast(ranks.select("key", "pid").distinct()), ["key", "pid"]).withColumn("upto", F.sum("n").over(run))
+        hit = near.join(F.broadcast(ranks), ["key", "pid"]).where("local < upto AND local >= upto - n")
+        found = {(r["key"], r["rank"]): r["x"] for r in hit.select("key", "rank", "x").collect()}
+    out = {}
     for i, c in enumerate(cols):
-        n = st[f"n{i}"]
-        for j, p in enumerate(probs):
-            if not n:
-                spec.append([c, float(p), None, None, 0, 0, 0.0])
-                continue
-            pos = p * (n - 1)
-            lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            a, b = st[f"b{i}"][2 * j], st[f"b{i}"][2 * j + 1]
-            spec.append([c, float(p), a, b, lo_r, hi_r, pos - lo_r])
-    # pass 1b: rows below / inside each bracket, one aggregate; widen on a miss
-    def counts(sp):
-        ex = []
-        for k, (c, p, a, b, *_rest) in enumerate(sp):
-            x = F.col(qident(c)).cast("double")
-            if a is None:
-                ex += [F.lit(0).alias(f"lt{k}"), F.lit(0).alias(f"in{k}")]
-            else:
-                ex += [F.count_if(x < a).alias(f"lt{k}"), F.count_if((x >= a) & (x <= b)).alias(f"in{k}")]
-        return df.agg(*ex).first()
-    cnt = counts(spec)
-    missed = False
-    for k, s in enumerate(spec):
-        c, p, a, b, lo_r, hi_r, _ = s
-        if a is None:
-            continue
-        if not (cnt[f"lt{k}"] <= lo_r and cnt[f"lt{k}"] + cnt[f"in{k}"] > hi_r):
-            i = list(cols).index(c)
-            s[2], s[3] = st[f"mn{i}"], st[f"mx{i}"]
-            missed = True
-    if missed:
-        cnt = counts(spec)
-    # pass 2: only bracket rows, tagged with their key, sorted per key
-    tagged = df.select(F.explode(F.array(*[
-        F.struct(F.lit(k).alias("key"), F.col(qident(c)).cast("double").alias("x"))
-        for k, (c, p, a, b, *_r) in enumerate(spec) if a is not None
-    ])).alias("t")).select("t.*")
-    inside = F.lit(False)
-    for k, (c, p, a, b, *_r) in enumerate(spec):
-        if a is not None:
-            inside = inside | ((F.col("key") == k) & (F.col("x") >= a) & (F.col("x") <= b))
-    brk = tagged.where(inside)
-    # one global sort of all brackets by (key, x); a key's rows start after the
-    # bracket sizes of the keys before it (known from pass 1b)
-    ranked = with_ordinal(brk, ["x"], by=["key"], name="r", per_series=False)
-    rows, start = [], 0
-    for k, s in enumerate(spec):
-        if s[2] is None:
-            continue
-        below = cnt[f"lt{k}"]
-        rows.append((k, s[0], s[1], start + s[4] - below, start + s[5] - below, s[6]))
-        start += cnt[f"in{k}"]
-    sel = spark.createDataFrame(rows, "key int, col_name string, p double, r_lo long, r_hi long, frac double")
-    j = ranked.join(F.broadcast(sel), "key").where((F.col("r") == F.col("r_lo")) | (F.col("r") == F.col("r_hi")))
-    v = j.groupBy("key", "col_name", "p", "frac").agg(
-        F.max(F.when(F.col("r") == F.col("r_lo"), F.col("x"))).alias("v_lo"),
-        F.max(F.when(F.col("r") == F.col("r_hi"), F.col("x"))).alias("v_hi"))
-    # same interpolation formula as Spark's percentile
-    q = F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(
-        (1 - F.col("frac")) * F.col("v_lo") + F.col("frac") * F.col("v_hi"))
-    out = v.select("col_name", "p", q.alias("q"))
-    empty = [(s[0], s[1]) for s in spec if s[2] is None]
-    if empty:
-        out = out.unionByName(spark.createDataFrame([(c, p, None) for c, p in empty], "col_name string, p double, q double"))
-    return out if digits is None else out.withColumn("q", F.round("q", digits))
+        n = sum(k for _, k in held.get(i, []))
+        for p in probs:
+            at = p * (n - 1)
+            lo = math.floor(at)
+            out[c, p] = _interpolate(found[i, lo], found[i, math.ceil(at)], at - lo) if n else None
+    return out
 
 
-def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "auto") -> dict:
-    """``{(column, p): q}`` (exact, interpolated), for use as literals."""
-    out = quantiles(df, cols, probs, method=method, digits=None).collect()
-    return {(r["col_name"], float(r["p"])): r["q"] for r in out}
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "exact",
+              accuracy: int = 10000, digits: int | None = 6) -> DataFrame:
+    """``(col_name, p, q)`` for every column and probability."""
+    got = quantile_values(df, cols, probs, method, accuracy)
+    rows = [(c, p, None if q is None else float(q)) for (c, p), q in got.items()]
+    out = df.sparkSession.createDataFrame(rows, "col_name string, p double, q double")
+    return out if digits is None else out.withColumn("q", F.round("q", digits))

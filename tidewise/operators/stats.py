@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from .._col import qident
+from .._col import qident, qtext
 
 
 def nan_safe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -54,7 +54,7 @@ def fused_long(
     wide = df.agg(*aggs)
     parts = []
     for i, c in enumerate(cols):
-        parts.append("'" + c.replace("'", "\\'") + "'")
+        parts.append(qtext(c))
         parts.extend(f"_s{i}_{j}" for j in range(len(keys)))
     out_names = ", ".join([qident(name_col)] + [qident(k) for k in keys])
     return wide.selectExpr(f"stack({len(cols)}, {', '.join(parts)}) AS ({out_names})")
@@ -65,11 +65,6 @@ def unpivot(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str =
     return df.unpivot(list(ids), list(cols), name, value)
 
 
-def percentiles(c: Column, probs: Sequence[float]) -> Column:
-    """Exact, linearly interpolated percentiles (pandas / NumPy ``linear``)."""
-    return F.percentile(c, F.array(*[F.lit(float(p)) for p in probs]))
-
-
 def sample_skewness(c: Column) -> Column:
     """Adjusted Fisher-Pearson G1 from Spark's population g1."""
     n = F.count(c).cast("double")

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._col import qident
@@ -14,6 +12,9 @@ from ..functions.times import day_start
 from .ordered import DEFAULT_BLOCK_ROWS, centered_mean_expr, windowed
 
 
+STRETCH = 20  # ordinals are joined in stretches of 2**20
+
+
 def future_spine(df: DataFrame, ts: str, periods: int, minutes: int) -> DataFrame:
     """``periods`` stamps every ``minutes`` after the last ``ts``:
     ``(step, ts)``; the start comes from one aggregate."""
@@ -45,6 +46,14 @@ def resample_daily_mean(df: DataFrame, ts: str, cols: Sequence[str], name: str =
     return day_spine(df, ts, name).join(agg, name, "left")
 
 
+def _same_series(by: Sequence[str]) -> Column:
+    """Null-safe equality of the series columns with ``_s0``, ``_s1``, ..."""
+    same = F.lit(True)
+    for k, b in enumerate(by):
+        same = same & F.col(qident(b)).eqNullSafe(F.col(f"_s{k}"))
+    return same
+
+
 def seasonal_decompose(df: DataFrame, col: str, period: int, order: Sequence[str], by: Sequence[str] = (),
                        block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Additive decomposition (moving-average method).
@@ -60,111 +69,25 @@ def seasonal_decompose(df: DataFrame, col: str, period: int, order: Sequence[str
                     block_rows=block_rows, keep_ordinal="_g")
     # position within the series: global ordinal minus the series' first one
     if by:
-        first = base.groupBy(*by).agg(F.min("_g").alias("_g0"))
-        base = base.join(first, by).withColumn("ordinal", F.col("_g") - F.col("_g0")).drop("_g", "_g0")
+        # per series and stretch of ordinals, so that a hot series is joined in many parts; NULL is a series
+        chunk = F.shiftright(F.col("_g"), STRETCH)
+        series = Window.partitionBy(*[F.col(f"_s{k}") for k in range(len(by))])
+        own = base.groupBy(*[F.col(qident(b)).alias(f"_s{k}") for k, b in enumerate(by)], chunk.alias("_sc")).agg(F.min("_g").alias("_m"))
+        own = own.withColumn("_g0", F.min("_m").over(series)).drop("_m")
+        base = base.join(own, _same_series(by) & (chunk == F.col("_sc"))).withColumn("ordinal", F.col("_g") - F.col("_g0"))
+        base = base.drop("_g", "_g0", "_sc", *[f"_s{k}" for k in range(len(by))])
     else:
         base = base.withColumnRenamed("_g", "ordinal")
     base = base.withColumn("_phase", F.pmod(F.col("ordinal"), F.lit(period)))
     det = F.col(qident(col)) - F.col("trend")
-    means = base.groupBy(*by, "_phase").agg(F.avg(det).alias("_pm"))
+    keys = [F.col(qident(b)).alias(f"_s{k}") for k, b in enumerate(by)]
+    means = base.groupBy(*keys, F.col("_phase").alias("_sp")).agg(F.avg(det).alias("_pm"))
     # at most ``period`` rows per series
-    centred = means.withColumn("seasonal", F.col("_pm") - F.avg("_pm").over(Window.partitionBy(*by))).drop("_pm")
+    level = Window.partitionBy(*[F.col(f"_s{k}") for k in range(len(by))])
+    centred = means.withColumn("seasonal", F.col("_pm") - F.avg("_pm").over(level)).drop("_pm")
     # ``period`` rows for one series: broadcast (size fixed by the period);
     # with many series the table has period x series rows and AQE decides
     centred = centred if by else F.broadcast(centred)
-    out = base.join(centred, [*by, "_phase"], "left").drop("_phase")
+    out = base.join(centred, _same_series(by) & (F.col("_phase") == F.col("_sp")), "left")
+    out = out.drop("_phase", "_sp", *[f"_s{k}" for k in range(len(by))])
     return out.withColumn("resid", F.col(qident(col)) - F.col("trend") - F.col("seasonal"))
-
-
-# ---------------------------------------------------------------- STL
-
-def _next_odd(x: float) -> int:
-    n = int(np.ceil(x))
-    return n if n % 2 == 1 else n + 1
-
-
-def _loess(y: np.ndarray, q: int, xs: np.ndarray) -> np.ndarray:
-    """Local-linear LOESS of ``y`` (at positions 0..n-1) evaluated at ``xs``
-    with the ``q`` nearest points and tricube weights (Cleveland et al.)."""
-    n = len(y)
-    pos = np.arange(n, dtype=float)
-    out = np.empty(len(xs))
-    q_eff = min(q, n)
-    for i, x in enumerate(xs):
-        left = int(min(max(0, np.floor(x - (q_eff - 1) / 2)), n - q_eff))
-        right = left + q_eff - 1
-        h = max(x - left, right - x)
-        if q > n:
-            h += (q - n) // 2
-        r = np.abs(pos[left:right + 1] - x)
-        w = np.where(r <= 0.999 * h, np.where(r <= 0.001 * h, 1.0, (1 - (r / max(h, 1e-12)) ** 3) ** 3), 0.0)
-        if w.sum() <= 0:
-            out[i] = y[int(np.clip(round(x), 0, n - 1))]
-            continue
-        w = w / w.sum()
-        xx = pos[left:right + 1]
-        a = (w * xx).sum()
-        c = (w * (xx - a) ** 2).sum()
-        if h > 0 and np.sqrt(c) > 0.001 * (n - 1):
-            w = w * ((x - a) / c * (xx - a) + 1.0)
-        out[i] = (w * y[left:right + 1]).sum()
-    return out
-
-
-def _moving_average(x: np.ndarray, k: int) -> np.ndarray:
-    c = np.cumsum(np.concatenate([[0.0], x]))
-    return (c[k:] - c[:-k]) / k
-
-
-def stl_arrays(y: np.ndarray, period: int, seasonal: int = 7, trend: int | None = None, low_pass: int | None = None,
-               inner: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Non-robust STL (Cleveland et al. 1990): seasonal, trend, residual."""
-    y = np.asarray(y, dtype=float)
-    n = len(y)
-    ns = max(3, seasonal | 1)
-    nt = trend or _next_odd(1.5 * period / (1 - 1.5 / ns))
-    nl = low_pass or _next_odd(period + 1)
-    T = np.zeros(n)
-    S = np.zeros(n)
-    for _ in range(inner):
-        d = y - T
-        C = np.zeros(n + 2 * period)
-        for j in range(period):
-            sub = d[j::period]
-            m = len(sub)
-            if m == 0:
-                continue
-            sm = _loess(sub, ns, np.arange(-1, m + 1, dtype=float))
-            C[j::period][: m + 2] = sm  # positions j, j+p, ... in the extended series
-        L = _moving_average(_moving_average(_moving_average(C, period), period), 3)
-        L = _loess(L, nl, np.arange(len(L), dtype=float))
-        S = C[period:period + n] - L[:n]
-        T = _loess(y - S, nt, np.arange(n, dtype=float))
-    return S, T, y - S - T
-
-
-def stl_decompose(df: DataFrame, ts: str, value: str, by: Sequence[str] = (), period: int = 7, seasonal: int = 13) -> DataFrame:
-    """STL per series, each series handled by one grouped
-    ``applyInPandas`` task.  Meant for resampled input (D28: one row per
-    series and day), so a group's size is bounded by the calendar span, not
-    by the raw row count; resample first when starting from raw rows.
-    Adds ``seasonal, trend, resid``; series shorter than two periods get
-    NULLs."""
-    by = list(by)
-    keyed = df if by else df.withColumn("_series", F.lit(0))
-    keys = by or ["_series"]
-    schema = keyed.select(*keys, ts, value).schema
-    out_schema = schema.add("seasonal", "double").add("trend", "double").add("resid", "double")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ts).reset_index(drop=True)
-        y = pdf[value].astype(float).to_numpy()
-        if len(y) < 2 * period or np.isnan(y).any():
-            pdf["seasonal"] = pdf["trend"] = pdf["resid"] = np.nan
-            return pdf
-        s, t, r = stl_arrays(y, period, seasonal)
-        pdf["seasonal"], pdf["trend"], pdf["resid"] = s, t, r
-        return pdf
-
-    res = keyed.select(*keys, ts, value).groupBy(*keys).applyInPandas(run, out_schema)
-    return res if by else res.drop("_series")

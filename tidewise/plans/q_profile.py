@@ -271,10 +271,9 @@ _QSQL = " UNION ALL ".join(
 
 @query("quantiles_two_pass", _QSQL)
 def q_quantiles_two_pass(spark, sf):
-    """D12, scalable exact mode: sketch brackets + distributed sort of the
-    bracket rows only."""
+    """D12 through the operator's own module (the same exact method as ``quantiles``)."""
     from ..operators.quantiles import quantiles as qq
-    return qq(table(spark, sf, "lineitem"), LINEITEM_NUM, QPROBS, method="two_pass")
+    return qq(table(spark, sf, "lineitem"), LINEITEM_NUM, QPROBS)
 
 
 @query("quantiles_approx")

@@ -52,17 +52,6 @@ def q_seasonal_decompose(spark, sf):
     return out.select("event_id", "ordinal", *[F.round(c, 6).alias(c) for c in ("trend", "seasonal", "resid")])
 
 
-@query("stl")
-def q_stl(spark, sf):
-    """J19 re-aimed at many series: STL (period 7, seasonal 13) of the daily
-    mean of ``value`` for every event type, one grouped task per series."""
-    from ..functions.times import day_start
-    from ..operators.timeseries import stl_decompose
-    e = events(spark, sf)
-    daily = e.groupBy("event_type", day_start(F.col("ts")).alias("day")).agg(F.avg("value").alias("value"))
-    return stl_decompose(daily, "day", "value", by=["event_type"], period=7, seasonal=13)
-
-
 _DECOMP_BY_SQL = (
     "WITH t AS (SELECT event_id, event_type, value, row_number() OVER w - 1 AS ordinal, "
     "CASE WHEN count(value) OVER w13 = 13 THEN avg(value) OVER w13 END AS trend FROM events "

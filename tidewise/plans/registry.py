@@ -33,6 +33,7 @@ def load_all() -> None:
     from . import (  # noqa: F401
         q_clean,
         q_features,
+        q_missing,
         q_models,
         q_ordered,
         q_outliers,

@@ -126,3 +126,60 @@ def test_cli_stages(spark, tmp_path):
     main(["train", "--root", root, "--model", "linear"], spark=spark)
     out = main(["evaluate", "--root", root, "--model", "linear"], spark=spark)
     assert out["n_test"] > 0
+
+
+HEADERS = "DateTime,Temperature,Humidity,Zone 1 Power Consumption,Zone 2  Power Consumption,mixed_type_col"
+
+
+def _measurements(polluted: bool) -> str:
+    rows = []
+    for i in range(420):
+        t = dt.datetime(2017, 1, 1) + dt.timedelta(minutes=10 * i)
+        temp = "error" if polluted and i % 50 == 7 else f"{10 + i % 13}"
+        zone = " ? " if polluted and i % 60 == 9 else f"{30000 + 10 * (i % 144)}"
+        time = "bad" if polluted and i % 70 == 3 else f"{t.month}/{t.day}/{t.year} {t.hour}:{t.minute:02d}"
+        rows.append(f"{time},{temp},{60 + i % 7},{zone},{20000 + i},{'x' if i % 2 else i}")
+    return "\n".join([HEADERS, *rows]) + "\n"
+
+
+@pytest.mark.parametrize("polluted", [True, False])
+def test_run_all_on_another_schema(spark, tmp_path, polluted):
+    """The command line on the measurement table's own headers, text polluted or clean."""
+    from tidewise.__main__ import main
+
+    raw, root = tmp_path / "raw.csv", str(tmp_path / "run")
+    raw.write_text(_measurements(polluted))
+    out = main(["run-all", "--root", root, "--input", str(raw), "--model", "linear", "--time-column", "datetime",
+                "--target", "zone_1_power_consumption", "--features", "temperature,humidity", "--ids", "", "--lags", "1,24",
+                "--drop", "mixed_type_col,zone_2_power_consumption"], spark=spark)
+    assert out["eval"]["n_test"] > 80 and out["eval"]["rmse"] >= 0
+    cleaned = spark.read.parquet(f"{root}/cleaned")
+    assert cleaned.count() >= (350 if polluted else 396)
+    report = lambda name: spark.read.parquet(f"{root}/reports/{name}").collect()
+    means = {r["col_name"]: r["count"] for r in report("describe")}
+    assert set(means) == {"temperature", "humidity", "zone_1_power_consumption"} and means["temperature"] == (411 if polluted else 420)
+    assert report("shape")[0][0] == 420 and len(report("head")) == len(report("tail")) == 10
+    assert report("time_quality")[0]["n_unparseable"] == (6 if polluted else 0)
+    assert {r["col_name"] for r in report("outlier_counts")} == set(means)
+    assert {r["value"] for r in report("frequencies_mixed_type_col")} >= {"x"}
+    if polluted:
+        assert {r["value"] for r in report("non_numeric")} == {"error", " ? "}
+
+
+def test_paths_go_through_sparks_file_system(spark, tmp_path):
+    p = tmp_path / "raw.csv"
+    p.write_text(CSV)
+    assert IO.load_file(spark, f"file://{p}").count() == IO.load_file(spark, f"file:{p}").count() == 3
+    with pytest.raises(FileNotFoundError):
+        IO.load_file(spark, f"file://{tmp_path}/none.csv")
+
+
+def test_database_source_takes_environment_and_page(spark, monkeypatch):
+    asked = {}
+    monkeypatch.setattr(J, "read_jdbc", lambda spark, options: asked.update(options) or spark.createDataFrame([(1,)], "`Zone 1` int"))
+    monkeypatch.setenv("DB_HOST", "db.example")
+    monkeypatch.setenv("DB_NAME", "power")
+    assert IO.load(spark, "DB").columns == ["zone_1"]
+    assert asked["url"] == "jdbc:mysql://db.example:3306/power" and "LIMIT 1000 OFFSET 0" in asked["dbtable"]
+    IO.load(spark, "db", page=3, size=10)
+    assert "LIMIT 10 OFFSET 20" in asked["dbtable"]

@@ -139,7 +139,7 @@ class PreprocessSpec:
     target: str = "value"
     features: Sequence[str] = ("k",)
     ids: Sequence[str] = ("event_id", "user_id")
-    tiebreak: str = "event_id"
+    tiebreak: str = "event_id"  # "" if there is no id: rows of one time are then ordered by their values
     drop: Sequence[str] = ("mixed_type_col",)
     coerce: str = "all"  # "target" reproduces the production code exactly
     lags: Sequence[int] = (1, 24, 168)
@@ -170,7 +170,7 @@ def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFr
     out = out.withColumns({c: to_number(_c(c)) for c in coerce_cols})
     out = require(out, [t])
     if spec.dedupe:
-        out = dedupe_first(out.where(_c(spec.ts).isNotNull()), [spec.ts], [spec.tiebreak])
+        out = dedupe_first(out.where(_c(spec.ts).isNotNull()), [spec.ts], [spec.tiebreak] if spec.tiebreak else [t, *spec.features])
     num_cols = [c for c in [t, *spec.features] if c in coerce_cols]
     # one metadata pass: B12's NULL rates
     rates = null_rates(out)
@@ -180,13 +180,14 @@ def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFr
     out = out.dropna(subset=subset) if subset else out
     out, _ = replace_upper_outliers(out, num_cols, spec.outlier_k, spec.quantile_method)
     out = out.withColumns(calendar_parts(_c(spec.ts)))
-    out = add_lags(out, t, list(spec.lags), [spec.ts, spec.tiebreak], block_rows=spec.block_rows)
+    order = [spec.ts, spec.tiebreak] if spec.tiebreak else [spec.ts, t, *spec.features]
+    out = add_lags(out, t, list(spec.lags), order, block_rows=spec.block_rows)
     out = drop_any_null(out)
     # X must be finite: every floating feature (the target stays as it is)
     float_feats = [f.name for f in out.schema.fields
                    if f.dataType.typeName() in ("double", "float") and f.name != t and f.name not in spec.ids]
     out = drop_nonfinite(out, float_feats)
-    out = time_split(out, spec.test_size, [spec.ts, spec.tiebreak])
+    out = time_split(out, spec.test_size, order)
     return out.drop(spec.ts)
 
 

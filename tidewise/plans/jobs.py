@@ -30,6 +30,8 @@ class JobConfig:
     model: str = "gbt"
     model_params: dict = field(default_factory=lambda: dict(GBT_PRODUCTION))
     run_name: str | None = None
+    page: int | None = None  # of a database source
+    size: int | None = None
 
     def p(self, name: str) -> str:
         return os.path.join(self.root, name)
@@ -37,14 +39,14 @@ class JobConfig:
 
 def load_job(spark: SparkSession, cfg: JobConfig) -> str:
     """M2: A4 + B1 + A8 -> ``loaded``."""
-    df = load(spark, cfg.source, cfg.input_path, jdbc=cfg.jdbc)
+    df = load(spark, cfg.source, cfg.input_path, jdbc=cfg.jdbc, page=cfg.page, size=cfg.size)
     write_parquet(df, cfg.p("loaded"))
     return cfg.p("loaded")
 
 
 def profile_job(spark: SparkSession, cfg: JobConfig) -> list[str]:
     """M3: every report of 2.D -> ``reports/<name>``."""
-    return write_profile(spark.read.parquet(cfg.p("loaded")), cfg.p("reports"))
+    return write_profile(spark.read.parquet(cfg.p("loaded")), cfg.p("reports"), time_cols=[cfg.spec.raw_ts], mixed_cols=cfg.spec.drop)
 
 
 def preprocess_job(spark: SparkSession, cfg: JobConfig) -> tuple[str, str]:
@@ -58,7 +60,7 @@ def preprocess_job(spark: SparkSession, cfg: JobConfig) -> tuple[str, str]:
 
 
 def feature_columns(df, spec: PreprocessSpec) -> list[str]:
-    skip = {spec.target, "ordinal", "split", "event_type", *spec.ids}
+    skip = {spec.target, "ordinal", "split", *spec.ids}
     return [f.name for f in df.schema.fields if f.name not in skip and f.dataType.typeName() in ("double", "long", "integer")]
 
 
@@ -76,13 +78,14 @@ def evaluate_job(spark: SparkSession, cfg: JobConfig) -> dict:
     """M6: A11 + J9 + J10 + J11 + A10 + A12."""
     test = spark.read.parquet(cfg.p("test"))
     model = load_model(cfg.p("model"))
-    pred = model.transform(test)
-    m = regression_metrics(pred, cfg.spec.target, "prediction")
+    scored = model.transform(test).select("ordinal", F.col(cfg.spec.target).alias("y_true"), F.col("prediction").alias("y_pred"))
+    write_parquet(scored, cfg.p("pred_vs_actual"))  # scored once; all else reads it
+    m = regression_metrics(spark.read.parquet(cfg.p("pred_vs_actual")), "y_true", "y_pred")
     row = m.first().asDict()
-    rid = log_run(spark, cfg.p("runs"), {"model": cfg.model, **cfg.model_params}, row, run_name=cfg.run_name)
+    runs = os.environ.get("TIDEWISE_RUNS") or cfg.p("runs")
+    name = cfg.run_name or os.environ.get("TIDEWISE_RUN_NAME")
+    rid = log_run(spark, runs, {"model": cfg.model, **cfg.model_params}, row, run_name=name)
     write_metrics(metrics_record(m, rid), cfg.p("metrics"))
-    write_parquet(pred.select("ordinal", F.col(cfg.spec.target).alias("y_true"), F.col("prediction").alias("y_pred")),
-                  cfg.p("pred_vs_actual"))
     return {"run_id": rid, **row}
 
 

@@ -13,12 +13,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import NumericType, StringType, StructField, StructType
 
 from .._col import qident
-from ..functions.numbers import csv_nulls, to_number
-from ..functions.text import clean_names
-from ..functions.times import RAW_TS_FORMAT, to_ts
+from ..functions.numbers import csv_nulls, decimal_comma, to_number
+from ..functions.text import clean_names, date_like_columns, value_columns
+from ..functions.times import RAW_TS_FORMAT, time_column, to_ts
 
 DEFAULT_DATE_COLS = ("DateTime", "datetime")
 
@@ -62,29 +62,39 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's own file system for this path or address has it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+#: Reader by file ending (A3).
+READERS = {".csv": read_csv, ".parquet": read_parquet, ".pq": read_parquet}
+
+
 def load_file(spark: SparkSession, path: str | None, **csv_opts) -> DataFrame:
-    """A3: ``.csv`` / ``.parquet`` / ``.pq`` by lower-cased suffix."""
-    if not path:
-        raise ValueError("a file path is required")
-    if not path.startswith(("hdfs:", "s3a:", "gs:", "abfss:", "dbfs:")) and not os.path.exists(path):
+    """A3: the reader that the lower-cased ending names, on any file system that Spark knows."""
+    ending = os.path.splitext((path or "").rstrip("/"))[1].lower()
+    if ending not in READERS:
+        raise ValueError(f"a path ending in one of {sorted(READERS)} is needed, not {path!r}")
+    if not path_exists(spark, path):
         raise FileNotFoundError(path)
-    suffix = os.path.splitext(path.rstrip("/"))[1].lower()
-    if suffix == ".csv":
-        return read_csv(spark, path, **csv_opts)
-    if suffix in (".parquet", ".pq"):
-        return read_parquet(spark, path)
-    raise ValueError(f"unsupported file type {suffix!r}; use .csv, .parquet or .pq")
+    return READERS[ending](spark, path, **(csv_opts if ending == ".csv" else {}))
 
 
 def load(spark: SparkSession, source: str = "file", path: str | None = None, jdbc: dict | None = None,
-         rename: bool = True, **opts) -> DataFrame:
-    """A4 (+ B1): ``file`` or ``db``, case-insensitive; names cleaned."""
+         rename: bool = True, page: int | None = None, size: int | None = None, **opts) -> DataFrame:
+    """A4 (+ B1): ``file`` or ``db``, case-insensitive; names cleaned.
+
+    ``db`` without options takes the connection from the environment and one
+    page (the first 1,000 rows if not told otherwise), in the database.
+    """
     kind = (source or "file").lower()
     if kind == "file":
         df = load_file(spark, path, **opts)
     elif kind == "db":
-        from .jdbc import read_jdbc
-        df = read_jdbc(spark, jdbc or {})
+        from .jdbc import options_from_env, page_options, read_jdbc
+        df = read_jdbc(spark, jdbc or page_options(options_from_env(), page or 1, size or 1000))
     else:
         raise ValueError(f"unknown source {source!r}; use 'file' or 'db'")
     return clean_names(df) if rename else df
@@ -108,34 +118,71 @@ def write_metrics(metrics_row: DataFrame, path: str) -> None:
     metrics_row.coalesce(1).write.mode("overwrite").json(path)
 
 
+def coerced_values(df: DataFrame, exclude: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The text columns outside ``exclude`` as numbers (decimal comma allowed) where any value is one.
+
+    Returns the frame and its numeric value columns.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    names = value_columns(df, exclude)
+    text = [c for c in names if isinstance(kinds[c], StringType)]
+    out = df.withColumns({c: decimal_comma(F.col(qident(c))) for c in text}) if text else df
+    some = out.agg(*[F.count(F.col(qident(c))).alias(f"_{i}") for i, c in enumerate(text)]).first() if text else []
+    empty = {c for i, c in enumerate(text) if not some[i]}
+    return out, [c for c in names if c not in empty and (c in text or isinstance(kinds[c], NumericType))]
+
+
 def write_profile(df: DataFrame, out_dir: str, value_cols: Sequence[str] | None = None,
-                  time_cols: Sequence[str] | None = None) -> list[str]:
+                  time_cols: Sequence[str] | None = None, mixed_cols: Sequence[str] = ("mixed_type_col",), k: int = 10) -> list[str]:
     """The profile reports of 2.D and the data behind the figures
     (missing values, correlation, box statistics, histograms), each written
-    as a Parquet table under ``out_dir``.  Returns the report names."""
-    from ..functions.text import date_like_columns, numeric_columns
-    from ..operators import profile as P
-    from ..operators.outliers import iqr_fences
+    as a Parquet table under ``out_dir``.  Returns the report names.
 
-    num = list(value_cols or numeric_columns(df))
-    tcols = list(time_cols or date_like_columns(df))
+    Text is coerced to numbers first (``coerced_values``), so polluted columns
+    are profiled too; what could not be coerced is in ``non_numeric``.
+    """
+    from ..operators import profile as P
+    from ..operators.ordered import head_n, last_n
+    from ..operators.outliers import iqr_fences, outlier_counts, outlier_report
+
+    tcols = [c for c in (time_cols or date_like_columns(df)) if c in df.columns]
+    mixed = [c for c in mixed_cols if c in df.columns]
+    data, found = coerced_values(df, [*tcols, *mixed])
+    num = [c for c in found if value_cols is None or c in value_cols]
+    order = tcols[0] if tcols else df.columns[0]
     reports = {
         "shape": P.shape(df),
         "info": P.info(df),
+        "head": head_n(df, k, [order]),
+        "tail": last_n(df, k, [order]),
         "null_counts": P.null_counts(df),
         "missing": P.missing_table(df),
         "duplicates": P.duplicate_rows(df),
+        "describe_all": P.describe_all(data.select(*[F.col(qident(c)) for c in data.columns if c not in tcols])),
     }
+    for c in mixed:
+        reports[f"frequencies_{c}"] = P.top_values(df, c, k)
     if tcols:
+        kind = df.schema[order].dataType
+        timed = df.withColumn("_parsed", time_column(df, order))
+        raw = timed if isinstance(kind, StringType) else timed.withColumn(order, F.col(qident(order)).cast("string"))
         reports["duplicate_time_keys"] = P.duplicate_keys(df, tcols)
+        reports["time_quality"] = P.ts_quality(raw, order, "_parsed")
+        reports["duplicate_time_examples"] = P.duplicates(df.where(F.col(qident(order)).isNotNull()), [order]).orderBy(qident(order)).limit(k)
     if num:
-        reports["describe"] = P.describe(df, num)
-        reports["correlation"] = P.corr_matrix(df, num)
-        reports["outliers"] = iqr_fences(df, num)
+        text = [c for c in num if isinstance(df.schema[c].dataType, StringType)]
+        if text:
+            reports["non_numeric"] = P.non_numeric(df, text, order)
+        reports["describe"] = P.describe(data, num)
+        reports["correlation"] = P.corr_matrix(data, num)
+        fences = iqr_fences(data, num)
+        reports["outliers"] = fences
+        reports["outlier_counts"] = outlier_counts(data, num)
+        reports["outlier_examples"] = outlier_report(data, num, order, fences)
         # figure data: box plot statistics and one trimmed FD histogram per column
-        reports["box_stats"] = P.box_stats(df, num)
+        reports["box_stats"] = P.box_stats(data, num)
         for c in num:
-            reports[f"histogram_{c}"] = P.histogram(df, c, "fd", (0.01, 0.99))
+            reports[f"histogram_{c}"] = P.histogram(data, c, "fd", (0.01, 0.99))
     text = [c for c in df.columns if c not in num and c not in tcols]
     if text:
         reports["describe_text"] = P.describe_text(df, text)

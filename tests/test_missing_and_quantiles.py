@@ -155,3 +155,14 @@ def test_outlier_counts(spark):
     df = spark.createDataFrame([(float(v), 1.0) for v in [*range(20), 500]] + [(None, float("nan"))], "x double, y double")
     rows = {r["col_name"]: (r["total"], r["outliers"], r["percent"]) for r in O.outlier_counts(df, ["x", "y"]).collect()}
     assert rows == {"x": (21, 1, round(100 / 21, 6)), "y": (21, 0, 0.0)}
+
+
+def test_second_sort_of_preprocess_is_sized_by_the_input(spark, monkeypatch):
+    from tidewise.plans.q_clean import polluted_named
+
+    asked = []
+    real = OD.with_ordinal
+    monkeypatch.setattr(OD, "with_ordinal", lambda *a, **k: asked.append(k.get("partitions")) or real(*a, **k))
+    monkeypatch.setattr(CL, "shuffle_partitions_for", lambda df: 5)
+    CL.preprocess(polluted_named(spark, SF001)).count()
+    assert asked == [5, 5]

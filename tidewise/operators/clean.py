@@ -19,6 +19,7 @@ from .._col import qident
 from ..functions.numbers import is_finite, null_tokens, to_number
 from ..functions.text import under_names
 from ..functions.times import RAW_TS_FORMAT, calendar_parts, time_column
+from ..session import shuffle_partitions_for
 from .ordered import DEFAULT_BLOCK_ROWS, add_lags, dedupe_first, time_split
 from .outliers import apply_fences, iqr_fences, replace_upper_outliers
 from .quantiles import quantile_values
@@ -162,6 +163,7 @@ def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFr
     column is dropped as in the reference.
     """
     t = spec.target
+    parts = shuffle_partitions_for(df)  # both sorts are sized by the input: later plans have no estimate
     df = under_names(df, [spec.raw_ts, spec.target, *spec.features])
     out = drop_columns(nan_safe(df), spec.drop)
     extra = [c for c in spec.extra_drop if c != spec.ts]
@@ -181,13 +183,13 @@ def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFr
     out, _ = replace_upper_outliers(out, num_cols, spec.outlier_k, spec.quantile_method)
     out = out.withColumns(calendar_parts(_c(spec.ts)))
     order = [spec.ts, spec.tiebreak] if spec.tiebreak else [spec.ts, t, *spec.features]
-    out = add_lags(out, t, list(spec.lags), order, block_rows=spec.block_rows)
+    out = add_lags(out, t, list(spec.lags), order, block_rows=spec.block_rows, partitions=parts)
     out = drop_any_null(out)
     # X must be finite: every floating feature (the target stays as it is)
     float_feats = [f.name for f in out.schema.fields
                    if f.dataType.typeName() in ("double", "float") and f.name != t and f.name not in spec.ids]
     out = drop_nonfinite(out, float_feats)
-    out = time_split(out, spec.test_size, order)
+    out = time_split(out, spec.test_size, order, partitions=parts)
     return out.drop(spec.ts)
 
 

@@ -43,6 +43,7 @@ def with_ordinal(
     name: str = "ordinal",
     per_series: bool = True,
     total: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """E5: 0-based row position after sorting by ``order`` (NULLs last).
 
@@ -51,10 +52,12 @@ def with_ordinal(
     ``total`` names an optional column holding the row count (of the series,
     or of the table; known from the per-partition counts).  ``order`` should
     end with a unique tiebreak (an id): tied rows have no defined order.
+    ``partitions``: of the sort; by default from the size of ``df``, which the
+    optimizer no longer knows after an earlier ordinal.
     """
     by, order = list(by), list(order)
     # partition count sized from the input estimate, not a fixed setting
-    srt = df.repartitionByRange(shuffle_partitions_for(df), *_keys(by, order)).sortWithinPartitions(*_keys(by, order))
+    srt = df.repartitionByRange(partitions or shuffle_partitions_for(df), *_keys(by, order)).sortWithinPartitions(*_keys(by, order))
     tagged = srt.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_loc", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
     )
@@ -118,6 +121,7 @@ def windowed(
     after: int = 0,
     block_rows: int = DEFAULT_BLOCK_ROWS,
     keep_ordinal: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Evaluate row-window expressions exactly, block by block.
 
@@ -125,8 +129,8 @@ def windowed(
     window given is ``partitionBy(by..., block).orderBy(ordinal)``.
     """
     by = list(by)
-    nparts = shuffle_partitions_for(df)
-    base = with_ordinal(df, order, by, name=ORD, per_series=False)
+    nparts = partitions or shuffle_partitions_for(df)
+    base = with_ordinal(df, order, by, name=ORD, per_series=False, partitions=nparts)
     keys = [*[F.col(qident(b)) for b in by], F.col("_blk")]
     # the window's shuffle, sized from the input's estimate like the range sort
     hb = halo_blocks(base, ORD, before, after, block_rows).repartition(nparts, *keys)
@@ -143,9 +147,9 @@ def lag_exprs(target: str, lags: Sequence[int], names: Sequence[str] | None = No
 
 
 def add_lags(df: DataFrame, target: str, lags: Sequence[int], order: Sequence[str], by: Sequence[str] = (),
-             names: Sequence[str] | None = None, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+             names: Sequence[str] | None = None, block_rows: int = DEFAULT_BLOCK_ROWS, partitions: int | None = None) -> DataFrame:
     """``target.shift(L)`` by rows within each series."""
-    return windowed(df, lag_exprs(target, lags, names), order, by, before=max(lags), block_rows=block_rows)
+    return windowed(df, lag_exprs(target, lags, names), order, by, before=max(lags), block_rows=block_rows, partitions=partitions)
 
 
 def trailing_mean_expr(target: str, n: int):
@@ -204,9 +208,9 @@ def dedupe_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Dat
 
 
 def time_split(df: DataFrame, test_size: float, order: Sequence[str], by: Sequence[str] = (),
-               ordinal: str = "ordinal", flag: str = "split") -> DataFrame:
+               ordinal: str = "ordinal", flag: str = "split", partitions: int | None = None) -> DataFrame:
     """Chronological split: the last ``ceil(n*test_size)`` rows are test."""
-    od = with_ordinal(df, order, list(by), name=ordinal, total="_n")
+    od = with_ordinal(df, order, list(by), name=ordinal, total="_n", partitions=partitions)
     n_test = F.ceil(F.col("_n") * F.lit(float(test_size)))
     return od.withColumn(flag, F.when(F.col(ordinal) >= F.col("_n") - n_test, "test").otherwise("train")).drop("_n")
 

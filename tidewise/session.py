@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,25 +77,29 @@ def _bytes(conf_value: str | None, default: int) -> int:
     return int(float(v))
 
 
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
 def shuffle_partitions_for(df: DataFrame) -> int:
     """Partition count for a full-data shuffle of ``df``: enough partitions
-    of ``advisoryPartitionSizeInBytes`` for the optimizer's size estimate,
-    at least one per core (``defaultParallelism``) and at most 100k.
-    Without an estimate, the session's ``spark.sql.shuffle.partitions``."""
+    of ``advisoryPartitionSizeInBytes`` for the optimizer's size estimate, at
+    least one per core (``defaultParallelism``).
+
+    Where the optimizer has no estimate (after a checkpoint) this is the
+    session's ``spark.sql.shuffle.partitions``, with a warning."""
     spark = df.sparkSession
     base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None), 64 << 20)
     try:
         est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable
-        return base
-    if est <= 0 or est >= (1 << 62):  # "unknown" (defaultSizeInBytes)
+    except Exception:  # noqa: BLE001 - estimate unavailable (Connect)
+        est = 0
+    if est <= 0 or est >= UNKNOWN_BYTES:
+        warnings.warn(f"no size estimate: {base} shuffle partitions (spark.sql.shuffle.partitions)", stacklevel=3)
         return base
     try:
         cores = int(spark.sparkContext.defaultParallelism)
     except Exception:  # noqa: BLE001 - no SparkContext (Connect)
         cores = base
-    return int(min(MAX_SHUFFLE_PARTITIONS, max(cores, -(-est // max(target, 1)))))
+    return int(max(cores, -(-est // max(target, 1))))
+
+
+#: Estimates from here on come from a plan without statistics.
+UNKNOWN_BYTES = 1 << 60

@@ -148,6 +148,12 @@ def test_unchanged_shards_are_not_rewritten(spark):
     assert abs(grown.moved_bytes - 300 * 108 / 4) < 4 * 108  # a quarter goes to the new shard, nothing else moves
 
 
+def test_reshard_leaves_out_columns_with_its_own_names(spark):
+    df = spark.createDataFrame([(i, "x" * i, "ab"[i % 2], 7, "s", 1) for i in range(50)], "doc_id long, text string, old string, Shard int, slot string, _unit int")
+    rows = reshard.read_layout(df, reshard.reshard(df, scratch_path(spark, "l"), 2, old=F.col("old")), F.col("old"))
+    assert sorted(rows.columns) == ["doc_id", "old", "shard", "slot", "text"] and rows.count() == 50
+
+
 def test_reshard_empty_table(spark):
     df = frame(spark, [])
     assert reshard.read_layout(df, reshard.reshard(df, scratch_path(spark, "l"), 3, old=F.col("old")), F.col("old")).count() == 0

@@ -70,10 +70,10 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     Only ids and digests of the dropped rows meet the documents again (an anti
     join that Spark broadcasts when it finds that side small).
     """
-    digest, key = free_name(df, "_sha256"), free_name(df, "_dropped_id")
+    digest, key, own = free_name(df, "_sha256"), free_name(df, "_dropped_id"), free_name(df, "_own_sha256")
     dropped = stored(
         copy_groups(df, id_col, text_col, support).filter("NOT kept").select("doc_id", "text_sha256"), "dropped"
     ).select(F.col("doc_id").alias(key), F.col("text_sha256").alias(digest)).distinct()
-    rows = df.withColumn(digest + "d", digest_column(text_col))
-    match = (F.col(digest + "d") == F.col(digest)) & F.col(id_col).eqNullSafe(F.col(key))
-    return rows.join(dropped, match, "left_anti").drop(digest + "d")
+    rows = df.withColumn(own, digest_column(text_col))
+    match = (F.col(own) == F.col(digest)) & F.col(id_col).eqNullSafe(F.col(key))
+    return rows.join(dropped, match, "left_anti").drop(own)

@@ -243,8 +243,8 @@ def identify_pages(df: DataFrame, model: TextModel) -> DataFrame:
 
 def keep_identified(df: DataFrame, model: TextModel) -> DataFrame:
     """The documents that are not rejected, all columns unchanged."""
-    key, text = free_name(df, "_rejected_id"), free_name(df, "_text_sum")
+    key, text, other = free_name(df, "_rejected_id"), free_name(df, "_text_sum"), free_name(df, "_rejected_sum")
     rows = df.withColumn(text, F.xxhash64(text_of()))
     judged = identify(rows, model, ["doc_id", text], F.col("text"), F.col("lang"), F.col("source"))
-    gone = stored(judged.filter("NOT kept").select(F.col("doc_id").alias(key), F.col(text).alias(text + "r")).distinct(), "rejected")
-    return rows.join(gone, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(text) == F.col(text + "r")), "left_anti").drop(text)
+    gone = stored(judged.filter("NOT kept").select(F.col("doc_id").alias(key), F.col(text).alias(other)).distinct(), "rejected")
+    return rows.join(gone, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(text) == F.col(other)), "left_anti").drop(text)

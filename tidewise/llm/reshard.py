@@ -17,7 +17,8 @@ one shuffle of the texts.
 
 Defined results: a null text has no bytes; rows without an id are told apart by
 their text; rows that share an id stay together; an empty table gives an
-empty result; other columns are written along with the text.
+empty result; other columns are written along with the text, but for those
+that have one of our own names (``OWN``), which are left out.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SHARDS, EXTRA = 24, 8
 BLOCK_BYTES, BLOCKS_PER_SHARD = 64 << 20, 64
 #: Blocks (some 40 bytes each) up to which their table is broadcast; a larger one is joined by shuffling.
 BROADCAST_BLOCKS = 200_000
+#: Names of the result and of working columns.
+OWN = ("shard", "slot", "_name", "_unit", "_old", "_block", "_blocks", "_single", "_to", "_start", "_n")
 #: Documents of a shard offered for evening out: so many of each power-of-two size.
 OFFERED = 8
 
@@ -226,9 +229,11 @@ def reshard(
     what names a row's present shard; the file it is read from if not given.
     """
     spark: SparkSession = df.sparkSession
+    named = df.withColumn("__name", F.coalesce(old.cast("string") if old is not None else F.input_file_name(), F.lit("")))
+    named = named.drop(*[c for c in df.columns if c.lower() in OWN]).withColumnRenamed("__name", "_name")
+    df = named.drop("_name")
     shares = [1.0] * capacities if isinstance(capacities, int) else list(capacities)
     size = (F.octet_length(text_of(text_col)) + EXTRA).cast("bigint")
-    named = df.withColumn("_name", F.coalesce(old.cast("string") if old is not None else F.input_file_name(), F.lit("")))
     small = stored(named.select("_name", _unit(id_col, text_col).alias("_unit"), size.alias("bytes")), "units")
     sizes = {r["_name"]: r["bytes"] for r in small.groupBy("_name").agg(F.sum("bytes").alias("bytes")).collect()}  # one row per old shard
     names = sorted(sizes)
@@ -307,12 +312,14 @@ def reshard(
 def read_layout(df: DataFrame, layout: Layout, old: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of the new layout with ``shard`` and ``slot``: written files, and old files that were kept."""
     spark = df.sparkSession
+    own = df.withColumn("__name", F.coalesce(old.cast("string") if old is not None else F.input_file_name(), F.lit("")))
+    own = own.drop(*[c for c in df.columns if c.lower() in OWN]).withColumnRenamed("__name", "_name")
+    df = own.drop("_name")
     schema = T.StructType([*df.schema.fields, T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())])
     rows = spark.read.schema(schema).parquet(layout.folder)
     if not layout.kept:
         return rows
     names = F.create_map(*[F.lit(x) for j, n in layout.kept.items() for x in (n, j)])
-    own = df.withColumn("_name", F.coalesce(old.cast("string") if old is not None else F.input_file_name(), F.lit("")))
     own = own.withColumn("shard", F.element_at(names, F.col("_name"))).filter("shard IS NOT NULL")
     order = Window.partitionBy("shard").orderBy(_unit(id_col, text_col), text_col)
     own = own.withColumn("slot", (F.row_number().over(order) - 1).cast("bigint")).drop("_name")

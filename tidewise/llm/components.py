@@ -22,9 +22,12 @@ def _to_smallest(links: DataFrame) -> DataFrame:
     return links.join(smallest.withColumn("m", F.least("x", "m")), "x")
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and none if it is one itself."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("root")).unionByName(
+        edges.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("root"))
+    )
+    return ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("root").alias("root")).filter("up > 1 OR (up > 0 AND root > 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,16 +38,10 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = stored(now, "edges")
-    before = _state(now)
-    while before[0]:
+    while not _is_star_forest(now):
         both = now.selectExpr("u AS x", "v AS y").unionByName(now.selectExpr("v AS x", "u AS y"))
         large = _to_smallest(both).filter("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")).distinct()
-        large = stored(large, "large")
-        near = _to_smallest(large)
+        near = _to_smallest(stored(large, "large"))
         now = near.selectExpr("y AS u", "m AS v").filter("u <> v").unionByName(near.selectExpr("x AS u", "m AS v")).distinct()
         now = stored(now, "edges")
-        after = _state(now)
-        if after == before:
-            break
-        before = after
     return now.selectExpr("u AS node", "v AS component")

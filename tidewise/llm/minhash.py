@@ -3,19 +3,21 @@
 Signature.  A document's set holds its distinct shingles of five lower-cased
 words as 64-bit hashes.  Under each of ``PERMUTATIONS`` multiplicative
 permutations both the smallest and the largest value are kept, so half as many
-hash evaluations give a signature of twice as many unbiased components.  Four
-of them (two permutations) form a band; documents with an equal band are
-candidates.
+hash evaluations give a signature of twice as many unbiased components.  Six
+of them (three permutations) form a band; documents with an equal band, and set
+sizes that allow the similarity, are candidates.
 
 Whole results.  A pair at the threshold of 0.75 shares one given band with
-probability 0.32, and none of the 48 with probability 1e-8.  Documents with the
-same set are one class and only its smallest id goes on.  Within a bucket, candidates are
-compared with its smallest member first and what is linked by that is joined
-into components.  Buckets that still hold several components then compare
-across components with their 2nd member, their 3rd and 4th, and so on in
-doubling rounds until every bucket is one component or all its pairs are
-tested: no cap, and no pairs within a group that is already linked.  Every
-candidate is confirmed on the full sets.
+probability 0.18, and none of the 72 with probability 1e-6.  Documents with the
+same set are one class and only its smallest id goes on.  Within a bucket,
+candidates are compared with its smallest member first and what is linked by
+that is joined into components.  In buckets that still hold several components,
+the members outside the largest one are paired with the members of other
+components whose whole signatures (four bits of each component) and set sizes
+allow the similarity: at once if that is a few pairs for each row, else in doubling
+rounds between which linked components merge and settled buckets drop out.
+Nothing is capped, and no pairs arise within a group that is already linked.
+Every candidate is confirmed on the full sets.
 
 Defined results: a null, empty or blank text has an empty set and links with
 nothing; fewer than five words are one shingle; a row without an id links with
@@ -30,22 +32,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import free_name, stored, text_of
 from .components import components
 from .wordhash import SHINGLE, mix, shingles, stream, word_hashes, worker_cache
 
-PERMUTATIONS, BAND = 96, 2
+PERMUTATIONS, BAND = 216, 3
 #: Numerator and denominator of the least similarity.
 LEAST = (75, 100)
 
-_SIGNATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+#: Remaining pairs per remaining row up to which they are tested in one round instead of several.
+ALL_AT_ONCE = 64
 
+#: Of the 432 components of the signature, four bits each, similar enough sets differ in 101 at most on average
+#: (deviation 9). Pairs that differ in more than this many, 4.5 deviations off, are no candidates.
+PARTS_APART = 141
 
-def min_max_bands(hashes: np.ndarray, permutations: int = PERMUTATIONS, per_band: int = BAND) -> np.ndarray:
-    """The band keys of a set: each mixes the minima and maxima of ``per_band`` permutations."""
+_SIGNATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, parts array<long>"
+
+
+def min_max_bands(hashes: np.ndarray, permutations: int = PERMUTATIONS, per_band: int = BAND) -> tuple[np.ndarray, np.ndarray]:
+    """Of a set the band keys, each mixing the minima and maxima of ``per_band`` permutations, and four bits per component in 64-bit words."""
     factors = worker_cache(("factors", permutations), lambda: stream(23, permutations) | np.uint64(1))
     low = np.full(permutations, np.iinfo(np.uint64).max, np.uint64)
     high = np.zeros(permutations, np.uint64)
@@ -56,32 +65,40 @@ def min_max_bands(hashes: np.ndarray, permutations: int = PERMUTATIONS, per_band
     key = np.arange(1, permutations // per_band + 1, dtype=np.uint64)
     for k in range(per_band):
         key = mix(mix(key + low[k::per_band]) + high[k::per_band])
-    return key
+    four = (mix(np.concatenate([low, ~high])) & np.uint64(15)).astype(np.uint8)
+    parts = four[0::2] | four[1::2] << 4
+    return key, np.pad(parts, (0, -len(parts) % 8)).view(np.uint64)
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            rows, sizes, a, b, bands = [], [], [], [], []
+            rows, sizes, a, b, bands, parts = [], [], [], [], [], []
             for row, words in word_hashes(texts):
                 found = shingles(words, SHINGLE)
                 rows.append(row)
                 sizes.append(len(found))
                 a.append(mix(found).sum(dtype=np.uint64))
                 b.append(mix(found ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64))
-                bands.append(min_max_bands(found) if len(found) else np.zeros(0, np.uint64))
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in bands])]).astype(np.int32)
-            flat = np.concatenate(bands).view(np.int64) if bands else np.zeros(0, np.int64)
+                key, part = min_max_bands(found) if len(found) else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+                bands.append(key)
+                parts.append(part)
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.take(pa.array(rows, pa.int64())), pa.array(sizes, pa.int64()), pa.array(np.array(a, np.uint64).view(np.int64)),
-                    pa.array(np.array(b, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                    pa.array(np.array(b, np.uint64).view(np.int64)), _lists(bands), _lists(parts),
                 ],
-                ["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                ["doc_id", "n_shingles", "set_a", "set_b", "bands", "parts"],
             )
 
 
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in values])]).astype(np.int32)
+    flat = np.concatenate(values).view(np.int64) if values else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
 def _set_of(text: str) -> np.ndarray:
     return shingles(next((w for _, w in word_hashes(pa.array([text], pa.large_string()))), np.zeros(0, np.uint64)))
 
@@ -118,44 +135,86 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.select("u", "v", "text_u", "text_v").mapInArrow(_confirm, "u long, v long")
 
 
+def _sizes_allow(a: str, b: str) -> Column:
+    """Whether sets of these sizes can be similar enough."""
+    return LEAST[1] * F.least(a, b) >= LEAST[0] * F.greatest(a, b)
+
+
+def _parts_apart(a: str, b: str) -> Column:
+    """In how many components two signatures differ."""
+    total = F.lit(0)
+    for k in range(-(-2 * PERMUTATIONS // 16)):
+        x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
+def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with the component ``c`` of their ``doc_id``: itself if nothing is linked to it."""
+    known = found.select(F.col("node").alias("doc_id"), F.col("component").alias("c"))
+    return rows.join(known, "doc_id", "left").withColumn("c", F.coalesce("c", "doc_id"))
+
+
+def _joined_on(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further ``links`` (u, v): only links between components go on."""
+    ends = _with_component(_with_component(links.withColumnRenamed("u", "doc_id"), found).select(F.col("c").alias("u"), F.col("v").alias("doc_id")), found)
+    up = stored(components(ends.select("u", F.col("c").alias("v"))), "joined").select(F.col("node").alias("component"), F.col("component").alias("top"))
+    moved = found.join(up, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    roots = up.select(F.col("component").alias("node"), F.col("top").alias("component"))
+    return stored(moved.unionByName(roots), "components")
+
+
 def near_links(signatures: DataFrame, documents: DataFrame) -> DataFrame:
     """``node, component`` over the class representatives of ``signatures``.
 
-    ``signatures``: one row per class (doc_id, bands); ``documents``: doc_id, text.
+    ``signatures``: one row per class (doc_id, n_shingles, bands, parts); ``documents``: doc_id, text.
     """
-    bands = signatures.select("doc_id", F.explode("bands").alias("key"))
-    hubs = stored(bands.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "hubs")
+    bands = signatures.select("doc_id", F.col("n_shingles").cast("int").alias("n"), F.posexplode("bands").alias("band", "key"))
+    hubs = bands.groupBy("key").agg(F.min("doc_id").alias("hub"), F.min_by("n", "doc_id").alias("hub_n"), F.count(F.lit(1)).alias("rows"))
+    hubs = stored(hubs.filter("rows > 1").drop("rows"), "hubs")
     members = stored(bands.join(hubs, "key"), "members")
-    involved = members.select("doc_id").distinct()
-    texts = stored(documents.join(involved, "doc_id", "left_semi"), "texts")
-    tested = stored(members.filter("doc_id <> hub").select(F.col("doc_id").alias("u"), F.col("hub").alias("v")).distinct(), "pairs")
-    links = stored(_links(tested, texts), "links")
-    found = stored(components(links), "components")
-    # buckets that hold more than one component after this
-    first, last, rest = 2, 2, None
+    tested = members.filter("doc_id <> hub").filter(_sizes_allow("n", "hub_n")).select(F.col("doc_id").alias("u"), F.col("hub").alias("v"))
+    tested = stored(tested.distinct(), "pairs")
+    texts = stored(documents.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    found = components(stored(_links(tested, texts), "links"))
+    rows, first, last = members.drop("hub", "hub_n"), 1, 1
     while True:
-        labelled = (members if rest is None else rest).join(found.select(F.col("node").alias("doc_id"), F.col("component").alias("c")), "doc_id", "left")
-        labelled = labelled.withColumn("c", F.coalesce("c", "doc_id"))
-        several = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-        if rest is None:
+        # buckets that hold several components, and the one that most of their members are in
+        labelled = _with_component(rows, found)
+        parts = labelled.groupBy("key", "c").agg(F.count(F.lit(1)).alias("rows"))
+        buckets = parts.groupBy("key").agg(F.max_by("c", F.struct("rows", "c")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("rows").alias("size"))
+        buckets = stored(buckets.filter("parts > 1").drop("parts"), "buckets")
+        if first == 1:
+            # members outside that component lead; their order in the bucket stays from now on
+            split = labelled.join(buckets, "key").withColumn("lead", F.col("c") != F.col("main"))
             order = Window.partitionBy("key").orderBy("doc_id")
-            rest = stored(labelled.drop("c", "hub").join(several, "key", "left_semi").withColumn("at", F.row_number().over(order)), "rest")
-            labelled = rest.join(found.select(F.col("node").alias("doc_id"), F.col("component").alias("c")), "doc_id", "left").withColumn("c", F.coalesce("c", "doc_id"))
-        else:
-            labelled = labelled.join(several, "key", "left_semi")
-        labelled = stored(labelled, "labelled")
-        left = labelled.agg(F.max("at")).first()[0]
-        if left is None or left <= first:
+            leads = split.filter("lead").withColumn("at", F.row_number().over(order))
+            rows = split.filter("NOT lead").withColumn("at", F.lit(None).cast("int")).unionByName(leads).drop("main", "lead", "c")
+            rows = stored(rows.join(signatures.select("doc_id", "bands", "parts"), "doc_id"), "rest")
+            size = rows.agg(F.sum(F.when(F.col("at").isNotNull(), F.col("size"))), F.count(F.lit(1)), F.max("at")).first()
+            if not size[1]:
+                return found
+            if size[0] <= ALL_AT_ONCE * size[1]:
+                last = size[2]  # few pairs for a row on average: test them in one go
+            rows = rows.drop("size")
+            labelled = _with_component(rows, found)
+        labelled = labelled.join(buckets.select("key"), "key", "left_semi")
+        other = {"doc_id": "v", "c": "cv", "at": "av", "n": "nv", "bands": "bands_v", "parts": "parts_v"}
+        lead = labelled.filter(F.col("at").between(first, last)).select("key", *[F.col(k).alias(v) for k, v in other.items()])
+        near = (F.col("at").isNull() | (F.col("at") > F.col("av"))) & (F.col("c") != F.col("cv")) & _sizes_allow("n", "nv")
+        # once for each pair: in the first band that both share
+        near = near & (_parts_apart("parts", "parts_v") <= PARTS_APART)
+        near = near & (F.array_position(F.zip_with("bands", "bands_v", lambda x, y: x == y), True) == F.col("band") + 1)
+        pairs = labelled.join(lead, "key").filter(near).select(F.greatest("doc_id", "v").alias("u"), F.least("doc_id", "v").alias("v"))
+        pairs = stored(pairs.distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
+        links = stored(_links(pairs, texts), "links")
+        if not links.isEmpty():
+            found = _joined_on(found, links)
+        if last >= size[2]:
             return found
-        lead = labelled.filter(F.col("at").between(first, last)).select("key", F.col("doc_id").alias("v"), F.col("c").alias("cv"), F.col("at").alias("av"))
-        pairs = labelled.join(lead, "key").filter("at > av AND c <> cv").select(F.col("doc_id").alias("u"), "v").distinct()
-        pairs = stored(pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            tested = stored(tested.unionByName(pairs), "tested")
-            more = stored(_links(pairs, texts), "links")
-            if not more.isEmpty():
-                links = stored(links.unionByName(more), "links")
-                found = stored(components(links), "components")
+        tested = stored(tested.unionByName(pairs), "tested")
         first, last = last + 1, last + 2 * (last - first + 1)
 
 
@@ -165,8 +224,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     signatures = stored(documents.mapInArrow(_signatures, _SIGNATURES), "signatures")
     sets = ["n_shingles", "set_a", "set_b"]
     linked = signatures.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stored(linked.groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")), "classes")
-    found = near_links(classes.select(F.col("rep").alias("doc_id"), "bands"), documents.filter("doc_id IS NOT NULL"))
+    classes = stored(linked.groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.min_by("parts", "doc_id").alias("parts")), "classes")
+    found = near_links(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "bands", "parts"), documents.filter("doc_id IS NOT NULL"))
     answer = stored(
         classes.select(*sets, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*sets, F.coalesce("component", "rep").alias("c")),
         "answer",

@@ -76,3 +76,44 @@ def test_gram_orders_equal_per_order_gram(spark):
         single = V.gram(V.lagged_design(df, cols, p, ["t0"]), cols, p, ends).collect()
         for r in single:
             assert multi[(p, r["fold"], r["mat"], r["row"], r["col"])] == pytest.approx(r["value"], rel=1e-12, abs=1e-9)
+
+
+def test_var_order_search_scores_all_orders_on_the_same_folds(spark):
+    from tidewise.operators import var as V
+
+    rng = np.random.default_rng(5)
+    y, rows = np.zeros(2), []
+    for i in range(90):
+        y = np.array([[0.6, 0.2], [-0.3, 0.5]]) @ y + rng.normal(0, 0.1, 2) + 1.0
+        rows.append((i, float(y[0]), float(y[1])))
+    df = spark.createDataFrame(rows, "step long, a double, b double")
+    got = {r["p"]: r["mean_mse"] for r in V.select_order(df, ["a", "b"], ["step"], max_lag=7, k=4).collect()}
+    data = np.array([r[1:] for r in rows])
+
+    def plain(p):
+        size, out = len(data) // 5, []
+        for i in range(4):
+            start, end = len(data) - (4 - i) * size, len(data) - (3 - i) * size
+            if start <= 3 * p:
+                return None
+            x = np.array([np.concatenate([[1.0], *[data[t - lag] for lag in range(1, p + 1)]]) for t in range(p, start)])
+            coef = np.linalg.lstsq(x, data[p:start], rcond=None)[0]
+            past = list(data[:start])
+            for _ in range(start, end):
+                past.append(np.concatenate([[1.0], *[past[-lag] for lag in range(1, p + 1)]]) @ coef)
+            out.append(((data[start:end] - np.array(past[start:])) ** 2).mean())
+        return float(np.mean(out))
+
+    assert sorted(got) == list(range(1, 7))
+    for p, mse in got.items():
+        want = plain(p)
+        assert (mse is None) == (want is None) and (mse is None or mse == pytest.approx(want, rel=1e-4)), p
+    assert got[6] is None and got[1] is not None
+
+
+def test_too_many_series_are_refused(spark):
+    from tidewise.operators import var as V
+
+    df = spark.range(30).selectExpr("id AS k", "timestamp_ntz '2024-01-01' AS ts", "1.0D AS v")
+    with pytest.raises(ValueError, match="series"):
+        V.bucket_means(df, "ts", "k", "v", "1 hour", max_series=20)

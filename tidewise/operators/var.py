@@ -23,11 +23,17 @@ from ..session import cut_lineage
 from .ordered import DEFAULT_BLOCK_ROWS, lag_exprs, windowed, with_ordinal
 
 
-def bucket_means(df: DataFrame, ts: str, key: str, value: str, every: str) -> tuple[DataFrame, list[str]]:
+MAX_SERIES = 500
+
+
+def bucket_means(df: DataFrame, ts: str, key: str, value: str, every: str, max_series: int = MAX_SERIES) -> tuple[DataFrame, list[str]]:
     """Mean of ``value`` per (time bucket, key), pivoted to one column per
-    key.  The key list is metadata (distinct keys, sorted): the K series of
-    one VAR, whose design has 1 + p*K columns, so K is small by nature."""
-    keys = sorted(r[0] for r in df.select(key).distinct().collect())
+    key.  The keys are the K series of one VAR, whose design has 1 + p*K
+    columns; more than ``max_series`` of them is an error."""
+    found = df.select(key).where(F.col(qident(key)).isNotNull()).distinct().limit(max_series + 1).collect()
+    if len(found) > max_series:
+        raise ValueError(f"more than {max_series} series in {key!r}; a VAR of that width cannot be solved in one place")
+    keys = sorted(r[0] for r in found)
     b = df.groupBy(F.window(F.col(qident(ts)), every).start.alias("bucket"), F.col(qident(key)).alias("_k")).agg(
         F.avg(F.col(qident(value))).alias("_m"))
     wide = b.groupBy("bucket").pivot("_k", keys).agg(F.first("_m"))
@@ -214,7 +220,9 @@ def select_order(df: DataFrame, cols: Sequence[str], order: Sequence[str], max_l
     model forecasts its whole test block from the last p training rows;
     score = mean of fold MSEs (all series); ``rmse`` = sqrt of it.
 
-    Returns ``(p, mean_mse, rmse)``.  One pass over the lag design gives
+    Returns ``(p, mean_mse, rmse)`` for every order; an order that cannot be
+    fitted on all ``k`` folds (too few training rows in the first) is NULL, so
+    that all scores are means over the same folds.  One pass over the lag design gives
     every order's Gram matrices for all folds; the recursions run as one
     grouped job over (p, fold).
     """
@@ -239,7 +247,8 @@ def select_order(df: DataFrame, cols: Sequence[str], order: Sequence[str], max_l
             specs.append((p, i, s, e, B.flatten().tolist(), B.shape[0]))
     spec_df = spark.createDataFrame(specs, "p int, fold int, start long, end long, coef array<double>, nrow int")
     # the p rows before every test block: p x K numbers per (p, fold)
-    ctx = base.join(F.broadcast(spec_df.select("p", "fold", "start")), (F.col("_t") < F.col("start")) & (F.col("_t") >= F.col("start") - F.col("p")))
+    need = spec_df.select("p", "fold", F.explode(F.sequence(F.col("start") - F.col("p"), F.col("start") - 1)).alias("_t"))
+    ctx = base.join(F.broadcast(need), "_t")
     ctx_df = ctx.select("p", "fold", "_t", *[F.col(qident(c)).cast("double").alias(f"y{j}") for j, c in enumerate(cols)])
     K = len(cols)
 
@@ -266,4 +275,6 @@ def select_order(df: DataFrame, cols: Sequence[str], order: Sequence[str], max_l
     err = fc.join(actual, "_t")
     se = sum(((F.col(f"a{j}") - F.col(f"f{j}")) ** 2 for j in range(K)), F.lit(0.0)) / K
     fold_mse = err.groupBy("p", "fold").agg(F.avg(se).alias("mse"))
-    return fold_mse.groupBy("p").agg(F.avg("mse").alias("mean_mse")).withColumn("rmse", F.sqrt("mean_mse"))
+    scores = fold_mse.groupBy("p").agg(F.when(F.count("mse") == k, F.avg("mse")).alias("mean_mse"))
+    orders = spark.createDataFrame([(p,) for p in range(1, max_lag)], "p int")
+    return orders.join(F.broadcast(scores), "p", "left").withColumn("rmse", F.sqrt("mean_mse"))

@@ -133,18 +133,76 @@ def _score(model: TextModel) -> Callable:
             # the last class: all trigrams alike
             scores = np.vstack([sums, -n * math.log(BUCKETS)]) / np.maximum(1.0, n / EVIDENCE)
             scores -= scores.max(axis=0)
+            prior = np.ones(len(scores))
+            prior[-1] = OTHER_PRIOR
             kept = [batch.column(k) for k in range(batch.num_columns - 1)]
-            ends = np.arange(batch.num_rows + 1, dtype=np.int32) * len(scores)
-            vectors = pa.ListArray.from_arrays(pa.array(ends), pa.array(scores.T.ravel()))
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(n), vectors], [*batch.schema.names[:-1], "_n", "_text"])
+            p = _softmax(scores.T + np.log(prior))
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(n), _vectors(scores.T), _vectors(p)], [*batch.schema.names[:-1], "_n", "_text", "_p"])
     return score
 
 
-def _posterior(scores: Column, classes: int) -> list[Column]:
-    """Probabilities from log scores whose largest is near 0."""
-    raw = [F.exp(F.element_at(scores, k + 1)) for k in range(classes)]
-    total = sum(raw[1:], raw[0])
-    return [r / total for r in raw]
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    """Probabilities, row by row, from log scores."""
+    raw = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return raw / raw.sum(axis=1, keepdims=True)
+
+
+def _vectors(rows: np.ndarray) -> pa.ListArray:
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(rows).ravel()))
+
+
+EVIDENCE_KINDS = ("_declared", "_suffix", "_domain", "_host")
+
+
+def _fuse(languages: tuple[str, ...], share: np.ndarray, confidence: float, keys: int) -> Callable:
+    """The posterior of each row from its text scores and the sums of its declaration, suffix, domain and host."""
+    names, total = np.array([*languages, OTHER]), share.sum()
+    prior = share / total
+
+    def sums(column, rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """A column of vectors, zeros for null, and where it is null."""
+        got = np.zeros((rows, len(share)))
+        there = np.flatnonzero(np.asarray(column.is_valid()))
+        if len(there):
+            got[there] = np.asarray(column.drop_null().flatten()).reshape(-1, len(share))
+        return got, np.asarray(column.is_null())
+
+    def weight(own: np.ndarray, gone: np.ndarray) -> np.ndarray:
+        """log of P(value | class) / P(value), shrunk; 0 without a value."""
+        marginal = own.sum(axis=1, keepdims=True) / total
+        marginal[gone] = 1.0
+        return np.where(gone[:, None], 0.0, np.log((own + SHRINK * marginal) / ((share + SHRINK) * marginal)))
+
+    def smoothed(own: np.ndarray, gone: np.ndarray, mine: np.ndarray, upper: np.ndarray) -> np.ndarray:
+        """P(class | value) without the document itself, smoothed towards ``upper``."""
+        others = np.maximum(own - mine, 0.0)
+        got = (others + KAPPA * upper) / (others.sum(axis=1, keepdims=True) + KAPPA)
+        return np.where(gone[:, None], upper, got)
+
+    def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.num_rows
+            col = lambda name: batch.column(batch.schema.get_field_index(name))
+            n = np.asarray(col("_n"))
+            said = n > 0
+            text, _ = sums(col("_text"), rows)
+            p, _ = sums(col("_p"), rows)
+            mine = p * said[:, None]
+            declared, suffix, domain, host = (sums(col(f"_of{kind}"), rows) for kind in EVIDENCE_KINDS)
+            level = smoothed(*host, mine, smoothed(*domain, mine, np.broadcast_to(prior, p.shape)))
+            post = _softmax(text + weight(*declared) + weight(*suffix) + np.log(level)) if rows else p
+            best = post.max(axis=1) if rows else np.zeros(0)
+            found = np.where(said, names[post.argmax(axis=1)] if rows else [], "und")
+            by_text = np.where(said, names[p.argmax(axis=1)] if rows else [], "und")
+            sure = np.round(np.where(said, best, 0.0), 6)
+            kept = (sure >= confidence) & (found != OTHER) & (found != "und")
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in range(keys)), pa.array(found.tolist(), pa.string()), pa.array(sure), pa.array(by_text.tolist(), pa.string()),
+                 col("_declared"), col("_host"), pa.array(n), pa.array(kept)],
+                [*batch.schema.names[:keys], "lang_id", "confidence", "text_lang", "declared", "host", "n_trigrams", "kept"],
+            )
+    return fuse
 
 
 def _joined(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
@@ -164,63 +222,24 @@ def identify(
         *key, F.lower(F.regexp_extract(declared, "^[A-Za-z]+", 0)).alias("_declared"), F.lower(host).alias("_host"), F.coalesce(text, F.lit("")).alias("_t")
     ).withColumn("_declared", F.when(F.col("_declared") != "", F.col("_declared"))).withColumn("_host", F.when(F.col("_host") != "", F.col("_host")))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema.fields[:-1])
-    rows = named.mapInArrow(_score(model), f"{kinds}, _n long, _text array<double>")
     classes = len(model.languages) + 1
-    priors = [1.0] * len(model.languages) + [OTHER_PRIOR]
-    text_score = F.array(*[F.element_at("_text", k + 1) + math.log(p) for k, p in enumerate(priors)])
-    labels = F.substring_index("_host", ".", -2)
+    rows = named.mapInArrow(_score(model), f"{kinds}, _n long, _text array<double>, _p array<double>")
+    dotted = F.instr("_host", ".") > 0
     rows = stored(
-        rows.withColumn("_p", F.array(*_posterior(text_score, classes)))
-        .withColumn("_suffix", F.when(F.instr("_host", ".") > 0, F.substring_index("_host", ".", -1)))
-        .withColumn("_domain", F.when(F.instr("_host", ".") > 0, labels)),
+        rows.withColumn("_suffix", F.when(dotted, F.substring_index("_host", ".", -1))).withColumn("_domain", F.when(dotted, F.substring_index("_host", ".", -2))),
         "language_scores",
     )
-    said = F.col("_n") > 0
-
-    def sums(by: str) -> DataFrame:
-        own = [F.sum(F.element_at("_p", k + 1)) for k in range(classes)]
-        return rows.filter(said & F.col(by).isNotNull()).groupBy(by).agg(F.array(*own).alias(f"_of{by}"))
-
-    whole = rows.filter(said).agg(*[F.sum(F.element_at("_p", k + 1)) for k in range(classes)]).first()
-    share = [(x or 0.0) + 1.0 for x in whole]
-    total = sum(share)
-    prior = [x / total for x in share]
+    own = [F.sum(F.get("_p", F.lit(k))) for k in range(classes)]
+    said = rows.filter("_n > 0")
+    share = np.array([(x or 0.0) + 1.0 for x in said.agg(*own).first()])
     out = rows
-    for by in ("_declared", "_suffix", "_domain", "_host"):
-        out = _joined(out, stored(sums(by), f"by{by}"), by)
-
-    def at(name: str, k: int) -> Column:
-        return F.coalesce(F.element_at(name, k + 1), F.lit(0.0))
-
-    def size(name: str) -> Column:
-        return F.coalesce(F.aggregate(name, F.lit(0.0), lambda s, x: s + x), F.lit(0.0))
-
-    def weight(name: str, k: int) -> Column:
-        """log of P(value | class) / P(value), shrunk; 0 without a value."""
-        marginal = size(name) / F.lit(total)
-        return F.when(F.col(name).isNull(), 0.0).otherwise(F.log((at(name, k) + SHRINK * marginal) / (F.lit(share[k] + SHRINK) * marginal)))
-
-    def host_prior(k: int) -> Column:
-        mine = F.element_at("_p", k + 1) * F.when(said, 1.0).otherwise(0.0)
-        one = F.when(said, 1.0).otherwise(0.0)
-        upper = F.when(F.col("_of_domain").isNull(), F.lit(prior[k])).otherwise(
-            (F.greatest(at("_of_domain", k) - mine, F.lit(0.0)) + KAPPA * prior[k]) / (F.greatest(size("_of_domain") - one, F.lit(0.0)) + KAPPA)
-        )
-        return F.when(F.col("_of_host").isNull(), upper).otherwise(
-            (F.greatest(at("_of_host", k) - mine, F.lit(0.0)) + KAPPA * upper) / (F.greatest(size("_of_host") - one, F.lit(0.0)) + KAPPA)
-        )
-
-    fused = [F.element_at("_text", k + 1) + weight("_of_declared", k) + weight("_of_suffix", k) + F.log(host_prior(k)) for k in range(classes)]
-    out = out.withColumn("_s", F.array(*fused)).withColumn("_s", F.transform("_s", lambda x: x - F.array_max("_s")))
-    out = out.withColumn("_post", F.array(*_posterior(F.col("_s"), classes)))
-    names = F.array(*[F.lit(x) for x in (*model.languages, OTHER)])
-    best = F.array_max("_post")
-    found = F.when(said, F.element_at(names, F.array_position("_post", best).cast("int"))).otherwise("und")
-    text_best = F.when(said, F.element_at(names, F.array_position("_p", F.array_max("_p")).cast("int"))).otherwise("und")
-    out = out.withColumn("_lang", found).withColumn("_best", F.round(F.when(said, best).otherwise(0.0), 6))
-    return out.select(
-        *key, F.col("_lang").alias("lang_id"), F.col("_best").alias("confidence"), text_best.alias("text_lang"), F.col("_declared").alias("declared"),
-        F.col("_host").alias("host"), F.col("_n").alias("n_trigrams"), ((F.col("_best") >= confidence) & ~F.col("_lang").isin(OTHER, "und")).alias("kept"),
+    for by in EVIDENCE_KINDS:
+        out = _joined(out, stored(said.filter(F.col(by).isNotNull()).groupBy(by).agg(F.array(*own).alias(f"_of{by}")), f"by{by}"), by)
+    key_kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema.fields[: len(key)])
+    out = out.select(*key, "_n", "_text", "_p", "_declared", "_host", *[f"_of{by}" for by in EVIDENCE_KINDS])
+    return out.mapInArrow(
+        _fuse(model.languages, share, confidence, len(key)),
+        f"{key_kinds}, lang_id string, confidence double, text_lang string, declared string, host string, n_trigrams long, kept boolean",
     )
 
 

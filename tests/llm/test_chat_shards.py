@@ -148,6 +148,48 @@ def test_unchanged_shards_are_not_rewritten(spark):
     assert abs(grown.moved_bytes - 300 * 108 / 4) < 4 * 108  # a quarter goes to the new shard, nothing else moves
 
 
+def test_shards_that_are_full_give_to_an_empty_one():
+    # shard 0 cannot give; 1 and 2 hold no more than their targets
+    moves = reshard.even_out([90, 30, 30, 0], {0: [(90, "a")], 1: [(10, "b"), (20, "c")], 2: [(10, "d"), (20, "e")]}, [60, 30, 30, 30])
+    totals = [90, 30, 30, 0]
+    for key, a, b in moves:
+        totals[a] -= {"b": 10, "c": 20, "d": 10, "e": 20}[key]
+        totals[b] += {"b": 10, "c": 20, "d": 10, "e": 20}[key]
+    assert totals == [90, 20, 20, 20]
+
+
+def test_large_units_are_placed_first_and_the_rest_is_levelled():
+    to, loads, targets = reshard.place_large([(50, 0), (20, 0), (20, 1)], [80, 20], {0: 0, 1: 1}, [1.0] * 4, 100)
+    assert to[0] == 0 and sorted(loads) == [0, 20, 20, 50] and targets[0] == 50 and sorted(targets) == [10, 20, 20, 50]
+    assert reshard.levelled([0, 0, 0], [1.0, 2.0, 1.0], 40) == [10, 20, 10]
+    assert reshard.levelled([30, 0, 0], [1.0] * 3, 11) == [30, 6, 5]
+
+
+def test_reshard_is_even_beside_a_third_in_one_unit(spark):
+    rng = random.Random(8)
+    short = [(i, "y" * rng.randrange(20, 60), rng.choice("aaab")) for i in range(4000)]
+    third = sum(len(t) + reshard.EXTRA for _, t, _ in short) // 2
+    same = "z" * 92
+    for hot in ([(-1, "x" * third, "a")], [(-1, same, "a")] * (third // 100), [(None, same, "a")] * (third // 100)):
+        rows = short + hot
+        df = frame(spark, rows)
+        layout = reshard.reshard(df, scratch_path(spark, "l"), 24, old=F.col("old"))
+        out = reshard.read_layout(df, layout, F.col("old")).collect()
+        sizes = check_layout(rows, out, [1] * 24)
+        hot_shards = {r["shard"] for r in out if r["doc_id"] in (-1, None)}
+        others = [n for j, n in enumerate(sizes) if j not in hot_shards]
+        assert len(hot_shards) == 1 and abs(sizes[min(hot_shards)] - third) <= 100
+        assert max(others) - min(others) <= 60
+
+
+def test_reshard_is_even_with_units_of_all_sizes(spark):
+    rows = [(i, "x" * (30_000 if i < 3 else 9_000 if i < 12 else 40), "ab"[i % 2]) for i in range(6000)]
+    df = frame(spark, rows)
+    out = reshard.read_layout(df, reshard.reshard(df, scratch_path(spark, "l"), 20, old=F.col("old")), F.col("old")).collect()
+    sizes = sorted(check_layout(rows, out, [1] * 20))
+    assert sizes[-3:] == [30_008] * 3 and sizes[16] - sizes[0] <= 48
+
+
 def test_reshard_leaves_out_columns_with_its_own_names(spark):
     df = spark.createDataFrame([(i, "x" * i, "ab"[i % 2], 7, "s", 1) for i in range(50)], "doc_id long, text string, old string, Shard int, slot string, _unit int")
     rows = reshard.read_layout(df, reshard.reshard(df, scratch_path(spark, "l"), 2, old=F.col("old")), F.col("old"))
@@ -166,6 +208,17 @@ def test_reshard_query(spark):
     assert {r["law"] for r in out} == {"bytes"} and {r["shard"] for r in out} <= set(range(24))
 
 
+def test_reshard_query_is_even(spark):
+    sizes = defaultdict(int)
+    units = defaultdict(list)
+    for r in QUERIES["op8_flow_resharding"](spark, SF001).collect():
+        sizes[r["shard"]] += r["size"]
+        units[r["shard"]].append(r["size"])
+    # no document of a fuller shard would make it and the emptiest one more even
+    low = min(sizes.get(j, 0) for j in range(24))
+    assert all(min(units[j]) >= sizes[j] - low or sizes[j] - low <= sum(sizes.values()) / 24 * 2e-3 for j in sizes)
+
+
 def test_marks_never_meet_in_a_formatted_chat(spark):
     rows = [(1, 0, "user", IMITATION, ""), (1, 1, "assistant", IMITATION, "")]
     parts = chat.format_turns(spark.createDataFrame(rows, SCHEMA)).orderBy("position").collect()

@@ -8,10 +8,14 @@ shards gives how many bytes go from where to where.
 
 The flow is turned into block transfers.  A block holds the documents of one old
 shard with one value of an id hash, about ``block_bytes`` of them; only block
-sizes reach the driver.  Blocks that lie within one arc of the flow move (or
+sizes reach the driver, and the units (documents, or rows that stay together) that
+are larger than a block.  These are placed before the flow, the largest first, and
+a shard that one of them fills past its capacity gets nothing else: the others
+share the rest evenly.  Blocks that lie within one arc of the flow move (or
 stay) whole.  A block that an arc's end cuts is split by documents, largest first,
-in a task of its own.  What a large document leaves unequal is evened out by
-moving single documents from the fullest to the emptiest shards.  Shards that
+in a task of its own.  What is still unequal is evened out by moving and cutting
+further blocks, then by single documents from the fullest to the emptiest shards,
+round after round until the shards are even or no move helps.  Shards that
 keep exactly their old file are not rewritten; all others are written anew, with
 one shuffle of the texts.
 
@@ -23,6 +27,7 @@ that have one of our own names (``OWN``), which are left out.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import deque
 from dataclasses import dataclass
 
@@ -39,8 +44,10 @@ BLOCK_BYTES, BLOCKS_PER_SHARD = 64 << 20, 64
 BROADCAST_BLOCKS = 200_000
 #: Names of the result and of working columns.
 OWN = ("shard", "slot", "_name", "_unit", "_old", "_block", "_blocks", "_single", "_to", "_start", "_n")
-#: Documents of a shard offered for evening out: so many of each power-of-two size.
+#: Documents of a shard offered in one round of evening out: so many of each power-of-two size.
 OFFERED = 8
+#: Shards are even when none is further from its target than this share of a mean shard.
+EVEN = 1e-3
 
 
 class FlowNetwork:
@@ -110,13 +117,91 @@ class FlowNetwork:
         return total
 
 
-def transfers(old: list[int], new: list[int]) -> tuple[dict[int, int], list[tuple[int, int, int]]]:
-    """Old sizes and new capacities (of the same sum) to ``adopted`` (new -> old) and arcs (old, new, bytes).
+def adoption(old: list[int], new: list[int]) -> dict[int, int]:
+    """New -> old: the largest new shards take the largest old ones."""
+    by_size = sorted(range(len(old)), key=lambda i: (-old[i], i))
+    return dict(zip(sorted(range(len(new)), key=lambda j: (-new[j], j)), by_size))
+
+
+def levelled(loads: list[int], shares: list[float], rest: int) -> list[int]:
+    """Sizes of the shards when ``rest`` bytes are poured over ``loads``: all at one level for their share, or above it already."""
+    order = sorted((j for j in range(len(loads)) if shares[j] > 0), key=lambda j: loads[j] / shares[j])
+    under, poured, share = [], rest, 0.0
+    for j in order:
+        if under and loads[j] * share >= poured * shares[j]:
+            break
+        under.append(j)
+        poured += loads[j]
+        share += shares[j]
+    targets, done, at = list(loads), 0, 0.0
+    for k, j in enumerate(sorted(under), 1):
+        at += shares[j]
+        upto = poured if k == len(under) else round(poured * at / share)
+        targets[j] = upto - done
+        done = upto
+    # rounding may leave a target a byte below its load
+    for j in under:
+        while targets[j] < loads[j]:
+            k = max(under, key=lambda k: targets[k] - loads[k])
+            part = min(loads[j] - targets[j], max(1, (targets[k] - loads[k]) // 2))
+            targets[j] += part
+            targets[k] -= part
+    return targets
+
+
+def place_large(units: list[tuple[int, int]], olds: list[int], adopted: dict[int, int], shares: list[float], total: int) -> tuple[list[int], list[int], list[int]]:
+    """Shards for the ``units`` (bytes, old) larger than a block; the bytes so placed and the target of each shard.
+
+    ``olds``: the bytes of each old shard, ``total`` their sum.  A unit that no
+    target can hold gets the emptiest shard for itself, and the targets of the
+    others are levelled again.  The rest stay where they fit, or fill the
+    largest gap.
+    """
+    loads, free = [0] * len(shares), total
+    targets, home = levelled(loads, shares, total), {i: j for j, i in adopted.items()}
+    to, small = [-1] * len(units), list(olds)
+    for size, i in units:
+        small[i] -= size
+    homeless = []
+
+    def put(k: int, j: int) -> None:
+        nonlocal free
+        to[k] = j
+        loads[j] += units[k][0]
+        free -= units[k][0]
+
+    for k in sorted(range(len(units)), key=lambda k: (-units[k][0], k)):
+        size, i = units[k]
+        j, room = home.get(i), [t - n for t, n in zip(targets, loads)]
+        if j is not None and size <= room[j]:
+            put(k, j)
+        elif size <= max((t for t, n in zip(targets, loads) if t > n), default=0):
+            homeless.append(k)
+        else:
+            most = max(room)
+            put(k, j if j is not None and room[j] + 1 >= most else room.index(most))
+            targets = levelled(loads, shares, free)
+    for k in homeless:
+        size = units[k][0]
+        room = [t - n for t, n in zip(targets, loads)]
+        spare = [r - (small[adopted[j]] if j in adopted else 0) for j, r in enumerate(room)]
+        most = max(spare)
+        if size <= most:
+            put(k, spare.index(most))
+        else:
+            fits = size <= max(room)
+            put(k, room.index(max(room)))
+            if not fits:
+                targets = levelled(loads, shares, free)
+    return to, loads, levelled(loads, shares, free)
+
+
+def transfers(old: list[int], new: list[int], adopted: dict[int, int] | None = None) -> tuple[dict[int, int], list[tuple[int, int, int]]]:
+    """Old sizes and new capacities (of the same sum) to ``adopted`` (new -> old, if not given) and arcs (old, new, bytes).
 
     The arcs move the fewest bytes; an old shard's first arc is what stays.
     """
-    by_size = sorted(range(len(old)), key=lambda i: (-old[i], i))
-    adopted = dict(zip(sorted(range(len(new)), key=lambda j: (-new[j], j)), by_size))
+    adopted = adoption(old, new) if adopted is None else adopted
     net, source, hub = FlowNetwork(len(old) + len(new) + 3), len(old) + len(new), len(old) + len(new) + 1
     sink = hub + 1
     for i, size in enumerate(old):
@@ -167,6 +252,31 @@ def blocks_to_shards(blocks: list[tuple[int, int, int]], arcs: list[tuple[int, i
     return whole, cut
 
 
+def recut(over: list[int], whole: dict[tuple[int, int], int], sizes: dict[tuple[int, int], int], least: float) -> tuple[dict, dict]:
+    """Whole blocks (old, block) that go from shards over their targets to those under: moved ones, and cut ones with their parts."""
+    over, free = list(over), {}
+    for block, j in sorted(whole.items(), key=lambda b: (sizes[b[0]], b[0])):
+        free.setdefault(j, []).append((sizes[block], block))
+    moved, cut, tried = {}, {}, set()
+    while True:
+        high = max((j for j in range(len(over)) if j not in tried), key=lambda j: over[j], default=None)
+        low = min(range(len(over)), key=lambda j: over[j])
+        if high is None or min(over[high], -over[low]) <= least:
+            return moved, cut
+        if not free.get(high):
+            tried.add(high)
+            continue
+        give = min(over[high], -over[low])
+        k = bisect_right(free[high], give, key=lambda b: b[0])
+        size, block = free[high].pop(max(0, k - 1))
+        if size <= give:
+            moved[block], give = low, size
+        else:
+            cut[block] = [(low, give), (high, size - give)]
+        over[high] -= give
+        over[low] += give
+
+
 def even_out(totals: list[int], offered: dict[int, list[tuple[int, object]]], targets: list[int]) -> list[tuple[object, int, int]]:
     """Moves (key, from, to) of offered documents (size, key) that bring the totals closer to the targets."""
     over = [a - b for a, b in zip(totals, targets)]
@@ -174,8 +284,8 @@ def even_out(totals: list[int], offered: dict[int, list[tuple[int, object]]], ta
     moves, tried = [], set()
     while True:
         high = max((j for j in range(len(over)) if j not in tried), key=lambda j: over[j], default=None)
-        low = min(range(len(over)), key=lambda j: over[j])
-        if high is None or high == low or over[high] <= 0:
+        low = min(range(len(over)), key=lambda j: over[j], default=None)
+        if high is None:
             return moves
         gap = over[high] - over[low]
         fits = [d for d in offered.get(high, []) if d[0] < gap]
@@ -186,6 +296,7 @@ def even_out(totals: list[int], offered: dict[int, list[tuple[int, object]]], ta
         offered[high].remove(best)
         over[high] -= best[0]
         over[low] += best[0]
+        tried.discard(low)
         moves.append((best[1], high, low))
 
 
@@ -238,9 +349,7 @@ def reshard(
     sizes = {r["_name"]: r["bytes"] for r in small.groupBy("_name").agg(F.sum("bytes").alias("bytes")).collect()}  # one row per old shard
     names = sorted(sizes)
     total = sum(sizes.values())
-    edges = [round(total * sum(shares[:k]) / sum(shares)) for k in range(len(shares) + 1)]
-    targets = [b - a for a, b in zip(edges, edges[1:])]
-    adopted, arcs = transfers([sizes[n] for n in names], targets)
+    adopted = adoption([sizes[n] for n in names], levelled([0] * len(shares), shares, total))
     step = max(1, min(block_bytes, total // (len(shares) * BLOCKS_PER_SHARD) + 1))
     olds = spark.createDataFrame([(n, i, max(1, sizes[n] // step)) for i, n in enumerate(names)], "_name string, _old int, _blocks long")
     block = F.pmod(F.xxhash64("_unit"), F.col("_blocks")).alias("_block")
@@ -248,32 +357,75 @@ def reshard(
         small.join(F.broadcast(olds) if len(names) <= BROADCAST_BLOCKS else olds, "_name").select("_unit", "_old", block, "bytes")
         .groupBy("_unit", "_old", "_block").agg(F.sum("bytes").alias("bytes")), "blocks",
     )
-    held = [tuple(r) for r in units.groupBy("_old", "_block").agg(F.sum("bytes")).collect()]  # one row per block
-    whole, cut = blocks_to_shards(held, arcs)
-    parts = {(i, b): p for i, b, p in cut}
-    whole_df = spark.createDataFrame([(i, b, j) for i, b, j in whole], "_old int, _block long, shard int")
-    cut_df = spark.createDataFrame([(i, b) for i, b in parts], "_old int, _block long")
+    # units larger than a block: no more of them than blocks
+    large = [tuple(r) for r in units.filter(F.col("bytes") > step).select("_unit", "_old", "_block", "bytes").collect()]
+    large.sort(key=lambda r: (-r[3], r[:3]))
+    to, loads, targets = place_large([(r[3], r[1]) for r in large], [sizes[n] for n in names], adopted, shares, total)
+    large = [(*r, j) for r, j in zip(large, to)]
+    small_units = units.filter(F.col("bytes") <= step)
+    rest = [sizes[n] for n in names]
+    for _, i, _, size, _ in large:
+        rest[i] -= size
+    _, arcs = transfers(rest, [t - n for t, n in zip(targets, loads)], adopted)
+    held = {(r[0], r[1]): r[2] for r in small_units.groupBy("_old", "_block").agg(F.sum("bytes")).collect()}  # one row per block
+    laid, cut = blocks_to_shards([(*b, size) for b, size in held.items()], arcs)
+    whole = {(i, b): j for i, b, j in laid}
 
     def little(d: DataFrame) -> DataFrame:
         return F.broadcast(d) if len(held) <= BROADCAST_BLOCKS else d
 
-    split = stored(
-        units.join(little(cut_df), ["_old", "_block"], "left_semi").groupBy("_old", "_block")
-        .applyInPandas(_splitter(parts), "_unit string, _old int, _block long, bytes long, shard int"), "split",
-    )
-    placed = units.join(little(whole_df), ["_old", "_block"]).select("_unit", "_old", "_block", "bytes", "shard").unionByName(split)
+    single_schema = "_unit string, _old int, _block long, bytes long, shard int"
+
+    def documents_of(parts: dict) -> DataFrame:
+        cut_df = spark.createDataFrame(list(parts), "_old int, _block long")
+        return small_units.join(little(cut_df), ["_old", "_block"], "left_semi").groupBy("_old", "_block").applyInPandas(_splitter(parts), single_schema)
+
+    split = stored(documents_of({(i, b): p for i, b, p in cut}).unionByName(spark.createDataFrame(large, single_schema)), "split")
+    # even out with further blocks: the totals of whole ones are known here
+    least, before = EVEN * total / max(1, len(shares)), None
+    while True:
+        totals = [0] * len(shares)
+        for b, j in whole.items():
+            totals[j] += held[b]
+        for r in split.groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect():
+            totals[r["shard"]] += r["bytes"]
+        over = [a - b for a, b in zip(totals, targets)]
+        uneven = sum(abs(x) for x in over)
+        if before is not None and uneven >= before:
+            break
+        before = uneven
+        moved_blocks, cut_blocks = recut(over, whole, held, least)
+        if not moved_blocks and not cut_blocks:
+            break
+        whole = {b: moved_blocks.get(b, j) for b, j in whole.items() if b not in cut_blocks}
+        if cut_blocks:
+            split = stored(split.unionByName(documents_of(cut_blocks)), "split")
+    whole_df = spark.createDataFrame([(i, b, j) for (i, b), j in whole.items()], "_old int, _block long, shard int")
+    placed = small_units.join(little(whole_df), ["_old", "_block"]).select("_unit", "_old", "_block", "bytes", "shard").unionByName(split)
     # even out with single documents
     power = F.floor(F.log2("bytes"))
-    totals = [0] * len(shares)
-    for r in placed.groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect():
-        totals[r["shard"]] = r["bytes"]
-    pick = Window.partitionBy("shard", power).orderBy(F.xxhash64("_unit"), "_unit")
-    offered: dict[int, list] = {}
-    for r in placed.withColumn("_n", F.row_number().over(pick)).filter(F.col("_n") <= OFFERED).collect():
-        offered.setdefault(r["shard"], []).append((r["bytes"], (r["_unit"], r["_old"], r["_block"])))
-    moves = even_out(totals, offered, targets)
-    final = {key: to for key, _, to in moves}
-    moved_df = spark.createDataFrame([(*key, to) for key, to in final.items()], "_unit string, _old int, _block long, _to int")
+    pick = Window.partitionBy("shard", power).orderBy(F.xxhash64("_unit"), "_unit", "_old")
+    final: dict[tuple, int] = {}
+
+    def moved_documents() -> DataFrame:
+        return spark.createDataFrame([(*key, to) for key, to in final.items()], "_unit string, _old int, _block long, _to int")
+
+    while True:
+        now = placed
+        if final:
+            now = placed.join(F.broadcast(moved_documents()), ["_unit", "_old", "_block"], "left").withColumn("shard", F.coalesce("_to", "shard"))
+        offered: dict[int, list] = {}
+        for r in now.withColumn("_n", F.row_number().over(pick)).filter(F.col("_n") <= OFFERED).collect():
+            offered.setdefault(r["shard"], []).append((r["bytes"], (r["_unit"], r["_old"], r["_block"])))
+        bytes_of = {key: size for docs in offered.values() for size, key in docs}
+        moves = even_out(totals, offered, targets)
+        for key, a, b in moves:
+            final[key] = b
+            totals[a] -= bytes_of[key]
+            totals[b] += bytes_of[key]
+        if not moves or max(abs(a - b) for a, b in zip(totals, targets)) <= least:
+            break
+    moved_df = moved_documents()
     # where single documents go; everything else follows its block
     single = split.select("_unit", "_old", "_block", F.col("shard").alias("_single")).join(
         F.broadcast(moved_df), ["_unit", "_old", "_block"], "full"

@@ -117,3 +117,27 @@ def test_too_many_series_are_refused(spark):
     df = spark.range(30).selectExpr("id AS k", "timestamp_ntz '2024-01-01' AS ts", "1.0D AS v")
     with pytest.raises(ValueError, match="series"):
         V.bucket_means(df, "ts", "k", "v", "1 hour", max_series=20)
+
+
+def test_model_queries_use_the_reference_budget(monkeypatch):
+    from tidewise.plans import q_models as Q
+    seen = {}
+    monkeypatch.setattr(Q, "_fit_eval", lambda spark, sf, model, params: seen.setdefault(model, params) and (None, None))
+    monkeypatch.setattr(Q.M, "regression_metrics", lambda *a: None)
+    Q.q_gbt_metrics(None, None)
+    Q.q_rf_metrics(None, None)
+    assert seen["gbt"] == M.GBT_PRODUCTION and seen["gbt"]["maxIter"] == 800
+    assert (seen["rf"]["numTrees"], seen["rf"]["maxDepth"], seen["rf"]["featureSubsetStrategy"]) == (100, 30, "all")
+
+
+def test_search_and_forecast_queries_use_all_draws_and_folds(spark, monkeypatch):
+    from tests.conftest import SF001
+    from tidewise.plans import q_models as Q
+    calls = []
+    model = object()
+    monkeypatch.setattr(Q.M, "random_search", lambda df, feats, y, order, cands, k=5, **kw: calls.append((cands, k)) or ("scores", model))
+    monkeypatch.setattr(Q.M, "recursive_forecast", lambda m, *a, **kw: m)
+    assert Q.q_random_search(spark, SF001) == "scores"
+    assert Q.q_recursive_forecast(spark, SF001) is model  # the searched model forecasts
+    want = [dict(c, seed=42) for c in M.draw_params(20, seed=1234)]
+    assert calls == [(want, 5), (want, 5)] and all(100 <= c["maxIter"] < 1000 for c in want)

@@ -126,6 +126,13 @@ def regression_pipeline(features: Sequence[str], label: str, model: str = "linea
 GBT_PRODUCTION = dict(maxIter=800, stepSize=0.05, maxDepth=6, minInstancesPerNode=3, subsamplingRate=0.8,
                       featureSubsetStrategy="0.8", minInfoGain=0.1, seed=42)
 
+# The reference's forest: 100 trees, every feature at every split, no depth
+# limit (30 levels are MLlib's limit), seed 42.
+RF_REFERENCE = dict(numTrees=100, maxDepth=30, featureSubsetStrategy="all", seed=42)
+
+# The reference's random search: 20 draws, 5 expanding folds.
+SEARCH_DRAWS, SEARCH_FOLDS = 20, 5
+
 
 def save_model(model: PipelineModel, path: str) -> None:
     """The whole fitted pipeline (keeps feature order and transforms)."""

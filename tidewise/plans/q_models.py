@@ -144,29 +144,28 @@ def q_linear_metrics(spark, sf):
 
 
 @query("gbt_metrics")
-def q_gbt_metrics(spark, sf):
-    """J6 + J10: boosted trees (20 trees, production learning rate, depth,
-    child size, sampling) test metrics."""
-    params = dict(M.GBT_PRODUCTION, maxIter=20)
-    _, pred = _fit_eval(spark, sf, "gbt", params)
+def q_gbt_metrics(spark, sf, params=M.GBT_PRODUCTION):
+    """J6 + J10: boosted trees with the production settings (800 trees),
+    test metrics."""
+    _, pred = _fit_eval(spark, sf, "gbt", dict(params))
     return M.regression_metrics(pred, "value", "prediction")
 
 
 @query("rf_metrics")
-def q_rf_metrics(spark, sf):
-    """J7 + J10: random forest, 100 trees, seed 42 (depth 12)."""
-    _, pred = _fit_eval(spark, sf, "rf", dict(numTrees=100, seed=42, maxDepth=12))
+def q_rf_metrics(spark, sf, params=M.RF_REFERENCE):
+    """J7 + J10: random forest as in the reference (100 trees, seed 42, all
+    features at every split, grown to MLlib's limit of 30 levels)."""
+    _, pred = _fit_eval(spark, sf, "rf", dict(params))
     return M.regression_metrics(pred, "value", "prediction")
 
 
 @query("random_search")
-def q_random_search(spark, sf):
-    """Seeded draws of the notebook's space scored by 3 expanding folds.
-    The check runs 4 candidates with tree counts divided by 20 (a reduced
-    model budget, all rows kept)."""
+def q_random_search(spark, sf, draws=M.SEARCH_DRAWS, k=M.SEARCH_FOLDS):
+    """20 seeded draws of the notebook's space, each with its own number
+    of trees, scored by 5 expanding folds."""
     d = cut_lineage(_prep(spark, sf).where(F.col("split") == "train"))
-    cands = [dict(c, maxIter=max(5, c["maxIter"] // 20), seed=42) for c in M.draw_params(4, seed=1234)]
-    scores, _ = M.random_search(d, FEATS, "value", ["ordinal"], cands, k=3, model="gbt", parallelism=8)
+    cands = [dict(c, seed=42) for c in M.draw_params(draws, seed=1234)]
+    scores, _ = M.random_search(d, FEATS, "value", ["ordinal"], cands, k=k, model="gbt", parallelism=8)
     return scores
 
 
@@ -175,12 +174,14 @@ _HF = ["k", "hora", "minuto", "dia_de_semana", "dia_del_ano", "lag_value_1_hora"
 
 
 @query("recursive_forecast")
-def q_recursive_forecast(spark, sf):
-    """10-step recursive forecast of the cleaned series with a boosted
-    tree model on the high-frequency features (context 200 rows)."""
+def q_recursive_forecast(spark, sf, draws=M.SEARCH_DRAWS, k=M.SEARCH_FOLDS):
+    """10-step recursive forecast of the cleaned series with the best
+    boosted tree model of the random search (20 draws, 5 folds) on the
+    high-frequency features (context 200 rows)."""
     cl = drop_any_null(clean_flow_df(spark, sf).select("event_id", "ts", "value", "k"))
     feats = cut_lineage(hf_features(cl, "value", "ts", ORDER))
-    model = M.regression_pipeline(_HF, "value", "gbt", params=dict(maxIter=20, maxDepth=5, seed=42)).fit(feats)
+    cands = [dict(c, seed=42) for c in M.draw_params(draws, seed=1234)]
+    _, model = M.random_search(feats, _HF, "value", ORDER, cands, k=k, model="gbt", parallelism=8)
     fn = lambda d: hf_features(d, "value", "ts", ["ts"], drop_nulls=False)
     return M.recursive_forecast(model, cl.drop("event_id"), 10, "value", "ts", fn)
 

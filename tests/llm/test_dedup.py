@@ -89,6 +89,12 @@ def test_drop_copies_keeps_columns_and_one_of_each(spark):
     assert sorted((r["doc_id"], r["text"] or "") for r in out.collect()) == [(1, "different text, same id"), (3, ""), (4, "a"), (5, "c")]
 
 
+def test_drop_copies_keeps_one_of_rows_that_nothing_tells_apart(spark):
+    rows = [(1, "a"), (1, "a"), (0, "a"), (None, "n"), (None, "n"), (None, "n"), (None, "b"), (2, "b"), (None, None), (None, ""), (3, "single"), (None, "alone")]
+    out = exact.drop_copies(docs_frame(spark, rows).repartition(4))
+    assert sorted(((r["doc_id"] or -1), r["text"] or "") for r in out.collect()) == [(-1, ""), (-1, "alone"), (-1, "n"), (1, "a"), (2, "b"), (3, "single")]
+
+
 def test_exact_empty_table(spark):
     assert exact.copy_groups(docs_frame(spark, [])).count() == 0
     assert exact.drop_copies(docs_frame(spark, [])).count() == 0

@@ -65,15 +65,22 @@ def copy_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
-    """The rows of ``df`` that stay, all columns unchanged.
+    """The rows of ``df`` that stay, all columns unchanged: one of each text.
 
+    Rows that ``copy_groups`` cannot tell apart (the winning id repeated, or null
+    ids only) are reduced to one of them by an aggregate, in every task first.
     Only ids and digests of the dropped rows meet the documents again (an anti
     join that Spark broadcasts when it finds that side small).
     """
     digest, key, own = free_name(df, "_sha256"), free_name(df, "_dropped_id"), free_name(df, "_own_sha256")
-    dropped = stored(
-        copy_groups(df, id_col, text_col, support).filter("NOT kept").select("doc_id", "text_sha256"), "dropped"
-    ).select(F.col("doc_id").alias(key), F.col("text_sha256").alias(digest)).distinct()
+    groups = stored(copy_groups(df, id_col, text_col, support).filter("group_size > 1").select("doc_id", "text_sha256", "kept"), "groups")
+    dropped = groups.filter("NOT kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(digest)).distinct()
+    ties = stored(groups.filter("kept").groupBy(F.col("text_sha256").alias(digest)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "ties")
     rows = df.withColumn(own, digest_column(text_col))
     match = (F.col(own) == F.col(digest)) & F.col(id_col).eqNullSafe(F.col(key))
-    return rows.join(dropped, match, "left_anti").drop(own)
+    left = rows.join(dropped, match, "left_anti")
+    if ties.isEmpty():
+        return left.drop(own)
+    tied = F.col(own) == F.col(digest)
+    one = left.join(ties, tied, "left_semi").dropDuplicates([own])
+    return left.join(ties, tied, "left_anti").unionByName(one).drop(own)

@@ -137,6 +137,17 @@ def test_near_duplicates_equal_all_pairs(spark, monkeypatch, at_once):
     assert all(r["kept"] == (want[i] == i) for i, r in out.items())
 
 
+def test_near_duplicates_link_all_rows_of_an_id(spark):
+    a, b, other = "a b c d e f", "g h i j k l", "m n o p q r"
+    out = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs_frame(spark, [(7, a), (7, b), (2, a), (3, b), (8, other)])).collect()}
+    assert out == {(7, 2, False), (2, 2, True), (3, 2, False), (8, 8, True)}
+    # a unique and an empty text of an id share the fate of its near copy
+    df = docs_frame(spark, [(7, a), (7, other), (7, ""), (2, a), (4, None), (9, other)])
+    out = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(df).collect()}
+    assert out == {(7, 2, False), (2, 2, True), (9, 2, False), (4, 4, True)}
+    assert sorted(r["doc_id"] for r in minhash.drop_near_duplicates(df).collect()) == [2, 4]
+
+
 def test_near_duplicates_odd_rows(spark):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (3, "A B c d e f"), (None, "a b c d e f"), (9, "x " * 200_000 + "y")]
     out = sorted(((r["doc_id"] or -1), r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs_frame(spark, rows)).collect())

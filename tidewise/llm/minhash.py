@@ -22,7 +22,8 @@ Every candidate is confirmed on the full sets.
 Defined results: a null, empty or blank text has an empty set and links with
 nothing; fewer than five words are one shingle; a row without an id links with
 nothing, its ``component_id`` is null and it is kept; rows that share an id are
-one document and their links count together; an empty table gives an empty
+one document: the classes of their sets are linked through the id, rows with an
+empty set follow the others, and all are kept or none; an empty table gives an empty
 result; other columns are not read.
 """
 
@@ -226,6 +227,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     linked = signatures.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(linked.groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.min_by("parts", "doc_id").alias("parts")), "classes")
     found = near_links(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "bands", "parts"), documents.filter("doc_id IS NOT NULL"))
+    # an id in several classes links them
+    several = linked.groupBy("doc_id").agg(F.min(F.struct(*sets)).alias("a"), F.max(F.struct(*sets)).alias("b")).filter("a <> b").select("doc_id")
+    several = stored(linked.select("doc_id", *sets).join(several, "doc_id", "left_semi").distinct(), "several")
+    if not several.isEmpty():
+        shared = several.join(classes.select(*sets, "rep"), sets).select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+        found = _joined_on(found, stored(shared, "shared"))
     answer = stored(
         classes.select(*sets, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*sets, F.coalesce("component", "rep").alias("c")),
         "answer",
@@ -233,6 +240,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = signatures.drop("bands")
     own = rows.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     out = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(answer, sets).select("doc_id", "n_shingles", F.col("c").alias("component_id"))
+    empty = stored(own.filter("doc_id IS NOT NULL").select("doc_id").distinct(), "empty")
+    if not empty.isEmpty():
+        theirs = out.join(empty, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("c"))
+        own = own.join(theirs, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("c", "component_id").alias("component_id"))
     return out.unionByName(own).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

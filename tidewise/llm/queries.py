@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, langid, minhash, mixing, packing, reshard, sketch, tokenstore, urls
+from . import chat, exact, langid, minhash, mixing, packing, reshard, sketch, tokenstore, urls, whitening
 from .common import scratch_path, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,8 @@ def op3_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_url_filter")  # no SQL: Viterbi; tested against a plain version
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op11_whitening")  # no SQL: eigenvectors; tested against plain whole-number and NumPy versions
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, langid, minhash, mixing, packing, reshard, sketch, tokenstore, urls, whitening
+from . import chat, exact, langid, minhash, mixing, packing, reshard, sketch, tokenstore, trie, urls, whitening
 from .common import scratch_path, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,35 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_whitening")  # no SQL: eigenvectors; tested against plain whole-number and NumPy versions
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+#: Unsigned crc32 of the decimal id, bit by bit.
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)), 4294967295)"""
+
+
+@query("op12_prefix_trie", f"""
+WITH t AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(md5(role) || md5(text))) - 1 AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+i AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+r AS (
+  SELECT i.conv_id, 0 AS part, pos, role, text FROM i JOIN t ON t.conv_id = i.base WHERE pos < h
+  UNION ALL SELECT conv_id, 1, pos, role, text FROM t JOIN i USING (conv_id) WHERE pos >= h),
+m AS (
+  SELECT conv_id, row_number() OVER w AS d, string_agg(md5(role) || md5(text), '') OVER w AS key, length(text) AS chars
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM i),
+n AS (SELECT key, d, min(conv_id) AS c, count(*) AS n, any_value(chars) AS chars FROM m GROUP BY key, d),
+p AS (SELECT n.*, a.key AS above FROM n LEFT JOIN m a ON a.conv_id = n.c AND a.d = n.d - 1),
+k AS (SELECT p.*, (SELECT count(*) FROM p q WHERE q.above = p.key) AS n_children FROM p),
+s AS (SELECT a.key, sum(CASE WHEN k.n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum((k.n - 1) * k.chars)::BIGINT AS saved_tokens
+      FROM k JOIN m a ON a.conv_id = k.c AND a.d <= k.d GROUP BY a.key),
+e AS (SELECT key, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+      FROM (SELECT *, max(d) OVER (PARTITION BY conv_id) AS len FROM m) WHERE d = len GROUP BY key)
+SELECT k.c AS conv_id, k.d AS depth, u.c AS parent_conv_id, k.n AS n_convs, k.n_children, s.n_leaves, s.saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM k JOIN s USING (key) LEFT JOIN n u ON u.key = k.above LEFT JOIN e ON e.key = k.key
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))

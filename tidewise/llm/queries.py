@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, langid, minhash, mixing, packing, reshard, sketch, tokenstore, trie, urls, whitening
+from . import chat, exact, langid, minhash, mixing, packing, reshard, sketch, suffixes, tokenstore, trie, urls, whitening
 from .common import scratch_path, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +173,10 @@ FROM k JOIN s USING (key) LEFT JOIN n u ON u.key = k.above LEFT JOIN e ON e.key
 """)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_suffix_merge")  # no SQL: strings of 200 bytes from every place; tested against all windows
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    length = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["stop"] - x["start"])
+    return rows.select("doc_id", "n_bytes", length.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

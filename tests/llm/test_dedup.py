@@ -125,10 +125,9 @@ def near_rows(seed=5):
     return [(i, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("at_once", [64, 0])
-def test_near_duplicates_equal_all_pairs(spark, monkeypatch, at_once):
-    monkeypatch.setattr(minhash, "ALL_AT_ONCE", at_once)
-    rows = near_rows()
+@pytest.mark.parametrize("seed", [5, 6])
+def test_near_duplicates_equal_all_pairs(spark, seed):
+    rows = near_rows(seed)
     rows += [(1000, None), (1001, ""), (1002, " \n\t "), (1003, "One two"), (1004, "one  TWO"), (1005, "one two three"), (1006, "é É"), (1007, "é É"), (1008, "É é")]
     out = {r["doc_id"]: r for r in minhash.near_duplicates(docs_frame(spark, rows)).collect()}
     want = plain_components(rows)
@@ -137,6 +136,59 @@ def test_near_duplicates_equal_all_pairs(spark, monkeypatch, at_once):
     assert all(r["kept"] == (want[i] == i) for i, r in out.items())
 
 
+def edited_copies(n, seed=11, words=120, edits=4):
+    """One text with n copies of some edits each: most of them are no links of each other."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    text, rows = [word() for _ in range(words)], []
+    for i in range(n):
+        own = list(text)
+        for _ in range(edits):
+            own[rng.randrange(words)] = word()
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_a_large_group_of_near_copies_makes_pairs_in_proportion(spark, monkeypatch):
+    compared = []
+    keep = minhash.stored
+
+    def counted(df, label):
+        out = keep(df, label)
+        if label in ("pairs", "candidates"):
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "stored", counted)
+    totals = []
+    for n in (300, 600):
+        rows = edited_copies(n)
+        compared.clear()
+        out = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs_frame(spark, rows)).collect()}
+        if n == 300:
+            assert out == plain_components(rows)
+        totals.append(sum(compared))
+    assert totals[1] <= 2.3 * totals[0], totals
+
+
+def test_links_apart_from_the_hub_are_all_found(spark):
+    """The smallest id of a bucket is like none of two groups whose members are alike."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(150)]
+    rows = [(0, " ".join(base))]
+    for g in range(3):
+        own = list(base)
+        for _ in range(7):
+            own[rng.randrange(150)] = word()
+        for k in range(6):
+            one = list(own)
+            one[rng.randrange(150)] = word()
+            rows.append((10 * g + k + 1, " ".join(one)))
+    out = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs_frame(spark, rows)).collect()}
+    assert out == plain_components(rows) and len(set(out.values())) > 1
+
+
 def test_near_duplicates_link_all_rows_of_an_id(spark):
     a, b, other = "a b c d e f", "g h i j k l", "m n o p q r"
     out = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs_frame(spark, [(7, a), (7, b), (2, a), (3, b), (8, other)])).collect()}

@@ -4,27 +4,29 @@ Signature.  A document's set holds its distinct shingles of five lower-cased
 words as 64-bit hashes.  Under each of ``PERMUTATIONS`` multiplicative
 permutations both the smallest and the largest value are kept, so half as many
 hash evaluations give a signature of twice as many unbiased components.  Six
-of them (three permutations) form a band; documents with an equal band, and set
-sizes that allow the similarity, are candidates.
+of them (three permutations) form a band; documents with an equal band are candidates.
 
 Whole results.  A pair at the threshold of 0.75 shares one given band with
 probability 0.18, and none of the 72 with probability 1e-6.  Documents with the
-same set are one class and only its smallest id goes on.  Within a bucket,
-candidates are compared with its smallest member first and what is linked by
-that is joined into components.  In buckets that still hold several components,
-the members outside the largest one are paired with the members of other
-components whose whole signatures (four bits of each component) and set sizes
-allow the similarity: at once if that is a few pairs for each row, else in doubling
-rounds between which linked components merge and settled buckets drop out.
-Nothing is capped, and no pairs arise within a group that is already linked.
-Every candidate is confirmed on the full sets.
+same set are one class and only its smallest id goes on.  Within a bucket each member
+is compared with the smallest one, its hub, on the full sets, and from then on
+stands for its difference D from the hub's set: two members' sets differ in
+as many shingles as their D, and are similar enough exactly if those are at most
+a seventh of both sizes together.  Two members that the hub doesn't link
+must share elements of D, and the rarer ones first: in the order of how many
+members have an element, one of the first few of each (more of the longer D) is the same.  So the other
+candidates come from an equi-join on those elements, first with one partner for each element
+and then, between what is still apart, with all; a parity sketch of D (its
+distance is never above the sets') goes before the exact test.  Elements that all
+members have come last, so a large group of near copies makes no pairs but
+its links.  Nothing is capped.
 
 Defined results: a null, empty or blank text has an empty set and links with
 nothing; fewer than five words are one shingle; a row without an id links with
 nothing, its ``component_id`` is null and it is kept; rows that share an id are
 one document: the classes of their sets are linked through the id, rows with an
 empty set follow the others, and all are kept or none; an empty table gives an empty
-result; other columns are not read.
+result; texts of any length are cut into slices inside the task; other columns are not read.
 """
 
 from __future__ import annotations
@@ -44,18 +46,14 @@ PERMUTATIONS, BAND = 216, 3
 #: Numerator and denominator of the least similarity.
 LEAST = (75, 100)
 
-#: Remaining pairs per remaining row up to which they are tested in one round instead of several.
-ALL_AT_ONCE = 64
+#: 64-bit words of a parity sketch.
+SKETCH = 8
 
-#: Of the 432 components of the signature, four bits each, similar enough sets differ in 101 at most on average
-#: (deviation 9). Pairs that differ in more than this many, 4.5 deviations off, are no candidates.
-PARTS_APART = 141
+_SIGNATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
-_SIGNATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, parts array<long>"
 
-
-def min_max_bands(hashes: np.ndarray, permutations: int = PERMUTATIONS, per_band: int = BAND) -> tuple[np.ndarray, np.ndarray]:
-    """Of a set the band keys, each mixing the minima and maxima of ``per_band`` permutations, and four bits per component in 64-bit words."""
+def min_max_bands(hashes: np.ndarray, permutations: int = PERMUTATIONS, per_band: int = BAND) -> np.ndarray:
+    """Of a set the band keys, each mixing the minima and maxima of ``per_band`` permutations."""
     factors = worker_cache(("factors", permutations), lambda: stream(23, permutations) | np.uint64(1))
     low = np.full(permutations, np.iinfo(np.uint64).max, np.uint64)
     high = np.zeros(permutations, np.uint64)
@@ -66,31 +64,27 @@ def min_max_bands(hashes: np.ndarray, permutations: int = PERMUTATIONS, per_band
     key = np.arange(1, permutations // per_band + 1, dtype=np.uint64)
     for k in range(per_band):
         key = mix(mix(key + low[k::per_band]) + high[k::per_band])
-    four = (mix(np.concatenate([low, ~high])) & np.uint64(15)).astype(np.uint8)
-    parts = four[0::2] | four[1::2] << 4
-    return key, np.pad(parts, (0, -len(parts) % 8)).view(np.uint64)
+    return key
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            rows, sizes, a, b, bands, parts = [], [], [], [], [], []
+            rows, sizes, a, b, bands = [], [], [], [], []
             for row, words in word_hashes(texts):
                 found = shingles(words, SHINGLE)
                 rows.append(row)
                 sizes.append(len(found))
                 a.append(mix(found).sum(dtype=np.uint64))
                 b.append(mix(found ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64))
-                key, part = min_max_bands(found) if len(found) else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
-                bands.append(key)
-                parts.append(part)
+                bands.append(min_max_bands(found) if len(found) else np.zeros(0, np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.take(pa.array(rows, pa.int64())), pa.array(sizes, pa.int64()), pa.array(np.array(a, np.uint64).view(np.int64)),
-                    pa.array(np.array(b, np.uint64).view(np.int64)), _lists(bands), _lists(parts),
+                    pa.array(np.array(b, np.uint64).view(np.int64)), _lists(bands),
                 ],
-                ["doc_id", "n_shingles", "set_a", "set_b", "bands", "parts"],
+                ["doc_id", "n_shingles", "set_a", "set_b", "bands"],
             )
 
 
@@ -100,56 +94,28 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def _set_of(text: str) -> np.ndarray:
-    return shingles(next((w for _, w in word_hashes(pa.array([text], pa.large_string()))), np.zeros(0, np.uint64)))
-
-
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (u, v, text of u, text of v): the pairs whose full sets are similar enough."""
-    last: dict[int, tuple] = {}
-
-    def held(side: int, key, text: str) -> np.ndarray:
-        if last.get(side, (None,))[0] != key:
-            last[side] = key, _set_of(text)
-        return last[side][1]
-
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, text): id, the set's first digest, and the set; a few rows at a time."""
     with np.errstate(over="ignore"):
         for batch in batches:
-            u, v = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ok = []
-            for k in range(len(u)):
-                x, y = held(0, u[k], batch.column(2)[k].as_py()), held(1, v[k], batch.column(3)[k].as_py())
-                if LEAST[1] * min(len(x), len(y)) < LEAST[0] * max(len(x), len(y)):
-                    ok.append(False)
-                    continue
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                ok.append(common > 0 and LEAST[1] * common >= LEAST[0] * (len(x) + len(y) - common))
-            mask = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["u", "v"])
-
-
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of the candidate ``pairs`` (u, v) those with similar sets."""
-    rows = pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u").join(
-        texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v"
-    )
-    return rows.select("u", "v", "text_u", "text_v").mapInArrow(_confirm, "u long, v long")
+            ids, rows, sets = batch.column(0), [], []
 
+            def held():
+                digest = np.array([mix(x).sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64)
+                return pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), pa.array(digest), _lists(sets)], ["doc_id", "set_a", "items"])
 
-def _sizes_allow(a: str, b: str) -> Column:
-    """Whether sets of these sizes can be similar enough."""
-    return LEAST[1] * F.least(a, b) >= LEAST[0] * F.greatest(a, b)
+            for row, words in word_hashes(batch.column(1)):
+                rows.append(row)
+                sets.append(shingles(words))
+                if len(rows) == 256 or len(sets[-1]) > 1 << 16:
+                    yield held()
+                    rows, sets = [], []
+            yield held()
 
 
-def _parts_apart(a: str, b: str) -> Column:
-    """In how many components two signatures differ."""
-    total = F.lit(0)
-    for k in range(-(-2 * PERMUTATIONS // 16)):
-        x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return total
+def _similar(differ: Column, sizes: Column) -> Column:
+    """Whether two sets of ``sizes`` shingles together that differ in ``differ`` are similar enough."""
+    return (LEAST[0] + LEAST[1]) * differ <= (LEAST[1] - LEAST[0]) * sizes
 
 
 def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -167,56 +133,86 @@ def _joined_on(found: DataFrame, links: DataFrame) -> DataFrame:
     return stored(moved.unionByName(roots), "components")
 
 
+def hub_differences(signatures: DataFrame, documents: DataFrame) -> DataFrame:
+    """``u, hub, n, hub_n, d``: members of buckets, the smallest member, set sizes, and the shingles that only one of both has."""
+    bands = signatures.select("node", F.explode("bands").alias("key"))
+    hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("rows"))
+    hubs = stored(hubs.filter("rows > 1").drop("rows"), "hubs")
+    pairs = stored(bands.join(hubs, "key").filter("node <> hub").select(F.col("node").alias("u"), "hub").distinct(), "pairs")
+    nodes = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("hub").alias("node"))).distinct(), "nodes")
+    texts = documents.join(nodes.select("node.doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
+    sets = texts.mapInArrow(_sets, "doc_id long, set_a long, items array<long>").select(F.struct("doc_id", "set_a").alias("node"), "items")
+    sets = stored(sets.groupBy("node").agg(F.first("items").alias("items")), "sets")  # an id with equal rows: equal sets
+    rows = pairs.join(sets.withColumnRenamed("node", "u"), "u").join(sets.select(F.col("node").alias("hub"), F.col("items").alias("theirs")), "hub")
+    only = F.concat(F.array_except("items", "theirs"), F.array_except("theirs", "items"))
+    return stored(rows.select("u", "hub", F.size("items").cast("long").alias("n"), F.size("theirs").cast("long").alias("hub_n"), only.alias("d")), "differences")
+
+
+def rare_elements(members: DataFrame) -> DataFrame:
+    """``hub, e, u, n, nd, place, sketch``: of each member's D the elements that others of its hub have too, as far as they
+    can be the first common one; ``place`` is the element's, the rarest first."""
+    items = members.select("hub", "u", "n", F.size("d").cast("long").alias("nd"), F.explode("d").alias("e"))
+    counts = items.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    bit = F.expr("shiftleft(1L, cast(e & 63 AS int))")
+    word = F.expr(f"(e >> 6) & {SKETCH - 1}")
+    sketch = items.groupBy("hub", "u").agg(*[F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"s{k}") for k in range(SKETCH)])
+    own = Window.partitionBy("hub", "u")
+    place = F.col("nd") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("rows", "e")) - 1
+    common = items.join(counts, ["hub", "e"]).withColumn("place", place).filter(LEAST[0] * F.col("place") <= (LEAST[1] - LEAST[0]) * F.col("n"))
+    words = F.array(*[f"s{k}" for k in range(SKETCH)]).alias("sketch")
+    return common.select("hub", "e", "u", "n", "nd", "place").join(sketch.select("hub", "u", words), ["hub", "u"])
+
+
+def _candidates(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Pairs ``hub, u, v`` that share an element early enough, are not linked yet, and whose sketches and sizes allow the similarity."""
+    total, part = LEAST[0] + LEAST[1], LEAST[1] - LEAST[0]
+    names = {"u": "v", "n": "nv", "nd": "ndv", "place": "placev", "sketch": "sketchv", "c": "cv"}
+    other = others.select("hub", "e", *[F.col(k).alias(v) for k, v in names.items()])
+    sizes = part * (F.col("n") + F.col("nv"))
+    longer = total * (F.col("nd") - F.col("ndv"))
+    apart = F.lit(0)
+    for k in range(SKETCH):
+        apart = apart + F.bit_count(F.get("sketch", F.lit(k)).bitwiseXOR(F.get("sketchv", F.lit(k))))
+    near = (
+        (F.col("c") != F.col("cv")) & (2 * total * F.col("place") <= longer + sizes) & (2 * total * F.col("placev") <= sizes - longer)
+        & (LEAST[1] * F.least("n", "nv") >= LEAST[0] * F.greatest("n", "nv")) & (total * apart <= sizes)
+    )
+    return rows.join(other, ["hub", "e"]).filter(near).select("hub", "u", "v").distinct()
+
+
 def near_links(signatures: DataFrame, documents: DataFrame) -> DataFrame:
-    """``node, component`` over the class representatives of ``signatures``.
+    """``node, component`` over the ids of the class representatives.
 
-    ``signatures``: one row per class (doc_id, n_shingles, bands, parts); ``documents``: doc_id, text.
+    ``signatures``: one row per class (node: smallest id and a digest of the set; bands); ``documents``: doc_id, text.
     """
-    bands = signatures.select("doc_id", F.col("n_shingles").cast("int").alias("n"), F.posexplode("bands").alias("band", "key"))
-    hubs = bands.groupBy("key").agg(F.min("doc_id").alias("hub"), F.min_by("n", "doc_id").alias("hub_n"), F.count(F.lit(1)).alias("rows"))
-    hubs = stored(hubs.filter("rows > 1").drop("rows"), "hubs")
-    members = stored(bands.join(hubs, "key"), "members")
-    tested = members.filter("doc_id <> hub").filter(_sizes_allow("n", "hub_n")).select(F.col("doc_id").alias("u"), F.col("hub").alias("v"))
-    tested = stored(tested.distinct(), "pairs")
-    texts = stored(documents.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
-    found = components(stored(_links(tested, texts), "links"))
-    rows, first, last = members.drop("hub", "hub_n"), 1, 1
-    while True:
-        # buckets that hold several components, and the one that most of their members are in
-        labelled = _with_component(rows, found)
-        parts = labelled.groupBy("key", "c").agg(F.count(F.lit(1)).alias("rows"))
-        buckets = parts.groupBy("key").agg(F.max_by("c", F.struct("rows", "c")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("rows").alias("size"))
-        buckets = stored(buckets.filter("parts > 1").drop("parts"), "buckets")
-        if first == 1:
-            # members outside that component lead; their order in the bucket stays from now on
-            split = labelled.join(buckets, "key").withColumn("lead", F.col("c") != F.col("main"))
-            order = Window.partitionBy("key").orderBy("doc_id")
-            leads = split.filter("lead").withColumn("at", F.row_number().over(order))
-            rows = split.filter("NOT lead").withColumn("at", F.lit(None).cast("int")).unionByName(leads).drop("main", "lead", "c")
-            rows = stored(rows.join(signatures.select("doc_id", "bands", "parts"), "doc_id"), "rest")
-            size = rows.agg(F.sum(F.when(F.col("at").isNotNull(), F.col("size"))), F.count(F.lit(1)), F.max("at")).first()
-            if not size[1]:
-                return found
-            if size[0] <= ALL_AT_ONCE * size[1]:
-                last = size[2]  # few pairs for a row on average: test them in one go
-            rows = rows.drop("size")
-            labelled = _with_component(rows, found)
-        labelled = labelled.join(buckets.select("key"), "key", "left_semi")
-        other = {"doc_id": "v", "c": "cv", "at": "av", "n": "nv", "bands": "bands_v", "parts": "parts_v"}
-        lead = labelled.filter(F.col("at").between(first, last)).select("key", *[F.col(k).alias(v) for k, v in other.items()])
-        near = (F.col("at").isNull() | (F.col("at") > F.col("av"))) & (F.col("c") != F.col("cv")) & _sizes_allow("n", "nv")
-        # once for each pair: in the first band that both share
-        near = near & (_parts_apart("parts", "parts_v") <= PARTS_APART)
-        near = near & (F.array_position(F.zip_with("bands", "bands_v", lambda x, y: x == y), True) == F.col("band") + 1)
-        pairs = labelled.join(lead, "key").filter(near).select(F.greatest("doc_id", "v").alias("u"), F.least("doc_id", "v").alias("v"))
-        pairs = stored(pairs.distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
-        links = stored(_links(pairs, texts), "links")
+    members = hub_differences(signatures, documents)
+    linked = members.filter(_similar(F.size("d"), F.col("n") + F.col("hub_n")))
+    found = components(stored(linked.select(F.col("u.doc_id").alias("u"), F.col("hub.doc_id").alias("v")).distinct(), "links"))
+    # hubs with members in another component than their own
+    ends = members.select("hub", F.col("u.doc_id").alias("doc_id"))
+    ends = _with_component(ends, found).select("hub", F.col("c").alias("member_c"), F.col("hub.doc_id").alias("doc_id"))
+    open_hubs = stored(_with_component(ends, found).filter("c <> member_c").select("hub").distinct(), "open_hubs")
+    if open_hubs.isEmpty():
+        return found
+    members = stored(members.join(open_hubs, "hub", "left_semi").select("hub", "u", "n", "d"), "members")
+    rows = stored(rare_elements(members), "rare_elements")
+    early = 2 * LEAST[0] * F.col("place") <= (LEAST[1] - LEAST[0]) * F.col("n")  # as the shorter D
+    for one in (F.min_by, F.max_by, None):
+        now = _with_component(rows.withColumn("doc_id", F.col("u.doc_id")), found)
+        others = now.filter(early)
+        if one is not None:  # one partner for each element: what it links goes on as one component
+            fields = ["u", "n", "nd", "place", "sketch", "c"]
+            stars = others.groupBy("hub", "e").agg(one(F.struct(*fields), F.col("u")).alias("x"))
+            others = stored(stars.select("hub", "e", *[F.col(f"x.{k}").alias(k) for k in fields]), "stars")
+        pairs = stored(_candidates(now, others), "candidates")
+        d = members.select("hub", "u", "n", "d")
+        tested = pairs.join(d, ["hub", "u"]).join(d.select("hub", F.col("u").alias("v"), F.col("n").alias("nv"), F.col("d").alias("dv")), ["hub", "v"])
+        differ = F.size("d") + F.size("dv") - 2 * F.size(F.array_intersect("d", "dv"))
+        links = tested.filter(_similar(differ, F.col("n") + F.col("nv")))
+        links = stored(links.select(F.col("u.doc_id").alias("u"), F.col("v.doc_id").alias("v")).distinct(), "links")
         if not links.isEmpty():
             found = _joined_on(found, links)
-        if last >= size[2]:
-            return found
-        tested = stored(tested.unionByName(pairs), "tested")
-        first, last = last + 1, last + 2 * (last - first + 1)
+    return found
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -225,8 +221,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     signatures = stored(documents.mapInArrow(_signatures, _SIGNATURES), "signatures")
     sets = ["n_shingles", "set_a", "set_b"]
     linked = signatures.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stored(linked.groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.min_by("parts", "doc_id").alias("parts")), "classes")
-    found = near_links(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "bands", "parts"), documents.filter("doc_id IS NOT NULL"))
+    classes = stored(linked.groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")), "classes")
+    found = near_links(classes.select(F.struct(F.col("rep").alias("doc_id"), "set_a").alias("node"), "bands"), documents.filter("doc_id IS NOT NULL"))
     # an id in several classes links them
     several = linked.groupBy("doc_id").agg(F.min(F.struct(*sets)).alias("a"), F.max(F.struct(*sets)).alias("b")).filter("a <> b").select("doc_id")
     several = stored(linked.select("doc_id", *sets).join(several, "doc_id", "left_semi").distinct(), "several")

@@ -20,7 +20,7 @@ from itertools import chain
 
 import numpy as np
 
-from .wordhash import columns, slices, tables, worker_cache
+from .wordhash import SPACE, columns, slices, tables, worker_cache
 
 #: Other white space than ASCII's, as bytes.
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
@@ -156,7 +156,7 @@ class Encoder:
         if self.known.entries > MOST:
             self.known.clear()
         one, two = tables(0, self.drops_space), tables(1, self.drops_space)
-        space = one.space[data]
+        space = SPACE[data]
         cut = np.zeros(len(data) + 1, bool)
         cut[1:-1] = space[1:] & ~space[:-1]
         kind = self.kind[data]

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
-SLICE = 1 << 21
+SLICE = 1 << 18
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -40,30 +40,37 @@ def stream(seed: int, n: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_ODD[0]) + np.uint64(seed * 0x1000193 + 77))
 
 
+#: ASCII white space by byte.
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+class Powers:
+    """Powers and inverse powers of a hash's base, for runs of up to some length."""
+
+    def __init__(self, base: int, n: int):
+        inverse = pow(base, -1, 1 << 64)
+        self.up, self.down = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, b, np.uint64)])) for b in (base, inverse))
+
+
 class Tables:
-    """Byte values, powers and inverse powers for one of two independent hashes."""
+    """Byte values of one of two independent hashes; the powers are shared by its forms."""
 
     def __init__(self, which: int, lower: bool):
         self.byte = stream(11 + which, 256)
-        self.space = np.zeros(256, bool)
-        self.space[[9, 10, 11, 12, 13, 32]] = True
         if lower:
             self.byte[65:91] = self.byte[97:123]
         self.base = (_ODD[which] | 5) % (1 << 64)
-        self.grow(SLICE + 4096)
-
-    def grow(self, n: int) -> None:
-        inverse = pow(self.base, -1, 1 << 64)
-        self.up, self.down = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, b, np.uint64)])) for b in (self.base, inverse))
 
     def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if len(data) >= len(self.up):
-            self.grow(len(data))
+        powers = worker_cache(("powers", self.base), lambda: Powers(self.base, SLICE + 4096))
+        if len(data) >= len(powers.up):
+            powers = Powers(self.base, len(data))  # one very long word; not kept
         run = self.byte[data]
-        run *= self.up[: len(data)]
+        run *= powers.up[: len(data)]
         np.cumsum(run, out=run)
         run = np.concatenate([np.zeros(1, np.uint64), run])
-        out = (run[ends] - run[starts]) * self.down[starts]
+        out = (run[ends] - run[starts]) * powers.down[starts]
         return mix(out + (ends - starts).astype(np.uint64) * np.uint64(_ODD[1]))
 
 
@@ -87,7 +94,6 @@ def slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np
     ``more`` says that the row goes on in the next run.
     """
     n, i = len(offsets) - 1, 0
-    space = tables().space
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + SLICE, "right")) - 1
         if j > i:
@@ -98,7 +104,7 @@ def slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np
         while at < end:
             to = min(end, at + SLICE)
             while to < end:  # to the next place where white space follows something else
-                here = space[data[to - 1 : min(end, to + SLICE)]]
+                here = SPACE[data[to - 1 : min(end, to + SLICE)]]
                 found = np.flatnonzero(here[1:] & ~here[:-1])
                 if len(found):
                     to += int(found[0])
@@ -111,7 +117,7 @@ def slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words, and by row the number of words before it (one more than rows)."""
-    word = ~tables().space[data]
+    word = ~SPACE[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.concatenate([[False], word])[:-1]

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -93,6 +94,39 @@ def test_viterbi_finds_the_best_split():
         assert score == pytest.approx(plain_split(label, counts, total))
 
 
+def test_long_words_count_and_win(spark):
+    long = "donaudampfschifffahrtsgesellschaft"
+    texts = spark.createDataFrame([(f"{long} und {long}",), ("ab ab ab",)], "t string")
+    counts = urls.word_counts(texts, "t")
+    assert {r["word"]: r["n"] for r in counts.collect()} == {long: 2, "und": 1, "ab": 3}
+    labels = spark.createDataFrame([(long,), ("abab",), (long + "x",)], "label string")
+    got = {r["label"]: r["words"] for r in urls.segment_labels(labels, counts).collect()}
+    assert got[long] == [long] and got["abab"] == ["ab", "ab"] and "".join(got[long + "x"]) == long + "x"
+
+
+def test_unclosed_markup_takes_linear_time(spark):
+    from pyspark.sql import functions as F
+
+    from tidewise.llm.common import MARKUP
+
+    def seconds(n):
+        rows = spark.createDataFrame([("<script " * n + "<!-- " * n + "< " * n,)], "t string")
+        began = time.perf_counter()
+        assert rows.select(F.regexp_replace("t", MARKUP, " ").alias("t")).first()["t"] == " "
+        return time.perf_counter() - began
+
+    seconds(10)
+    assert seconds(80_000) < 5
+
+
+def test_sample_of_null_ids_is_not_empty(spark):
+    rows = [(None, f"the same few words of {k}", "en") for k in range(300)] + [(None, f"einige andere wörter {k}", "de") for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for sample in (1, 100):
+        model = langid.fit_text(df, "lang", sample=sample)
+        assert model.languages == ("de", "en") and (model.log_p.max(axis=1) > model.log_p.min(axis=1)).all()
+
+
 ODD_URLS = [
     None, "", "no scheme", "http://", "HTTP://WWW.Example.NET/EN/x", "http://a.example.net/en/y?z#q", "https://example.com/de/", "https://example.com?de/", "http://x.org/fr/a",
     "http://cheappills.example.org/en/1", "http://notexample.net/en/", "x://y://z/net/", "http://net", "http://net/", "http://é.ORG/Fr/", "http://a.net#/", "http://" + "ab" * 3000 + ".com/" + "c" * 50_000,
@@ -112,10 +146,9 @@ def plain_judge(pages):
     addresses = {}
     for i, url, html in pages:
         addresses[i] = plain_address(url)
-        shown = re.sub(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z]+;", " ", html or "")
+        shown = re.sub(r"(?is)<(script|style)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[a-z/!?][^>]*(?:>|\Z)|&[a-z]+;", " ", html or "")
         for w in re.findall("[a-z]+", f"{shown} {addresses[i][1]}".lower()):
-            if len(w) <= urls.LONGEST:
-                counts[w] += 1
+            counts[w] += 1
     for words in urls.SEEDS.values():
         for w in words:
             counts[w] += urls.SEED_COUNT

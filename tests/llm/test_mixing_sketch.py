@@ -119,8 +119,9 @@ def check_fingerprints(rows, out):
 
 
 def likeness(a, b):
-    x, y = ({s[k : k + 16] for k in range(0, len(s), 16)} for s in (a, b))
-    return len(x & y) / len(x | y) if x | y else None
+    """Of two fingerprints; their first field stands for the whole text."""
+    x, y = ({s[k : k + 16] for k in range(16, len(s), 16)} for s in (a, b))
+    return len(x & y) / len(x | y) if x | y else float(a[:16] == b[:16])
 
 
 def test_fingerprints_odd_rows(spark):
@@ -134,9 +135,11 @@ def test_fingerprints_odd_rows(spark):
     for r in out:
         prints[r["doc_id"]].add(r["fingerprint"])
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
-        if (near := likeness(r["fingerprint"], r["edited_fingerprint"])) is not None:
-            assert r["near_edited"] == pytest.approx(near)
-    assert prints[8] & prints[11] and prints[5] == prints[7] == {""}
+        assert r["near_edited"] == pytest.approx(likeness(r["fingerprint"], r["edited_fingerprint"]))
+    assert prints[8] & prints[11] and prints[5] == prints[7] and len(prints[5]) == 1 and len(min(prints[5])) == 16
+    short = [(k, f"short {k}") for k in range(60)]  # different texts differ, also without a kept shingle
+    out = sketch.fingerprints(spark.createDataFrame(short, "doc_id long, text string")).collect()
+    assert len({r["fingerprint"] for r in out}) == 60 and all(len(r["fingerprint"]) in (16, 32) for r in out)
 
 
 def test_fingerprints_small_tables(spark):

@@ -13,6 +13,9 @@ from ..session import ensure_checkpoint_dir
 #: White space and words as the contracts define them.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+#: What a page doesn't show: scripts, styles, comments, tags, entities; what isn't closed goes on to the end, so no
+#: opening is read twice.
+MARKUP = r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[a-z/!?][^>]*(?:>|\z)|&[a-z]+;"
 
 _WRITTEN: list[tuple[SparkSession, str]] = []
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, stored, text_of
+from .common import MARKUP, free_name, stored, text_of
 from .wordhash import columns, slices, worker_cache
 
 #: Labelled documents per language for the text model, chosen by a hash of the id.
@@ -85,14 +85,19 @@ class TextModel:
 
 
 def fit_text(df: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> TextModel:
-    """Fit on about ``sample`` documents per label, whole texts; at most languages x buckets counts reach the driver."""
-    labelled = df.select(F.col(label_col).alias("label"), F.xxhash64(id_col).alias("h"), text_of(text_col).alias("text")).filter("label IS NOT NULL")
-    sizes = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Fit on about ``sample`` documents per label, whole texts; at most languages x buckets counts reach the driver.
+
+    A document is in the sample by a hash of its id and text, so repeated rows are in or out together; null ids are ids.
+    """
+    h = F.xxhash64(F.col(id_col), text_of(text_col))
+    labelled = df.select(F.col(label_col).alias("label"), h.alias("h"), text_of(text_col).alias("text")).filter("label IS NOT NULL")
+    # at least the rows of the smallest hash are in the sample
+    sizes = {r["label"]: (r["n"], r["least"]) for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("least")).collect()}
     if not sizes:
         return TextModel((), np.zeros((0, BUCKETS), np.float32))
     limit = F.lit(None).cast("long")
-    for label, n in sizes.items():
-        limit = F.when(F.col("label") == label, F.lit(((1 << 64) - 1) * min(sample, n) // n - (1 << 63))).otherwise(limit)
+    for label, (n, least) in sizes.items():
+        limit = F.when(F.col("label") == label, F.lit(max(least, ((1 << 64) - 1) * min(sample, n) // n - (1 << 63)))).otherwise(limit)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -243,8 +248,6 @@ def identify(
     )
 
 
-#: What a page shows: no scripts, styles, comments or tags.
-MARKUP = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z]+;"
 DECLARED = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]+)"
 HOST = r"^[^:]*://([^/?#:]*)"
 

@@ -48,6 +48,8 @@ LEAST = (75, 100)
 
 #: 64-bit words of a parity sketch.
 SKETCH = 8
+#: Of the bitmap that keeps texts without candidates out of a shuffle: 1 MB.
+FILTER_BITS = 23
 
 _SIGNATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
@@ -133,19 +135,39 @@ def _joined_on(found: DataFrame, links: DataFrame) -> DataFrame:
     return stored(moved.unionByName(roots), "components")
 
 
-def hub_differences(signatures: DataFrame, documents: DataFrame) -> DataFrame:
-    """``u, hub, n, hub_n, d``: members of buckets, the smallest member, set sizes, and the shingles that only one of both has."""
-    bands = signatures.select("node", F.explode("bands").alias("key"))
-    hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("rows"))
+def _likely(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``documents`` whose id may be among ``ids``: those with a set bit in a bitmap of ``2**FILTER_BITS``
+    hashed ids, which is broadcast (its size is fixed).  Keeps most texts out of the exact join that follows."""
+    place = F.expr(f"xxhash64(doc_id) & {(1 << FILTER_BITS) - 1}")
+    bits = ids.groupBy((place.bitwiseAND(F.lit(~32767))).alias("part")).agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit(32767))).alias("bits"))
+    at = place.bitwiseAND(F.lit(32767))
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return documents.withColumn("part", place.bitwiseAND(F.lit(~32767))).join(F.broadcast(bits), "part").filter(
+        F.getbit(byte, (at % 8).cast("int")) == 1
+    )
+
+
+def hub_differences(classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """``u, hub, n, hub_n, d``: members of buckets, the first member, set sizes, and the shingles that only one of both has.
+
+    Buckets hold the first digest of a set only; a class is that digest and the smallest id.
+    """
+    bands = classes.select(F.col("set_a").alias("a"), F.explode("bands").alias("key"))
+    hubs = bands.groupBy("key").agg(F.min("a").alias("hub"), F.count(F.lit(1)).alias("rows"))
     hubs = stored(hubs.filter("rows > 1").drop("rows"), "hubs")
-    pairs = stored(bands.join(hubs, "key").filter("node <> hub").select(F.col("node").alias("u"), "hub").distinct(), "pairs")
-    nodes = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("hub").alias("node"))).distinct(), "nodes")
-    texts = documents.join(nodes.select("node.doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
-    sets = texts.mapInArrow(_sets, "doc_id long, set_a long, items array<long>").select(F.struct("doc_id", "set_a").alias("node"), "items")
-    sets = stored(sets.groupBy("node").agg(F.first("items").alias("items")), "sets")  # an id with equal rows: equal sets
-    rows = pairs.join(sets.withColumnRenamed("node", "u"), "u").join(sets.select(F.col("node").alias("hub"), F.col("items").alias("theirs")), "hub")
+    pairs = stored(bands.join(hubs, "key").filter("a <> hub").select("a", "hub").distinct(), "pairs")
+    ends = pairs.select("a").unionByName(pairs.select(F.col("hub").alias("a"))).distinct()
+    nodes = stored(classes.select("rep", F.col("set_a").alias("a")).join(ends, "a"), "nodes")
+    needed = nodes.select(F.col("rep").alias("doc_id")).distinct()
+    sets = _likely(documents, needed).select("doc_id", "text").mapInArrow(_sets, "doc_id long, set_a long, items array<long>")
+    sets = sets.join(nodes.select(F.col("rep").alias("doc_id"), F.col("a").alias("set_a")), ["doc_id", "set_a"], "left_semi")
+    sets = sets.groupBy("set_a", "doc_id").agg(F.first("items").alias("items"))  # an id with equal rows: equal sets
+    sets = stored(sets.select("set_a", F.struct("doc_id", "set_a").alias("node"), "items"), "sets")
+    theirs = sets.select(F.col("set_a").alias("hub"), F.col("node").alias("hub_node"), F.col("items").alias("theirs"))
+    rows = pairs.join(sets.withColumnRenamed("set_a", "a"), "a").join(theirs, "hub")
     only = F.concat(F.array_except("items", "theirs"), F.array_except("theirs", "items"))
-    return stored(rows.select("u", "hub", F.size("items").cast("long").alias("n"), F.size("theirs").cast("long").alias("hub_n"), only.alias("d")), "differences")
+    return stored(rows.select(F.col("node").alias("u"), F.col("hub_node").alias("hub"), F.size("items").cast("long").alias("n"),
+                              F.size("theirs").cast("long").alias("hub_n"), only.alias("d")), "differences")
 
 
 def rare_elements(members: DataFrame) -> DataFrame:
@@ -180,12 +202,12 @@ def _candidates(rows: DataFrame, others: DataFrame) -> DataFrame:
     return rows.join(other, ["hub", "e"]).filter(near).select("hub", "u", "v").distinct()
 
 
-def near_links(signatures: DataFrame, documents: DataFrame) -> DataFrame:
+def near_links(classes: DataFrame, documents: DataFrame) -> DataFrame:
     """``node, component`` over the ids of the class representatives.
 
-    ``signatures``: one row per class (node: smallest id and a digest of the set; bands); ``documents``: doc_id, text.
+    ``classes``: a row per class (rep: smallest id; set_a: digest of the set; bands); ``documents``: doc_id, text.
     """
-    members = hub_differences(signatures, documents)
+    members = hub_differences(classes, documents)
     linked = members.filter(_similar(F.size("d"), F.col("n") + F.col("hub_n")))
     found = components(stored(linked.select(F.col("u.doc_id").alias("u"), F.col("hub.doc_id").alias("v")).distinct(), "links"))
     # hubs with members in another component than their own
@@ -222,7 +244,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets = ["n_shingles", "set_a", "set_b"]
     linked = signatures.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(linked.groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")), "classes")
-    found = near_links(classes.select(F.struct(F.col("rep").alias("doc_id"), "set_a").alias("node"), "bands"), documents.filter("doc_id IS NOT NULL"))
+    found = near_links(classes.select("rep", "set_a", "bands"), documents.filter("doc_id IS NOT NULL"))
     # an id in several classes links them
     several = linked.groupBy("doc_id").agg(F.min(F.struct(*sets)).alias("a"), F.max(F.struct(*sets)).alias("b")).filter("a <> b").select("doc_id")
     several = stored(linked.select("doc_id", *sets).join(several, "doc_id", "left_semi").distinct(), "several")

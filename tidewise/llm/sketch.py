@@ -15,8 +15,11 @@ bounds: the first document of each range is also sent to the range before,
 so every document finds the next one in its own task and no window holds more
 than one range.
 
+A fingerprint is the hash of the whole text followed by the sketch, so short texts whose few
+shingles all lie above the limit (about one document in a hundred) still differ.
+
 Defined results: a null text counts as empty and has an empty sketch; two empty
-sketches are alike (1.0) if the texts are equal and unlike (0.0) otherwise; an
+sketches are alike (1.0) if the whole texts' hashes are equal and unlike (0.0) otherwise; an
 empty table gives an empty result; rows that repeat an id follow one another,
 ordered by text; null ids come last; other columns are not read.
 """
@@ -59,8 +62,13 @@ def merge(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_union(a, b))
 
 
+def whole(text: Column) -> Column:
+    """A hash of the whole text: the fingerprint's first field, so texts whose shingles are all above the limit differ."""
+    return F.xxhash64(text)
+
+
 def likeness(a: Column, b: Column, equal: Column) -> Column:
-    """Estimated Jaccard similarity of the shingle sets; ``equal``: whether the texts are, for empty sketches."""
+    """Estimated Jaccard similarity of the shingle sets; ``equal``: whether the whole hashes are, for empty sketches."""
     common = F.size(F.array_intersect(a, b))
     all_ = F.size(a) + F.size(b) - common
     return F.when(all_ > 0, common / all_).otherwise(equal.cast("double"))
@@ -71,9 +79,9 @@ def containment(a: Column, b: Column) -> Column:
     return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a))
 
 
-def as_text(a: Column) -> Column:
-    """The sketch as hex digits, 16 for each hash."""
-    return F.concat_ws("", F.transform(a, lambda h: F.lpad(F.hex(h), 16, "0")))
+def as_text(first: Column, a: Column) -> Column:
+    """The whole text's hash and the sketch as hex digits, 16 for each hash."""
+    return F.concat_ws("", F.transform(F.concat(F.array(first), a), lambda h: F.lpad(F.hex(h), 16, "0")))
 
 
 def with_next(df: DataFrame, id_col: str, carried: list[str], text_col: str) -> DataFrame:
@@ -99,7 +107,7 @@ def with_next(df: DataFrame, id_col: str, carried: list[str], text_col: str) ->
     one = leading.groupBy("_range").agg(F.min_by(F.struct(*[F.col(c) for c in df.columns]), text_col).alias("row"))
     halo = one.select("row.*", F.element_at(previous, F.col("_range")).alias("_range"), F.lit(True).alias("_halo"))
     both = rows.withColumn("_halo", F.lit(False)).unionByName(halo)
-    placed = both.repartition(len(firsts), "_range")
+    placed = both.repartitionById(len(bounds) + 1, F.col("_range"))
     ahead = Window.partitionBy("_range").orderBy("_halo", *order)
     return placed.select("*", *[F.lead(c).over(ahead).alias(f"next_{c}") for c in carried]).filter("NOT _halo").drop("_range", "_halo")
 
@@ -111,17 +119,19 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     near_edited, near_next``.
     """
     docs = df.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).withColumn("sketch", sketch(F.col("text")))
-    rows = with_next(docs, "doc_id", ["text", "sketch"], "text")
+    docs = docs.withColumn("whole", whole(F.col("text")))
+    rows = with_next(docs, "doc_id", ["text", "sketch", "whole"], "text")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
     rows = rows.select(
-        "doc_id", n.cast("bigint").alias("n_chars"), "sketch", "next_sketch", (F.col("text") == F.col("next_text")).alias("same_next"),
-        edited.alias("edited"), (edited == F.col("text")).alias("same_edited"),
+        "doc_id", n.cast("bigint").alias("n_chars"), "sketch", "next_sketch", "whole", (F.col("whole") == F.col("next_whole")).alias("same_next"),
+        edited.alias("edited"), whole(edited).alias("edited_whole"),
     )
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256)).withColumn("edited_sketch", sketch(F.col("edited"))).drop("edited")
     return rows.select(
-        "doc_id", "n_chars", "edited_sha256", as_text(F.col("sketch")).alias("fingerprint"), as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch"), F.col("same_edited")).alias("near_edited"),
+        "doc_id", "n_chars", "edited_sha256", as_text(F.col("whole"), F.col("sketch")).alias("fingerprint"),
+        as_text(F.col("edited_whole"), F.col("edited_sketch")).alias("edited_fingerprint"),
+        likeness(F.col("sketch"), F.col("edited_sketch"), F.col("whole") == F.col("edited_whole")).alias("near_edited"),
         likeness(F.col("sketch"), F.col("next_sketch"), F.col("same_next")).alias("near_next"),
     )

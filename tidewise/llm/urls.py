@@ -27,15 +27,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import MARKUP, stored
 
-#: Words up to this length; letters of a word that nobody knows cost a factor of ten each.
+#: Words within a label up to this length, and the label as a whole at any length; letters of a word that nobody
+#: knows cost a factor of ten each.
 LONGEST = 20
 SMOOTHING = 1.0
 #: Number of distinct words up to which their weights (some 40 bytes each) are broadcast.
 BROADCAST_WORDS = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-MARKUP = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z]+;"
 
 
 @dataclass(frozen=True)
@@ -51,9 +51,9 @@ class Rule:
 
 #: Fixed by the task.
 RULES = (Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/"))
-#: Words that speak for a verdict before any address is seen, each as often as SEED_COUNT says.
+#: Words that speak for a verdict before any address is seen, each as if seen once.
 SEEDS = {"block": ("adult", "bets", "betting", "casino", "escort", "lottery", "pills", "poker", "porn", "spam", "viagra", "xxx"), "allow": ("wiki", "news", "blog", "docs", "university", "library")}
-SEED_COUNT = 50
+SEED_COUNT = 1
 
 
 def host_of(url: Column) -> Column:
@@ -88,9 +88,9 @@ def rule_for(addresses: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
-    """``word, n`` of all lower-cased ASCII words of up to LONGEST letters."""
+    """``word, n`` of all lower-cased ASCII words."""
     words = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit("[a-z]+"), 0)
-    return texts.select(F.explode(words).alias("word")).filter(F.length("word") <= LONGEST).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return texts.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def best_split(label: str, counts: dict[str, int], total: int) -> list[str]:
@@ -98,7 +98,8 @@ def best_split(label: str, counts: dict[str, int], total: int) -> list[str]:
     best: list[tuple[float, int, int]] = [(0.0, 0, 0)]  # log probability, number of words with its sign turned, start of the last
     for end in range(1, len(label) + 1):
         options = []
-        for start in range(max(0, end - LONGEST), end):
+        whole = [0] if end == len(label) > LONGEST and label in counts else []
+        for start in [*whole, *range(max(0, end - LONGEST), end)]:
             word = label[start:end]
             n = counts.get(word)
             gain = math.log(n / total) if n else math.log(10.0 / total) - len(word) * math.log(10.0)
@@ -119,8 +120,8 @@ def segment_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
     pieces = F.flatten(
         F.transform(ends, lambda s: F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("label") - s + 1)), lambda n: F.substring(F.col("label"), s, n)))
     )
-    known = labels.select("label", F.explode(F.array_distinct(pieces)).alias("word")).join(counts, "word")
-    found = known.groupBy("label").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("known"))  # at most LONGEST entries per letter
+    known = labels.select("label", F.explode(F.array_distinct(F.concat(pieces, F.array("label")))).alias("word")).join(counts, "word")
+    found = known.groupBy("label").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("known"))  # at most LONGEST entries per letter, and one
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:

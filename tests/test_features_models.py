@@ -124,9 +124,11 @@ def test_model_queries_use_the_reference_budget(monkeypatch):
     seen = {}
     monkeypatch.setattr(Q, "_fit_eval", lambda spark, sf, model, params: seen.setdefault(model, params) and (None, None))
     monkeypatch.setattr(Q.M, "regression_metrics", lambda *a: None)
-    Q.q_gbt_metrics(None, None)
     Q.q_rf_metrics(None, None)
-    assert seen["gbt"] == M.GBT_PRODUCTION and seen["gbt"]["maxIter"] == 800
+    assert Q.q_gbt_metrics.__defaults__ == (M.BOOST_PRODUCTION,)
+    p = M.BOOST_PRODUCTION
+    assert (p.trees, p.rate, p.depth, p.min_child, p.subsample, p.colsample, p.gamma, p.lam, p.alpha) == (800, 0.05, 6, 3, 0.8, 0.8, 0.1, 1, 0.1)
+    assert M.GBT_PRODUCTION["maxIter"] == 800
     assert (seen["rf"]["numTrees"], seen["rf"]["maxDepth"], seen["rf"]["featureSubsetStrategy"]) == (100, 30, "all")
 
 
@@ -134,10 +136,11 @@ def test_search_and_forecast_queries_use_all_draws_and_folds(spark, monkeypatch)
     from tests.conftest import SF001
     from tidewise.plans import q_models as Q
     calls = []
-    model = object()
-    monkeypatch.setattr(Q.M, "random_search", lambda df, feats, y, order, cands, k=5, **kw: calls.append((cands, k)) or ("scores", model))
-    monkeypatch.setattr(Q.M, "recursive_forecast", lambda m, *a, **kw: m)
+    used = []
+    monkeypatch.setattr(Q.B, "search", lambda df, feats, y, order, cands, k=5, **kw: calls.append((cands, k)) or ("scores", {"value": "model"}))
+    monkeypatch.setattr(Q.B, "forecast_series", lambda m, *a, **kw: used.append(m) or spark.range(1).selectExpr("id AS step", "id AS ts", "id AS prediction"))
     assert Q.q_random_search(spark, SF001) == "scores"
-    assert Q.q_recursive_forecast(spark, SF001) is model  # the searched model forecasts
-    want = [dict(c, seed=42) for c in M.draw_params(20, seed=1234)]
-    assert calls == [(want, 5), (want, 5)] and all(100 <= c["maxIter"] < 1000 for c in want)
+    Q.q_recursive_forecast(spark, SF001)
+    assert used == [{"value": "model"}]  # the searched model forecasts
+    want = [M.search_params(c) for c in M.draw_params(20, seed=1234)]
+    assert calls == [(want, 5), (want, 5)] and all(100 <= c.trees < 1000 for c in want)

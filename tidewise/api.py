@@ -50,7 +50,10 @@ from .operators.clean import (  # noqa: F401  B4, B7, B9-B14, B17, B18, C1, I5,
 from .operators.clean import drop_sparse_nulls as drop_rows_null_in_sparse_cols  # noqa: F401  B12
 from .operators.clean import quantile_trim as trim  # noqa: F401  B17
 from .operators.features import ExactImputer, ExactMinMaxScaler, PopStandardScaler, hf_features  # noqa: F401  J1-J3, I7
-from .operators.models import (  # noqa: F401  J5-J11, J15-J17, J20, C5
+from .operators.boost import Booster, fit_booster  # noqa: F401  J6
+from .operators.boost import forecast_series as recursive_forecast  # noqa: F401  J16
+from .operators.boost import search as random_search  # noqa: F401  J15
+from .operators.models import (  # noqa: F401  J5-J11, J17, J20, C5
     GBT_PRODUCTION,
     align_forecast,
     compare_models,
@@ -61,8 +64,6 @@ from .operators.models import (  # noqa: F401  J5-J11, J15-J17, J20, C5
     naive_predictions,
     ols_1d,
     pred_vs_actual,
-    random_search,
-    recursive_forecast,
     regression_metrics,
     regression_pipeline,
     save_model,

@@ -1,15 +1,14 @@
 """Models, evaluation and forecasting.
 
 Metrics are plain aggregates (one pass, map-side combined).  Model fits use
-``pyspark.ml``; searches run their fits from a bounded driver thread pool
-over one cached feature table, each fit a distributed job.
+``pyspark.ml`` or, for boosted trees with all settings, searches and
+forecasts, ``boost``.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -19,8 +18,9 @@ from pyspark.sql import functions as F
 
 from .._col import qident
 from ..session import cut_lineage
+from .boost import Params
 from .features import ExactImputer, PopStandardScaler
-from .ordered import DEFAULT_BLOCK_ROWS, lag_exprs, last_n, trailing_mean_expr, windowed, with_ordinal
+from .ordered import DEFAULT_BLOCK_ROWS, lag_exprs, last_n, trailing_mean_expr, windowed
 
 
 def _c(n: str) -> Column:
@@ -126,6 +126,10 @@ def regression_pipeline(features: Sequence[str], label: str, model: str = "linea
 GBT_PRODUCTION = dict(maxIter=800, stepSize=0.05, maxDepth=6, minInstancesPerNode=3, subsamplingRate=0.8,
                       featureSubsetStrategy="0.8", minInfoGain=0.1, seed=42)
 
+# The same settings with the leaf penalties (lambda 1, alpha 0.1) and columns
+# drawn once a tree.
+BOOST_PRODUCTION = Params(trees=800, rate=0.05, depth=6, min_child=3.0, subsample=0.8, colsample=0.8, gamma=0.1, lam=1.0, alpha=0.1, seed=42)
+
 # The reference's forest: 100 trees, every feature at every split, no depth
 # limit (30 levels are MLlib's limit), seed 42.
 RF_REFERENCE = dict(numTrees=100, maxDepth=30, featureSubsetStrategy="all", seed=42)
@@ -159,58 +163,36 @@ def draw_params(n_iter: int, seed: int = 1234) -> list[dict]:
     return out
 
 
-def random_search(df: DataFrame, features: Sequence[str], label: str, order: Sequence[str], candidates: Sequence[dict],
-                  k: int = 5, model: str = "gbt", parallelism: int = 8) -> tuple[DataFrame, PipelineModel]:
-    """Expanding-window CV (E8) over the candidates; score = mean of
-    fold RMSEs (and sqrt of mean MSE); refit the best on all rows.
-
-    Returns ``(scores, best_model)``; ``scores`` has one row per candidate.
-    """
-    od = cut_lineage(with_ordinal(df, order, name="_o"))  # assembled once, reused by every fit
-    n = od.count()
-    folds = fold_frames(od, "_o", n, k)
-    spark = df.sparkSession
-
-    def fit_fold(task):
-        i, f = task
-        tr, te = folds[f]
-        m = regression_pipeline(features, label, model, params=candidates[i]).fit(tr)
-        r = regression_metrics(m.transform(te), label, "prediction").first()
-        return i, r["rmse"], r["mse"]
-
-    # every (candidate, fold) fit is an independent Spark job: run them concurrently
-    tasks = [(i, f) for i in range(len(candidates)) for f in range(len(folds))]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        done = list(pool.map(fit_fold, tasks))
-    rows = []
-    for i, p in enumerate(candidates):
-        got = [(rm, ms) for j, rm, ms in done if j == i]
-        rows.append((i, str(p), sum(g[0] for g in got) / len(got), (sum(g[1] for g in got) / len(got)) ** 0.5))
-    scores = spark.createDataFrame(rows, "candidate int, params string, mean_rmse double, rmse_of_mean_mse double")
-    best = min(rows, key=lambda r: r[2])[0]
-    best_model = regression_pipeline(features, label, model, params=candidates[best]).fit(od)
-    return scores, best_model
+def search_params(draw: dict, seed: int = 42) -> Params:
+    """A draw as the settings of ``boost``; what the notebook leaves open has the usual defaults (lambda 1, alpha and gamma 0)."""
+    return Params(trees=draw["maxIter"], depth=draw["maxDepth"], rate=draw["stepSize"], subsample=draw["subsamplingRate"],
+                  colsample=float(draw["featureSubsetStrategy"]), seed=seed)
 
 
 # ---------------------------------------------------------------- recursive forecast
 
 def recursive_forecast(model: PipelineModel, history: DataFrame, steps: int, target: str, ts: str,
                        features_fn: Callable[[DataFrame], DataFrame], by: Sequence[str] = (), context: int = 200,
-                       minutes: int = 10, compat: bool = False) -> DataFrame:
+                       minutes: int = 10, compat: bool = False, order: Sequence[str] | None = None) -> DataFrame:
     """``steps`` one-step predictions fed back as history, per series.
 
     Each series keeps only its last ``context`` rows (bounded state).  By
     default the future row (time + ``minutes``, other columns carried
     forward, target unknown) is appended first and its own features are
     used; ``compat=True`` predicts from the last observed row's features
-    (the reference's off-by-one).  Returns ``(by..., step, ts, prediction)``.
+    (the reference's off-by-one).  ``order`` (default ``[ts]``) should end with
+    a tiebreak where times repeat.  Any Spark feature function and model will
+    do, at some jobs a step; ``boost.forecast_series`` needs one pass.
+    Returns ``(by..., step, ts, prediction)``.
     """
     by = list(by)
     cols = history.columns
     # the context table holds <= ``context`` rows per series, so windows over
     # it are small; the history itself is reduced with a partial top-k
-    w_last = Window.partitionBy(*by).orderBy(F.col(ts).desc()) if by else Window.orderBy(F.col(ts).desc())
-    ctx = cut_lineage(last_n(history, context, [ts], by))
+    order = list(order or [ts])
+    last_first = [F.col(qident(o)).desc() for o in order]
+    w_last = Window.partitionBy(*by).orderBy(*last_first) if by else Window.orderBy(*last_first)
+    ctx = cut_lineage(last_n(history, context, order, by))
     preds = []
     for step in range(steps):
         last = ctx.withColumn("_rn", F.row_number().over(w_last)).where(F.col("_rn") == 1).drop("_rn")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import boost as B
 from ..operators import models as M
 from ..operators import var as V
 from ..operators.clean import drop_any_null
@@ -144,11 +145,35 @@ def q_linear_metrics(spark, sf):
 
 
 @query("gbt_metrics")
-def q_gbt_metrics(spark, sf, params=M.GBT_PRODUCTION):
-    """J6 + J10: boosted trees with the production settings (800 trees),
-    test metrics."""
-    _, pred = _fit_eval(spark, sf, "gbt", dict(params))
-    return M.regression_metrics(pred, "value", "prediction")
+def q_gbt_metrics(spark, sf, params=M.BOOST_PRODUCTION):
+    """J6 + J10: boosted trees with the production settings (800 trees, leaf
+    penalties, columns per tree), test metrics."""
+    d = cut_lineage(_prep(spark, sf))
+    model = B.fit_booster(d.where(F.col("split") == "train"), FEATS, "value", "ordinal", params)
+    return M.regression_metrics(model.transform(d.where(F.col("split") == "test")), "value", "prediction")
+
+
+_STUMP_SQL = """
+WITH e AS (SELECT value, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS DOUBLE) AS k FROM events WHERE value IS NOT NULL),
+b AS (SELECT avg(value) AS base, count(*) AS n FROM e),
+g AS (SELECT k, sum(base - value) AS g, count(*) AS n FROM e, b GROUP BY k),
+c AS (SELECT k, sum(g) OVER (ORDER BY k) AS gl, sum(n) OVER (ORDER BY k) AS nl, sum(g) OVER () AS gt, sum(n) OVER () AS nt FROM g),
+s AS (SELECT *, greatest(abs(gl) - 0.1, 0) ^ 2 / (nl + 1) + greatest(abs(gt - gl) - 0.1, 0) ^ 2 / (nt - nl + 1) - greatest(abs(gt) - 0.1, 0) ^ 2 / (nt + 1) AS gain
+      FROM c WHERE nl >= 3 AND nt - nl >= 3),
+w AS (SELECT * FROM s ORDER BY gain DESC, k LIMIT 1)
+SELECT round(base - sign(gl) * greatest(abs(gl) - 0.1, 0) / (nl + 1), 6) AS prediction, CAST(nl AS BIGINT) AS n FROM w, b
+UNION ALL SELECT round(base - sign(gt - gl) * greatest(abs(gt - gl) - 0.1, 0) / (nt - nl + 1), 6), CAST(nt - nl AS BIGINT) FROM w, b
+"""
+
+
+@query("boost_stump", _STUMP_SQL)
+def q_boost_stump(spark, sf):
+    """One tree of one level with leaf penalties: its two predictions and
+    how many rows have each."""
+    d = original_events(spark, sf).where("value IS NOT NULL").select("event_id", "value", "k")
+    one = B.Params(trees=1, depth=1, rate=1.0, min_child=3.0, lam=1.0, alpha=0.1)
+    rows = B.fit_booster(d, ["k"], "value", "event_id", one).transform(d)
+    return rows.groupBy(F.round("prediction", 6).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("rf_metrics")
@@ -159,14 +184,16 @@ def q_rf_metrics(spark, sf, params=M.RF_REFERENCE):
     return M.regression_metrics(pred, "value", "prediction")
 
 
+def _candidates(draws):
+    return [M.search_params(c) for c in M.draw_params(draws, seed=1234)]
+
+
 @query("random_search")
 def q_random_search(spark, sf, draws=M.SEARCH_DRAWS, k=M.SEARCH_FOLDS):
     """20 seeded draws of the notebook's space, each with its own number
     of trees, scored by 5 expanding folds."""
     d = cut_lineage(_prep(spark, sf).where(F.col("split") == "train"))
-    cands = [dict(c, seed=42) for c in M.draw_params(draws, seed=1234)]
-    scores, _ = M.random_search(d, FEATS, "value", ["ordinal"], cands, k=k, model="gbt", parallelism=8)
-    return scores
+    return B.search(d, FEATS, ["value"], ["ordinal"], _candidates(draws), k=k)[0]
 
 
 _HF = ["k", "hora", "minuto", "dia_de_semana", "dia_del_ano", "lag_value_1_hora", "lag_value_24_horas",
@@ -180,10 +207,8 @@ def q_recursive_forecast(spark, sf, draws=M.SEARCH_DRAWS, k=M.SEARCH_FOLDS):
     high-frequency features (context 200 rows)."""
     cl = drop_any_null(clean_flow_df(spark, sf).select("event_id", "ts", "value", "k"))
     feats = cut_lineage(hf_features(cl, "value", "ts", ORDER))
-    cands = [dict(c, seed=42) for c in M.draw_params(draws, seed=1234)]
-    _, model = M.random_search(feats, _HF, "value", ORDER, cands, k=k, model="gbt", parallelism=8)
-    fn = lambda d: hf_features(d, "value", "ts", ["ts"], drop_nulls=False)
-    return M.recursive_forecast(model, cl.drop("event_id"), 10, "value", "ts", fn)
+    _, models = B.search(feats, _HF, ["value"], ORDER, _candidates(draws), k=k)
+    return B.forecast_series(models, cl, 10, "ts", ORDER).select("step", "ts", "prediction")
 
 
 # ---------------------------------------------------------------- VAR
@@ -224,8 +249,8 @@ def q_var_gram(spark, sf):
 def q_var_coefficients(spark, sf):
     """VAR(2) coefficients (regressor x equation) from the Gram solve."""
     wide, keys = _var_input(spark, sf)
-    B = V.fit(wide, keys, _VAR_P, ["bucket"])
-    return V.coefficients_frame(spark, B, keys, _VAR_P)
+    coef = V.fit(wide, keys, _VAR_P, ["bucket"])
+    return V.coefficients_frame(spark, coef, keys, _VAR_P)
 
 
 @query("var_select")
@@ -240,8 +265,8 @@ def q_var_select(spark, sf):
 def q_var_forecast(spark, sf):
     """10-step VAR(2) forecast after the last bucket, on a time spine."""
     wide, keys = _var_input(spark, sf)
-    B = V.fit(wide, keys, _VAR_P, ["bucket"])
-    fc = V.forecast(wide, B, keys, ["bucket"], 10)
+    coef = V.fit(wide, keys, _VAR_P, ["bucket"])
+    fc = V.forecast(wide, coef, keys, ["bucket"], 10)
     last = wide.agg(F.max("bucket").alias("_b"))
     rows = [(i, *map(float, fc[i])) for i in range(fc.shape[0])]
     f = spark.createDataFrame(rows, "step int, " + ", ".join(f"`{k}` double" for k in keys))

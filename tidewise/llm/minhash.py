@@ -171,25 +171,37 @@ def hub_differences(classes: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def rare_elements(members: DataFrame) -> DataFrame:
-    """``hub, e, u, n, nd, place, sketch``: of each member's D the elements that others of its hub have too, as far as they
-    can be the first common one; ``place`` is the element's, the rarest first."""
-    items = members.select("hub", "u", "n", F.size("d").cast("long").alias("nd"), F.explode("d").alias("e"))
-    counts = items.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    """``h, e, m, place, u, n, nd, sketch``: of each member's D the elements that others of its hub have too, as far as they
+    can be the first common one; ``place`` is the element's, the rarest first.
+
+    ``members``: h and m (numbers of the hub and of the member), u, n, d.  Until the elements are known that matter, rows
+    hold numbers only.
+    """
+    sizes = F.shiftleft(F.col("n"), 32).bitwiseOR(F.size("d").cast("long")).alias("sizes")
+    items = members.select("h", "m", sizes, F.explode("d").alias("e"))
+    counts = items.groupBy("h", "e").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    n, nd = F.shiftright("sizes", 32), F.col("sizes").bitwiseAND(F.lit((1 << 32) - 1))
+    own = Window.partitionBy("m")
+    place = nd - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("rows", "e")) - 1
+    rows = items.join(counts, ["h", "e"]).withColumn("place", place)
+    rows = stored(rows.filter(LEAST[0] * F.col("place") <= (LEAST[1] - LEAST[0]) * n).select("h", "e", "m", "place", "sizes"), "common")
+    # an element serves if a member has it early enough to be the shorter D, and another one at all
+    early = 2 * LEAST[0] * F.col("place") <= (LEAST[1] - LEAST[0]) * n
+    serves = rows.groupBy("h", "e").agg(F.count(F.lit(1)).alias("rows"), F.max(early).alias("early")).filter("rows > 1 AND early")
+    rows = rows.join(serves.select("h", "e"), ["h", "e"], "left_semi")
     bit = F.expr("shiftleft(1L, cast(e & 63 AS int))")
     word = F.expr(f"(e >> 6) & {SKETCH - 1}")
-    sketch = items.groupBy("hub", "u").agg(*[F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"s{k}") for k in range(SKETCH)])
-    own = Window.partitionBy("hub", "u")
-    place = F.col("nd") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("rows", "e")) - 1
-    common = items.join(counts, ["hub", "e"]).withColumn("place", place).filter(LEAST[0] * F.col("place") <= (LEAST[1] - LEAST[0]) * F.col("n"))
-    words = F.array(*[f"s{k}" for k in range(SKETCH)]).alias("sketch")
-    return common.select("hub", "e", "u", "n", "nd", "place").join(sketch.select("hub", "u", words), ["hub", "u"])
+    words = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"s{k}") for k in range(SKETCH)]
+    sketch = items.groupBy("m").agg(*words).select("m", F.array(*[f"s{k}" for k in range(SKETCH)]).alias("sketch"))
+    about = members.select("m", "u", "n", F.size("d").cast("long").alias("nd")).join(sketch, "m")
+    return rows.select("h", "e", "m", "place").join(about, "m")
 
 
 def _candidates(rows: DataFrame, others: DataFrame) -> DataFrame:
-    """Pairs ``hub, u, v`` that share an element early enough, are not linked yet, and whose sketches and sizes allow the similarity."""
+    """Pairs ``m, mv`` that share an element early enough, are not linked yet, and whose sketches and sizes allow the similarity."""
     total, part = LEAST[0] + LEAST[1], LEAST[1] - LEAST[0]
-    names = {"u": "v", "n": "nv", "nd": "ndv", "place": "placev", "sketch": "sketchv", "c": "cv"}
-    other = others.select("hub", "e", *[F.col(k).alias(v) for k, v in names.items()])
+    names = {"m": "mv", "n": "nv", "nd": "ndv", "place": "placev", "sketch": "sketchv", "c": "cv"}
+    other = others.select("h", "e", *[F.col(k).alias(v) for k, v in names.items()])
     sizes = part * (F.col("n") + F.col("nv"))
     longer = total * (F.col("nd") - F.col("ndv"))
     apart = F.lit(0)
@@ -199,7 +211,7 @@ def _candidates(rows: DataFrame, others: DataFrame) -> DataFrame:
         (F.col("c") != F.col("cv")) & (2 * total * F.col("place") <= longer + sizes) & (2 * total * F.col("placev") <= sizes - longer)
         & (LEAST[1] * F.least("n", "nv") >= LEAST[0] * F.greatest("n", "nv")) & (total * apart <= sizes)
     )
-    return rows.join(other, ["hub", "e"]).filter(near).select("hub", "u", "v").distinct()
+    return rows.join(other, ["h", "e"]).filter(near).select("m", "mv").distinct()
 
 
 def near_links(classes: DataFrame, documents: DataFrame) -> DataFrame:
@@ -216,22 +228,25 @@ def near_links(classes: DataFrame, documents: DataFrame) -> DataFrame:
     open_hubs = stored(_with_component(ends, found).filter("c <> member_c").select("hub").distinct(), "open_hubs")
     if open_hubs.isEmpty():
         return found
-    members = stored(members.join(open_hubs, "hub", "left_semi").select("hub", "u", "n", "d"), "members")
-    rows = stored(rare_elements(members), "rare_elements")
+    # numbers for hubs and members, fixed by being written
+    open_hubs = stored(open_hubs.withColumn("h", F.monotonically_increasing_id()), "hub_numbers")
+    members = members.join(open_hubs, "hub").select("h", F.col("u.doc_id").alias("u"), "n", "d")
+    members = stored(members.withColumn("m", F.monotonically_increasing_id()), "members")
+    rows = stored(rare_elements(members), "rare_elements").withColumnRenamed("u", "doc_id")
     early = 2 * LEAST[0] * F.col("place") <= (LEAST[1] - LEAST[0]) * F.col("n")  # as the shorter D
     for one in (F.min_by, F.max_by, None):
-        now = _with_component(rows.withColumn("doc_id", F.col("u.doc_id")), found)
+        now = _with_component(rows, found).drop("doc_id")
         others = now.filter(early)
         if one is not None:  # one partner for each element: what it links goes on as one component
-            fields = ["u", "n", "nd", "place", "sketch", "c"]
-            stars = others.groupBy("hub", "e").agg(one(F.struct(*fields), F.col("u")).alias("x"))
-            others = stored(stars.select("hub", "e", *[F.col(f"x.{k}").alias(k) for k in fields]), "stars")
+            fields = ["m", "n", "nd", "place", "sketch", "c"]
+            stars = others.groupBy("h", "e").agg(one(F.struct(*fields), F.col("m")).alias("x"))
+            others = stored(stars.select("h", "e", *[F.col(f"x.{k}").alias(k) for k in fields]), "stars")
         pairs = stored(_candidates(now, others), "candidates")
-        d = members.select("hub", "u", "n", "d")
-        tested = pairs.join(d, ["hub", "u"]).join(d.select("hub", F.col("u").alias("v"), F.col("n").alias("nv"), F.col("d").alias("dv")), ["hub", "v"])
+        d = members.select("m", "u", "n", "d")
+        tested = pairs.join(d, "m").join(d.select(F.col("m").alias("mv"), F.col("u").alias("v"), F.col("n").alias("nv"), F.col("d").alias("dv")), "mv")
         differ = F.size("d") + F.size("dv") - 2 * F.size(F.array_intersect("d", "dv"))
         links = tested.filter(_similar(differ, F.col("n") + F.col("nv")))
-        links = stored(links.select(F.col("u.doc_id").alias("u"), F.col("v.doc_id").alias("v")).distinct(), "links")
+        links = stored(links.select("u", "v").distinct(), "links")
         if not links.isEmpty():
             found = _joined_on(found, links)
     return found

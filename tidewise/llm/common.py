@@ -67,3 +67,24 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
+
+
+#: Of the bitmap of ``maybe_among``: 1 MB.
+FILTER_BITS = 23
+
+
+def maybe_among(df: DataFrame, hashed: Column, keys: DataFrame, name: str) -> DataFrame:
+    """``df`` with a boolean column ``name``: whether the hash may be among ``keys`` (one column of 64-bit hashes).
+
+    A bitmap of ``2**FILTER_BITS`` hashes, whose size is fixed, is broadcast; false means surely not, so such rows need
+    no join, and their texts no shuffle.
+    """
+    part, at, bits = (free_name(df, c) for c in ("_part", "_at", "_bits"))
+    low = F.lit(32767)
+    place = F.col(keys.columns[0]).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    table_ = keys.groupBy(F.shiftright(place, 15).alias(part)).agg(F.bitmap_construct_agg(place.bitwiseAND(low)).alias(bits))
+    own = hashed.bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    rows = df.withColumns({part: F.shiftright(own, 15), at: own.bitwiseAND(low).cast("int")}).join(F.broadcast(table_), part, "left")
+    byte = F.conv(F.hex(F.substring(F.col(bits), (F.col(at) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, F.col(at) % 8) == 1, F.lit(False))
+    return rows.withColumn(name, found).select(*[F.col(f"`{c}`") for c in df.columns], name)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, stored, text_of
+from .common import free_name, maybe_among, stored, text_of
 
 #: Bound on the broadcast: at most 1 / SUPPORT digests, about 100 bytes each.
 SUPPORT = 1e-3
@@ -68,7 +68,9 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """The rows of ``df`` that stay, all columns unchanged: one of each text.
 
     Rows that ``copy_groups`` cannot tell apart (the winning id repeated, or null
-    ids only) are reduced to one of them by an aggregate, in every task first.
+    ids only) are reduced to one of them by an aggregate, in every task first;
+    which one depends on the rows alone.  Texts of any length stay where they are
+    unless a copy of them may exist.
     Only ids and digests of the dropped rows meet the documents again (an anti
     join that Spark broadcasts when it finds that side small).
     """
@@ -76,11 +78,18 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     groups = stored(copy_groups(df, id_col, text_col, support).filter("group_size > 1").select("doc_id", "text_sha256", "kept"), "groups")
     dropped = groups.filter("NOT kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(digest)).distinct()
     ties = stored(groups.filter("kept").groupBy(F.col("text_sha256").alias(digest)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "ties")
+    # only texts whose digest may be one with copies take part in joins
+    maybe = free_name(df, "_maybe")
+    copied = groups.select(F.xxhash64("text_sha256").alias("h"))
     rows = df.withColumn(own, digest_column(text_col))
+    rows = maybe_among(rows, F.xxhash64(own), copied, maybe)
+    single, rows = rows.filter(~F.col(maybe)).drop(own, maybe), rows.filter(maybe).drop(maybe)
     match = (F.col(own) == F.col(digest)) & F.col(id_col).eqNullSafe(F.col(key))
     left = rows.join(dropped, match, "left_anti")
     if ties.isEmpty():
-        return left.drop(own)
+        return single.unionByName(left.drop(own))
     tied = F.col(own) == F.col(digest)
-    one = left.join(ties, tied, "left_semi").dropDuplicates([own])
-    return left.join(ties, tied, "left_anti").unionByName(one).drop(own)
+    # of rows that all compare alike the smallest in all columns' hash: a task that runs again picks the same
+    one = left.join(ties, tied, "left_semi")
+    one = one.groupBy(own).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns])).alias("row"))
+    return single.unionByName(left.join(ties, tied, "left_anti").drop(own)).unionByName(one.select("row.*"))

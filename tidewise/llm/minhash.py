@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, stored, text_of
+from .common import free_name, maybe_among, stored, text_of
 from .components import components
 from .wordhash import SHINGLE, mix, shingles, stream, word_hashes, worker_cache
 
@@ -48,8 +48,6 @@ LEAST = (75, 100)
 
 #: 64-bit words of a parity sketch.
 SKETCH = 8
-#: Of the bitmap that keeps texts without candidates out of a shuffle: 1 MB.
-FILTER_BITS = 23
 
 _SIGNATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
@@ -135,18 +133,6 @@ def _joined_on(found: DataFrame, links: DataFrame) -> DataFrame:
     return stored(moved.unionByName(roots), "components")
 
 
-def _likely(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``documents`` whose id may be among ``ids``: those with a set bit in a bitmap of ``2**FILTER_BITS``
-    hashed ids, which is broadcast (its size is fixed).  Keeps most texts out of the exact join that follows."""
-    place = F.expr(f"xxhash64(doc_id) & {(1 << FILTER_BITS) - 1}")
-    bits = ids.groupBy((place.bitwiseAND(F.lit(~32767))).alias("part")).agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit(32767))).alias("bits"))
-    at = place.bitwiseAND(F.lit(32767))
-    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return documents.withColumn("part", place.bitwiseAND(F.lit(~32767))).join(F.broadcast(bits), "part").filter(
-        F.getbit(byte, (at % 8).cast("int")) == 1
-    )
-
-
 def hub_differences(classes: DataFrame, documents: DataFrame) -> DataFrame:
     """``u, hub, n, hub_n, d``: members of buckets, the first member, set sizes, and the shingles that only one of both has.
 
@@ -159,7 +145,8 @@ def hub_differences(classes: DataFrame, documents: DataFrame) -> DataFrame:
     ends = pairs.select("a").unionByName(pairs.select(F.col("hub").alias("a"))).distinct()
     nodes = stored(classes.select("rep", F.col("set_a").alias("a")).join(ends, "a"), "nodes")
     needed = nodes.select(F.col("rep").alias("doc_id")).distinct()
-    sets = _likely(documents, needed).select("doc_id", "text").mapInArrow(_sets, "doc_id long, set_a long, items array<long>")
+    likely = maybe_among(documents, F.xxhash64("doc_id"), needed.select(F.xxhash64("doc_id").alias("h")), "_likely").filter("_likely")
+    sets = likely.select("doc_id", "text").mapInArrow(_sets, "doc_id long, set_a long, items array<long>")
     sets = sets.join(nodes.select(F.col("rep").alias("doc_id"), F.col("a").alias("set_a")), ["doc_id", "set_a"], "left_semi")
     sets = sets.groupBy("set_a", "doc_id").agg(F.first("items").alias("items"))  # an id with equal rows: equal sets
     sets = stored(sets.select("set_a", F.struct("doc_id", "set_a").alias("node"), "items"), "sets")
@@ -285,4 +272,7 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     key = free_name(df, "_dropped_id")
     dropped = stored(near_duplicates(df, id_col, text_col).filter("NOT kept").select("doc_id").distinct(), "dropped")
     dropped = dropped.withColumnRenamed("doc_id", key)
-    return df.join(dropped, F.col(id_col) == F.col(key), "left_anti")
+    maybe = free_name(df, "_maybe")
+    rows = maybe_among(df, F.xxhash64(id_col), dropped.select(F.xxhash64(key).alias("h")), maybe)
+    stay = rows.filter(~F.col(maybe)).unionByName(rows.filter(maybe).join(dropped, F.col(id_col) == F.col(key), "left_anti"))
+    return stay.drop(maybe)

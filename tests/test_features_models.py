@@ -64,20 +64,6 @@ def test_column_diff(spark):
     assert column_diff(a, b) == {"only_left": ["x"], "only_right": ["z"], "both": ["y"]}
 
 
-def test_gram_orders_equal_per_order_gram(spark):
-    rng = np.random.default_rng(9)
-    n = 240
-    y = rng.normal(size=(n, 2)).cumsum(axis=0)
-    df = spark.createDataFrame([(t, float(y[t, 0]), float(y[t, 1])) for t in range(n)], "t0 long, a double, b double")
-    cols, ends = ["a", "b"], [60, 120, 180]
-    full = V.lagged_design(df, cols, 4, ["t0"], min_t=1)
-    multi = {(r["p"], r["fold"], r["mat"], r["row"], r["col"]): r["value"] for r in V.gram_orders(full, cols, [1, 2, 4], ends).collect()}
-    for p in (1, 2, 4):
-        single = V.gram(V.lagged_design(df, cols, p, ["t0"]), cols, p, ends).collect()
-        for r in single:
-            assert multi[(p, r["fold"], r["mat"], r["row"], r["col"])] == pytest.approx(r["value"], rel=1e-12, abs=1e-9)
-
-
 def test_var_order_search_scores_all_orders_on_the_same_folds(spark):
     from tidewise.operators import var as V
 

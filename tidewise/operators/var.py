@@ -1,17 +1,19 @@
-"""Vector autoregression (J12-J14) by Gram matrices.
+"""Vector autoregression.
 
 OLS equation by equation with a shared design ``X = [1, y(t-1), ...,
-y(t-p)]``: every coefficient comes from ``X'X`` and ``X'Y``, which are one
-aggregate of products over the (distributed) lagged table.  Only those
-``(1+pK)^2 + (1+pK)K`` numbers reach the driver, where a small solve gives
-the coefficients.  Order search fans the (order, fold) recursions out as
-grouped ``applyInPandas`` tasks and scores them against the actual rows in
-Spark.
+y(t-p)]``.  Blocks of rows are reduced to triangular factors
+(``leastsq``), which merge in a tree; only factors reach the driver, or the
+task that solves one of many sets of series.  The order search takes all
+orders and folds from the same factors and scores chunks of the test rows on
+their own.  ``gram`` gives the matrices of the normal equations as a table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -20,7 +22,8 @@ from pyspark.sql import functions as F
 
 from .._col import qident
 from ..session import cut_lineage
-from .ordered import DEFAULT_BLOCK_ROWS, lag_exprs, windowed, with_ordinal
+from .leastsq import factor, leading, merge_tree, merged, solved
+from .ordered import DEFAULT_BLOCK_ROWS, halo_blocks, lag_exprs, last_n, windowed, with_ordinal
 
 
 MAX_SERIES = 500
@@ -109,77 +112,127 @@ def gram(design: DataFrame, cols: Sequence[str], p: int, fold_ends: Sequence[int
     return summed.join(F.broadcast(lab), "i").select("fold", "mat", "row", "col", "value")
 
 
-def gram_orders(design: DataFrame, cols: Sequence[str], orders: Sequence[int], fold_ends: Sequence[int]) -> DataFrame:
-    """Gram matrices of several VAR orders from ONE pass over a design that
-    holds the lags of the largest order: order ``p`` uses the columns
-    ``[1, L1..Lp]`` on rows ``t >= p``.  Long result
-    ``(p, fold, mat, row, col, value)``; its size depends on the orders and
-    series count only, never on the data."""
-    orders = sorted(orders)
-    ys = list(cols)
-    k = len(ys)
-    ends = sorted(fold_ends)
-    top = max(orders)
-    lagcols = [f"L{lag}.{c}" for lag in range(1, top + 1) for c in cols]
-    d = design.select(F.col("t").cast("long").alias("t"), _block_of(F.col("t"), ends).alias("_b"),
-                      *[F.col(qident(c)).cast("double").alias(f"x{i}") for i, c in enumerate(lagcols)],
-                      *[F.col(qident(c)).cast("double").alias(f"y{i}") for i, c in enumerate(ys)])
-    xn_all = [f"x{i}" for i in range(len(lagcols))]
-    yn = [f"y{i}" for i in range(k)]
+def _lag_factors(cols: int, top: int, ends: Sequence[int]):
+    """Aggregate over one block of rows (ordinal, core flag, values; halo rows
+    included): ``[fold block, q, factor...]`` for every fold block and every
+    class q.  A row's class is the largest order whose lags it has in full, so
+    order p uses the classes q >= p, of which the leading columns are its own:
+    one decomposition serves all orders."""
+    ends = sorted(ends)
+
+    @F.pandas_udf("array<array<double>>")
+    def reduce(t: pd.Series, core: pd.Series, values: pd.Series) -> list:
+        at = np.argsort(t.to_numpy())
+        y = np.stack(values.to_numpy())[at].astype(float)
+        z = np.full((len(y), cols * (top + 1)), np.nan)
+        z[:, :cols] = y
+        for lag in range(1, top + 1):
+            z[lag:, cols * lag : cols * (lag + 1)] = y[:-lag]
+        full = np.isfinite(z).reshape(len(z), top + 1, cols).all(axis=2)
+        kind = np.cumprod(full, axis=1).sum(axis=1) - 1
+        kind[~core.to_numpy()[at].astype(bool)] = -1
+        block = np.searchsorted(ends, t.to_numpy()[at], side="right")
+        out = []
+        for b, q in sorted({(b, q) for b, q in zip(block.tolist(), kind.tolist()) if q >= 1}):
+            rows = z[(block == b) & (kind == q), : cols * (q + 1)]
+            out.append([float(b), float(q), *factor(rows).tolist()])
+        return out
 
-    def partial(it):
-        acc: dict[tuple[int, int], np.ndarray] = {}
-        for pdf in it:
-            for p in orders:
-                xn = xn_all[: p * k]
-                sub = pdf[pdf["t"] >= p][["_b", *xn, *yn]].dropna()
-                for b, g in sub.groupby("_b"):
-                    X = np.column_stack([np.ones(len(g)), g[xn].to_numpy(dtype=float)])
-                    Y = g[yn].to_numpy(dtype=float)
-                    cell = np.concatenate([(X.T @ X).ravel(), (X.T @ Y).ravel()])
-                    key = (p, int(b))
-                    acc[key] = acc.get(key, 0) + cell
-        if acc:
-            yield pd.DataFrame({"p": [kk[0] for kk in acc], "_b": [kk[1] for kk in acc], "v": [a.tolist() for a in acc.values()]})
+    return reduce
 
-    parts = d.mapInPandas(partial, "p int, _b int, v array<double>")
-    cells = parts.select("p", "_b", F.posexplode("v").alias("i", "v")).groupBy("p", "_b", "i").agg(F.sum("v").alias("v"))
-    nb = len(ends) + 1
-    spark = design.sparkSession
-    folds = [(-1, list(range(nb)))] + [(fi, list(range(fi + 1))) for fi in range(len(ends))]
-    fmap = spark.createDataFrame([(f, b) for f, bl in folds for b in bl], "fold int, _b int")
-    summed = cells.join(F.broadcast(fmap), "_b").groupBy("p", "fold", "i").agg(F.sum("v").alias("value"))
-    lab_rows = []
-    for p in orders:
-        xs = regressor_names(cols, p)
-        m = len(xs)
-        names = [("XtX", xs[a], xs[b]) for a in range(m) for b in range(m)] + [("XtY", xs[a], ys[b]) for a in range(m) for b in range(k)]
-        lab_rows += [(p, i, *n) for i, n in enumerate(names)]
-    lab = spark.createDataFrame(lab_rows, "p int, i int, mat string, row string, col string")
-    return summed.join(F.broadcast(lab), ["p", "i"]).select("p", "fold", "mat", "row", "col", "value")
-
-
-def solve(gram_rows, cols: Sequence[str], p: int, fold: int = -1) -> np.ndarray:
-    """Coefficients ``B`` ((1+pK) x K) from collected Gram rows."""
-    xs = regressor_names(cols, p)
-    ix = {n: i for i, n in enumerate(xs)}
-    iy = {n: i for i, n in enumerate(cols)}
-    xtx = np.zeros((len(xs), len(xs)))
-    xty = np.zeros((len(xs), len(cols)))
-    for r in gram_rows:
-        if r["fold"] != fold:
-            continue
-        if r["mat"] == "XtX":
-            xtx[ix[r["row"]], ix[r["col"]]] = r["value"]
-        else:
-            xty[ix[r["row"]], iy[r["col"]]] = r["value"]
-    return np.linalg.lstsq(xtx, xty, rcond=None)[0]
-
-
-def fit(df: DataFrame, cols: Sequence[str], p: int, order: Sequence[str]) -> np.ndarray:
+
+def factors(numbered: DataFrame, cols: Sequence[str], top: int, ordinal: str, by: Sequence[str] = (), fold_ends: Sequence[int] = (),
+            block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """``(by..., block, q, f)``: triangular factors of the lagged rows of
+    every series set (``by``), fold block and class of rows, from one pass.
+
+    ``numbered`` has an ordinal without gaps inside a set.  A block of rows
+    with its halo is one task's group, whatever the length of a series; what
+    leaves it is a few small factors, merged in a tree.
+    """
+    keys = [F.col(qident(b)).alias(f"_g{i}") for i, b in enumerate(by)]
+    names = [f"_g{i}" for i in range(len(by))]
+    slim = numbered.select(*keys, F.col(qident(ordinal)).alias("_t"), F.array(*[F.col(qident(c)).cast("double") for c in cols]).alias("_y"))
+    blocks = halo_blocks(slim, "_t", top, 0, block_rows)
+    found = blocks.groupBy(*names, "_blk").agg(_lag_factors(len(cols), top, fold_ends)("_t", "_core", "_y").alias("_f"))
+    one = found.select(*names, "_blk", F.explode("_f").alias("_f")).select(
+        *names, "_blk", F.col("_f")[0].cast("int").alias("block"), F.col("_f")[1].cast("int").alias("q"), F.expr("slice(_f, 3, size(_f) - 2)").alias("f"))
+    out = merge_tree(one, [*names, "block", "q"], "_blk", "f")
+    return out.select(*[F.col(n).alias(b) for n, b in zip(names, by)], "block", "q", "f")
+
+
+def solve_order(found: Sequence[tuple[int, int, Sequence[float]]], k: int, p: int, blocks: int | None = None) -> tuple[np.ndarray, int, int]:
+    """Coefficients ``B`` ((1+pK) x K), rows and rank of order ``p`` from
+    factors ``(block, q, f)``, of the first ``blocks`` fold blocks (default all)."""
+    mine = [leading(f, k * (p + 1)) for b, q, f in found if q >= p and (blocks is None or b < blocks)]
+    if not mine:
+        return np.full((1 + p * k, k), np.nan), 0, 0
+    f = merged(mine)
+    B, rank = solved(f, range(k, k * (p + 1)), range(k))
+    return B, int(f[0]), rank
+
+
+def fit(df: DataFrame, cols: Sequence[str], p: int, order: Sequence[str], block_rows: int = DEFAULT_BLOCK_ROWS) -> np.ndarray:
     """VAR(p) coefficients."""
-    g = gram(lagged_design(df, cols, p, order), cols, p).collect()
-    return solve(g, cols, p)
+    numbered = with_ordinal(df.select(*[qident(c) for c in dict.fromkeys([*order, *cols])]), order, name="_t")
+    found = factors(numbered, cols, p, "_t", block_rows=block_rows).select("block", "q", "f").collect()
+    return solve_order([tuple(r) for r in found], len(cols), p)[0]
+
+
+def _fitted_by(df: DataFrame, cols: Sequence[str], p: int, order: Sequence[str], by: Sequence[str], block_rows: int) -> DataFrame:
+    """``(by..., _n, _rank, _B)``: solved in tasks, one row for each set of series with a complete row."""
+    k = len(cols)
+
+    @F.pandas_udf("array<double>")
+    def solve(block: pd.Series, q: pd.Series, f: pd.Series) -> list:
+        B, n, rank = solve_order(list(zip(block, q, f)), k, p)
+        return [float(n), float(rank), *B.ravel().tolist()]
+
+    slim = df.select(*[qident(c) for c in dict.fromkeys([*by, *order, *cols])])
+    numbered = with_ordinal(slim, order, by, name="_t", per_series=False)
+    found = factors(numbered, cols, p, "_t", by, block_rows=block_rows).where(F.col("q") >= p)
+    made = found.groupBy(*[F.col(qident(b)) for b in by]).agg(solve("block", "q", "f").alias("_s"))
+    return made.select(*[F.col(qident(b)) for b in by], F.col("_s")[0].cast("long").alias("_n"), F.col("_s")[1].cast("int").alias("_rank"),
+                       F.expr("slice(_s, 3, size(_s) - 2)").alias("_B"))
+
+
+def fit_by(df: DataFrame, cols: Sequence[str], p: int, order: Sequence[str], by: Sequence[str], block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """J12 for many sets of series: one VAR(p) of the columns ``cols`` for each value of ``by``.
+
+    ``(by..., regressor, equation, coef, n_rows, rank)``.  A NULL in ``by`` is
+    a set of its own; a row with a NULL or non-finite value in it or its lags
+    is left out; a set without any complete row has no result; a regressor
+    without variation has 0.  No set meets one task whole.
+    """
+    xs, k = regressor_names(cols, p), len(cols)
+    made = _fitted_by(df, cols, p, order, by, block_rows)
+    cell = made.select(*[F.col(qident(b)) for b in by], "_n", "_rank", F.posexplode("_B").alias("_i", "coef"))
+    name = F.array(*[F.lit(x) for x in xs])[F.expr(f"_i div {k}").cast("int")]
+    equation = F.array(*[F.lit(c) for c in cols])[F.expr(f"_i % {k}").cast("int")]
+    return cell.select(*[F.col(qident(b)) for b in by], name.alias("regressor"), equation.alias("equation"), "coef",
+                       F.col("_n").alias("n_rows"), F.col("_rank").alias("rank"))
+
+
+def forecast_by(df: DataFrame, cols: Sequence[str], p: int, order: Sequence[str], by: Sequence[str], steps: int,
+                block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """J14 for many sets of series: ``(by..., step, <cols>)``, ``steps`` rows
+    after the last row of every set that ``fit_by`` fits; NULL where one of
+    the last ``p`` rows is incomplete."""
+    k, keys = len(cols), [F.col(qident(b)) for b in by]
+    made = _fitted_by(df, cols, p, order, by, block_rows).select(*[F.col(qident(b)).alias(f"_g{i}") for i, b in enumerate(by)], "_B")
+    at = [f(qident(o)) for o in order for f in (F.isnull, F.col)]  # NULL times last, as in the ordinal
+    item = F.struct(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(at)]).alias("k"), F.array(*[F.col(qident(c)).cast("double") for c in cols]).alias("y"))
+    past = last_n(df, p, order, by).groupBy(*keys).agg(F.flatten(F.array_sort(F.collect_list(item))["y"]).alias("_past"))
+    same = F.lit(True)
+    for i, b in enumerate(by):
+        same = same & F.col(qident(b)).eqNullSafe(F.col(f"_g{i}"))
+
+    @F.pandas_udf("array<array<double>>")
+    def run(coef: pd.Series, last: pd.Series) -> pd.Series:
+        return pd.Series([recurse(np.reshape(b, (1 + p * k, k)), np.reshape(np.asarray(y, float), (-1, k)), steps).tolist() for b, y in zip(coef, last)])
+
+    rows = past.join(made, same).select(*keys, F.posexplode(run("_B", "_past")).alias("_s", "_v"))
+    return rows.select(*keys, (F.col("_s") + 1).alias("step"), *[F.nanvl(F.col("_v")[j], F.lit(None)).alias(c) for j, c in enumerate(cols)])
 
 
 def coefficients_frame(spark, B: np.ndarray, cols: Sequence[str], p: int) -> DataFrame:
@@ -214,67 +267,117 @@ def forecast(df: DataFrame, B: np.ndarray, cols: Sequence[str], order: Sequence[
     return recurse(B, rows, steps)
 
 
-def select_order(df: DataFrame, cols: Sequence[str], order: Sequence[str], max_lag: int = 10, k: int = 5,
-                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+@dataclass
+class OrderSearch:
+    """``scores`` is ``[(p, mean_mse or None)]``; the best order (None if
+    none has a score; the smaller of ties) and its coefficients on all rows."""
+
+    scores: list[tuple[int, float | None]]
+    best: int | None
+    coef: np.ndarray | None
+
+
+def _companion(B: np.ndarray) -> np.ndarray:
+    """Matrix that takes the state ``[1, y(t-1), ..., y(t-p)]`` one row on."""
+    m, k = B.shape
+    M = np.zeros((m, m))
+    M[0, 0] = 1.0
+    M[1 : 1 + k] = B.T
+    for i in range(1 + k, m):
+        M[i, i - k] = 1.0
+    return M
+
+
+def _jump(B: np.ndarray, state: np.ndarray, rows: int) -> np.ndarray:
+    """The state ``rows`` rows on, by squaring the companion matrix."""
+    M = _companion(B)
+    while rows:
+        if rows & 1:
+            state = M @ state
+        rows >>= 1
+        if rows:
+            M = M @ M
+    return state
+
+
+def _chunk_errors(specs: list[tuple[int, int, int, np.ndarray, np.ndarray]], chunk_rows: int, k: int):
+    """Aggregate over one chunk of a test block: for every order that is
+    fitted on this fold, ``[p, squared error, rows]``.  ``specs``: p, fold,
+    first test row, B, state there."""
+    @F.pandas_udf("array<array<double>>")
+    def score(fold: pd.Series, chunk: pd.Series, t: pd.Series, values: pd.Series) -> list:
+        actual = np.stack(values.to_numpy()).astype(float)
+        out = []
+        for p, i, start, B, state in specs:
+            if i != int(fold.iloc[0]):
+                continue
+            first = int(chunk.iloc[0]) * chunk_rows
+            with np.errstate(all="ignore"):
+                last = _jump(B, state, first)[1:].reshape(p, k)[::-1]
+                ahead = recurse(B, last, int(t.max()) - start - first + 1)
+                e = ((actual - ahead[t.to_numpy() - start - first]) ** 2).sum(axis=1)
+            known = ~np.isnan(actual).any(axis=1)
+            out.append([float(p), float(e[known].sum()), float(known.sum())])
+        return out
+
+    return score
+
+
+def search_orders(df: DataFrame, cols: Sequence[str], order: Sequence[str], max_lag: int = 10, k: int = 5,
+                  block_rows: int = DEFAULT_BLOCK_ROWS) -> OrderSearch:
     """Orders 1..max_lag-1 scored by expanding-window CV: each fold's
     model forecasts its whole test block from the last p training rows;
-    score = mean of fold MSEs (all series); ``rmse`` = sqrt of it.
-
-    Returns ``(p, mean_mse, rmse)`` for every order; an order that cannot be
-    fitted on all ``k`` folds (too few training rows in the first) is NULL, so
-    that all scores are means over the same folds.  One pass over the lag design gives
-    every order's Gram matrices for all folds; the recursions run as one
-    grouped job over (p, fold).
+    score = mean over folds of the mean squared error (all series).
+
+    An order that cannot be fitted on all ``k`` folds (too few training rows
+    in the first), or whose forecast is not finite (an unstable fit, a missing
+    value among the last p training rows), has no score, so that all scores
+    are means over the same folds.  One pass gives the factors of every order
+    and fold; a second scores the test rows in chunks of ``block_rows``: the
+    state at a chunk's start is a power of the companion matrix times the
+    state at the block's start, so no task follows a whole block.
     """
-    spark = df.sparkSession
-    base = cut_lineage(with_ordinal(df, order, name="_t"))
+    K, top = len(cols), max_lag - 1
+    base = cut_lineage(with_ordinal(df.select(*[qident(c) for c in dict.fromkeys([*order, *cols])]), order, name="_t"))
     n = base.count()
-    t = n // (k + 1)
-    bounds = [(i, n - (k - i) * t, n - (k - i - 1) * t) for i in range(k)]
+    size = n // (k + 1)
+    bounds = [(n - (k - i) * size, n - (k - i - 1) * size) for i in range(k)]
+    values = F.array(*[F.col(qident(c)).cast("double") for c in cols])
+    found = [tuple(r) for r in factors(base, cols, top, "_t", (), [s for s, _ in bounds], block_rows).select("block", "q", "f").collect()]
+    near = [F.col("_t").between(s - top, s - 1) for s, _ in bounds]
+    # at most (orders x folds) rows
+    past = {r[0]: np.array(r[1], float) for r in base.where(reduce(or_, near, F.lit(False))).select("_t", values).collect()}
     specs = []
-    top = max_lag - 1
-    full = cut_lineage(lagged_design(base.drop("_t"), cols, top, order, block_rows, min_t=1))
-    # every order's Gram matrices (all folds) from one pass over the design
-    g_all = gram_orders(full, cols, list(range(1, max_lag)), [s for _, s, _ in bounds]).collect()
-    by_p: dict[int, list] = {}
-    for r in g_all:
-        by_p.setdefault(r["p"], []).append(r)
     for p in range(1, max_lag):
-        for fi, (i, s, e) in enumerate(bounds):
-            if s <= p + len(cols) * p:
+        for i, (s, _) in enumerate(bounds):
+            if s <= p + K * p:
                 continue  # too few training rows for this order
-            B = solve(by_p.get(p, []), cols, p, fold=fi)
-            specs.append((p, i, s, e, B.flatten().tolist(), B.shape[0]))
-    spec_df = spark.createDataFrame(specs, "p int, fold int, start long, end long, coef array<double>, nrow int")
-    # the p rows before every test block: p x K numbers per (p, fold)
-    need = spec_df.select("p", "fold", F.explode(F.sequence(F.col("start") - F.col("p"), F.col("start") - 1)).alias("_t"))
-    ctx = base.join(F.broadcast(need), "_t")
-    ctx_df = ctx.select("p", "fold", "_t", *[F.col(qident(c)).cast("double").alias(f"y{j}") for j, c in enumerate(cols)])
-    K = len(cols)
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        spec = pdf[pdf["kind"] == "spec"].iloc[0]
-        B = np.asarray(spec["coef"], dtype=float).reshape(int(spec["nrow"]), K)
-        hist = pdf[pdf["kind"] == "ctx"].sort_values("_t")[[f"y{j}" for j in range(K)]].to_numpy()
-        steps = int(spec["end"] - spec["start"])
-        yhat = recurse(B, hist, steps)
-        out = pd.DataFrame(yhat, columns=[f"f{j}" for j in range(K)])
-        out.insert(0, "_t", np.arange(int(spec["start"]), int(spec["end"]), dtype="int64"))
-        out.insert(0, "fold", int(key[1]))
-        out.insert(0, "p", int(key[0]))
-        return out
+            B, rows, _ = solve_order(found, K, p, i + 1)
+            if rows:
+                specs.append((p, i, s, B, np.concatenate([[1.0], *[past[s - lag] for lag in range(1, p + 1)]])))
+    fold = F.coalesce(*[F.when((F.col("_t") >= s) & (F.col("_t") < e), F.lit(i)) for i, (s, e) in enumerate(bounds)])
+    test = base.select(fold.alias("_fold"), F.col("_t"), values.alias("_y")).where(F.col("_fold").isNotNull())
+    start = F.array(*[F.lit(s).cast("long") for s, _ in bounds])[F.col("_fold")]
+    test = test.withColumn("_start", start).withColumn("_chunk", F.expr(f"(_t - _start) div {int(block_rows)}"))
+    parts = test.groupBy("_fold", "_chunk").agg(_chunk_errors(specs, int(block_rows), K)("_fold", "_chunk", "_t", "_y").alias("_e"))
+    cell = parts.select("_fold", F.explode("_e").alias("_e")).groupBy("_fold", F.col("_e")[0].cast("int").alias("p")).agg(
+        F.sum(F.col("_e")[1]).alias("se"), F.sum(F.col("_e")[2]).alias("m"))
+    mse: dict[int, dict[int, float]] = {}
+    for r in cell.collect():
+        if r["m"]:
+            mse.setdefault(r["p"], {})[r["_fold"]] = r["se"] / r["m"] / K
+    scores = []
+    for p in range(1, max_lag):
+        own = [v for _, v in sorted(mse.get(p, {}).items())]
+        mean = sum(own) / k if len(own) == k else None
+        scores.append((p, mean if mean is not None and np.isfinite(mean) else None))
+    best = min(((m, p) for p, m in scores if m is not None), default=(None, None))[1]
+    return OrderSearch(scores, best, solve_order(found, K, best)[0] if best else None)
+
 
-    spec_rows = spec_df.select("p", "fold", F.lit("spec").alias("kind"), F.lit(None).cast("long").alias("_t"),
-                               *[F.lit(None).cast("double").alias(f"y{j}") for j in range(K)], "coef", "nrow", "start", "end")
-    ctx_rows = ctx_df.select("p", "fold", F.lit("ctx").alias("kind"), "_t", *[f"y{j}" for j in range(K)],
-                             F.lit(None).cast("array<double>").alias("coef"), F.lit(None).cast("int").alias("nrow"),
-                             F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("end"))
-    schema = "p int, fold int, _t long, " + ", ".join(f"f{j} double" for j in range(K))
-    fc = spec_rows.unionByName(ctx_rows).groupBy("p", "fold").applyInPandas(run, schema)
-    actual = base.select("_t", *[F.col(qident(c)).alias(f"a{j}") for j, c in enumerate(cols)])
-    err = fc.join(actual, "_t")
-    se = sum(((F.col(f"a{j}") - F.col(f"f{j}")) ** 2 for j in range(K)), F.lit(0.0)) / K
-    fold_mse = err.groupBy("p", "fold").agg(F.avg(se).alias("mse"))
-    scores = fold_mse.groupBy("p").agg(F.when(F.count("mse") == k, F.avg("mse")).alias("mean_mse"))
-    orders = spark.createDataFrame([(p,) for p in range(1, max_lag)], "p int")
-    return orders.join(F.broadcast(scores), "p", "left").withColumn("rmse", F.sqrt("mean_mse"))
+def select_order(df: DataFrame, cols: Sequence[str], order: Sequence[str], max_lag: int = 10, k: int = 5,
+                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """``(p, mean_mse, rmse)`` of every order; see ``search_orders``."""
+    got = search_orders(df, cols, order, max_lag, k, block_rows)
+    rows = [(p, m, None if m is None else m**0.5) for p, m in got.scores]
+    return df.sparkSession.createDataFrame(rows, "p int, mean_mse double, rmse double")

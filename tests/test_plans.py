@@ -9,7 +9,7 @@ from tests.conftest import SF001
 
 # every registered query except the model fits (their plans are MLlib's own) and the chain of all stages
 HEAVY = {"random_search", "recursive_forecast", "rf_metrics", "gbt_metrics", "linear_metrics", "pipeline_predict",
-         "var_select", "var_coefficients", "var_forecast", "pipeline"}
+         "var_select", "var_coefficients", "var_forecast", "var_forecast_by", "model_comparison_var_trees", "pipeline"}
 
 
 def _keys():

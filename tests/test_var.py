@@ -151,3 +151,30 @@ def test_linear_regression_on_seven_features(spark):
     pred = np.array([r[0] for r in fit.transform(df.dropna().orderBy("y")).select("prediction").collect()])
     full = np.column_stack([np.ones(500), x])[np.argsort(y)]
     np.testing.assert_allclose(pred, full @ want, atol=1e-4)
+
+
+def test_var_and_trees_are_compared_on_the_same_steps(spark):
+    from tidewise.operators import boost as B
+    from tidewise.plans.q_models import compare_var_and_trees
+    y = _series(200, 2, 12)
+    df, names = _frame(spark, y)
+    wide = df.select((F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("t").cast("int") * 6)).alias("bucket"), *names)
+    got = {(r["model"], r["target"]): r for r in compare_var_and_trees(wide, names, "bucket", params=B.Params(trees=5, depth=2)).collect()}
+    assert sorted(got) == [(m, t) for m in ("trees", "var") for t in names]
+    train = y[:140]
+    best = V.search_orders(_frame(spark, train)[0], names, ["t"], max_lag=10, k=5).best
+    ahead = V.recurse(_plain(train, best)[0], train[-best:], 10)
+    for j, t in enumerate(names):
+        assert got["var", t]["rmse"] == pytest.approx(((ahead[:, j] - y[140:150, j]) ** 2).mean() ** 0.5, abs=1e-5)
+        assert got["trees", t]["n_test"] == 10 and got["trees", t]["rmse"] > 0
+
+
+def test_a_gap_before_a_test_block_leaves_the_orders_that_need_it_without_a_score(spark):
+    y = _series(120, 1, 15)
+    y[94] = np.nan  # the second last row before the test block from row 96 (k = 4: blocks of 24 rows)
+    df, names = _frame(spark, y)
+    got = V.search_orders(df, names, ["t"], max_lag=4, k=4)
+    assert [m is None for _, m in got.scores] == [False, True, True] and got.best == 1
+    y[95] = np.nan
+    none = V.search_orders(_frame(spark, y)[0], names, ["t"], max_lag=4, k=4)
+    assert none.best is None and none.coef is None and all(m is None for _, m in none.scores)

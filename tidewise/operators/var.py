@@ -365,7 +365,8 @@ def search_orders(df: DataFrame, cols: Sequence[str], order: Sequence[str], max_
     mse: dict[int, dict[int, float]] = {}
     for r in cell.collect():
         if r["m"]:
-            mse.setdefault(r["p"], {})[r["_fold"]] = r["se"] / r["m"] / K
+            # an error that is not a number arrives as NULL
+            mse.setdefault(r["p"], {})[r["_fold"]] = float("nan") if r["se"] is None else r["se"] / r["m"] / K
     scores = []
     for p in range(1, max_lag):
         own = [v for _, v in sorted(mse.get(p, {}).items())]

@@ -9,6 +9,7 @@ from ..operators import models as M
 from ..operators import var as V
 from ..operators.clean import drop_any_null
 from ..operators.features import hf_features
+from ..operators.leastsq import linear
 from ..operators.ordered import with_ordinal
 from ..session import cut_lineage
 from .common import events, original_events
@@ -284,3 +285,111 @@ def q_regression_metrics_by_type(spark, sf):
     """J10 per series: persistence-forecast metrics of every event type."""
     pr = M.naive_predictions(events(spark, sf).select("event_id", "event_type", "ts", "value"), "value", ORDER, by=["event_type"])
     return M.regression_metrics(pr, "value", "pred_lag1", by=["event_type"], digits=6)
+
+
+# ---------------------------------------------------------------- VAR of many sets, order search, comparison
+
+_BY_USER = (
+    "o AS (SELECT *, row_number() OVER w AS rn, lag(value) OVER w AS x FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), "
+    "u AS (SELECT user_id, CASE WHEN max(x) > min(x) THEN regr_slope(value, x) ELSE 0 END AS b, avg(value) AS my, avg(x) AS mx, "
+    "count(*) AS n_rows, CASE WHEN max(x) > min(x) THEN 2 ELSE 1 END AS rank FROM o WHERE x IS NOT NULL AND value IS NOT NULL GROUP BY user_id)"
+)
+
+
+@query("var_coefficients_by",
+       f"WITH {_BY_USER} SELECT user_id, 'const' AS regressor, 'value' AS equation, round(my - b * mx, 4) AS coef, n_rows, rank FROM u "
+       "UNION ALL SELECT user_id, 'L1.value', 'value', round(b, 4), n_rows, rank FROM u")
+def q_var_coefficients_by(spark, sf):
+    """J12 for many sets of series: an autoregression of order 1 for every user."""
+    e = events(spark, sf).select("user_id", "ts", "event_id", "value")
+    got = V.fit_by(e, ["value"], 1, ORDER, ["user_id"])
+    return got.withColumn("coef", F.round("coef", 4))
+
+
+@query("var_forecast_by",
+       f"WITH {_BY_USER}, l AS (SELECT user_id, my - b * mx AS a, b, (SELECT last(value ORDER BY rn) FROM o WHERE o.user_id IS NOT DISTINCT FROM u.user_id) AS y FROM u), "
+       "f AS (SELECT user_id, a + b * y AS f1, a + b * (a + b * y) AS f2, a + b * (a + b * (a + b * y)) AS f3 FROM l) "
+       "SELECT user_id, 1 AS step, round(f1, 4) AS value FROM f UNION ALL SELECT user_id, 2, round(f2, 4) FROM f UNION ALL SELECT user_id, 3, round(f3, 4) FROM f")
+def q_var_forecast_by(spark, sf):
+    """J14 for many sets of series: three steps after every user's last event."""
+    e = events(spark, sf).select("user_id", "ts", "event_id", "value")
+    got = V.forecast_by(e, ["value"], 1, ORDER, ["user_id"], 3)
+    return got.withColumn("value", F.round("value", 4))
+
+
+_ORDER_ONE_SQL = """
+WITH o AS (SELECT row_number() OVER (ORDER BY ts, event_id) - 1 AS t, value AS y, lag(value) OVER (ORDER BY ts, event_id) AS x FROM events),
+n AS (SELECT count(*) AS n, count(*) // 6 AS size FROM events),
+f AS (SELECT i, n - (5 - i) * size AS s, n - (4 - i) * size AS e FROM n, (SELECT unnest(range(5)) AS i)),
+c AS (SELECT i, s, e, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, max(CASE WHEN t = s - 1 THEN y END) AS y0 FROM f JOIN o ON t >= 1 AND t < s GROUP BY i, s, e),
+m AS (SELECT i, avg((y - (a / (1 - b) + b ^ (t - s + 1) * (y0 - a / (1 - b)))) ^ 2) AS mse FROM c JOIN o ON t >= s AND t < e GROUP BY i)
+SELECT 1 AS p, round(avg(mse), 6) AS mean_mse, round(sqrt(avg(mse)), 6) AS rmse FROM m
+"""
+
+
+@query("var_order_one", _ORDER_ONE_SQL)
+def q_var_order_one(spark, sf):
+    """J13 on one series of all events, order 1 only: its score over five
+    expanding folds (closed form: a geometric approach to the mean)."""
+    e = events(spark, sf).select("ts", "event_id", "value")
+    got = V.select_order(e, ["value"], ORDER, max_lag=2, k=5)
+    return got.select("p", F.round("mean_mse", 6).alias("mean_mse"), F.round("rmse", 6).alias("rmse"))
+
+
+@query("linear_fit_two",
+       "WITH d AS (SELECT value AS y, CAST(regexp_extract(props, '\"k\": ([0-9]+)', 1) AS DOUBLE) AS x1, CAST(hour(ts) AS DOUBLE) AS x2 FROM events), "
+       "s AS (SELECT count(*) AS n, covar_pop(x1, x1) AS c11, covar_pop(x2, x2) AS c22, covar_pop(x1, x2) AS c12, covar_pop(x1, y) AS c1, covar_pop(x2, y) AS c2, "
+       "avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM d WHERE x1 IS NOT NULL AND x2 IS NOT NULL AND y IS NOT NULL), "
+       "b AS (SELECT *, (c1 * c22 - c2 * c12) / (c11 * c22 - c12 * c12) AS b1, (c2 * c11 - c1 * c12) / (c11 * c22 - c12 * c12) AS b2 FROM s) "
+       "SELECT round(my - b1 * m1 - b2 * m2, 6) AS const, round(b1, 6) AS k, round(b2, 6) AS hour, n FROM b")
+def q_linear_fit_two(spark, sf):
+    """J8 with two features (Cramer's rule in SQL)."""
+    d = original_events(spark, sf).withColumn("hour", F.hour("ts"))
+    coef, n, _ = linear(d, ["k", "hour"], "value")
+    return spark.createDataFrame([(*[round(float(c), 6) for c in coef], n)], "const double, k double, hour double, n long")
+
+
+@query("var_best_forecast")
+def q_var_best_forecast(spark, sf):
+    """J13 + J14: search the order, fit the best one again on all rows and
+    forecast ten buckets with it (no rows if no order has a score)."""
+    wide, keys = _var_input(spark, sf)
+    got = V.search_orders(wide, keys, ["bucket"], max_lag=10, k=5)
+    fc = V.forecast(wide, got.coef, keys, ["bucket"], 10) if got.best else []
+    rows = [(got.best, i + 1, *map(float, r)) for i, r in enumerate(fc)]
+    return spark.createDataFrame(rows, "p int, step int, " + ", ".join(f"`{k}` double" for k in keys))
+
+
+def compare_var_and_trees(wide, keys, ts, steps=10, test_size=0.3, minutes=360, params=M.BOOST_PRODUCTION):
+    """(model, target, rmse, n_test) of the first ``steps`` test rows:
+    the best VAR of the training rows against boosted trees for each series,
+    both forecasting recursively from the training rows alone.  The trees see
+    the calendar, the values 1 and 24 rows back and the means of 1 and 24 rows."""
+    from ..operators.ordered import time_split
+    sp = cut_lineage(time_split(wide, test_size, [ts], ordinal="_o"))
+    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    got = V.search_orders(train, keys, [ts], max_lag=10, k=5)
+    spark = wide.sparkSession
+    said = []
+    if got.best:
+        fc = V.forecast(train, got.coef, keys, [ts], steps)
+        said = [("var", k, i + 1, float(fc[i, j])) for i in range(steps) for j, k in enumerate(keys)]
+    own = "model string, target string, step int, yhat double"
+    guesses = spark.createDataFrame(said, own)
+    models = {}
+    for k in keys:
+        rows = cut_lineage(hf_features(train.select("_o", ts, F.col(f"`{k}`").alias(k)), k, ts, [ts], steps_per_hour=1).where(F.col(f"`{k}`").isNotNull()))
+        names = ["hora", "minuto", "dia_de_semana", "dia_del_ano", f"lag_{k}_1_hora", f"lag_{k}_24_horas", f"rolling_mean_{k}_1_hora", f"rolling_mean_{k}_24_horas"]
+        models[k] = B.fit_booster(rows, names, k, "_o", params)
+    trees = B.forecast_series(models, train, steps, ts, [ts], context=24, minutes=minutes, features=lambda t: B.hf_row(t, 1)).select(F.lit("trees").alias("model"), "target", "step", F.col("prediction").alias("yhat"))
+    first = test.agg(F.min("_o")).first()[0]
+    known = test.where(F.col("_o") < (first or 0) + steps).select(
+        (F.col("_o") - F.lit(first or 0) + 1).cast("int").alias("step"), F.explode(F.create_map(*[x for k in keys for x in (F.lit(k), F.col(f"`{k}`"))])).alias("target", "y"))
+    return M.compare_models(guesses.unionByName(trees).join(known, ["target", "step"]))
+
+
+@query("model_comparison_var_trees")
+def q_model_comparison_var_trees(spark, sf):
+    """VAR against boosted trees (800 each) on six-hour means per event type."""
+    wide, keys = _var_input(spark, sf)
+    return compare_var_and_trees(wide, keys, "bucket")

@@ -157,7 +157,7 @@ def test_outlier_counts(spark):
     assert rows == {"x": (21, 1, round(100 / 21, 6)), "y": (21, 0, 0.0)}
 
 
-def test_second_sort_of_preprocess_is_sized_by_the_input(spark, monkeypatch):
+def test_preprocess_sorts_once_sized_by_the_input(spark, monkeypatch):
     from tidewise.plans.q_clean import polluted_named
 
     asked = []
@@ -165,4 +165,4 @@ def test_second_sort_of_preprocess_is_sized_by_the_input(spark, monkeypatch):
     monkeypatch.setattr(OD, "with_ordinal", lambda *a, **k: asked.append(k.get("partitions")) or real(*a, **k))
     monkeypatch.setattr(CL, "shuffle_partitions_for", lambda df: 5)
     CL.preprocess(polluted_named(spark, SF001)).count()
-    assert asked == [5, 5]
+    assert asked == [5]

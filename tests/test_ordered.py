@@ -137,3 +137,18 @@ def test_hot_series_is_spread_over_partitions(spark):
     hot = lagged.where("user = 0").orderBy("t").select("t", "t_lag1", "t_lag5").collect()
     assert hot[0]["t_lag1"] is None and all(r["t_lag1"] == r["t"] - 3 for r in hot[1:])
     assert all(r["t_lag5"] == r["t"] - 15 for r in hot[5:])
+
+
+def test_rows_left_are_renumbered_without_a_second_sort(spark):
+    rng = np.random.default_rng(3)
+    n = 3000
+    order = rng.permutation(n)
+    df = spark.createDataFrame([(int(t), float(v)) for t, v in zip(order, rng.normal(size=n))], "t long, v double").repartition(7)
+    out = OD.windowed(df, OD.lag_exprs("v", [2]), ["t"], before=2, block_rows=16, keep_ordinal="_at", keep_block="_in")
+    kept = out.where("v > 0.8 AND t NOT BETWEEN 1000 AND 1100")
+    got = OD.renumbered(kept, "_at", "_in", total="n")
+    rows = sorted((r["t"], r["ordinal"], r["n"]) for r in got.collect())
+    assert [r[1] for r in rows] == list(range(len(rows))) and {r[2] for r in rows} == {len(rows)}
+    assert OD.renumbered(out.where("v > 1e9"), "_at", "_in").count() == 0
+    many = OD.renumbered(out.withColumn("_in", F.col("_at")), "_at", "_in")  # one row a block: more than one span
+    assert sorted((r["t"], r["ordinal"]) for r in many.collect()) == [(t, t) for t in range(n)]

@@ -20,7 +20,7 @@ from ..functions.numbers import is_finite, null_tokens, to_number
 from ..functions.text import under_names
 from ..functions.times import RAW_TS_FORMAT, calendar_parts, time_column
 from ..session import shuffle_partitions_for
-from .ordered import DEFAULT_BLOCK_ROWS, add_lags, dedupe_first, time_split
+from .ordered import DEFAULT_BLOCK_ROWS, dedupe_first, lag_exprs, renumbered, split_by_position, windowed
 from .outliers import apply_fences, iqr_fences, replace_upper_outliers
 from .quantiles import quantile_values
 from .stats import nan_safe
@@ -151,6 +151,7 @@ class PreprocessSpec:
     quantile_method: str = "exact"  # or "approx"
     dedupe: bool = False  # keep the first row per timestamp (the notebooks do; production does not)
     extra_drop: Sequence[str] = field(default_factory=lambda: ["raw_ts"])
+    fit_on: str = "all"  # rows of the outlier statistics; "train" keeps the test part out of them
 
 
 def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFrame:
@@ -161,9 +162,17 @@ def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFr
 
     Returns every feature, the target, ``ordinal`` and ``split``; the time
     column is dropped as in the reference.
+
+    The table is sorted once: the split numbers the rows that are left by the
+    ordinal of the lags.  With ``fit_on="train"`` the split comes first and
+    the outlier statistics are those of its train rows; target, features and
+    lags are then replaced by them.  Which rows are left is decided before
+    any replacement, so a row with an infinite feature or lag goes.
     """
+    if spec.fit_on not in ("all", "train"):
+        raise ValueError(f"fit_on must be 'all' or 'train', not {spec.fit_on!r}")
     t = spec.target
-    parts = shuffle_partitions_for(df)  # both sorts are sized by the input: later plans have no estimate
+    parts = shuffle_partitions_for(df)  # of the input: later plans have no estimate
     df = under_names(df, [spec.raw_ts, spec.target, *spec.features])
     out = drop_columns(nan_safe(df), spec.drop)
     extra = [c for c in spec.extra_drop if c != spec.ts]
@@ -180,16 +189,21 @@ def preprocess(df: DataFrame, spec: PreprocessSpec = PreprocessSpec()) -> DataFr
         raise ValueError(f"no value of {spec.raw_ts!r} is a time")
     subset = [c for c, r in rates.items() if r < spec.sparse_pct]
     out = out.dropna(subset=subset) if subset else out
-    out, _ = replace_upper_outliers(out, num_cols, spec.outlier_k, spec.quantile_method)
+    if spec.fit_on == "all":
+        out, _ = replace_upper_outliers(out, num_cols, spec.outlier_k, spec.quantile_method)
     out = out.withColumns(calendar_parts(_c(spec.ts)))
     order = [spec.ts, spec.tiebreak] if spec.tiebreak else [spec.ts, t, *spec.features]
-    out = add_lags(out, t, list(spec.lags), order, block_rows=spec.block_rows, partitions=parts)
+    lags = lag_exprs(t, list(spec.lags))
+    out = windowed(out, lags, order, before=max(spec.lags), block_rows=spec.block_rows, partitions=parts, keep_ordinal="_at", keep_block="_in")
     out = drop_any_null(out)
     # X must be finite: every floating feature (the target stays as it is)
     float_feats = [f.name for f in out.schema.fields
                    if f.dataType.typeName() in ("double", "float") and f.name != t and f.name not in spec.ids]
     out = drop_nonfinite(out, float_feats)
-    out = time_split(out, spec.test_size, order, partitions=parts)
+    out = split_by_position(renumbered(out, "_at", "_in", total="_n").drop("_at", "_in"), spec.test_size)
+    if spec.fit_on == "train":
+        out, _ = replace_upper_outliers(out, num_cols, spec.outlier_k, spec.quantile_method, fit=out.where(F.col("split") == "train"),
+                                        like=dict.fromkeys(lags, t) if t in num_cols else {})
     return out.drop(spec.ts)
 
 

@@ -122,11 +122,14 @@ def windowed(
     block_rows: int = DEFAULT_BLOCK_ROWS,
     keep_ordinal: str | None = None,
     partitions: int | None = None,
+    keep_block: str | None = None,
 ) -> DataFrame:
     """Evaluate row-window expressions exactly, block by block.
 
     ``exprs`` maps output names to functions ``Window -> Column``; the
     window given is ``partitionBy(by..., block).orderBy(ordinal)``.
+    ``keep_ordinal`` and ``keep_block`` name columns for the ordinal and the
+    block of a row (``renumbered`` needs both).
     """
     by = list(by)
     nparts = partitions or shuffle_partitions_for(df)
@@ -135,12 +138,43 @@ def windowed(
     # the window's shuffle, sized from the input's estimate like the range sort
     hb = halo_blocks(base, ORD, before, after, block_rows).repartition(nparts, *keys)
     w = Window.partitionBy(*keys).orderBy(ORD)
-    out = hb.withColumns({k: f(w) for k, f in exprs.items()}).where("_core").drop("_blk", "_core")
+    out = hb.withColumns({k: f(w) for k, f in exprs.items()}).where("_core").drop("_core")
+    out = out.withColumnRenamed("_blk", keep_block) if keep_block else out.drop("_blk")
     if keep_ordinal:
         return out.withColumnRenamed(ORD, keep_ordinal)
     return out.drop(ORD)
 
 
+SPAN = 1024  # blocks whose counts one task sums
+
+
+def renumbered(df: DataFrame, at: str, block: str, name: str = "ordinal", total: str | None = None) -> DataFrame:
+    """E5 for rows that are left of an ordered table: positions without gaps,
+    from the ordinal ``at`` and the block of consecutive ordinals ``block``
+    that ``windowed`` gave them; no second sort of the table.
+
+    A row's position is its place in its block plus the rows left in the
+    blocks before: sums inside spans of ``SPAN`` blocks, and one number a span
+    (about 8 million table rows) that the driver adds up.  The rows are
+    checkpointed once.  ``total`` names a column for the number of rows.
+    """
+    place = F.row_number().over(Window.partitionBy(F.col(qident(block))).orderBy(F.col(qident(at)))).cast("bigint") - 1
+    rows = cut_lineage(df.withColumn("_place", place))
+    counts = rows.groupBy(F.col(qident(block)).alias("_rb")).agg(F.count(F.lit(1)).alias("_rc")).withColumn("_span", F.expr(f"_rb div {SPAN}"))
+    spans, run = [], 0
+    for s, c in sorted((r[0], r[1]) for r in counts.groupBy("_span").agg(F.sum("_rc")).collect()):
+        spans.append((s, run))
+        run += c
+    before = df.sparkSession.createDataFrame(spans, "_span long, _before long")
+    own = Window.partitionBy("_span").orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    start = counts.withColumn("_start", F.coalesce(F.sum("_rc").over(own), F.lit(0))).join(F.broadcast(before), "_span").select(
+        "_rb", (F.col("_start") + F.col("_before")).alias("_start"))
+    out = rows.join(start, F.col(qident(block)) == F.col("_rb")).withColumn(name, F.col("_start") + F.col("_place"))
+    if total:
+        out = out.withColumn(total, F.lit(run).cast("bigint"))
+    return out.drop("_place", "_rb", "_start")
+
+
 def lag_exprs(target: str, lags: Sequence[int], names: Sequence[str] | None = None) -> dict:
     names = list(names) if names else [f"{target}_lag{L}" for L in lags]
     return {n: (lambda w, L=L: F.lag(F.col(qident(target)), L).over(w)) for n, L in zip(names, lags)}
@@ -210,7 +244,11 @@ def dedupe_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Dat
 def time_split(df: DataFrame, test_size: float, order: Sequence[str], by: Sequence[str] = (),
                ordinal: str = "ordinal", flag: str = "split", partitions: int | None = None) -> DataFrame:
     """Chronological split: the last ``ceil(n*test_size)`` rows are test."""
-    od = with_ordinal(df, order, list(by), name=ordinal, total="_n", partitions=partitions)
+    return split_by_position(with_ordinal(df, order, list(by), name=ordinal, total="_n", partitions=partitions), test_size, ordinal, flag)
+
+
+def split_by_position(od: DataFrame, test_size: float, ordinal: str = "ordinal", flag: str = "split") -> DataFrame:
+    """E7 on rows that have their position and, in ``_n`` (dropped), their number."""
     n_test = F.ceil(F.col("_n") * F.lit(float(test_size)))
     return od.withColumn(flag, F.when(F.col(ordinal) >= F.col("_n") - n_test, "test").otherwise("train")).drop("_n")
 

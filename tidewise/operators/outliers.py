@@ -6,7 +6,7 @@ single projection.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,27 +100,30 @@ def outlier_report(df: DataFrame, cols: Sequence[str], order: str, fences: DataF
     )
 
 
-def replace_upper_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.0,
-                           quantile_method: str = "exact") -> tuple[DataFrame, DataFrame]:
+def replace_upper_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.0, quantile_method: str = "exact",
+                           fit: DataFrame | None = None, like: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """I1 (+ D29): per column, values above ``q3 + k*iqr`` -> the column's
-    median; an all-NULL column or IQR of 0/NULL is left alone.
+    median; an all-NULL column or IQR of 0/NULL is left alone.  The
+    statistics are those of ``fit`` (default: ``df``); ``like`` names further
+    columns that are replaced by the statistics of another one (its lags).
 
     Returns the frame and ``(column, n_replaced)``; both come from the same
     statistics row (broadcast) and the counts from one aggregate.
     """
     df = nan_safe(df, cols)
-    got = quartiles(df, cols, with_median=True, quantile_method=quantile_method)
+    got = quartiles(df if fit is None else nan_safe(fit, cols), cols, with_median=True, quantile_method=quantile_method)
+    like = {**{c: c for c in cols}, **(like or {})}
     masks, outs = {}, {}
-    for c in cols:
-        q1, q3, med = got[c]
+    for c, known in like.items():
+        q1, q3, med = got[known]
         if q1 is None or q3 is None or q3 - q1 == 0:
             m = F.lit(False)
         else:
             m = _q(c).isNotNull() & (_q(c).cast("double") > _lit(q3 + k * (q3 - q1)))
         masks[c] = m
         outs[c] = F.when(m, _lit(med)).otherwise(_q(c).cast("double"))
-    counts_wide = df.agg(*[F.count_if(masks[c]).alias(c) for c in cols])
-    counts = counts_wide.unpivot([], list(cols), "col_name", "n_replaced")
+    counts_wide = df.agg(*[F.count_if(masks[c]).alias(c) for c in like])
+    counts = counts_wide.unpivot([], list(like), "col_name", "n_replaced")
     return df.withColumns(outs), counts
 
 

@@ -203,3 +203,26 @@ def q_preprocess_flow(spark, sf):
     out = CL.preprocess(polluted_named(spark, sf))
     return out.select("event_id", "user_id", "event_type", "value", "k", "hour", "dayofweek", "month",
                       "value_lag1", "value_lag24", "value_lag168", "ordinal", "split")
+
+
+_FIT_LAGS = [f"value_lag{n}" for n in (1, 24, 168)]
+_RAW_CTES = (
+    PRE_CTES[: PRE_CTES.index("s AS (SELECT quantile_cont")]
+    + "a3 AS (SELECT * FROM a2), " + PRE_CTES[PRE_CTES.index("a4 AS (SELECT"):]
+    + ", sp AS (SELECT *, CASE WHEN ordinal >= n - ceil(n * 0.3) THEN 'test' ELSE 'train' END AS split FROM a6), "
+    "st AS (SELECT quantile_cont(value, 0.25) AS value_q1, quantile_cont(value, 0.75) AS value_q3, median(value) AS value_med, "
+    "quantile_cont(k, 0.25) AS k_q1, quantile_cont(k, 0.75) AS k_q3, median(k) AS k_med FROM sp WHERE split = 'train')"
+)
+
+
+def _up_like(c, like, k=2.0):
+    return (f"CASE WHEN {like}_q3 - {like}_q1 <> 0 AND {c} > {like}_q3 + {k} * ({like}_q3 - {like}_q1) THEN {like}_med ELSE {c} END AS {c}")
+
+
+@query("preprocess_train_fit", with_coerced(
+    f"SELECT event_id, user_id, event_type, {_up_like('value', 'value')}, {_up_like('k', 'k')}, hour, dayofweek, month, "
+    + ", ".join(_up_like(c, "value") for c in _FIT_LAGS) + ", ordinal, split FROM sp, st", _RAW_CTES))
+def q_preprocess_train_fit(spark, sf):
+    """I6 with outlier statistics of the train rows alone."""
+    out = CL.preprocess(polluted_named(spark, sf), CL.PreprocessSpec(fit_on="train"))
+    return out.select("event_id", "user_id", "event_type", "value", "k", "hour", "dayofweek", "month", *_FIT_LAGS, "ordinal", "split")

@@ -29,6 +29,7 @@ from ..session import cut_lineage, shuffle_partitions_for
 
 ORD = "_ord"
 DEFAULT_BLOCK_ROWS = 8192  # halo of 168 rows costs ~2 % extra rows
+LONG_ROWS = 512  # longer moving means take two look-ups a row, not a frame
 TOP_ROWS = 100_000  # pages that end by this row are a top-k; later ones go by position (same rows)
 
 
@@ -134,17 +135,22 @@ def windowed(
     by = list(by)
     nparts = partitions or shuffle_partitions_for(df)
     base = with_ordinal(df, order, by, name=ORD, per_series=False, partitions=nparts)
-    keys = [*[F.col(qident(b)) for b in by], F.col("_blk")]
-    # the window's shuffle, sized from the input's estimate like the range sort
-    hb = halo_blocks(base, ORD, before, after, block_rows).repartition(nparts, *keys)
-    w = Window.partitionBy(*keys).orderBy(ORD)
-    out = hb.withColumns({k: f(w) for k, f in exprs.items()}).where("_core").drop("_core")
+    out = over_blocks(base, exprs, by, before, after, block_rows, nparts)
     out = out.withColumnRenamed("_blk", keep_block) if keep_block else out.drop("_blk")
     if keep_ordinal:
         return out.withColumnRenamed(ORD, keep_ordinal)
     return out.drop(ORD)
 
 
+def over_blocks(base: DataFrame, exprs: dict, by: Sequence[str], before: int, after: int, block_rows: int, partitions: int) -> DataFrame:
+    """``windowed`` on rows that have their ordinal ``ORD``; keeps it, and the block ``_blk``."""
+    keys = [*[F.col(qident(b)) for b in by], F.col("_blk")]
+    # the window's shuffle, sized from the input's estimate like the range sort
+    hb = halo_blocks(base, ORD, before, after, block_rows).repartition(partitions, *keys)
+    w = Window.partitionBy(*keys).orderBy(ORD)
+    return hb.withColumns({k: f(w) for k, f in exprs.items()}).where("_core").drop("_core")
+
+
 SPAN = 1024  # blocks whose counts one task sums
 
 
@@ -196,9 +202,24 @@ def trailing_mean_expr(target: str, n: int):
 
 
 def rolling_mean(df: DataFrame, target: str, windows: dict[str, int], order: Sequence[str], by: Sequence[str] = (),
-                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    return windowed(df, {k: trailing_mean_expr(target, n) for k, n in windows.items()}, order, by,
-                    before=max(windows.values()), block_rows=block_rows)
+                 block_rows: int = DEFAULT_BLOCK_ROWS, long_rows: int = LONG_ROWS) -> DataFrame:
+    """Trailing means.  Windows of more than ``long_rows`` rows take two
+    look-ups a row (``moving``) in place of a frame that is read again for each row."""
+    by = list(by)
+    short = {k: n for k, n in windows.items() if n <= long_rows}
+    if len(short) == len(windows):
+        return windowed(df, {k: trailing_mean_expr(target, n) for k, n in windows.items()}, order, by,
+                        before=max(windows.values()), block_rows=block_rows)
+    from .moving import long_window, trailing_mean
+
+    nparts = shuffle_partitions_for(df)
+    out = base = with_ordinal(df, order, by, name=ORD, per_series=False, partitions=nparts)
+    if short:
+        out = over_blocks(base, {k: trailing_mean_expr(target, n) for k, n in short.items()}, by, max(short.values()), 0, block_rows, nparts).drop("_blk")
+    for k, n in windows.items():
+        if k not in short:
+            out = long_window(out, base, target, -n, -1, by, block_rows, nparts, trailing_mean(n), k)
+    return out.select(*[qident(c) for c in df.columns], *[qident(k) for k in windows])
 
 
 def centered_mean_expr(target: str, period: int):
@@ -223,9 +244,16 @@ def centered_mean_expr(target: str, period: int):
 
 
 def centered_mean(df: DataFrame, target: str, period: int, order: Sequence[str], by: Sequence[str] = (),
-                  name: str = "trend", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                  name: str = "trend", block_rows: int = DEFAULT_BLOCK_ROWS, long_rows: int = LONG_ROWS) -> DataFrame:
+    """E4; periods of more than ``long_rows`` rows as in ``rolling_mean``."""
     h = period // 2
-    return windowed(df, {name: centered_mean_expr(target, period)}, order, by, before=h, after=h, block_rows=block_rows)
+    if period <= long_rows:
+        return windowed(df, {name: centered_mean_expr(target, period)}, order, by, before=h, after=h, block_rows=block_rows)
+    from .moving import centred_mean, long_window
+
+    nparts = shuffle_partitions_for(df)
+    base = with_ordinal(df, order, list(by), name=ORD, per_series=False, partitions=nparts)
+    return long_window(base, base, target, -h, h, list(by), block_rows, nparts, centred_mean(period), name).drop(ORD)
 
 
 def dedupe_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

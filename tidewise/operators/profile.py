@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._col import qident, qtext
+from .duplicates import duplicate_rows, duplicates  # noqa: F401 - D4 and D6, reports like the others
 from .stats import (
     fused_long,
     nan_safe,
@@ -50,12 +51,6 @@ def missing_table(df: DataFrame, cols: Sequence[str] | None = None, digits: int
     )
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows minus distinct rows (NULLs compare equal), one row."""
-    grouped = df.groupBy(*[F.col(qident(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    return grouped.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"))
-
-
 def duplicate_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per key column, rows after the first of their value (NULL is a
     value).  One scan: every row yields ``(column, value)`` pairs, counted
@@ -70,20 +65,6 @@ def duplicate_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return names.join(per, "col_name", "left").select("col_name", F.coalesce("n_duplicates", F.lit(0)).cast("bigint").alias("n_duplicates"))
 
 
-def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every row whose key occurs more than once (``keep=False``).
-
-    Counting is a map-side-combined group-by; the rows are then picked by a
-    semi join, which AQE splits when one key is hot.  NULL keys are a value.
-    """
-    keys = list(keys)
-    dup = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
-    )
-    cond = [df[k].eqNullSafe(dup[k]) for k in keys]
-    return df.join(dup, cond, "left_semi")
-
-
 def n_unique(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """Distinct non-null values per column (optionally HyperLogLog++)."""
     cols = list(cols or df.columns)
@@ -195,13 +176,20 @@ def central_stats(df: DataFrame, cols: Sequence[str], digits: int = 6, quantile_
     )
 
 
+WIDE = 32  # columns: about 500 pairs, each some expressions of one aggregate
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson for every ordered pair, ``(col_a, col_b, corr)``.
 
     One aggregate over the upper triangle (pair-complete rows per pair); the
     lower triangle mirrors it and the diagonal is 1 (NULL for a constant or
-    empty column)."""
+    empty column).  More than ``WIDE`` columns go by block products."""
     cols = list(cols)
+    if len(cols) > WIDE:
+        from .widecorr import corr_wide
+
+        return corr_wide(df, cols, digits)
     df = nan_safe(df, cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     aggs = [safe_corr(F.col(qident(a)), F.col(qident(b))).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)]

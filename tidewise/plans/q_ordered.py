@@ -219,3 +219,26 @@ def q_time_split_by_user(spark, sf):
     """E7 per series: the last 30 % of every user's rows are test."""
     e = events(spark, sf).select("event_id", "user_id", "ts")
     return OD.time_split(e, 0.3, ORDER, by=["user_id"]).select("event_id", "user_id", "ordinal", "split")
+
+
+WEEK = 7 * 144  # ten-minute rows
+
+
+@query("rolling_mean_week",
+       "SELECT event_id, value, round(CASE WHEN count(value) OVER w = 1008 THEN avg(value) OVER w END, 6) AS rolling_mean_value_week FROM events "
+       "WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 1008 PRECEDING AND 1 PRECEDING)")
+def q_rolling_mean_week(spark, sf):
+    """A trailing mean over a week of ten-minute rows, two look-ups a row."""
+    e = events(spark, sf).select("event_id", "ts", "value")
+    out = OD.rolling_mean(e, "value", {"rolling_mean_value_week": WEEK}, ORDER)
+    return out.select("event_id", "value", F.round("rolling_mean_value_week", 6).alias("rolling_mean_value_week"))
+
+
+@query("trend_week_by_type",
+       "SELECT event_id, event_type, round(CASE WHEN count(value) OVER w = 1009 THEN avg(value) OVER w END, 6) AS trend FROM events "
+       "WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 504 PRECEDING AND 504 FOLLOWING)")
+def q_trend_week_by_type(spark, sf):
+    """E4 per series (event type): the centred mean over a week, half of it on each side."""
+    e = events(spark, sf).select("event_id", "event_type", "ts", "value")
+    out = OD.centered_mean(e, "value", WEEK + 1, ORDER, by=["event_type"])
+    return out.select("event_id", "event_type", F.round("trend", 6).alias("trend"))

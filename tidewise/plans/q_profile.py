@@ -54,6 +54,17 @@ def q_duplicate_row_count(spark, sf):
     return P.duplicate_rows(table(spark, sf, "lineitem"))
 
 
+REPEATING = ["l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+@query("duplicate_row_count_repeating",
+       "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates FROM (SELECT count(*) AS n FROM lineitem GROUP BY "
+       + ", ".join(REPEATING) + ")")
+def q_duplicate_row_count_repeating(spark, sf):
+    """D4 on columns of lineitem whose rows repeat."""
+    return P.duplicate_rows(table(spark, sf, "lineitem").select(*REPEATING))
+
+
 @query("duplicate_ts_count", with_coerced(
     " UNION ALL ".join(
         f"SELECT '{c}' AS col_name, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates FROM (SELECT count(*) AS n FROM c GROUP BY {c})"
@@ -163,6 +174,22 @@ def q_corr_matrix(spark, sf):
     return P.corr_matrix(table(spark, sf, "lineitem"), LINEITEM_NUM)
 
 
+@query("corr_matrix_wide",
+       "WITH dims AS (SELECT unnest(range(CAST((SELECT max(len(embedding)) FROM embeddings) AS BIGINT))) AS i), "
+       "v AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS x FROM embeddings, dims), "
+       "f AS (SELECT vec_id, i, x FROM v WHERE x IS NOT NULL AND NOT isnan(x)), "
+       "p AS (SELECT a.i AS ai, b.i AS bi, covar_pop(a.x, b.x) / nullif(stddev_pop(a.x) * stddev_pop(b.x), 0) AS r "
+       "FROM f a JOIN f b USING (vec_id) GROUP BY 1, 2) "
+       "SELECT 'e' || a.i AS col_a, 'e' || b.i AS col_b, round(p.r, 6) AS corr "
+       "FROM dims a CROSS JOIN dims b LEFT JOIN p ON p.ai = a.i AND p.bi = b.i")
+def q_corr_matrix_wide(spark, sf):
+    """D20 on many columns: every dimension of the embeddings, by block products."""
+    e = table(spark, sf, "embeddings")
+    width = e.agg(F.max(F.size("embedding"))).first()[0]  # one number
+    names = [f"e{i}" for i in range(width)]
+    return P.corr_matrix(e.select(*[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)]), names)
+
+
 def _hist_sql(src: str, x: str, bins, trim, prefix: str = "", body_only: bool = False) -> str:
     """Oracle for D21/D22: NumPy's uniform binning with edge corrections."""
     if trim:

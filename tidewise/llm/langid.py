@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import MARKUP, free_name, stored, text_of
-from .wordhash import columns, slices, worker_cache
+from .wordhash import columns, slices, tidied, worker_cache
 
 #: Labelled documents per language for the text model, chosen by a hash of the id.
 SAMPLE = 2000
@@ -114,7 +114,7 @@ def fit_text(df: DataFrame, label_col: str, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([pa.array([label] * len(at)), pa.array(at), pa.array(own[at])], ["label", "bucket", "n"])
 
     chosen = labelled.filter(F.col("h") <= limit).select("label", "text")
-    counts = chosen.mapInArrow(count, "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = chosen.mapInArrow(tidied(count), "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(sizes))
     table = np.full((len(languages), BUCKETS), 0.5)
     for k, label in enumerate(languages):
@@ -228,7 +228,7 @@ def identify(
     ).withColumn("_declared", F.when(F.col("_declared") != "", F.col("_declared"))).withColumn("_host", F.when(F.col("_host") != "", F.col("_host")))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema.fields[:-1])
     classes = len(model.languages) + 1
-    rows = named.mapInArrow(_score(model), f"{kinds}, _n long, _text array<double>, _p array<double>")
+    rows = named.mapInArrow(tidied(_score(model)), f"{kinds}, _n long, _text array<double>, _p array<double>")
     dotted = F.instr("_host", ".") > 0
     rows = stored(
         rows.withColumn("_suffix", F.when(dotted, F.substring_index("_host", ".", -1))).withColumn("_domain", F.when(dotted, F.substring_index("_host", ".", -2))),
@@ -243,7 +243,7 @@ def identify(
     key_kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema.fields[: len(key)])
     out = out.select(*key, "_n", "_text", "_p", "_declared", "_host", *[f"_of{by}" for by in EVIDENCE_KINDS])
     return out.mapInArrow(
-        _fuse(model.languages, share, confidence, len(key)),
+        tidied(_fuse(model.languages, share, confidence, len(key))),
         f"{key_kinds}, lang_id string, confidence double, text_lang string, declared string, host string, n_trigrams long, kept boolean",
     )
 

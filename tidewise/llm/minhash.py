@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import free_name, maybe_among, stored, text_of
 from .components import components
-from .wordhash import SHINGLE, mix, shingles, stream, word_hashes, worker_cache
+from .wordhash import SHINGLE, mix, shingles, stream, tidied, word_hashes, worker_cache
 
 PERMUTATIONS, BAND = 216, 3
 #: Numerator and denominator of the least similarity.
@@ -146,7 +146,7 @@ def hub_differences(classes: DataFrame, documents: DataFrame) -> DataFrame:
     nodes = stored(classes.select("rep", F.col("set_a").alias("a")).join(ends, "a"), "nodes")
     needed = nodes.select(F.col("rep").alias("doc_id")).distinct()
     likely = maybe_among(documents, F.xxhash64("doc_id"), needed.select(F.xxhash64("doc_id").alias("h")), "_likely").filter("_likely")
-    sets = likely.select("doc_id", "text").mapInArrow(_sets, "doc_id long, set_a long, items array<long>")
+    sets = likely.select("doc_id", "text").mapInArrow(tidied(_sets), "doc_id long, set_a long, items array<long>")
     sets = sets.join(nodes.select(F.col("rep").alias("doc_id"), F.col("a").alias("set_a")), ["doc_id", "set_a"], "left_semi")
     sets = sets.groupBy("set_a", "doc_id").agg(F.first("items").alias("items"))  # an id with equal rows: equal sets
     sets = stored(sets.select("set_a", F.struct("doc_id", "set_a").alias("node"), "items"), "sets")
@@ -242,7 +242,7 @@ def near_links(classes: DataFrame, documents: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: ``doc_id, n_shingles, component_id, kept``."""
     documents = df.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    signatures = stored(documents.mapInArrow(_signatures, _SIGNATURES), "signatures")
+    signatures = stored(documents.mapInArrow(tidied(_signatures), _SIGNATURES), "signatures")
     sets = ["n_shingles", "set_a", "set_b"]
     linked = signatures.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(linked.groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")), "classes")

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import stored, text_of
 from .tokens import encoder
+from .wordhash import tidied
 
 CAPACITY = 2048
 
@@ -159,7 +160,7 @@ def pack(df: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACIT
     """
     id_type = df.select(id_col).schema[0].dataType.simpleString()
     rows = df.select(F.col(id_col), text_of(text_col))
-    pieces = stored(rows.mapInArrow(_cut(tokenizer, end_id, capacity), _PIECES.format(id=id_type)), "pieces")
+    pieces = stored(rows.mapInArrow(tidied(_cut(tokenizer, end_id, capacity)), _PIECES.format(id=id_type)), "pieces")
     sizes = stored(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "sizes")
     histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     table = places(pack_histogram(histogram, capacity))
@@ -167,5 +168,5 @@ def pack(df: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACIT
     earlier = sizes.select("part", "length", (F.sum("n").over(before) - F.col("n")).alias("before"))
     ranked = pieces.join(earlier, ["part", "length"]).withColumn("rank", F.col("before") + F.col("local")).drop("part", "local", "before")
     return ranked.mapInArrow(
-        _place(table), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+        tidied(_place(table)), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )

@@ -8,11 +8,13 @@ the batch: with ``S[i] = sum of T[byte] * P**i`` a word from ``s`` to ``e`` has
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 SLICE = 1 << 18
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -26,6 +28,24 @@ def worker_cache(key, make: Callable):
     return held[key]
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system; a reused worker would hold it between its tasks."""
+    pa.default_memory_pool().release_unused()
+    library = ctypes.CDLL(None)
+    if hasattr(library, "malloc_trim"):  # glibc
+        library.malloc_trim(0)
+
+
+def tidied(step: Callable) -> Callable:
+    """``step`` (batches to batches), after which the worker gives back what it has freed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from step(batches)
+        finally:
+            give_back()
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(32))

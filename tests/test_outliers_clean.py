@@ -103,3 +103,23 @@ def test_preprocess_dedupe_option(spark):
         n = d.count()
         n_test = d.where("split = 'test'").count()
         assert n_test == int(np.ceil(n * 0.3))
+
+
+def test_preprocess_parses_each_text_once(spark):
+    from pyspark.sql import functions as F
+
+    from tidewise.operators.clean import PreprocessSpec, preprocess
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(text):
+        seen.add(1)
+        return text
+
+    raw = spark.range(300, numPartitions=3).selectExpr(
+        "id AS event_id", "id % 7 AS user_id", "date_format(timestamp '2024-01-01' + make_interval(0, 0, 0, 0, 0, 10 * cast(id AS int)), 'M/d/yyyy H:mm') AS raw_ts",
+        "cast(id % 50 AS string) AS value", "cast(id % 9 AS string) AS k")
+    out = preprocess(raw.withColumn("value", read("value")), PreprocessSpec(lags=(1, 2)))
+    assert out.count() == 298
+    assert seen.value == 300

@@ -261,3 +261,26 @@ def test_queries_return_every_document(spark, name):
     if name.startswith("op9"):
         rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
         assert {r["doc_id"]: r["component_id"] for r in out.collect()} == plain_components(rows)
+
+
+def test_bands_are_shuffled_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tidewise.llm import minhash
+
+    held = {}
+    plain = minhash.stored
+
+    def stored(df, label):
+        held.setdefault(label, df)
+        return plain(df, label)
+
+    monkeypatch.setattr(minhash, "stored", stored)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*base[: 59 - i % 2], f"x{i}"])) for i in range(6)] + [(9, "one other text that is alone")]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**dict.fromkeys(range(6), 0), 9: 9}
+    pairs = held["pairs"]
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan

@@ -138,9 +138,9 @@ def hub_differences(classes: DataFrame, documents: DataFrame) -> DataFrame:
 
     Buckets hold the first digest of a set only; a class is that digest and the smallest id.
     """
-    bands = classes.select(F.col("set_a").alias("a"), F.explode("bands").alias("key"))
-    hubs = bands.groupBy("key").agg(F.min("a").alias("hub"), F.count(F.lit(1)).alias("rows"))
-    hubs = stored(hubs.filter("rows > 1").drop("rows"), "hubs")
+    # one shuffle serves both the hubs and the rows that join them; the filter, true of all, is on both sides of that join
+    bands = classes.filter("set_a IS NOT NULL").select(F.col("set_a").alias("a"), F.explode("bands").alias("key")).repartition("key")
+    hubs = bands.groupBy("key").agg(F.min("a").alias("hub"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows")
     pairs = stored(bands.join(hubs, "key").filter("a <> hub").select("a", "hub").distinct(), "pairs")
     ends = pairs.select("a").unionByName(pairs.select(F.col("hub").alias("a"))).distinct()
     nodes = stored(classes.select("rep", F.col("set_a").alias("a")).join(ends, "a"), "nodes")

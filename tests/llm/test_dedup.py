@@ -284,3 +284,40 @@ def test_bands_are_shuffled_once(spark, monkeypatch):
     pairs.collect()
     plan = pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ReusedExchange" in plan
+
+
+def test_rows_of_elements_are_shuffled_without_sketches(spark, monkeypatch):
+    """A member's sketch goes with its pairs, not with each of its elements."""
+    held, plain = {}, minhash.stored
+
+    def stored(df, label):
+        out = plain(df, label)
+        held.setdefault(label, (df, out))
+        return out
+
+    monkeypatch.setattr(minhash, "stored", stored)
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(150)]
+    rows = [(0, " ".join(base))]
+    for g in range(3):
+        own = list(base)
+        for _ in range(7):
+            own[rng.randrange(150)] = word()
+        for k in range(6):
+            one = list(own)
+            one[rng.randrange(150)] = word()
+            rows.append((10 * g + k + 1, " ".join(one)))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs_frame(spark, rows)).collect()}
+    assert got == plain_components(rows)
+    elements, pairs = held["rare_elements"][1], held["star_pairs"]
+    assert all(kind != "array<bigint>" for _, kind in elements.dtypes)
+    assert "sketch" not in pairs[0]._jdf.queryExecution().executedPlan().toString()
+    assert 0 < pairs[1].count() <= 2 * elements.count()
+
+
+def test_only_the_differences_of_pairs_are_shuffled(spark):
+    members = spark.createDataFrame([(k, k, 8, [1, 2] if k < 2 else [10 * k, 10 * k + 1]) for k in range(40)], "m long, u long, n long, d array<long>")
+    links = minhash._links(spark.createDataFrame([(0, 1), (0, 2)], "m long, mv long"), members)
+    assert [tuple(r) for r in links.collect()] == [(0, 1)]  # 0 and 2 differ in 4 of 8 and 8 shingles: a seventh of 16 is less
+    assert "bitmap_construct_agg" in links._jdf.queryExecution().optimizedPlan().toString()

@@ -157,12 +157,16 @@ def hub_differences(classes: DataFrame, documents: DataFrame) -> DataFrame:
                               F.size("theirs").cast("long").alias("hub_n"), only.alias("d")), "differences")
 
 
+def _early(place: Column, sizes: Column) -> Column:
+    """Whether an element comes early enough in D to be the first common one of the shorter D."""
+    return 2 * LEAST[0] * place <= (LEAST[1] - LEAST[0]) * F.shiftright(sizes, 32)
+
+
 def rare_elements(members: DataFrame) -> DataFrame:
-    """``h, e, m, place, u, n, nd, sketch``: of each member's D the elements that others of its hub have too, as far as they
-    can be the first common one; ``place`` is the element's, the rarest first.
+    """``h, e, m, place, sizes``: of each member's D the elements that others of its hub have too, as far as they can be
+    the first common one; ``place`` is the element's, the rarest first; ``sizes`` holds n and, in its lower 32 bits, that of D.
 
-    ``members``: h and m (numbers of the hub and of the member), u, n, d.  Until the elements are known that matter, rows
-    hold numbers only.
+    ``members``: h and m (numbers of the hub and of the member), n, d.
     """
     sizes = F.shiftleft(F.col("n"), 32).bitwiseOR(F.size("d").cast("long")).alias("sizes")
     items = members.select("h", "m", sizes, F.explode("d").alias("e"))
@@ -173,34 +177,74 @@ def rare_elements(members: DataFrame) -> DataFrame:
     rows = items.join(counts, ["h", "e"]).withColumn("place", place)
     rows = stored(rows.filter(LEAST[0] * F.col("place") <= (LEAST[1] - LEAST[0]) * n).select("h", "e", "m", "place", "sizes"), "common")
     # an element serves if a member has it early enough to be the shorter D, and another one at all
-    early = 2 * LEAST[0] * F.col("place") <= (LEAST[1] - LEAST[0]) * n
-    serves = rows.groupBy("h", "e").agg(F.count(F.lit(1)).alias("rows"), F.max(early).alias("early")).filter("rows > 1 AND early")
-    rows = rows.join(serves.select("h", "e"), ["h", "e"], "left_semi")
+    early = F.max(_early(F.col("place"), F.col("sizes"))).alias("early")
+    serves = rows.groupBy("h", "e").agg(F.count(F.lit(1)).alias("rows"), early).filter("rows > 1 AND early")
+    return rows.join(serves.select("h", "e"), ["h", "e"], "left_semi")
+
+
+def sketches(members: DataFrame) -> DataFrame:
+    """``m, doc_id, n, sketch``: of each member its id, its set's size and the parity sketch of its D."""
     bit = F.expr("shiftleft(1L, cast(e & 63 AS int))")
     word = F.expr(f"(e >> 6) & {SKETCH - 1}")
     words = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"s{k}") for k in range(SKETCH)]
-    sketch = items.groupBy("m").agg(*words).select("m", F.array(*[f"s{k}" for k in range(SKETCH)]).alias("sketch"))
-    about = members.select("m", "u", "n", F.size("d").cast("long").alias("nd")).join(sketch, "m")
-    return rows.select("h", "e", "m", "place").join(about, "m")
+    found = members.select("m", F.explode("d").alias("e")).groupBy("m").agg(*words)
+    return members.select("m", F.col("u").alias("doc_id"), "n").join(found, "m").select("m", "doc_id", "n", F.array(*[f"s{k}" for k in range(SKETCH)]).alias("sketch"))
 
 
-def _candidates(rows: DataFrame, others: DataFrame) -> DataFrame:
-    """Pairs ``m, mv`` that share an element early enough, are not linked yet, and whose sketches and sizes allow the similarity."""
+def _in_reach(sizes: Column, place: Column, others: Column, other_place: Column) -> Column:
+    """Whether two members' sizes allow the similarity, and an element of both comes early enough in them to be the first common one."""
     total, part = LEAST[0] + LEAST[1], LEAST[1] - LEAST[0]
-    names = {"m": "mv", "n": "nv", "nd": "ndv", "place": "placev", "sketch": "sketchv", "c": "cv"}
-    other = others.select("h", "e", *[F.col(k).alias(v) for k, v in names.items()])
-    sizes = part * (F.col("n") + F.col("nv"))
-    longer = total * (F.col("nd") - F.col("ndv"))
+    n, nv, low = F.shiftright(sizes, 32), F.shiftright(others, 32), F.lit((1 << 32) - 1)
+    longer = total * (sizes.bitwiseAND(low) - others.bitwiseAND(low))
+    both = part * (n + nv)
+    return (2 * total * place <= longer + both) & (2 * total * other_place <= both - longer) & (LEAST[1] * F.least(n, nv) >= LEAST[0] * F.greatest(n, nv))
+
+
+def _unlinked(n: Column, other_n: Column) -> Column:
+    """Whether members (c, sketch; cv, sketchv) of given set sizes are in two components and their sketches allow the similarity."""
     apart = F.lit(0)
     for k in range(SKETCH):
         apart = apart + F.bit_count(F.get("sketch", F.lit(k)).bitwiseXOR(F.get("sketchv", F.lit(k))))
-    near = (
-        (F.col("c") != F.col("cv")) & (2 * total * F.col("place") <= longer + sizes) & (2 * total * F.col("placev") <= sizes - longer)
-        & (LEAST[1] * F.least("n", "nv") >= LEAST[0] * F.greatest("n", "nv")) & (total * apart <= sizes)
-    )
+    return (F.col("c") != F.col("cv")) & _similar(apart, n + other_n)
+
+
+def _star_pairs(rows: DataFrame) -> DataFrame:
+    """``last, m, mv``: each member of an element with the first, and (``last``) with the last that has it early.
+
+    As many pairs as rows, twice, at most; the rows hold numbers only, as what tells of a member follows per pair.
+    """
+    one = F.struct("m", "place", "sizes")
+    stars = rows.filter(_early(F.col("place"), F.col("sizes"))).groupBy("h", "e").agg(F.min(one).alias("low"), F.max(one).alias("high"))
+    sides = F.array(F.struct(F.lit(False).alias("last"), F.col("low").alias("x")), F.struct(F.lit(True).alias("last"), F.col("high").alias("x")))
+    pairs = rows.join(stars, ["h", "e"]).select("m", "place", "sizes", F.explode(sides).alias("s"))
+    near = _in_reach(F.col("sizes"), F.col("place"), F.col("s.x.sizes"), F.col("s.x.place"))
+    return pairs.filter((F.col("m") != F.col("s.x.m")) & near).select("s.last", "m", F.col("s.x.m").alias("mv")).distinct()
+
+
+def _star_candidates(pairs: DataFrame, about: DataFrame) -> DataFrame:
+    """Those of ``pairs`` that are not linked yet and whose sketches allow the similarity."""
+    other = about.select(*[F.col(k).alias(f"{k}v") for k in about.columns])
+    return pairs.join(about, "m").join(other, "mv").filter(_unlinked(F.col("n"), F.col("nv"))).select("m", "mv")
+
+
+def _candidates(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Pairs ``m, mv`` that share an element early enough, are not linked yet, and whose sketches and sizes allow the similarity."""
+    names = {"m": "mv", "sizes": "sizesv", "place": "placev", "sketch": "sketchv", "c": "cv"}
+    other = others.select("h", "e", *[F.col(k).alias(v) for k, v in names.items()])
+    near = _unlinked(F.shiftright("sizes", 32), F.shiftright("sizesv", 32))
+    near = near & _in_reach(F.col("sizes"), F.col("place"), F.col("sizesv"), F.col("placev"))
     return rows.join(other, ["h", "e"]).filter(near).select("m", "mv").distinct()
 
 
+def _links(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """``u, v`` of the ``pairs`` (m, mv) that are similar by their D; only a D that a pair may need is shuffled."""
+    ends = pairs.select("m").unionByName(pairs.select(F.col("mv").alias("m")))
+    d = maybe_among(members.select("m", "u", "n", "d"), F.xxhash64("m"), ends.select(F.xxhash64("m").alias("h")), "_needed").filter("_needed").drop("_needed")
+    tested = pairs.join(d, "m").join(d.select(F.col("m").alias("mv"), F.col("u").alias("v"), F.col("n").alias("nv"), F.col("d").alias("dv")), "mv")
+    differ = F.size("d") + F.size("dv") - 2 * F.size(F.array_intersect("d", "dv"))
+    return tested.filter(_similar(differ, F.col("n") + F.col("nv"))).select("u", "v").distinct()
+
+
 def near_links(classes: DataFrame, documents: DataFrame) -> DataFrame:
     """``node, component`` over the ids of the class representatives.
 
@@ -219,21 +263,17 @@ def near_links(classes: DataFrame, documents: DataFrame) -> DataFrame:
     open_hubs = stored(open_hubs.withColumn("h", F.monotonically_increasing_id()), "hub_numbers")
     members = members.join(open_hubs, "hub").select("h", F.col("u.doc_id").alias("u"), "n", "d")
     members = stored(members.withColumn("m", F.monotonically_increasing_id()), "members")
-    rows = stored(rare_elements(members), "rare_elements").withColumnRenamed("u", "doc_id")
-    early = 2 * LEAST[0] * F.col("place") <= (LEAST[1] - LEAST[0]) * F.col("n")  # as the shorter D
-    for one in (F.min_by, F.max_by, None):
-        now = _with_component(rows, found).drop("doc_id")
-        others = now.filter(early)
-        if one is not None:  # one partner for each element: what it links goes on as one component
-            fields = ["m", "n", "nd", "place", "sketch", "c"]
-            stars = others.groupBy("h", "e").agg(one(F.struct(*fields), F.col("m")).alias("x"))
-            others = stored(stars.select("h", "e", *[F.col(f"x.{k}").alias(k) for k in fields]), "stars")
-        pairs = stored(_candidates(now, others), "candidates")
-        d = members.select("m", "u", "n", "d")
-        tested = pairs.join(d, "m").join(d.select(F.col("m").alias("mv"), F.col("u").alias("v"), F.col("n").alias("nv"), F.col("d").alias("dv")), "mv")
-        differ = F.size("d") + F.size("dv") - 2 * F.size(F.array_intersect("d", "dv"))
-        links = tested.filter(_similar(differ, F.col("n") + F.col("nv")))
-        links = stored(links.select("u", "v").distinct(), "links")
+    rows = stored(rare_elements(members), "rare_elements")
+    about = stored(sketches(members), "sketches")
+    stars = stored(_star_pairs(rows), "star_pairs")
+    for last in (False, True, None):
+        now = _with_component(about, found).select("m", "n", "sketch", "c")
+        if last is None:  # what is still apart
+            wide = rows.join(now.drop("n"), "m")
+            pairs = _candidates(wide, wide.filter(_early(F.col("place"), F.col("sizes"))))
+        else:  # one partner for each element: what it links goes on as one component
+            pairs = _star_candidates(stars.filter(F.col("last") == last).drop("last"), now)
+        links = stored(_links(stored(pairs, "candidates"), members), "links")
         if not links.isEmpty():
             found = _joined_on(found, links)
     return found

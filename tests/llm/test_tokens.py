@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import sys
 import zlib
 from collections import defaultdict
 
@@ -196,3 +197,27 @@ def test_queries(spark):
         want.append((i, start, len(ids), crc(ids)))
         start += len(ids)
     assert sorted(map(tuple, QUERIES["op1_token_store"](spark, SF001).collect())) == want
+
+
+def test_packing_sends_small_batches_and_restores_the_session(spark, monkeypatch):
+    key, seen, plain = "spark.sql.execution.arrow.maxRecordsPerBatch", [], packing.stored
+    before = spark.conf.get(key)
+
+    def stored(df, label):
+        seen.append((label, spark.conf.get(key)))
+        return plain(df, label)
+
+    monkeypatch.setattr(packing, "stored", stored)
+    rows = spark.range(2500).selectExpr("id AS doc_id", "'a b' AS text")
+    assert packing.pack(rows, WORD).count() == 2500
+    assert ("pieces", "1000") in seen and spark.conf.get(key) == before
+
+
+def test_a_worker_drops_what_another_operator_has_left(monkeypatch):
+    monkeypatch.delitem(sys.modules, "_tidewise_llm_worker", raising=False)
+    one, two = (lambda batches: iter([wordhash.worker_cache("left", object)]) for _ in range(2))
+    one.__module__ = two.__module__ = "first"
+    a, b = next(wordhash.tidied(one)([])), next(wordhash.tidied(two)([]))
+    assert a is b  # of the same operator
+    two.__module__ = "second"
+    assert next(wordhash.tidied(two)([])) is not a

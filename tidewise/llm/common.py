@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,15 +41,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # noqa: BLE001 - the session is gone or has no JVM here; the cluster's own clean-up remains
+        return
+
+
 def _forget() -> None:
     """Delete this process's scratch tables when the driver ends."""
     for spark, path in _WRITTEN:
-        try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # noqa: BLE001 - the session is gone; the cluster's own clean-up remains
-            return
+        _delete(spark, path)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -58,7 +64,38 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    held._stored_at = path
+    return held
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the table that ``stored`` has written for ``df``, once nothing reads it any more."""
+    path = df.__dict__.pop("_stored_at", None)
+    if path is not None:
+        _delete(df.sparkSession, path)
+
+
+#: Rows of a batch of whole texts on its way to Python.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is written inside sends ``BATCH_ROWS`` rows at most to Python at a time.
+
+    A batch lies in the executor and in the worker, and the session's 10,000 whole texts take tens of MB in each.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if 0 < int(before) <= BATCH_ROWS:
+        yield
+        return
+    spark.conf.set(key, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def free_name(df: DataFrame, wanted: str) -> str:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import small_batches, stored, text_of
 from .tokens import encoder
 from .wordhash import tidied
 
@@ -160,7 +160,8 @@ def pack(df: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACIT
     """
     id_type = df.select(id_col).schema[0].dataType.simpleString()
     rows = df.select(F.col(id_col), text_of(text_col))
-    pieces = stored(rows.mapInArrow(tidied(_cut(tokenizer, end_id, capacity)), _PIECES.format(id=id_type)), "pieces")
+    with small_batches(df.sparkSession):
+        pieces = stored(rows.mapInArrow(tidied(_cut(tokenizer, end_id, capacity)), _PIECES.format(id=id_type)), "pieces")
     sizes = stored(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "sizes")
     histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     table = places(pack_histogram(histogram, capacity))

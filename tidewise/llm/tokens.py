@@ -24,7 +24,7 @@ from .wordhash import SPACE, columns, slices, tables, worker_cache
 
 #: Other white space than ASCII's, as bytes.
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-SLOTS, MOST = 1 << 21, 750_000
+SLOTS, MOST = 1 << 20, 600_000
 DIRECT = 256
 #: Between chunks that go to the library together: a word of one id for tokenizers that drop white space.
 MARK, TOGETHER = "\x01", 32

@@ -28,6 +28,15 @@ def worker_cache(key, make: Callable):
     return held[key]
 
 
+def worker_serves(operator: str) -> None:
+    """Drop what another operator's steps have left in the worker: it would lie there beside this one's."""
+    held = sys.modules.setdefault("_tidewise_llm_worker", types.ModuleType("_tidewise_llm_worker")).__dict__
+    if held.get("serves") != operator:
+        for key in [k for k in held if not (isinstance(k, str) and k.startswith("__"))]:
+            del held[key]
+        held["serves"] = operator
+
+
 def give_back() -> None:
     """Freed memory goes back to the system; a reused worker would hold it between its tasks."""
     pa.default_memory_pool().release_unused()
@@ -37,8 +46,9 @@ def give_back() -> None:
 
 
 def tidied(step: Callable) -> Callable:
-    """``step`` (batches to batches), after which the worker gives back what it has freed."""
+    """``step`` (batches to batches), before which the worker drops what other operators have left and after which it gives back what it has freed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_serves(step.__module__)
         try:
             yield from step(batches)
         finally:

@@ -1,6 +1,7 @@
 """Operators 5 and 9 against plain versions, with the odd rows their docstrings define."""
 
 import hashlib
+import os
 import random
 import re
 from collections import defaultdict
@@ -321,3 +322,33 @@ def test_only_the_differences_of_pairs_are_shuffled(spark):
     links = minhash._links(spark.createDataFrame([(0, 1), (0, 2)], "m long, mv long"), members)
     assert [tuple(r) for r in links.collect()] == [(0, 1)]  # 0 and 2 differ in 4 of 8 and 8 shingles: a seventh of 16 is less
     assert "bitmap_construct_agg" in links._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tables_that_nothing_reads_any_more_are_deleted(spark, monkeypatch):
+    """Signatures and sets of shingles don't lie beside the later tables; hubs are tested by their unlinked members alone."""
+    held, plain = {}, minhash.stored
+
+    def stored(df, label):
+        out = plain(df, label)
+        held.setdefault(label, (df, out.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")))
+        return out
+
+    monkeypatch.setattr(minhash, "stored", stored)
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(150)]
+    rows = [(0, " ".join(base))]
+    for g in range(3):
+        own = list(base)
+        for _ in range(7):
+            own[rng.randrange(150)] = word()
+        for k in range(6):
+            one = list(own)
+            one[rng.randrange(150)] = word()
+            rows.append((10 * g + k + 1, " ".join(one)))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs_frame(spark, rows)).collect()}
+    assert got == plain_components(rows)
+    gone = {label for label, (_, path) in held.items() if not os.path.exists(path)}
+    assert {"signatures", "sets", "differences"} <= gone and "classes" not in gone
+    assert "sketchv" not in held["apart_pairs"][0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(d" in held["open_hubs"][0]._jdf.queryExecution().optimizedPlan().toString()

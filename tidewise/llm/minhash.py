@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, maybe_among, stored, text_of
+from .common import forget, free_name, maybe_among, small_batches, stored, text_of
 from .components import components
 from .wordhash import SHINGLE, mix, shingles, stream, tidied, word_hashes, worker_cache
 
@@ -133,6 +133,11 @@ def _joined_on(found: DataFrame, links: DataFrame) -> DataFrame:
     return stored(moved.unionByName(roots), "components")
 
 
+def _maybe(rows: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
+    """The ``rows`` whose ``column`` may be among the values of ``key``; the others need not be shuffled."""
+    return maybe_among(rows, F.xxhash64(column), keys.select(F.xxhash64(key).alias("h")), "_likely").filter("_likely").drop("_likely")
+
+
 def hub_differences(classes: DataFrame, documents: DataFrame) -> DataFrame:
     """``u, hub, n, hub_n, d``: members of buckets, the first member, set sizes, and the shingles that only one of both has.
 
@@ -149,12 +154,15 @@ def hub_differences(classes: DataFrame, documents: DataFrame) -> DataFrame:
     sets = likely.select("doc_id", "text").mapInArrow(tidied(_sets), "doc_id long, set_a long, items array<long>")
     sets = sets.join(nodes.select(F.col("rep").alias("doc_id"), F.col("a").alias("set_a")), ["doc_id", "set_a"], "left_semi")
     sets = sets.groupBy("set_a", "doc_id").agg(F.first("items").alias("items"))  # an id with equal rows: equal sets
-    sets = stored(sets.select("set_a", F.struct("doc_id", "set_a").alias("node"), "items"), "sets")
-    theirs = sets.select(F.col("set_a").alias("hub"), F.col("node").alias("hub_node"), F.col("items").alias("theirs"))
-    rows = pairs.join(sets.withColumnRenamed("set_a", "a"), "a").join(theirs, "hub")
+    with small_batches(sets.sparkSession):
+        sets = stored(sets.select("set_a", F.struct("doc_id", "set_a").alias("node"), "items"), "sets")
+    theirs = _maybe(sets, "set_a", pairs, "hub").select(F.col("set_a").alias("hub"), F.col("node").alias("hub_node"), F.col("items").alias("theirs"))
+    rows = pairs.join(_maybe(sets, "set_a", pairs, "a").withColumnRenamed("set_a", "a"), "a").join(theirs, "hub")
     only = F.concat(F.array_except("items", "theirs"), F.array_except("theirs", "items"))
-    return stored(rows.select(F.col("node").alias("u"), F.col("hub_node").alias("hub"), F.size("items").cast("long").alias("n"),
-                              F.size("theirs").cast("long").alias("hub_n"), only.alias("d")), "differences")
+    found = stored(rows.select(F.col("node").alias("u"), F.col("hub_node").alias("hub"), F.size("items").cast("long").alias("n"),
+                               F.size("theirs").cast("long").alias("hub_n"), only.alias("d")), "differences")
+    forget(sets)
+    return found
 
 
 def _early(place: Column, sizes: Column) -> Column:
@@ -221,18 +229,16 @@ def _star_pairs(rows: DataFrame) -> DataFrame:
     return pairs.filter((F.col("m") != F.col("s.x.m")) & near).select("s.last", "m", F.col("s.x.m").alias("mv")).distinct()
 
 
-def _star_candidates(pairs: DataFrame, about: DataFrame) -> DataFrame:
+def _candidates(pairs: DataFrame, about: DataFrame) -> DataFrame:
     """Those of ``pairs`` that are not linked yet and whose sketches allow the similarity."""
     other = about.select(*[F.col(k).alias(f"{k}v") for k in about.columns])
     return pairs.join(about, "m").join(other, "mv").filter(_unlinked(F.col("n"), F.col("nv"))).select("m", "mv")
 
 
-def _candidates(rows: DataFrame, others: DataFrame) -> DataFrame:
-    """Pairs ``m, mv`` that share an element early enough, are not linked yet, and whose sketches and sizes allow the similarity."""
-    names = {"m": "mv", "sizes": "sizesv", "place": "placev", "sketch": "sketchv", "c": "cv"}
-    other = others.select("h", "e", *[F.col(k).alias(v) for k, v in names.items()])
-    near = _unlinked(F.shiftright("sizes", 32), F.shiftright("sizesv", 32))
-    near = near & _in_reach(F.col("sizes"), F.col("place"), F.col("sizesv"), F.col("placev"))
+def _apart_pairs(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Pairs ``m, mv`` that share an element early enough, are in two components (c), and whose sizes allow the similarity."""
+    other = others.select("h", "e", *[F.col(k).alias(f"{k}v") for k in ("m", "sizes", "place", "c")])
+    near = (F.col("c") != F.col("cv")) & _in_reach(F.col("sizes"), F.col("place"), F.col("sizesv"), F.col("placev"))
     return rows.join(other, ["h", "e"]).filter(near).select("m", "mv").distinct()
 
 
@@ -253,27 +259,28 @@ def near_links(classes: DataFrame, documents: DataFrame) -> DataFrame:
     members = hub_differences(classes, documents)
     linked = members.filter(_similar(F.size("d"), F.col("n") + F.col("hub_n")))
     found = components(stored(linked.select(F.col("u.doc_id").alias("u"), F.col("hub.doc_id").alias("v")).distinct(), "links"))
-    # hubs with members in another component than their own
-    ends = members.select("hub", F.col("u.doc_id").alias("doc_id"))
+    # hubs with members in another component than their own; a linked member is in its hub's
+    ends = members.filter(~_similar(F.size("d"), F.col("n") + F.col("hub_n"))).select("hub", F.col("u.doc_id").alias("doc_id"))
     ends = _with_component(ends, found).select("hub", F.col("c").alias("member_c"), F.col("hub.doc_id").alias("doc_id"))
     open_hubs = stored(_with_component(ends, found).filter("c <> member_c").select("hub").distinct(), "open_hubs")
     if open_hubs.isEmpty():
         return found
     # numbers for hubs and members, fixed by being written
     open_hubs = stored(open_hubs.withColumn("h", F.monotonically_increasing_id()), "hub_numbers")
-    members = members.join(open_hubs, "hub").select("h", F.col("u.doc_id").alias("u"), "n", "d")
+    differences, members = members, members.join(open_hubs, "hub").select("h", F.col("u.doc_id").alias("u"), "n", "d")
     members = stored(members.withColumn("m", F.monotonically_increasing_id()), "members")
+    forget(differences)
     rows = stored(rare_elements(members), "rare_elements")
     about = stored(sketches(members), "sketches")
     stars = stored(_star_pairs(rows), "star_pairs")
     for last in (False, True, None):
         now = _with_component(about, found).select("m", "n", "sketch", "c")
         if last is None:  # what is still apart
-            wide = rows.join(now.drop("n"), "m")
-            pairs = _candidates(wide, wide.filter(_early(F.col("place"), F.col("sizes"))))
+            known = rows.join(now.select("m", "c"), "m")
+            pairs = stored(_apart_pairs(known, known.filter(_early(F.col("place"), F.col("sizes")))), "apart_pairs")
         else:  # one partner for each element: what it links goes on as one component
-            pairs = _star_candidates(stars.filter(F.col("last") == last).drop("last"), now)
-        links = stored(_links(stored(pairs, "candidates"), members), "links")
+            pairs = stars.filter(F.col("last") == last).drop("last")
+        links = stored(_links(stored(_candidates(pairs, now), "candidates"), members), "links")
         if not links.isEmpty():
             found = _joined_on(found, links)
     return found
@@ -282,10 +289,15 @@ def near_links(classes: DataFrame, documents: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: ``doc_id, n_shingles, component_id, kept``."""
     documents = df.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    signatures = stored(documents.mapInArrow(tidied(_signatures), _SIGNATURES), "signatures")
+    with small_batches(df.sparkSession):
+        signatures = stored(documents.mapInArrow(tidied(_signatures), _SIGNATURES), "signatures")
     sets = ["n_shingles", "set_a", "set_b"]
     linked = signatures.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(linked.groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")), "classes")
+    # the rows without their bands, which would lie there beside the texts' sets
+    rows = stored(signatures.drop("bands"), "rows")
+    forget(signatures)
+    linked = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     found = near_links(classes.select("rep", "set_a", "bands"), documents.filter("doc_id IS NOT NULL"))
     # an id in several classes links them
     several = linked.groupBy("doc_id").agg(F.min(F.struct(*sets)).alias("a"), F.max(F.struct(*sets)).alias("b")).filter("a <> b").select("doc_id")
@@ -297,7 +309,6 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         classes.select(*sets, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*sets, F.coalesce("component", "rep").alias("c")),
         "answer",
     )
-    rows = signatures.drop("bands")
     own = rows.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     out = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(answer, sets).select("doc_id", "n_shingles", F.col("c").alias("component_id"))
     empty = stored(own.filter("doc_id IS NOT NULL").select("doc_id").distinct(), "empty")
